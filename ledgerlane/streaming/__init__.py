@@ -1,0 +1 @@
+"""Empty on purpose: every model here is a daily batch rebuild with no streaming state."""
