@@ -47,6 +47,16 @@ def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
     return F.round(numerator.cast("double") / F.nullif(denominator.cast("double"), F.lit(0.0)), digits)
 
 
+def exact_ratio(numerator: Column, denominator: Column, digits: int) -> Column:
+    """Rounded quotient of exact amounts, so a half cent always rounds up; null for zero."""
+    return F.round(numerator / F.nullif(denominator, F.lit(0)), digits)
+
+
+def average_or_zero(total: Column, count: Column, digits: int) -> Column:
+    """Rounded mean of exact amounts; zero unless the count is positive."""
+    return F.when(count > 0, exact_ratio(total, count.cast("decimal(20,0)"), digits)).otherwise(F.lit(0))
+
+
 def ratio_or_zero(numerator: Column, denominator: Column, digits: int) -> Column:
     """Rounded double quotient; zero unless the denominator is positive."""
     return F.when(denominator > 0, ratio(numerator, denominator, digits)).otherwise(F.lit(0.0))

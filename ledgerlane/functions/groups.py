@@ -31,21 +31,21 @@ def first_per_group(
     return ranked.drop("_position")
 
 
-def losers(df: DataFrame, keys: Sequence[str], row_id: str, better: Column, kept: str) -> DataFrame:
-    """Rows that ``first_per_group`` drops, with the id of the row kept in their place.
+def losers(df: DataFrame, keys: Sequence[str], row_id: str, best: Column, kept: str) -> DataFrame:
+    """Rows that deduplication drops, with the id of the row kept in their place.
 
-    ``better`` is a struct ending in the row id that is largest for the kept row. Only groups
-    with repeats meet the rows again; the winner per group is pre-aggregated before the shuffle.
+    ``best`` aggregates a group to a struct that holds ``row_id`` of the kept row. Winners are
+    pre-aggregated before the shuffle, and only groups with repeats meet the rows again.
     """
+    shadow = {key: f"_key_{i}" for i, key in enumerate(keys)}
     winners = (
         df.groupBy(*keys)
-        .agg(F.max(better).alias("_best"), F.count("*").alias("_rows"))
+        .agg(best.alias("_best"), F.count("*").alias("_rows"))
         .where(F.col("_rows") > 1)
-        .select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], F.col(f"_best.{row_id}").alias(kept))
+        .select(*[F.col(key).alias(name) for key, name in shadow.items()], F.col(f"_best.{row_id}").alias(kept))
     )
-    same = [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)]
-    matched = df.join(winners, same, "inner").where(F.col(row_id) != F.col(kept))
-    return matched.drop(*[f"_key_{i}" for i in range(len(keys))])
+    same_group = [F.col(key).eqNullSafe(F.col(name)) for key, name in shadow.items()]
+    return df.join(winners, same_group).where(F.col(row_id) != F.col(kept)).drop(*shadow.values())
 
 
 def number_in_group(
