@@ -1,97 +1,95 @@
-"""Column expressions shared by the models."""
+"""Column expressions shared by the models.
 
-from __future__ import annotations
+Names and conditions are passed as SQL text: one parsed expression replaces a chain of driver
+calls, and plans with many measures build noticeably faster.
+"""
 
-from decimal import Decimal
+from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # US dollars per unit of local currency.
-RIDE_USD_RATES = {"GBP": Decimal("1.27")}
-PAYROLL_USD_RATES = {
-    "USD": Decimal("1.00"),
-    "GBP": Decimal("1.27"),
-    "EUR": Decimal("1.09"),
-    "SGD": Decimal("0.74"),
-}
+RIDE_USD_RATES = {"GBP": "1.27"}
+PAYROLL_USD_RATES = {"USD": "1.00", "GBP": "1.27", "EUR": "1.09", "SGD": "0.74"}
 DAYS_PER_YEAR = 365.25
 
 
-def usd_rate(currency: Column, rates: dict[str, Decimal], unknown: Decimal | None) -> Column:
-    """Rate lookup as a CASE expression, so a handful of constants never costs a join."""
-    rate = None
-    for code, value in rates.items():
-        hit = currency == code
-        rate = F.when(hit, F.lit(value)) if rate is None else rate.when(hit, F.lit(value))
-    return rate if unknown is None else rate.otherwise(F.lit(unknown))
+def _rate_case(currency: str, rates: dict[str, str]) -> str:
+    """Rates as a CASE expression, so a handful of constants never costs a join."""
+    return f"case {currency} " + " ".join(f"when '{code}' then {rate}" for code, rate in rates.items())
 
 
-def ride_usd_rate(currency: Column) -> Column:
+def ride_usd_rate(currency: str = "currency") -> str:
     """Currencies without a quoted rate are taken as dollars."""
-    return usd_rate(currency, RIDE_USD_RATES, Decimal("1.00"))
+    return f"({_rate_case(currency, RIDE_USD_RATES)} else 1.00 end)"
 
 
-def payroll_usd_rate(currency: Column) -> Column:
+def payroll_usd_rate(currency: str = "currency") -> str:
     """Null for a currency without a quoted rate."""
-    return usd_rate(currency, PAYROLL_USD_RATES, None)
+    return f"({_rate_case(currency, PAYROLL_USD_RATES)} end)"
 
 
-def sum_where(value: Column, condition: Column) -> Column:
-    return F.sum(F.when(condition, value).otherwise(F.lit(0)))
+def sum_where(value: str, condition: str) -> Column:
+    return F.expr(f"sum(if({condition}, {value}, 0))")
 
 
-def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
-    """Rounded double quotient; null when the denominator is zero."""
-    return F.round(numerator.cast("double") / F.nullif(denominator.cast("double"), F.lit(0.0)), digits)
+def count_where(condition: str) -> Column:
+    return F.expr(f"count_if({condition})")
 
 
-def exact_ratio(numerator: Column, denominator: Column, digits: int) -> Column:
-    """Rounded quotient of exact amounts, so a half cent always rounds up; null for zero."""
-    return F.round(numerator / F.nullif(denominator, F.lit(0)), digits)
+def ratio(numerator: str, denominator: str, digits: int) -> Column:
+    """Rounded double quotient; null when the denominator is zero."""
+    return F.expr(
+        f"round(cast({numerator} as double) / nullif(cast({denominator} as double), 0), {digits})"
+    )
 
 
-def average_or_zero(total: Column, count: Column, digits: int) -> Column:
-    """Rounded mean of exact amounts; zero unless the count is positive."""
-    return F.when(count > 0, exact_ratio(total, count.cast("decimal(20,0)"), digits)).otherwise(F.lit(0))
+def exact_ratio(numerator: str, denominator: str, digits: int) -> Column:
+    """Rounded quotient of exact amounts, so a half cent always rounds up; null for zero."""
+    return F.expr(f"round(({numerator}) / nullif({denominator}, 0), {digits})")
 
 
-def ratio_or_zero(numerator: Column, denominator: Column, digits: int) -> Column:
+def ratio_or_zero(numerator: str, denominator: str, digits: int) -> Column:
     """Rounded double quotient; zero unless the denominator is positive."""
-    return F.when(denominator > 0, ratio(numerator, denominator, digits)).otherwise(F.lit(0.0))
+    return F.expr(
+        f"if({denominator} > 0, round(cast({numerator} as double) / nullif({denominator}, 0), {digits}), 0)"
+    )
 
 
-def percent(numerator: Column, denominator: Column, digits: int) -> Column:
-    quotient = numerator.cast("double") / F.nullif(denominator.cast("double"), F.lit(0.0))
-    return F.round(quotient * 100, digits)
+def average_or_zero(total: str, count: str, digits: int) -> Column:
+    """Rounded mean of exact amounts; zero unless the count is positive."""
+    return F.expr(
+        f"if({count} > 0, round({total} / nullif(cast({count} as decimal(20,0)), 0), {digits}), 0)"
+    )
 
 
-def month_of(moment: Column) -> Column:
-    """First day of the calendar month, as a date."""
-    return F.trunc(moment.cast("date"), "MM")
+def percent(numerator: str, denominator: str, digits: int) -> Column:
+    return F.expr(
+        f"round(cast({numerator} as double) / nullif(cast({denominator} as double), 0) * 100, {digits})"
+    )
 
 
-def month_number(day: Column) -> Column:
-    """Months since year 0: consecutive integers for consecutive months."""
-    return F.year(day) * 12 + F.month(day) - 1
+def month_of(moment: str) -> Column:
+    """First day of the calendar month, as a date."""
+    return F.expr(f"trunc(cast({moment} as date), 'MM')")
 
 
-def years(days: Column) -> Column:
-    return days / F.lit(DAYS_PER_YEAR)
+def years(days: str) -> Column:
+    """Days as years with one decimal."""
+    return F.expr(f"round({days} / cast({DAYS_PER_YEAR} as double), 1)")
 
 
 def zero_if_null(name: str) -> Column:
-    return F.coalesce(F.col(name), F.lit(0)).alias(name)
+    return F.expr(f"coalesce({name}, 0) as {name}")
 
 
 def present(df: DataFrame) -> DataFrame:
     """Public column types: exact decimals stay inside the models and leave as doubles."""
-    return df.select(
-        [
-            F.col(f.name).cast("double").alias(f.name)
-            if isinstance(f.dataType, T.DecimalType)
-            else F.col(f.name)
+    return df.selectExpr(
+        *[
+            f"cast({f.name} as double) as {f.name}" if isinstance(f.dataType, T.DecimalType) else f.name
             for f in df.schema.fields
         ]
     )

@@ -46,7 +46,7 @@ def daily_rates(quotes: DataFrame, first_day: date, last_day: date) -> DataFrame
 def monthly_rates(daily: DataFrame) -> DataFrame:
     """Average of the daily rates, the month-end rate, and how many days had their own quote."""
     return (
-        daily.groupBy("currency", month_of(F.col("rate_date")).alias("rate_month"))
+        daily.groupBy("currency", month_of("rate_date").alias("rate_month"))
         .agg(
             F.sum("usd_rate").alias("rate_sum"),
             F.count("*").alias("days"),
@@ -56,7 +56,7 @@ def monthly_rates(daily: DataFrame) -> DataFrame:
         .select(
             "currency",
             "rate_month",
-            ratio(F.col("rate_sum"), F.col("days"), 6).alias("avg_usd_rate"),
+            ratio("rate_sum", "days", 6).alias("avg_usd_rate"),
             F.col("closing.usd_rate").alias("month_end_usd_rate"),
             "days",
             "quoted_days",
@@ -75,13 +75,13 @@ def convert_as_of(trips: DataFrame, daily: DataFrame) -> DataFrame:
     priced = (
         trips.select("currency", "gross_fare", asked_on.alias("rate_date"))
         .join(F.broadcast(lookup), ["currency", "rate_date"], "left")
-        .withColumn("rate", F.coalesce("usd_rate", ride_usd_rate(F.col("currency")).cast("decimal(10,4)")))
+        .withColumn("rate", F.expr(f"coalesce(usd_rate, cast({ride_usd_rate()} as decimal(10,4)))"))
     )
     distance = F.abs(F.date_diff(F.col("rate_date"), F.col("quoted_on")))
-    return priced.groupBy(month_of(F.col("rate_date")).alias("report_month"), "currency").agg(
+    return priced.groupBy(month_of("rate_date").alias("report_month"), "currency").agg(
         F.count("*").alias("trips"),
         F.sum("gross_fare").alias("gross_local"),
-        F.sum(F.col("gross_fare") * ride_usd_rate(F.col("currency"))).alias("gross_usd_fixed"),
+        F.expr(f"sum(gross_fare * {ride_usd_rate()})").alias("gross_usd_fixed"),
         F.sum(F.col("gross_fare") * F.col("rate")).alias("gross_usd_as_of"),
         F.count_if(F.col("quoted_on") != F.col("rate_date")).alias("trips_on_carried_rate"),
         F.coalesce(F.max(distance), F.lit(0)).cast("bigint").alias("max_quote_distance_days"),

@@ -4,32 +4,34 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerlane.functions.columns import month_number, percent
+from ledgerlane.functions.columns import percent
 
 SERIES_START = date(2016, 1, 1)
 SERIES_MONTHS = 120
-_START = SERIES_START.year * 12 + SERIES_START.month - 1
 
 
-def _last_month(as_of: date) -> int:
-    return min(SERIES_MONTHS - 1, as_of.year * 12 + as_of.month - 1 - _START)
+def last_month(as_of: date) -> int:
+    """Position of the last month in the series, counted from 0."""
+    elapsed = (as_of.year - SERIES_START.year) * 12 + as_of.month - SERIES_START.month
+    return min(SERIES_MONTHS - 1, elapsed)
 
 
-def _offset(day: Column) -> Column:
-    """Months between the start of the series and the month of ``day``."""
-    return month_number(day) - F.lit(_START)
+def month_position(day: str) -> str:
+    """Months between the start of the series and the month of ``day``, as SQL text."""
+    return f"((year({day}) - {SERIES_START.year}) * 12 + month({day}) - {SERIES_START.month})"
 
 
 def _series(spark: SparkSession, first: int, last: int) -> DataFrame:
-    months = spark.range(first, last + 1, numPartitions=1).select(F.col("id").cast("int").alias("month_no"))
-    return months.withColumn("month_start", F.add_months(F.lit(SERIES_START), F.col("month_no")))
+    return spark.range(first, last + 1, numPartitions=1).selectExpr(
+        "cast(id as int) as month_no", f"add_months(date'{SERIES_START}', cast(id as int)) as month_start"
+    )
 
 
-def _headcount(spans: DataFrame, first_month: Column, last_month: Column, low: int, high: int) -> DataFrame:
+def _headcount(spans: DataFrame, first_month: str, final_month: str, low: int, high: int) -> DataFrame:
     """Distinct people present in each month, from the months each stint covers.
 
     A stint becomes +1 where it starts to add presence and -1 after it ends, instead of a row per
@@ -38,50 +40,49 @@ def _headcount(spans: DataFrame, first_month: Column, last_month: Column, low: i
     what one person can bring to that window, however many stints they have.
     """
     ranges = (
-        spans.select(
-            "person_id",
-            F.greatest(first_month, F.lit(low)).alias("lo"),
-            F.least(last_month, F.lit(high)).alias("hi"),
+        spans.selectExpr(
+            "person_id", f"greatest({first_month}, {low}) as lo", f"least({final_month}, {high}) as hi"
         )
-        .where(F.col("lo") <= F.col("hi"))
+        .where("lo <= hi")
         .distinct()
     )
     earlier = W.partitionBy("person_id").orderBy("lo", "hi").rowsBetween(W.unboundedPreceding, -1)
-    added = ranges.withColumn(
-        "lo", F.greatest("lo", F.coalesce(F.max("hi").over(earlier) + 1, F.col("lo")))
-    ).where(F.col("lo") <= F.col("hi"))
-    steps = F.array(
-        F.struct(F.col("lo").alias("month_no"), F.lit(1).alias("step")),
-        F.struct((F.col("hi") + 1).alias("month_no"), F.lit(-1).alias("step")),
+    changes = (
+        ranges.withColumn("covered", F.max("hi").over(earlier))
+        .selectExpr("greatest(lo, coalesce(covered + 1, lo)) as lo", "hi")
+        .where("lo <= hi")
+        .selectExpr("inline(array(struct(lo as month_no, 1 as step), struct(hi + 1 as month_no, -1 as step)))")
+        .groupBy("month_no")
+        .agg(F.sum("step").alias("change"))
     )
-    changes = added.select(F.inline(steps)).groupBy("month_no").agg(F.sum("step").alias("change"))
     running = W.orderBy("month_no").rowsBetween(W.unboundedPreceding, 0)
     return (
         _series(spans.sparkSession, low, high)
         .join(changes, "month_no", "left")
-        .withColumn("headcount", F.sum(F.coalesce("change", F.lit(0))).over(running))
+        .withColumn("headcount", F.sum(F.expr("coalesce(change, 0)")).over(running))
         .drop("change")
     )
 
 
 def _movements(spans: DataFrame) -> DataFrame:
     """Stints started and ended, and people's first starts, per month."""
-    firsts = spans.groupBy("person_id").agg(F.min("stint_start_date").alias("day")).select(
-        _offset(F.col("day")).alias("month_no"), F.lit(0).alias("hires"), F.lit(1).alias("firsts"), F.lit(0).alias("exits")
+    starts, ends = month_position("stint_start_date"), month_position("stint_end_date")
+    stints = spans.selectExpr(
+        f"inline(array(struct({starts} as month_no, 1 as hires, 0 as firsts, 0 as exits), struct({ends} as month_no, 0 as hires, 0 as firsts, 1 as exits)))"
     )
-    ends = F.array(
-        F.struct(_offset(F.col("stint_start_date")).alias("month_no"), F.lit(1).alias("hires"), F.lit(0).alias("exits")),
-        F.struct(_offset(F.col("stint_end_date")).alias("month_no"), F.lit(0).alias("hires"), F.lit(1).alias("exits")),
+    firsts = (
+        spans.groupBy("person_id")
+        .agg(F.min("stint_start_date").alias("day"))
+        .selectExpr(f"{month_position('day')} as month_no", "0 as hires", "1 as firsts", "0 as exits")
     )
-    stints = spans.select(F.inline(ends)).withColumn("firsts", F.lit(0))
     return (
         stints.unionByName(firsts)
-        .where(F.col("month_no").isNotNull())
+        .where("month_no is not null")
         .groupBy("month_no")
         .agg(
-            F.sum("hires").alias("hires"),
-            (F.sum("hires") - F.sum("firsts")).alias("rehires"),
-            F.sum("exits").alias("exits"),
+            F.expr("sum(hires) as hires"),
+            F.expr("sum(hires) - sum(firsts) as rehires"),
+            F.expr("sum(exits) as exits"),
         )
     )
 
@@ -92,33 +93,41 @@ def attrition_monthly(spans: DataFrame, as_of: date) -> DataFrame:
     Someone is in a month's headcount when they start no later than the first of the next month
     and have not left by the first of the month.
     """
-    start, end = F.col("stint_start_date"), F.col("stint_end_date")
-    last = _last_month(as_of)
-    enters = _offset(start) - (F.dayofmonth(start) == 1).cast("int")
-    leaves = F.coalesce(_offset(end) - (F.dayofmonth(end) == 1).cast("int"), F.lit(last))
-    counts = ["hires", "rehires", "exits"]
+
+    def shifted(day: str) -> str:
+        return f"{month_position(day)} - if(dayofmonth({day}) = 1, 1, 0)"
+
+    last = last_month(as_of)
+    headcount = _headcount(
+        spans, shifted("stint_start_date"), f"coalesce({shifted('stint_end_date')}, {last})", 0, last
+    )
     monthly = (
-        _headcount(spans, enters, leaves, 0, last)
-        .where(F.col("headcount") > 0)
-        .withColumnRenamed("headcount", "active_headcount_eom")
+        headcount.where("headcount > 0")
         .join(_movements(spans), "month_no", "left")
-        .select(
+        .selectExpr(
             "month_start",
-            "active_headcount_eom",
-            *[F.coalesce(name, F.lit(0)).alias(name) for name in counts],
+            "headcount as active_headcount_eom",
+            *[f"coalesce({name}, 0) as {name}" for name in ("hires", "rehires", "exits")],
         )
     )
     # At most 120 rows from here on.
     trailing = W.orderBy("month_start").rowsBetween(-11, 0)
     return (
-        monthly.withColumn("exits_trailing_12m", F.sum("exits").over(trailing))
-        .withColumn("attrition_rate_trailing_12m", percent(
-            F.col("exits_trailing_12m"), F.avg("active_headcount_eom").over(trailing), 2
-        ))
-        .withColumn("attrition_rate_annualized", F.round(
-            F.col("exits").cast("double")
-            / F.nullif(F.col("active_headcount_eom").cast("double"), F.lit(0.0)) * 12 * 100, 2
-        ))
+        monthly.withColumns(
+            {
+                "exits_trailing_12m": F.sum("exits").over(trailing),
+                "mean_headcount": F.avg("active_headcount_eom").over(trailing),
+            }
+        )
+        .withColumns(
+            {
+                "attrition_rate_trailing_12m": percent("exits_trailing_12m", "mean_headcount", 2),
+                "attrition_rate_annualized": F.expr(
+                    "round(cast(exits as double) / nullif(active_headcount_eom, 0) * 12 * 100, 2)"
+                ),
+            }
+        )
+        .drop("mean_headcount")
         .orderBy("month_start")
     )
 
@@ -129,24 +138,24 @@ def attrition_standard(spans: DataFrame, as_of: date) -> DataFrame:
     Headcounts are snapshots at the end of a month: a stint is present from the month it starts
     to the month before it ends. The month before the series opens its first window.
     """
-    last = _last_month(as_of)
-    enters = _offset(F.col("stint_start_date"))
-    leaves = F.coalesce(_offset(F.col("stint_end_date")) - 1, F.lit(last))
+    last = last_month(as_of)
+    starts, ends = month_position("stint_start_date"), month_position("stint_end_date")
     along = W.orderBy("month_start")
     return (
-        _headcount(spans, enters, leaves, -1, last)
+        _headcount(spans, starts, f"coalesce({ends} - 1, {last})", -1, last)
         .join(_movements(spans).select("month_no", "exits"), "month_no", "left")
-        .withColumn("exits", F.coalesce("exits", F.lit(0)))
-        .withColumn("exits_12m", F.sum("exits").over(along.rowsBetween(-11, 0)))
-        .withColumn("opening_headcount", F.lag("headcount", 12).over(along))
-        .where(F.col("opening_headcount").isNotNull())
+        .withColumns(
+            {
+                "exits_12m": F.sum(F.expr("coalesce(exits, 0)")).over(along.rowsBetween(-11, 0)),
+                "opening_headcount": F.lag("headcount", 12).over(along),
+            }
+        )
+        .where("opening_headcount is not null")
         .select(
             "month_start",
             "opening_headcount",
             F.col("headcount").alias("closing_headcount"),
             "exits_12m",
-            percent(
-                F.col("exits_12m") * 2, F.col("opening_headcount") + F.col("headcount"), 2
-            ).alias("attrition_rate_pct"),
+            percent("(exits_12m * 2)", "(opening_headcount + headcount)", 2).alias("attrition_rate_pct"),
         )
     )

@@ -43,7 +43,7 @@ def attrition_bridge(records: DataFrame) -> DataFrame:
     )
 
     def rate(name: str) -> Column:
-        return percent(F.col(name), F.col("headcount"), 1)
+        return percent(name, "headcount", 1)
 
     none = F.lit(None)
     # Labels and remarks of the bridge.
@@ -98,17 +98,16 @@ def workforce_kpis(records: DataFrame, history: DataFrame) -> DataFrame:
         # Exact median over tenths of a year: the aggregate holds one counter per distinct tenth.
         F.round(F.median("tenure_total_service_years"), 2).alias("median_tenure_total_service_yrs"),
     )
-    headcount = F.col("active_headcount")
     return (
         active.withColumn("events", events)
         .select(
             "*",
             F.col("events.exits").alias("true_exits"),
-            percent(F.col("events.exits"), headcount, 2).alias("attrition_rate_pct"),
+            percent("events.exits", "active_headcount", 2).alias("attrition_rate_pct"),
             F.col("events.transfers").alias("internal_transfers_12m"),
-            percent(F.col("events.transfers"), headcount, 2).alias("internal_mobility_rate_pct"),
+            percent("events.transfers", "active_headcount", 2).alias("internal_mobility_rate_pct"),
             F.col("events.rehires").alias("rehires_12m"),
-            percent(F.col("events.rehires"), headcount, 2).alias("rehire_rate_pct"),
+            percent("events.rehires", "active_headcount", 2).alias("rehire_rate_pct"),
             F.round(
                 F.col("avg_tenure_continuous_yrs") - F.col("avg_tenure_current_stint_yrs"), 2
             ).alias("tenure_spread_yrs"),

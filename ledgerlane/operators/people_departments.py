@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerlane.functions.columns import DAYS_PER_YEAR, percent
-from ledgerlane.operators.people_attrition import SERIES_START, _last_month, _offset
+from ledgerlane.operators.people_attrition import SERIES_START, last_month, month_position
 from ledgerlane.operators.people_bridge import trailing_year
 from ledgerlane.operators.people_stints import REHIRE, TRANSFER
 
@@ -80,7 +80,7 @@ def department_movements(records: DataFrame, history: DataFrame, departments: Da
             - F.col("exits")
             - F.col("transfers_out")
             - F.col("unlinked_transfers_out"),
-            "attrition_rate_pct": percent(F.col("exits"), F.col("active_headcount"), 2),
+            "attrition_rate_pct": percent("exits", "active_headcount", 2),
             "avg_tenure_total_service_yrs": F.round(
                 _mean(F.col("service_days"), F.col("active_headcount")) / DAYS_PER_YEAR, 2
             ),
@@ -119,20 +119,18 @@ def payroll_cost_tieout(
     Employment is counted from starts and ends alone: one +1 and one -1 per record, then a
     running sum over the months of each department.
     """
-    last = _last_month(as_of)
-    steps = F.array(
-        F.struct(F.greatest(_offset(F.col("hire_date")), F.lit(0)).alias("month_no"), F.lit(1).alias("step")),
-        F.struct(
-            (_offset(F.coalesce("termination_date", F.lit(as_of))) + 1).alias("month_no"), F.lit(-1).alias("step")
-        ),
-    )
+    last = last_month(as_of)
+    starts = f"greatest({month_position('hire_date')}, 0)"
+    stops = f"{month_position(f'coalesce(termination_date, date\'{as_of}\')')} + 1"
     changes = (
-        employees.select("department_id", F.inline(steps))
+        employees.selectExpr(
+            "department_id", f"inline(array(struct({starts} as month_no, 1 as step), struct({stops} as month_no, -1 as step)))"
+        )
         .groupBy("department_id", "month_no")
         .agg(F.sum("step").alias("change"))
     )
-    calendar = departments.select(
-        "department_id", "department_name", F.explode(F.sequence(F.lit(0), F.lit(last))).alias("month_no")
+    calendar = departments.selectExpr(
+        "department_id", "department_name", f"explode(sequence(0, {last})) as month_no"
     )
     running = W.partitionBy("department_id").orderBy("month_no").rowsBetween(W.unboundedPreceding, 0)
     employed = calendar.join(changes, ["department_id", "month_no"], "left").select(

@@ -31,11 +31,10 @@ def person_history(spans: DataFrame, as_of: date) -> DataFrame:
     return (
         merged.withColumns(
             {
-                "current_employee_id": F.col("assignment.employee_id"),
-                "current_department_id": F.col("assignment.department_id"),
-                "current_job_level": F.col("assignment.job_level"),
-                "current_employment_type": F.col("assignment.employment_type"),
-                "current_location": F.col("assignment.location"),
+                **{
+                    f"current_{name}": F.col(f"assignment.{name}")
+                    for name in ("employee_id", "department_id", "job_level", "employment_type", "location")
+                },
                 "tenure_current_stint_days": F.when(
                     active, F.date_diff(today, F.col("current_stint_start_date")).cast("bigint")
                 ),
@@ -46,8 +45,8 @@ def person_history(spans: DataFrame, as_of: date) -> DataFrame:
         )
         .withColumns(
             {
-                "tenure_total_service_years": F.round(years(F.col("tenure_total_service_days")), 1),
-                "tenure_current_stint_years": F.round(years(F.col("tenure_current_stint_days")), 1),
+                "tenure_total_service_years": years("tenure_total_service_days"),
+                "tenure_current_stint_years": years("tenure_current_stint_days"),
             }
         )
         .drop("assignment")
@@ -79,11 +78,11 @@ def _latest_pay(raw_payroll: DataFrame, employees: DataFrame) -> DataFrame:
     return (
         known.groupBy("person_id")
         .agg(latest.alias("pay"))
-        .select(
+        .selectExpr(
             "person_id",
-            (F.col("pay.gross_pay") * payroll_usd_rate(F.col("pay.currency"))).alias("latest_monthly_pay_usd"),
-            F.col("pay.gross_pay").alias("latest_monthly_pay_local"),
-            F.col("pay.currency").alias("pay_currency"),
+            f"pay.gross_pay * {payroll_usd_rate('pay.currency')} as latest_monthly_pay_usd",
+            "pay.gross_pay as latest_monthly_pay_local",
+            "pay.currency as pay_currency",
         )
     )
 
@@ -117,7 +116,7 @@ def workforce_fact(
         history.join(_latest_pay(raw_payroll, employees), "person_id", "left")
         .join(_latest_review(raw_reviews), "person_id", "left")
         .join(home, "current_department_id", "left")
-        .withColumn("tenure_continuous_years", F.round(years(F.col("tenure_continuous_days")), 1))
+        .withColumn("tenure_continuous_years", years("tenure_continuous_days"))
         .withColumn("annualized_pay_usd", F.col("latest_monthly_pay_usd") * 12)
     )
 

@@ -21,8 +21,7 @@ def departments(raw: DataFrame) -> DataFrame:
 def employees(raw: DataFrame) -> DataFrame:
     """Employment records without double inserts; the lowest employee_id stays."""
     kept = first_per_group(raw, SAME_RECORD, [F.col("employee_id").asc()])
-    undated = (F.col("employment_status") == "terminated") & F.col("termination_date").isNull()
-    return kept.select(
+    return kept.selectExpr(
         "employee_id",
         "person_id",
         "full_name",
@@ -30,24 +29,25 @@ def employees(raw: DataFrame) -> DataFrame:
         "job_level",
         "employment_type",
         "location",
-        F.col("hire_date").cast("date").alias("hire_date"),
-        F.col("termination_date").cast("date").alias("termination_date"),
+        "cast(hire_date as date) as hire_date",
+        "cast(termination_date as date) as termination_date",
         "employment_status",
         "prior_employee_id",
-        F.coalesce(undated, F.lit(False)).alias("is_missing_termination_date"),
-        F.lit(False).alias("is_duplicate_record"),
+        """coalesce(employment_status = 'terminated' and termination_date is null, false)
+           as is_missing_termination_date""",
+        "false as is_duplicate_record",
     )
 
 
 def _paid(runs: DataFrame, *extra: str) -> DataFrame:
-    return runs.select(
+    return runs.selectExpr(
         "payroll_id",
         "employee_id",
         "person_id",
-        F.col("pay_period").cast("date").alias("pay_period"),
+        "cast(pay_period as date) as pay_period",
         "gross_pay",
         "currency",
-        (F.col("gross_pay") * payroll_usd_rate(F.col("currency"))).alias("gross_pay_usd"),
+        f"gross_pay * {payroll_usd_rate()} as gross_pay_usd",
         "is_partial_period",
         "paid_at",
         *extra,
@@ -71,7 +71,7 @@ def performance_reviews(raw: DataFrame) -> DataFrame:
     """The last dated submission of each employee and cycle; undated ones only as a last resort."""
     order = [F.col("review_date").desc_nulls_last(), F.col("review_id").desc()]
     kept = first_per_group(raw, SAME_REVIEW, order)
-    return kept.select(
+    return kept.selectExpr(
         "review_id",
         "employee_id",
         "person_id",
@@ -79,9 +79,9 @@ def performance_reviews(raw: DataFrame) -> DataFrame:
         "rating",
         "review_score",
         "reviewer_id",
-        F.col("review_date").cast("date").alias("review_date"),
-        F.col("review_date").isNull().alias("is_missing_review_date"),
-        F.lit(False).alias("is_duplicate_submission"),
+        "cast(review_date as date) as review_date",
+        "review_date is null as is_missing_review_date",
+        "false as is_duplicate_submission",
     )
 
 
@@ -112,13 +112,13 @@ def dedup_audit(raw_employees: DataFrame, raw_reviews: DataFrame) -> DataFrame:
 def payroll_monthly(payroll: DataFrame, employees: DataFrame) -> DataFrame:
     """Payroll of known records with their department; pay of dropped duplicates is left out."""
     home = employees.select("employee_id", "department_id")
-    return payroll.join(home, "employee_id").select(
+    return payroll.join(home, "employee_id").selectExpr(
         "payroll_id",
         "employee_id",
         "person_id",
         "department_id",
         "pay_period",
-        F.trunc("pay_period", "MM").alias("pay_month"),
+        "trunc(pay_period, 'MM') as pay_month",
         "gross_pay",
         "currency",
         "gross_pay_usd",

@@ -7,7 +7,7 @@ pointer, so a chain of n transfers takes about log2(n) joins over the linked rec
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerlane.functions.durable import durable
@@ -65,20 +65,26 @@ def _double(state: DataFrame) -> DataFrame:
     return state.where("settled").unionByName(moved)
 
 
+def _write_counted(state: DataFrame) -> tuple[DataFrame, int]:
+    """The written state and how many of its pointers are still open, counted by the write itself."""
+    seen = Observation()
+    written = durable(state.observe(seen, F.count_if(~F.col("settled")).alias("open")), "stint-links")
+    return written, seen.get["open"]
+
+
 def stint_placement(employees: DataFrame) -> DataFrame:
     """Record type and first record of the stint for every record that names a predecessor.
 
     The first record is null for records on a cycle, which no chain ever reaches.
     """
-    state = durable(_links(employees), "stint-links")
-    open_ends = state.where(~F.col("settled")).count()
-    while open_ends:
-        state = durable(_double(state), "stint-links")
-        remaining = state.where(~F.col("settled")).count()
+    state, unsettled = _write_counted(_links(employees))
+    while unsettled:
+        # Two rounds per write settle chains of up to four transfers in one job.
+        state, remaining = _write_counted(_double(_double(state)))
         # Every chain that still ends somewhere settles at least one record per round.
-        if remaining == open_ends:
+        if remaining == unsettled:
             break
-        open_ends = remaining
+        unsettled = remaining
     return state.select(
         "employee_id", "record_type", F.when(F.col("settled"), F.col("pointer")).alias("stint_id")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlane.functions.columns import month_of, ratio, ride_usd_rate
+from ledgerlane.functions.columns import ratio, ride_usd_rate
 from ledgerlane.functions.groups import losers
 from ledgerlane.operators.ride_staging import failed_attempts
 
@@ -37,7 +37,7 @@ def retry_rates(raw_payments: DataFrame) -> DataFrame:
     """Attempt outcomes by the month of each trip's first attempt."""
     failed = F.col("payment_status") == "failed"
     per_trip = raw_payments.groupBy("trip_id").agg(
-        month_of(F.min("attempted_at")).alias("attempt_month"),
+        F.expr("trunc(cast(min(attempted_at) as date), 'MM')").alias("attempt_month"),
         F.count("*").alias("attempts"),
         F.count_if(failed).alias("failures"),
         F.count_if(F.col("payment_status") == "captured").alias("captures"),
@@ -52,8 +52,8 @@ def retry_rates(raw_payments: DataFrame) -> DataFrame:
             F.count_if(hit & (F.col("attempts") > 1)).alias("trips_retried"),
             F.count_if(hit & (F.col("captures") > 0)).alias("trips_recovered"),
         )
-        .withColumn("failure_rate", ratio(F.col("failed_attempts"), F.col("attempts"), 4))
-        .withColumn("retry_rate", ratio(F.col("trips_retried"), F.col("trips_attempted"), 4))
+        .withColumn("failure_rate", ratio("failed_attempts", "attempts", 4))
+        .withColumn("retry_rate", ratio("trips_retried", "trips_attempted", 4))
     )
 
 
@@ -86,7 +86,7 @@ def _extra_captures(raw_payments: DataFrame) -> DataFrame:
         F.col("payment_id").alias("discarded_id"),
         "kept_id",
         F.col("captured_at").alias("recorded_at"),
-        (F.col("amount") * ride_usd_rate(F.col("currency"))).alias("excess_usd"),
+        F.expr(f"amount * {ride_usd_rate()}").alias("excess_usd"),
     )
 
 

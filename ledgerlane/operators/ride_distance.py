@@ -27,18 +27,17 @@ def trip_distances(trips: DataFrame, staged: DataFrame) -> DataFrame:
     measured = staged.where("is_completed").select(
         "trip_id", F.round(km, 6).cast("decimal(18,6)").alias("distance_km")
     )
-    net = F.when(F.col("is_revenue_eligible"), F.col("captured_amount_usd") - F.col("processor_fee_usd"))
     return (
         trips.join(measured, "trip_id")
-        .select(
+        .selectExpr(
             "trip_id",
             "city",
             "product",
             "surge_multiplier",
             "distance_km",
-            F.coalesce(net, F.lit(0)).alias("net_revenue_usd"),
+            "if(is_revenue_eligible, captured_amount_usd - processor_fee_usd, 0) as net_revenue_usd",
         )
-        .withColumn("revenue_per_km", ratio(F.col("net_revenue_usd"), F.col("distance_km"), 4))
+        .withColumn("revenue_per_km", ratio("net_revenue_usd", "distance_km", 4))
     )
 
 
@@ -53,7 +52,7 @@ def surge_by_distance(distances: DataFrame) -> DataFrame:
             F.sum("net_revenue_usd").alias("net_revenue_usd"),
             F.sum("surge_multiplier").alias("surge_sum"),
         )
-        .withColumn("revenue_per_km", ratio(F.col("net_revenue_usd"), F.col("total_km"), 4))
-        .withColumn("avg_surge", ratio(F.col("surge_sum"), F.col("trips"), 4))
+        .withColumn("revenue_per_km", ratio("net_revenue_usd", "total_km", 4))
+        .withColumn("avg_surge", ratio("surge_sum", "trips", 4))
         .drop("surge_sum")
     )

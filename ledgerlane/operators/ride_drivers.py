@@ -5,38 +5,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlane.functions.columns import average_or_zero, ratio_or_zero, ride_usd_rate, sum_where, zero_if_null
+from ledgerlane.functions.columns import (
+    average_or_zero,
+    count_where,
+    ratio_or_zero,
+    ride_usd_rate,
+    sum_where,
+    zero_if_null,
+)
+
+_TRIP_COUNTS = [
+    "total_trips_assigned",
+    "completed_trips",
+    "cancelled_trips",
+    "fraud_flagged_trips",
+    "revenue_eligible_trips",
+]
+_TRIP_MONEY = ["gross_earnings_usd", "net_captured_usd"]
+_LEDGER = [
+    "total_incentive_paid",
+    "total_incentive_paid_usd",
+    "total_incentive_lines",
+    "incentivized_trips",
+    "campaigns_participated",
+]
 
 
 def _trip_metrics(trips: DataFrame) -> DataFrame:
     # First collapse to driver x city x product: the distinct counts then run over a few rows
     # per driver instead of expanding every trip once per distinct column.
     cells = (
-        trips.where(F.col("driver_id").isNotNull())
+        trips.where("driver_id is not null")
         .groupBy("driver_id", "city", "product")
         .agg(
             F.count("*").alias("total_trips_assigned"),
-            F.count_if("is_completed").alias("completed_trips"),
-            F.count_if(F.col("trip_status") == "cancelled").alias("cancelled_trips"),
-            F.count_if("is_fraud_flagged").alias("fraud_flagged_trips"),
-            F.count_if("is_revenue_eligible").alias("revenue_eligible_trips"),
-            sum_where(F.col("gross_fare_usd"), F.col("is_completed")).alias("gross_earnings_usd"),
-            sum_where(F.col("captured_amount_usd"), F.col("is_revenue_eligible")).alias("net_captured_usd"),
+            count_where("is_completed").alias("completed_trips"),
+            count_where("trip_status = 'cancelled'").alias("cancelled_trips"),
+            count_where("is_fraud_flagged").alias("fraud_flagged_trips"),
+            count_where("is_revenue_eligible").alias("revenue_eligible_trips"),
+            sum_where("gross_fare_usd", "is_completed").alias("gross_earnings_usd"),
+            sum_where("captured_amount_usd", "is_revenue_eligible").alias("net_captured_usd"),
             F.min("requested_at").alias("first_trip_at"),
             F.max("requested_at").alias("last_trip_at"),
         )
     )
-    additive = [
-        "total_trips_assigned",
-        "completed_trips",
-        "cancelled_trips",
-        "fraud_flagged_trips",
-        "revenue_eligible_trips",
-        "gross_earnings_usd",
-        "net_captured_usd",
-    ]
     return cells.groupBy("driver_id").agg(
-        *[F.sum(name).alias(name) for name in additive],
+        *[F.expr(f"sum({name}) as {name}") for name in _TRIP_COUNTS + _TRIP_MONEY],
         F.min("first_trip_at").alias("first_trip_at"),
         F.max("last_trip_at").alias("last_trip_at"),
         F.count_distinct("city").alias("cities_operated"),
@@ -47,7 +61,7 @@ def _trip_metrics(trips: DataFrame) -> DataFrame:
 def _ledger_totals(incentives: DataFrame) -> DataFrame:
     return incentives.groupBy("driver_id").agg(
         F.sum("bonus_amount").alias("total_incentive_paid"),
-        F.sum(F.col("bonus_amount") * ride_usd_rate(F.col("currency"))).alias("total_incentive_paid_usd"),
+        F.expr(f"sum(bonus_amount * {ride_usd_rate()})").alias("total_incentive_paid_usd"),
         F.count("*").alias("total_incentive_lines"),
         F.count_distinct("trip_id").alias("incentivized_trips"),
         F.count_distinct("campaign").alias("campaigns_participated"),
@@ -56,40 +70,23 @@ def _ledger_totals(incentives: DataFrame) -> DataFrame:
 
 def driver_metrics(drivers: DataFrame, trips: DataFrame, incentives: DataFrame) -> DataFrame:
     """One row per driver. Incentive totals stay in ledger units so they tie to the payouts."""
-    counts = [
-        "total_trips_assigned",
-        "completed_trips",
-        "cancelled_trips",
-        "fraud_flagged_trips",
-        "revenue_eligible_trips",
-    ]
-    money_and_ledger = [
-        "gross_earnings_usd",
-        "net_captured_usd",
-        "total_incentive_paid",
-        "total_incentive_paid_usd",
-        "total_incentive_lines",
-        "incentivized_trips",
-        "campaigns_participated",
-    ]
-    filled = (
+    return (
         drivers.join(_trip_metrics(trips), "driver_id", "left")
         .join(_ledger_totals(incentives), "driver_id", "left")
         .select(
             *drivers.columns,
-            *[zero_if_null(name) for name in counts + money_and_ledger],
+            *[zero_if_null(name) for name in _TRIP_COUNTS + _TRIP_MONEY + _LEDGER],
             "first_trip_at",
             "last_trip_at",
             "cities_operated",
             "products_served",
         )
-    )
-    done = F.col("completed_trips")
-    return filled.withColumns(
-        {
-            "completion_rate": ratio_or_zero(done, F.col("total_trips_assigned"), 4),
-            "fraud_rate": ratio_or_zero(F.col("fraud_flagged_trips"), done, 4),
-        }
+        .withColumns(
+            {
+                "completion_rate": ratio_or_zero("completed_trips", "total_trips_assigned", 4),
+                "fraud_rate": ratio_or_zero("fraud_flagged_trips", "completed_trips", 4),
+            }
+        )
     )
 
 
@@ -100,14 +97,13 @@ def driver_mart(metrics: DataFrame, incentives: DataFrame, trips: DataFrame) ->
         .groupBy("driver_id")
         .agg(F.sum("bonus_amount").alias("incentive_on_fraud_trips"))
     )
-    done = F.col("completed_trips")
     return (
         metrics.join(leakage, "driver_id", "left")
         .select(*metrics.columns, zero_if_null("incentive_on_fraud_trips"))
         .withColumns(
             {
-                "avg_fare_per_trip_usd": average_or_zero(F.col("gross_earnings_usd"), done, 2),
-                "avg_incentive_per_trip": average_or_zero(F.col("total_incentive_paid"), done, 2),
+                "avg_fare_per_trip_usd": average_or_zero("gross_earnings_usd", "completed_trips", 2),
+                "avg_incentive_per_trip": average_or_zero("total_incentive_paid", "completed_trips", 2),
             }
         )
     )
@@ -116,9 +112,14 @@ def driver_mart(metrics: DataFrame, incentives: DataFrame, trips: DataFrame) ->
 def ledger_comparison(metrics: DataFrame, raw_incentives: DataFrame) -> DataFrame:
     """Driver totals next to the raw payouts ledger."""
     ledger = raw_incentives.groupBy("driver_id").agg(F.sum("bonus_amount").alias("raw_total"))
-    gap = F.col("mart_total") - F.col("raw_total")
     return (
-        metrics.select("driver_id", F.col("total_incentive_paid").alias("mart_total"))
+        metrics.selectExpr("driver_id", "total_incentive_paid as mart_total")
         .join(ledger, "driver_id")
-        .select("driver_id", "mart_total", "raw_total", gap.alias("diff"), (F.abs(gap) <= 0.01).alias("reconciles"))
+        .selectExpr(
+            "driver_id",
+            "mart_total",
+            "raw_total",
+            "mart_total - raw_total as diff",
+            "abs(mart_total - raw_total) <= 0.01 as reconciles",
+        )
     )

@@ -5,103 +5,93 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlane.functions.columns import exact_ratio, month_of, ratio, ratio_or_zero, ride_usd_rate, sum_where
+from ledgerlane.functions.columns import (
+    count_where,
+    exact_ratio,
+    month_of,
+    ratio,
+    ratio_or_zero,
+    ride_usd_rate,
+    sum_where,
+)
 
-class _Trip:
-    """The trip-fact columns the revenue measures are made of."""
+_NET = "captured_amount_usd - processor_fee_usd"
+_UNCOLLECTED = "is_revenue_eligible and not has_captured_payment"
+_COLLECTED = "is_revenue_eligible and has_captured_payment"
 
-    def __init__(self) -> None:
-        self.gross = F.col("gross_fare_usd")
-        self.captured = F.col("captured_amount_usd")
-        self.fee = F.col("processor_fee_usd")
-        self.done = F.col("is_completed")
-        self.eligible = F.col("is_revenue_eligible")
-        self.fraud = F.col("is_fraud_flagged")
-        self.paid = F.col("has_captured_payment")
 
-
-def _shared_measures() -> dict[str, Column]:
-    t = _Trip()
-    return {
-        "gmv_usd": sum_where(t.gross, t.done),
-        "cancellation_fee_revenue_usd": sum_where(t.captured, F.col("has_cancellation_fee")),
-        "uncollected_usd": sum_where(t.gross, t.eligible & ~t.paid),
-    }
+def _totals(grouped, measures: dict[str, Column]) -> DataFrame:
+    return grouped.agg(*[column.alias(name) for name, column in measures.items()])
 
 
 def marketplace_kpis(trips: DataFrame) -> DataFrame:
     """One row per month of the trip request, in dollars."""
-    t = _Trip()
-    measures = {
-        **_shared_measures(),
-        "net_revenue_usd": sum_where(t.captured - t.fee, t.eligible),
-        "fraud_revenue_usd": sum_where(t.captured, t.fraud),
-        "processor_fees_usd": sum_where(t.fee, t.eligible),
-        "incentive_spend_usd": F.sum("incentive_amount_usd"),
-        "total_trip_requests": F.count("*"),
-        "completed_trips": F.count_if(t.done),
-        "cancelled_trips": F.count_if(F.col("trip_status") == "cancelled"),
-        "fraud_trips": F.count_if(t.fraud),
-        "revenue_eligible_trips": F.count_if(t.eligible),
-        "active_riders": F.count_distinct("rider_id"),
-        "active_drivers": F.count_distinct(F.when(t.done, F.col("driver_id"))),
-    }
-    monthly = trips.groupBy(month_of(F.col("requested_at")).alias("report_month")).agg(
-        *[column.alias(name) for name, column in measures.items()]
-    )
-    gross = F.col("gmv_usd") + F.col("cancellation_fee_revenue_usd")
-    return (
-        monthly.withColumnRenamed("uncollected_usd", "uncollected_fare_usd")
-        .withColumns(
-            {
-                "gross_revenue_usd": gross,
-                "cancellation_rate": ratio(F.col("cancelled_trips"), F.col("total_trip_requests"), 4),
-                "fraud_rate": ratio(F.col("fraud_trips"), F.col("completed_trips"), 4),
-                "take_rate": ratio_or_zero(F.col("net_revenue_usd"), F.col("gmv_usd"), 4),
-            }
-        )
-        .orderBy("report_month")
+    monthly = _totals(
+        trips.groupBy(month_of("requested_at").alias("report_month")),
+        {
+            "gmv_usd": sum_where("gross_fare_usd", "is_completed"),
+            "cancellation_fee_revenue_usd": sum_where("captured_amount_usd", "has_cancellation_fee"),
+            "net_revenue_usd": sum_where(_NET, "is_revenue_eligible"),
+            "fraud_revenue_usd": sum_where("captured_amount_usd", "is_fraud_flagged"),
+            "uncollected_fare_usd": sum_where("gross_fare_usd", _UNCOLLECTED),
+            "processor_fees_usd": sum_where("processor_fee_usd", "is_revenue_eligible"),
+            "incentive_spend_usd": F.sum("incentive_amount_usd"),
+            "total_trip_requests": F.count("*"),
+            "completed_trips": count_where("is_completed"),
+            "cancelled_trips": count_where("trip_status = 'cancelled'"),
+            "fraud_trips": count_where("is_fraud_flagged"),
+            "revenue_eligible_trips": count_where("is_revenue_eligible"),
+            "active_riders": F.count_distinct("rider_id"),
+            "active_drivers": F.expr("count(distinct if(is_completed, driver_id, null))"),
+        },
     )
+    return monthly.withColumns(
+        {
+            "gross_revenue_usd": F.expr("gmv_usd + cancellation_fee_revenue_usd"),
+            "cancellation_rate": ratio("cancelled_trips", "total_trip_requests", 4),
+            "fraud_rate": ratio("fraud_trips", "completed_trips", 4),
+            "take_rate": ratio_or_zero("net_revenue_usd", "gmv_usd", 4),
+        }
+    ).orderBy("report_month")
 
 
 def revenue_bridge(trips: DataFrame) -> DataFrame:
     """One row that walks from gross merchandise value to net collected revenue."""
-    t = _Trip()
-    measures = {
-        **_shared_measures(),
-        "fraud_reversals_usd": sum_where(t.captured, t.fraud & t.paid),
-        "processor_fees_usd": sum_where(t.fee, t.eligible & t.paid),
-        "net_revenue_usd": sum_where(t.captured - t.fee, t.eligible & t.paid),
-        "total_incentive_spend_usd": F.sum("incentive_amount_usd"),
-        "incentive_on_fraud_usd": sum_where(F.col("incentive_amount_usd"), t.fraud),
-    }
-    totals = trips.agg(*[column.alias(name) for name, column in measures.items()]).withColumnRenamed(
-        "uncollected_usd", "uncollected_fares_usd"
-    )
-    gap = F.col("total_gap_usd")
-    return totals.withColumns(
+    totals = _totals(
+        trips,
         {
-            "gross_revenue_usd": F.col("gmv_usd") + F.col("cancellation_fee_revenue_usd"),
-            "total_gap_usd": F.col("gmv_usd") - F.col("net_revenue_usd"),
-        }
+            "gmv_usd": sum_where("gross_fare_usd", "is_completed"),
+            "cancellation_fee_revenue_usd": sum_where("captured_amount_usd", "has_cancellation_fee"),
+            "fraud_reversals_usd": sum_where("captured_amount_usd", "is_fraud_flagged and has_captured_payment"),
+            "uncollected_fares_usd": sum_where("gross_fare_usd", _UNCOLLECTED),
+            "processor_fees_usd": sum_where("processor_fee_usd", _COLLECTED),
+            "net_revenue_usd": sum_where(_NET, _COLLECTED),
+            "total_incentive_spend_usd": F.sum("incentive_amount_usd"),
+            "incentive_on_fraud_usd": sum_where("incentive_amount_usd", "is_fraud_flagged"),
+        },
+    )
+    return totals.selectExpr(
+        "*", "gmv_usd + cancellation_fee_revenue_usd as gross_revenue_usd", "gmv_usd - net_revenue_usd as total_gap_usd"
     ).withColumns(
         {
-            "fraud_pct_of_gap": exact_ratio(F.col("fraud_reversals_usd"), gap, 4),
-            "uncollected_pct_of_gap": exact_ratio(F.col("uncollected_fares_usd"), gap, 4),
-            "fees_pct_of_gap": exact_ratio(F.col("processor_fees_usd"), gap, 4),
-            "gap_rate": exact_ratio(gap, F.col("gmv_usd"), 4),
+            "fraud_pct_of_gap": exact_ratio("fraud_reversals_usd", "total_gap_usd", 4),
+            "uncollected_pct_of_gap": exact_ratio("uncollected_fares_usd", "total_gap_usd", 4),
+            "fees_pct_of_gap": exact_ratio("processor_fees_usd", "total_gap_usd", 4),
+            "gap_rate": exact_ratio("total_gap_usd", "gmv_usd", 4),
         }
     )
 
 
 def bridge_components(trips: DataFrame) -> DataFrame:
-    t = _Trip()
-    return trips.agg(
-        sum_where(t.gross, t.done).alias("gmv_usd"),
-        sum_where(t.captured, t.eligible).alias("revenue_captured_usd"),
-        sum_where(t.fee, t.eligible).alias("fees_usd"),
-        sum_where(t.captured, t.fraud).alias("fraud_captured_usd"),
-        F.sum("incentive_amount_usd").alias("total_incentives_usd"),
+    return _totals(
+        trips,
+        {
+            "gmv_usd": sum_where("gross_fare_usd", "is_completed"),
+            "revenue_captured_usd": sum_where("captured_amount_usd", "is_revenue_eligible"),
+            "fees_usd": sum_where("processor_fee_usd", "is_revenue_eligible"),
+            "fraud_captured_usd": sum_where("captured_amount_usd", "is_fraud_flagged"),
+            "total_incentives_usd": F.sum("incentive_amount_usd"),
+        },
     )
 
 
@@ -111,124 +101,106 @@ def closing_bridge(trips: DataFrame) -> DataFrame:
     Beyond the three headline lines this states fraud fares that were never captured, and fares
     captured at another amount than quoted; without them the bridge does not close.
     """
-    t = _Trip()
-    parts = {
-        "gmv": sum_where(t.gross, t.done),
-        "net": sum_where(t.captured - t.fee, t.eligible & t.paid),
-        "fraud_captured": sum_where(t.captured, t.done & t.fraud & t.paid),
-        "fraud_uncollected": sum_where(t.gross, t.done & t.fraud & ~t.paid),
-        "uncollected": sum_where(t.gross, t.eligible & ~t.paid),
-        "fees": sum_where(t.fee, t.eligible & t.paid),
-        "repriced": sum_where(t.gross - t.captured, t.done & t.paid),
-    }
-    totals = trips.agg(*[column.alias(name) for name, column in parts.items()])
-    gap = F.col("gmv") - F.col("net")
-    causes = ["fraud_captured", "fraud_uncollected", "uncollected", "fees", "repriced"]
-    explained = F.col(causes[0])
-    for name in causes[1:]:
-        explained = explained + F.col(name)
+    totals = _totals(
+        trips,
+        {
+            "gmv": sum_where("gross_fare_usd", "is_completed"),
+            "net": sum_where(_NET, _COLLECTED),
+            "fraud_captured": sum_where(
+                "captured_amount_usd", "is_completed and is_fraud_flagged and has_captured_payment"
+            ),
+            "fraud_uncollected": sum_where(
+                "gross_fare_usd", "is_completed and is_fraud_flagged and not has_captured_payment"
+            ),
+            "uncollected": sum_where("gross_fare_usd", _UNCOLLECTED),
+            "fees": sum_where("processor_fee_usd", _COLLECTED),
+            "repriced": sum_where("gross_fare_usd - captured_amount_usd", "is_completed and has_captured_payment"),
+        },
+    ).selectExpr("*", "gmv - net as gap")
     lines = [
-        ("Gross merchandise value", F.col("gmv")),
-        ("Less: fraud captured then reversed", -F.col("fraud_captured")),
-        ("Less: fraud fares never captured", -F.col("fraud_uncollected")),
-        ("Less: eligible fares never captured", -F.col("uncollected")),
-        ("Less: processor fees", -F.col("fees")),
-        ("Less: captured below the quoted fare", -F.col("repriced")),
-        ("Unexplained residual", explained - gap),
-        ("Net collected revenue", F.col("net")),
+        ("Gross merchandise value", "gmv"),
+        ("Less: fraud captured then reversed", "-fraud_captured"),
+        ("Less: fraud fares never captured", "-fraud_uncollected"),
+        ("Less: eligible fares never captured", "-uncollected"),
+        ("Less: processor fees", "-fees"),
+        ("Less: captured below the quoted fare", "-repriced"),
+        ("Unexplained residual", "fraud_captured + fraud_uncollected + uncollected + fees + repriced - gap"),
+        ("Net collected revenue", "net"),
     ]
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(i + 1).alias("line_no"),
-                F.lit(label).alias("line_item"),
-                amount.cast("decimal(38,4)").alias("amount_usd"),
-            )
-            for i, (label, amount) in enumerate(lines)
-        ]
+    rows = ", ".join(
+        f"struct({i} as line_no, '{label}' as line_item, cast({amount} as decimal(38,4)) as amount_usd)"
+        for i, (label, amount) in enumerate(lines, start=1)
     )
+    share = exact_ratio("-amount_usd", "gap", 4)
     return (
-        totals.select(gap.alias("gap"), F.explode(rows).alias("line"))
-        .select("line.*", "gap")
-        .withColumn(
-            "pct_of_gap",
-            F.when(F.col("line_no").between(2, 7), exact_ratio(-F.col("amount_usd"), F.col("gap"), 4)),
-        )
+        totals.selectExpr("gap", f"inline(array({rows}))")
+        .withColumn("pct_of_gap", F.when(F.expr("line_no between 2 and 7"), share))
         .drop("gap")
     )
 
 
 def cash_ledger_tieout(trips: DataFrame, payments: DataFrame) -> DataFrame:
     """Net revenue rebuilt from captured cash, next to the trip fact's figure."""
-    t = _Trip()
-    net_on_trips = trips.agg(sum_where(t.captured - t.fee, t.eligible)).scalar()
+    net_on_trips = trips.agg(sum_where(_NET, "is_revenue_eligible")).scalar()
     facts = trips.select("trip_id", "is_revenue_eligible", "is_completed", "is_fraud_flagged", "has_cancellation_fee")
-    rate = ride_usd_rate(F.col("currency"))
-    ledger = (
-        payments.select(
-            "trip_id",
-            (F.col("amount") * rate).alias("cash"),
-            (F.col("processor_fee") * rate).alias("fee"),
-        )
-        .join(facts, "trip_id", "left")
-        .agg(
-            F.sum("cash").alias("captured_cash_usd"),
-            sum_where(F.col("cash"), t.done & t.fraud).alias("fraud_cash_usd"),
-            sum_where(F.col("cash"), F.col("has_cancellation_fee")).alias("cancellation_fee_cash_usd"),
-            sum_where(F.col("fee"), t.eligible).alias("processor_fees_usd"),
-        )
-    )
-    derived = (
-        F.col("captured_cash_usd")
-        - F.col("fraud_cash_usd")
-        - F.col("cancellation_fee_cash_usd")
-        - F.col("processor_fees_usd")
+    ledger = _totals(
+        payments.selectExpr(
+            "trip_id", f"amount * {ride_usd_rate()} as cash", f"processor_fee * {ride_usd_rate()} as fee"
+        ).join(facts, "trip_id", "left"),
+        {
+            "captured_cash_usd": F.sum("cash"),
+            "fraud_cash_usd": sum_where("cash", "is_completed and is_fraud_flagged"),
+            "cancellation_fee_cash_usd": sum_where("cash", "has_cancellation_fee"),
+            "processor_fees_usd": sum_where("fee", "is_revenue_eligible"),
+        },
     )
     return (
-        ledger.withColumn("ledger_net_revenue_usd", derived)
+        ledger.withColumn(
+            "ledger_net_revenue_usd",
+            F.expr("captured_cash_usd - fraud_cash_usd - cancellation_fee_cash_usd - processor_fees_usd"),
+        )
         .withColumn("mart_net_revenue_usd", net_on_trips)
-        .withColumn("difference_usd", F.col("ledger_net_revenue_usd") - F.col("mart_net_revenue_usd"))
-        .withColumn("ties_out", F.abs("difference_usd") <= 0.01)
+        .withColumn("difference_usd", F.expr("ledger_net_revenue_usd - mart_net_revenue_usd"))
+        .withColumn("ties_out", F.expr("abs(difference_usd) <= 0.01"))
     )
 
 
 def kpis_by_cash_month(trips: DataFrame, incentives: DataFrame) -> DataFrame:
     """Revenue in the month it was captured and incentives in the month they were paid."""
-    t = _Trip()
-    earned = (
-        trips.where(t.paid)
-        .groupBy(month_of(F.col("captured_at")).alias("cash_month"))
-        .agg(
-            F.count("*").alias("captures"),
-            F.sum(t.captured).alias("captured_usd"),
-            sum_where(t.captured - t.fee, t.eligible).alias("net_revenue_usd"),
-            sum_where(t.captured, F.col("has_cancellation_fee")).alias("cancellation_fee_revenue_usd"),
-            sum_where(t.captured, t.fraud).alias("fraud_captured_usd"),
-        )
+    earned = _totals(
+        trips.where("has_captured_payment").groupBy(month_of("captured_at").alias("cash_month")),
+        {
+            "captures": F.count("*"),
+            "captured_usd": F.sum("captured_amount_usd"),
+            "net_revenue_usd": sum_where(_NET, "is_revenue_eligible"),
+            "cancellation_fee_revenue_usd": sum_where("captured_amount_usd", "has_cancellation_fee"),
+            "fraud_captured_usd": sum_where("captured_amount_usd", "is_fraud_flagged"),
+        },
     )
-    paid = incentives.groupBy(month_of(F.col("paid_at")).alias("cash_month")).agg(
-        F.count("*").alias("incentive_lines_paid"),
-        F.sum(F.col("bonus_amount") * ride_usd_rate(F.col("currency"))).alias("incentives_paid_usd"),
+    paid = _totals(
+        incentives.groupBy(month_of("paid_at").alias("cash_month")),
+        {
+            "incentive_lines_paid": F.count("*"),
+            "incentives_paid_usd": F.expr(f"sum(bonus_amount * {ride_usd_rate()})"),
+        },
     )
     joined = earned.join(paid, "cash_month", "full")
-    return joined.select(
-        "cash_month", *[F.coalesce(c, F.lit(0)).alias(c) for c in joined.columns if c != "cash_month"]
+    return joined.selectExpr(
+        "cash_month", *[f"coalesce({name}, 0) as {name}" for name in joined.columns if name != "cash_month"]
     )
 
 
 def multi_campaign_share(trips: DataFrame) -> DataFrame:
     """Share of incentivised trips that drew bonuses from more than one campaign line."""
-    overlapping = F.col("is_multi_campaign_trip")
-    return (
-        trips.where(F.col("incentive_line_count") > 0)
-        .groupBy(month_of(F.col("requested_at")).alias("report_month"))
-        .agg(
-            F.count("*").alias("incentivized_trips"),
-            F.count_if(overlapping).alias("multi_campaign_trips"),
-            F.sum("incentive_amount_usd").alias("incentive_spend_usd"),
-            sum_where(F.col("incentive_amount_usd"), overlapping).alias("multi_campaign_spend_usd"),
-        )
-        .withColumn(
-            "pct_trips_multi_campaign", ratio(F.col("multi_campaign_trips"), F.col("incentivized_trips"), 4)
-        )
+    monthly = _totals(
+        trips.where("incentive_line_count > 0").groupBy(month_of("requested_at").alias("report_month")),
+        {
+            "incentivized_trips": F.count("*"),
+            "multi_campaign_trips": count_where("is_multi_campaign_trip"),
+            "incentive_spend_usd": F.sum("incentive_amount_usd"),
+            "multi_campaign_spend_usd": sum_where("incentive_amount_usd", "is_multi_campaign_trip"),
+        },
+    )
+    return monthly.withColumn(
+        "pct_trips_multi_campaign", ratio("multi_campaign_trips", "incentivized_trips", 4)
     )

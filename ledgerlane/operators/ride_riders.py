@@ -5,77 +5,77 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlane.functions.columns import average_or_zero, ratio_or_zero, sum_where, zero_if_null
+from ledgerlane.functions.columns import (
+    average_or_zero,
+    count_where,
+    ratio_or_zero,
+    sum_where,
+)
+
+_MEASURES = [
+    "total_trips_requested",
+    "completed_trips",
+    "completed_nonfraud_trips",
+    "cancelled_trips",
+    "fraud_trips",
+    "total_gross_fare_usd",
+    "total_captured_usd",
+]
+_FLAGS = ["is_active_30d", "is_active_90d", "is_active_any_trip_30d"]
 
 
 def rider_activity(riders: DataFrame, trips: DataFrame, requests: DataFrame) -> DataFrame:
     """One row per rider; trailing windows end at the latest request in ``requests``."""
-    latest = requests.agg(F.max("requested_at").cast("date")).scalar()
-    asked_on = F.col("requested_at").cast("date")
+    latest = requests.agg(F.expr("cast(max(requested_at) as date)")).scalar()
+    asked_on = F.expr("cast(requested_at as date)")
+    eligible = F.col("is_revenue_eligible")
     last_30 = asked_on >= F.date_sub(latest, 30)
     last_90 = asked_on >= F.date_sub(latest, 90)
-    eligible = F.col("is_revenue_eligible")
     per_rider = trips.groupBy("rider_id").agg(
         F.count("*").alias("total_trips_requested"),
-        F.count_if("is_completed").alias("completed_trips"),
-        F.count_if(eligible).alias("completed_nonfraud_trips"),
-        F.count_if(F.col("trip_status") == "cancelled").alias("cancelled_trips"),
-        F.count_if("is_fraud_flagged").alias("fraud_trips"),
+        count_where("is_completed").alias("completed_trips"),
+        count_where("is_revenue_eligible").alias("completed_nonfraud_trips"),
+        count_where("trip_status = 'cancelled'").alias("cancelled_trips"),
+        count_where("is_fraud_flagged").alias("fraud_trips"),
         F.sum("gross_fare_usd").alias("total_gross_fare_usd"),
-        sum_where(F.col("captured_amount_usd"), eligible).alias("total_captured_usd"),
+        sum_where("captured_amount_usd", "is_revenue_eligible").alias("total_captured_usd"),
         F.min("requested_at").alias("first_trip_at"),
         F.max("requested_at").alias("last_trip_at"),
         F.bool_or(eligible & last_30).alias("is_active_30d"),
         F.bool_or(eligible & last_90).alias("is_active_90d"),
         F.bool_or(last_30).alias("is_active_any_trip_30d"),
     )
-    measures = [
-        "total_trips_requested",
-        "completed_trips",
-        "completed_nonfraud_trips",
-        "cancelled_trips",
-        "fraud_trips",
-        "total_gross_fare_usd",
-        "total_captured_usd",
-    ]
-    flags = ["is_active_30d", "is_active_90d", "is_active_any_trip_30d"]
-    return riders.join(per_rider, "rider_id", "left").select(
+    return riders.join(per_rider, "rider_id", "left").selectExpr(
         "rider_id",
         "home_city",
         "account_status",
         "signup_at",
         "is_referred",
-        *[zero_if_null(name) for name in measures],
+        *[f"coalesce({name}, 0) as {name}" for name in _MEASURES],
         "first_trip_at",
         "last_trip_at",
-        F.coalesce(F.col("account_status") == "active", F.lit(False)).alias("is_active_account"),
-        *[F.coalesce(name, F.lit(False)).alias(name) for name in flags],
+        "coalesce(account_status = 'active', false) as is_active_account",
+        *[f"coalesce({name}, false) as {name}" for name in _FLAGS],
     )
 
 
 def rider_mart(activity: DataFrame) -> DataFrame:
-    requested = F.col("total_trips_requested")
-    stage = (
-        F.when(requested == 0, "never_rode")
-        .when(F.col("is_active_30d"), "active")
-        .when(F.col("is_active_90d"), "lapsing")
-        .otherwise("churned")
-    )
     return activity.withColumns(
         {
-            "completion_rate": ratio_or_zero(F.col("completed_nonfraud_trips"), requested, 4),
-            "avg_fare_per_trip_usd": average_or_zero(
-                F.col("total_gross_fare_usd"), F.col("completed_trips"), 2
+            "completion_rate": ratio_or_zero("completed_nonfraud_trips", "total_trips_requested", 4),
+            "avg_fare_per_trip_usd": average_or_zero("total_gross_fare_usd", "completed_trips", 2),
+            "lifecycle_stage": F.expr(
+                """case when total_trips_requested = 0 then 'never_rode' when is_active_30d then 'active'
+                        when is_active_90d then 'lapsing' else 'churned' end"""
             ),
-            "lifecycle_stage": stage,
         }
     )
 
 
 def active_rider_counts(mart: DataFrame) -> DataFrame:
     return mart.agg(
-        F.count_if("is_active_account").alias("active_by_crm"),
-        F.count_if("is_active_30d").alias("active_30d_completed"),
-        F.count_if("is_active_90d").alias("active_90d_completed"),
-        F.count_if("is_active_any_trip_30d").alias("active_30d_any_trip"),
+        count_where("is_active_account").alias("active_by_crm"),
+        count_where("is_active_30d").alias("active_30d_completed"),
+        count_where("is_active_90d").alias("active_90d_completed"),
+        count_where("is_active_any_trip_30d").alias("active_30d_any_trip"),
     )

@@ -2,67 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlane.functions.groups import first_per_group
 
 
 def riders(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        "rider_id",
-        "home_city",
-        "account_status",
-        "signup_at",
-        "referred_by",
-        F.col("referred_by").isNotNull().alias("is_referred"),
-    )
+    return raw.selectExpr("*", "referred_by is not null as is_referred")
 
 
 def drivers(raw: DataFrame) -> DataFrame:
     """One row per driver: the latest onboarding, with the first and last onboarding times."""
-    # The remaining columns after onboarded_at only settle ties between identical times.
-    newest = F.max(
-        F.struct("onboarded_at", "vehicle_class", "driver_status", "home_city", "rating")
-    )
+    # The columns after onboarded_at only settle ties between identical times.
+    newest = F.expr("max(struct(onboarded_at, vehicle_class, driver_status, home_city, rating))")
     merged = raw.groupBy("driver_id").agg(
         newest.alias("newest"), F.min("onboarded_at").alias("first_onboarded_at"), F.count("*").alias("onboardings")
     )
-    return merged.select(
+    return merged.selectExpr(
         "driver_id",
         "newest.home_city",
         "newest.driver_status",
         "newest.vehicle_class",
         "newest.rating",
         "first_onboarded_at",
-        F.col("newest.onboarded_at").alias("last_onboarded_at"),
-        (F.col("onboardings") > 1).alias("is_reonboarded"),
-    )
-
-
-def _trip_class(done: Column, cancelled: Column) -> Column:
-    fraud = F.col("is_fraud_flagged")
-    return (
-        F.when(done & ~fraud, "completed")
-        .when(done & fraud, "completed_fraud")
-        .when(cancelled & (F.col("cancel_reason") == "no_driver_found"), "cancelled_no_match")
-        .when(cancelled, "cancelled_billed")
+        "newest.onboarded_at as last_onboarded_at",
+        "onboardings > 1 as is_reonboarded",
     )
 
 
 def trips(raw: DataFrame) -> DataFrame:
     """All trips with their class; an unknown fraud flag is neither fraud nor eligible."""
-    done = F.col("trip_status") == "completed"
-    cancelled = F.col("trip_status") == "cancelled"
-    known = F.lit(False)
-    return raw.select(
+    return raw.selectExpr(
         "*",
-        _trip_class(done, cancelled).alias("trip_classification"),
-        F.coalesce(done, known).alias("is_completed"),
-        F.coalesce(done & ~F.col("is_fraud_flagged"), known).alias("is_revenue_eligible"),
-        F.coalesce(cancelled & (F.col("cancel_reason") != "no_driver_found"), known).alias(
-            "has_cancellation_fee"
-        ),
+        """case when trip_status = 'completed' then if(is_fraud_flagged, 'completed_fraud',
+                                                      if(not is_fraud_flagged, 'completed', null))
+                when trip_status = 'cancelled' then if(cancel_reason = 'no_driver_found', 'cancelled_no_match',
+                                                      'cancelled_billed')
+           end as trip_classification""",
+        "coalesce(trip_status = 'completed', false) as is_completed",
+        "coalesce(trip_status = 'completed' and not is_fraud_flagged, false) as is_revenue_eligible",
+        """coalesce(trip_status = 'cancelled' and cancel_reason <> 'no_driver_found', false)
+           as has_cancellation_fee""",
     )
 
 

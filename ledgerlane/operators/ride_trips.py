@@ -3,65 +3,63 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ledgerlane.functions.columns import ride_usd_rate, zero_if_null
+from ledgerlane.functions.columns import ride_usd_rate
+
+_FROM_TRIP = [
+    "trip_id",
+    "rider_id",
+    "driver_id",
+    "city",
+    "product",
+    "trip_status",
+    "cancel_reason",
+    "trip_classification",
+    "is_completed",
+    "is_revenue_eligible",
+    "has_cancellation_fee",
+    "is_fraud_flagged",
+    "surge_multiplier",
+    "currency",
+    "gross_fare",
+    "requested_at",
+    "accepted_at",
+    "started_at",
+    "ended_at",
+]
 
 
 def enrich_trips(trips: DataFrame, payments: DataFrame, incentives_per_trip: DataFrame) -> DataFrame:
     """All three inputs are keyed by trip, so each is shuffled once on trip_id and zipped."""
-    settled = payments.select(
+    settled = payments.selectExpr(
         "trip_id",
         "payment_id",
-        F.col("amount").alias("captured_amount"),
-        "processor_fee",
-        "has_duplicate_captures",
+        "amount",
+        "processor_fee as fee",
+        "has_duplicate_captures as captured_twice",
         "payment_method",
         "captured_at",
     )
     joined = trips.join(settled, "trip_id", "left").join(incentives_per_trip, "trip_id", "left")
-    unknown = F.lit(False)
-    earns = F.col("is_revenue_eligible") | F.col("has_cancellation_fee")
-    local = joined.select(
-        "trip_id",
-        "rider_id",
-        "driver_id",
-        "city",
-        "product",
-        "trip_status",
-        "cancel_reason",
-        "trip_classification",
-        "is_completed",
-        "is_revenue_eligible",
-        "has_cancellation_fee",
-        "is_fraud_flagged",
-        "surge_multiplier",
-        "currency",
-        "gross_fare",
-        zero_if_null("captured_amount"),
-        zero_if_null("processor_fee"),
-        F.coalesce("total_incentive_amount", F.lit(0)).alias("incentive_amount"),
-        ride_usd_rate(F.col("currency")).alias("exchange_rate"),
-        F.col("payment_id").isNotNull().alias("has_captured_payment"),
-        F.coalesce("has_duplicate_captures", unknown).alias("has_duplicate_captures"),
-        F.coalesce("is_multi_campaign_trip", unknown).alias("is_multi_campaign_trip"),
-        zero_if_null("incentive_line_count"),
+    local = joined.selectExpr(
+        *_FROM_TRIP,
+        "coalesce(amount, 0) as captured_amount",
+        "coalesce(fee, 0) as processor_fee",
+        "coalesce(total_incentive_amount, 0) as incentive_amount",
+        f"{ride_usd_rate()} as exchange_rate",
+        "payment_id is not null as has_captured_payment",
+        "coalesce(captured_twice, false) as has_duplicate_captures",
+        "coalesce(is_multi_campaign_trip, false) as is_multi_campaign_trip",
+        "coalesce(incentive_line_count, 0) as incentive_line_count",
         "payment_method",
-        "requested_at",
-        "accepted_at",
-        "started_at",
-        "ended_at",
         "captured_at",
     )
-    in_usd = {
-        f"{name}_usd": F.col(name) * F.col("exchange_rate")
-        for name in ("gross_fare", "captured_amount", "processor_fee", "incentive_amount")
-    }
-    return local.withColumns(
-        {
-            "net_revenue_local": F.when(
-                earns, F.col("captured_amount") - F.col("processor_fee")
-            ).otherwise(F.lit(0)),
-            **in_usd,
-        }
+    return local.selectExpr(
+        "*",
+        """if(is_revenue_eligible or has_cancellation_fee, captured_amount - processor_fee, 0)
+           as net_revenue_local""",
+        "gross_fare * exchange_rate as gross_fare_usd",
+        "captured_amount * exchange_rate as captured_amount_usd",
+        "processor_fee * exchange_rate as processor_fee_usd",
+        "incentive_amount * exchange_rate as incentive_amount_usd",
     )

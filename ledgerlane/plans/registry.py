@@ -29,8 +29,8 @@ from ledgerlane.plans import ride_checks, workforce_checks
 from ledgerlane.plans.ride import RideModels
 from ledgerlane.plans.workforce import WorkforceModels
 from ledgerlane.sources.fx_quotes import project_fx_quotes
-from ledgerlane.sources.ride_projection import project_ride_tables
-from ledgerlane.sources.workforce_projection import project_workforce_tables
+from ledgerlane.sources.ride_projection import ProjectedRideTables
+from ledgerlane.sources.workforce_projection import ProjectedWorkforceTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,17 +40,17 @@ WORKFORCE_AS_OF = datetime(2025, 12, 31)
 
 
 def ride(build: Callable[[RideModels], DataFrame]) -> Query:
-    return lambda spark, folder: present(build(RideModels(project_ride_tables(spark, folder))))
+    return lambda spark, folder: present(build(RideModels(ProjectedRideTables(spark, folder))))
 
 
 def shared_ride(build: Callable[[RideModels], DataFrame]) -> Query:
     """For queries that read the trip fact several times."""
-    return lambda spark, folder: present(build(RideModels(project_ride_tables(spark, folder), keep=durable)))
+    return lambda spark, folder: present(build(RideModels(ProjectedRideTables(spark, folder), keep=durable)))
 
 
 def workforce(build: Callable[[WorkforceModels], DataFrame], **options) -> Query:
     return lambda spark, folder: present(
-        build(WorkforceModels(project_workforce_tables(spark, folder), **options))
+        build(WorkforceModels(ProjectedWorkforceTables(spark, folder), **options))
     )
 
 
@@ -73,12 +73,12 @@ def _daily_rates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _fx_as_of(spark: SparkSession, folder: str) -> DataFrame:
-    trips = RideModels(project_ride_tables(spark, folder)).stg_trips
+    trips = RideModels(ProjectedRideTables(spark, folder)).stg_trips
     return present(fx_rates.convert_as_of(trips, _daily_rates(spark, folder)))
 
 
 def _freshness(spark: SparkSession, folder: str) -> DataFrame:
-    rides, people = project_ride_tables(spark, folder), project_workforce_tables(spark, folder)
+    rides, people = ProjectedRideTables(spark, folder), ProjectedWorkforceTables(spark, folder)
     ride_sources = {
         "raw_riders": (rides.riders, "signup_at"),
         "raw_drivers": (rides.drivers, "onboarded_at"),
@@ -134,7 +134,7 @@ QUALITY = {
         for name, rule in workforce_checks.RULES.items()
     },
     "dq_rh_schema_tests": shared_ride(ride_checks.schema_test_report),
-    "dq_hr_schema_tests": workforce(workforce_checks.schema_test_report),
+    "dq_hr_schema_tests": workforce(workforce_checks.schema_test_report, share=True),
     "freshness_report": _freshness,
 }
 

@@ -23,14 +23,22 @@ DEFAULT_AS_OF = date(2025, 12, 31)
 class WorkforceModels:
     """Models over one set of raw tables, measured at ``as_of``.
 
-    Staged employees and stint spans are written once per object: following transfers reads the
-    first several times, and almost every mart starts from the second.
+    Staged employees are written once per object, because following transfers reads them several
+    times. So are stint spans where one model reads them repeatedly; ``share`` makes every model
+    use that copy, for building several from one object.
     """
 
-    def __init__(self, raw: WorkforceTables, as_of: date = DEFAULT_AS_OF, infer_terminations: bool = False):
+    def __init__(
+        self,
+        raw: WorkforceTables,
+        as_of: date = DEFAULT_AS_OF,
+        infer_terminations: bool = False,
+        share: bool = False,
+    ):
         self.raw = raw
         self.as_of = as_of
         self.infer_terminations = infer_terminations
+        self.share = share
 
     @cached_property
     def stg_departments(self) -> DataFrame:
@@ -75,7 +83,8 @@ class WorkforceModels:
 
     @cached_property
     def int_person_employment_history(self) -> DataFrame:
-        return people_history.person_history(self.stint_spans, self.as_of)
+        spans = self.stint_spans if self.share else people_stints.stint_spans(self.stint_records)
+        return people_history.person_history(spans, self.as_of)
 
     @cached_property
     def dim_department(self) -> DataFrame:

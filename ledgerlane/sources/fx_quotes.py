@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlane.sources.star import StarTables
+
 
 def project_fx_quotes(spark: SparkSession, star_dir: str) -> DataFrame:
-    supplier = spark.read.parquet(f"{star_dir}/supplier.parquet")
-    return supplier.select(
+    return StarTables(spark, star_dir).supplier.select(
         F.lit("GBP").alias("currency"),
         F.expr("date_add(date'2024-01-04', cast(s_suppkey * 53 % 360 as int))").alias("quoted_on"),
         F.col("s_suppkey").alias("quote_id"),

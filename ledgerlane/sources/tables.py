@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from types import SimpleNamespace
+from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -37,8 +38,9 @@ WORKFORCE_SCHEMAS = {
 }
 
 
-@dataclass(frozen=True)
-class RideTables:
+class RideTables(Protocol):
+    """Anything that holds the five ride-hailing tables."""
+
     riders: DataFrame
     drivers: DataFrame
     trips: DataFrame
@@ -46,8 +48,9 @@ class RideTables:
     driver_incentives: DataFrame
 
 
-@dataclass(frozen=True)
-class WorkforceTables:
+class WorkforceTables(Protocol):
+    """Anything that holds the four workforce tables."""
+
     departments: DataFrame
     employees: DataFrame
     performance_reviews: DataFrame
@@ -56,25 +59,25 @@ class WorkforceTables:
 
 def conform(df: DataFrame, ddl: str) -> DataFrame:
     """Select and cast to a declared schema; a missing column is an error."""
-    schema = T.StructType.fromDDL(ddl)
-    return df.select([df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+    columns = T.StructType.fromDDL(ddl).fields
+    return df.selectExpr(*[f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}" for f in columns])
 
 
-def _read(spark: SparkSession, path: str, schemas: dict[str, str]) -> dict[str, DataFrame]:
-    return {name: spark.read.schema(ddl).parquet(f"{path}/raw_{name}") for name, ddl in schemas.items()}
+def _read(spark: SparkSession, path: str, schemas: dict[str, str]) -> SimpleNamespace:
+    return SimpleNamespace(
+        **{name: spark.read.schema(ddl).parquet(f"{path}/raw_{name}") for name, ddl in schemas.items()}
+    )
 
 
 def read_ride_tables(spark: SparkSession, path: str) -> RideTables:
-    return RideTables(**_read(spark, path, RIDE_SCHEMAS))
+    return _read(spark, path, RIDE_SCHEMAS)
 
 
 def read_workforce_tables(spark: SparkSession, path: str) -> WorkforceTables:
-    return WorkforceTables(**_read(spark, path, WORKFORCE_SCHEMAS))
+    return _read(spark, path, WORKFORCE_SCHEMAS)
 
 
-def write_raw_tables(tables: RideTables | WorkforceTables, path: str) -> None:
+def write_raw_tables(tables: RideTables | WorkforceTables, schemas: dict[str, str], path: str) -> None:
     """Full-replace load: running it again leaves the same tables."""
-    schemas = RIDE_SCHEMAS if isinstance(tables, RideTables) else WORKFORCE_SCHEMAS
-    for field in fields(tables):
-        df = conform(getattr(tables, field.name), schemas[field.name])
-        df.write.mode("overwrite").parquet(f"{path}/raw_{field.name}")
+    for name, ddl in schemas.items():
+        conform(getattr(tables, name), ddl).write.mode("overwrite").parquet(f"{path}/raw_{name}")

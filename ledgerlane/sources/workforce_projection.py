@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ledgerlane.sources.tables import WORKFORCE_SCHEMAS, WorkforceTables, conform
+from ledgerlane.sources.star import StarTables
+from ledgerlane.sources.tables import WORKFORCE_SCHEMAS, conform
 
 # Department codes, names and divisions.
 DEPARTMENTS = [
@@ -24,11 +26,12 @@ _LAST_DAY = "date'2025-12-31'"
 
 
 def _departments(spark: SparkSession) -> DataFrame:
-    rows = [
-        (10 + i, code, name, division, f"CC-{1000 + 10 * i}")
+    rows = ", ".join(
+        f"({10 + i}L, '{code}', '{name}', '{division}', 'CC-{1000 + 10 * i}')"
         for i, (code, name, division) in enumerate(DEPARTMENTS)
-    ]
-    return spark.createDataFrame(rows, WORKFORCE_SCHEMAS["departments"])
+    )
+    names = "department_id, department_code, department_name, division, cost_center"
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS d({names})")
 
 
 def _before_last_day(day: str) -> str:
@@ -36,31 +39,26 @@ def _before_last_day(day: str) -> str:
 
 
 def _employees(customer: DataFrame) -> DataFrame:
+    first_end = _before_last_day(
+        """case when kind between 12 and 15 then date_add(hire_1, cast(180 + person_id * 13 % 900 as int))
+                when kind >= 16 then date_add(hire_1, cast(120 + person_id * 11 % 900 as int)) end"""
+    )
+    second_end = _before_last_day(
+        """case kind when 15 then date_add(end_1, cast(200 + person_id * 7 % 300 as int))
+                     when 14 then date_add(end_1, cast(150 + person_id * 7 % 300 as int)) end"""
+    )
+    rehire_end = _before_last_day("if(person_id % 40 = 19, date_add(hire_4, 200), null)")
     people = (
-        customer.selectExpr("c_custkey as person_id", "c_custkey % 20 as kind")
-        .withColumn("hire_1", F.expr("date_add(date'2016-01-01', cast(person_id * 367 % 3500 as int))"))
-        .withColumn(
-            "end_1",
-            F.expr(
-                _before_last_day(
-                    """case when kind between 12 and 15 then date_add(hire_1, cast(180 + person_id * 13 % 900 as int))
-                            when kind >= 16 then date_add(hire_1, cast(120 + person_id * 11 % 900 as int)) end"""
-                )
-            ),
+        customer.selectExpr(
+            "c_custkey as person_id",
+            "c_custkey % 20 as kind",
+            "date_add(date'2016-01-01', cast(c_custkey * 367 % 3500 as int)) as hire_1",
         )
-        .withColumn(
-            "end_2",
-            F.expr(
-                _before_last_day(
-                    """case kind when 15 then date_add(end_1, cast(200 + person_id * 7 % 300 as int))
-                                 when 14 then date_add(end_1, cast(150 + person_id * 7 % 300 as int)) end"""
-                )
-            ),
-        )
-        .withColumn("hire_4", F.expr("date_add(end_1, cast(45 + person_id % 5 * 90 as int))"))
-        .withColumn(
-            "end_4", F.expr(_before_last_day("if(person_id % 40 = 19, date_add(hire_4, 200), null)"))
+        .selectExpr("*", f"{first_end} as end_1")
+        .selectExpr(
+            "*", f"{second_end} as end_2", "date_add(end_1, cast(45 + person_id % 5 * 90 as int)) as hire_4"
         )
+        .selectExpr("*", f"{rehire_end} as end_4")
     )
     # Each person yields their original record, up to two transfers, a rehire and a duplicate.
     record = """named_struct('employee_id', {id}, 'department_id', 10 + (person_id + {shift}) % 10,
@@ -68,108 +66,141 @@ def _employees(customer: DataFrame) -> DataFrame:
         'prior_employee_id', {prior})"""
     first_status = """case when end_1 is null then if(person_id % 113 = 7, 'terminated', 'active')
         when kind < 16 then 'transferred' else 'terminated' end"""
+    second_status = """case when end_2 is null then 'active' when kind = 15 then 'transferred'
+        else 'terminated' end"""
     no_prior = "cast(null as bigint)"
+    first = dict(shift=0, hire="hire_1", end="end_1", status=first_status, prior=no_prior)
     moved = "kind between 12 and 15 and end_1 is not null and person_id % 240 <> 12"
     variants = [
-        ("true", record.format(id="person_id * 10 + 1", shift=0, hire="hire_1", end="end_1",
-                               status=first_status, prior=no_prior)),
-        (moved, record.format(id="person_id * 10 + 2", shift=3, hire="end_1", end="end_2",
-                              status="case when end_2 is null then 'active' when kind = 15 then 'transferred' "
-                                     "else 'terminated' end",
-                              prior="person_id * 10 + 1")),
-        (f"{moved} and kind = 15 and end_2 is not null",
-         record.format(id="person_id * 10 + 3", shift=6, hire="end_2", end="cast(null as date)",
-                       status="'active'", prior="person_id * 10 + 2")),
-        (f"kind >= 18 and end_1 is not null and hire_4 < {_LAST_DAY}",
-         record.format(id="person_id * 10 + 4", shift=1, hire="hire_4", end="end_4",
-                       status="if(end_4 is null, 'active', 'terminated')", prior="person_id * 10 + 1")),
-        ("person_id % 97 = 5",
-         record.format(id="10000000 + person_id * 10 + 1", shift=0, hire="hire_1", end="end_1",
-                       status=first_status, prior=no_prior)),
+        ("true", dict(first, id="person_id * 10 + 1")),
+        (
+            moved,
+            dict(
+                id="person_id * 10 + 2",
+                shift=3,
+                hire="end_1",
+                end="end_2",
+                status=second_status,
+                prior="person_id * 10 + 1",
+            ),
+        ),
+        (
+            f"{moved} and kind = 15 and end_2 is not null",
+            dict(
+                id="person_id * 10 + 3",
+                shift=6,
+                hire="end_2",
+                end="cast(null as date)",
+                status="'active'",
+                prior="person_id * 10 + 2",
+            ),
+        ),
+        (
+            f"kind >= 18 and end_1 is not null and hire_4 < {_LAST_DAY}",
+            dict(
+                id="person_id * 10 + 4",
+                shift=1,
+                hire="hire_4",
+                end="end_4",
+                status="if(end_4 is null, 'active', 'terminated')",
+                prior="person_id * 10 + 1",
+            ),
+        ),
+        ("person_id % 97 = 5", dict(first, id="10000000 + person_id * 10 + 1")),
     ]
-    records = ", ".join(f"if({condition}, {struct}, null)" for condition, struct in variants)
-    return people.select(
-        "person_id", F.expr(f"inline(filter(array({records}), r -> r is not null))")
-    ).select(
+    records = ", ".join(
+        f"if({condition}, {record.format(**fields)}, null)" for condition, fields in variants
+    )
+    return people.selectExpr(
+        "person_id", f"inline(filter(array({records}), r -> r is not null))"
+    ).selectExpr(
         "*",
-        F.expr("concat('Employee ', person_id)").alias("full_name"),
-        F.expr(
-            "element_at(array('IC1', 'IC2', 'IC3', 'IC4', 'M1', 'M2', 'M3'), cast(person_id % 7 + 1 as int))"
-        ).alias("job_level"),
-        F.expr(
-            "case person_id % 6 when 4 then 'part_time' when 5 then 'contractor' else 'full_time' end"
-        ).alias("employment_type"),
-        F.expr(
-            """element_at(array('New York', 'London', 'Berlin', 'Singapore', 'Remote-US', 'Remote-EU'),
-                 cast(person_id % 6 + 1 as int))"""
-        ).alias("location"),
+        "concat('Employee ', person_id) as full_name",
+        """element_at(array('IC1', 'IC2', 'IC3', 'IC4', 'M1', 'M2', 'M3'), cast(person_id % 7 + 1 as int))
+           as job_level""",
+        "case person_id % 6 when 4 then 'part_time' when 5 then 'contractor' else 'full_time' end as employment_type",
+        """element_at(array('New York', 'London', 'Berlin', 'Singapore', 'Remote-US', 'Remote-EU'),
+             cast(person_id % 6 + 1 as int)) as location""",
     )
 
 
 def _performance_reviews(employees: DataFrame) -> DataFrame:
-    cycles = (
-        employees.select("employee_id", "person_id", "hire_date", "termination_date")
-        .withColumn(
-            "cycles",
-            F.expr(f"least(5, datediff(coalesce(termination_date, {_LAST_DAY}), hire_date) div 365)"),
+    return (
+        employees.selectExpr(
+            "employee_id",
+            "person_id",
+            "cast(hire_date as date) as hired",
+            f"least(5, datediff(coalesce(termination_date, {_LAST_DAY}), hire_date) div 365) as cycles",
         )
         .where("cycles >= 1")
-        .withColumn("n", F.explode(F.expr("sequence(1, cast(cycles as int))")))
-        .withColumn("reviewed", F.expr("date_add(hire_date, 365 * n)"))
-        .withColumn(
-            "copy", F.explode(F.expr("if((employee_id + n) % 50 = 7, array(0, 1), array(0))"))
+        .selectExpr("*", "explode(sequence(1, cast(cycles as int))) as n")
+        .selectExpr(
+            "*",
+            "date_add(hired, 365 * n) as reviewed",
+            "explode(if((employee_id + n) % 50 = 7, array(0, 1), array(0))) as copy",
         )
-    )
-    return cycles.select(
-        F.expr("(employee_id * 10 + n) * 10 + copy").alias("review_id"),
-        "employee_id",
-        "person_id",
-        F.expr("year(reviewed)").alias("review_period"),
-        F.expr(
+        .selectExpr(
+            "(employee_id * 10 + n) * 10 + copy as review_id",
+            "employee_id",
+            "person_id",
+            "year(reviewed) as review_period",
             """element_at(array('outstanding', 'exceeds', 'meets', 'below'),
-                 cast((employee_id + n) % 4 + 1 as int))"""
-        ).alias("rating"),
-        F.expr("(100 + (employee_id * 7 + n * 13) % 401) * 0.01").alias("review_score"),
-        F.expr("200000 + employee_id % 60000").alias("reviewer_id"),
-        F.expr("if((employee_id + n) % 14 = 0, null, reviewed)").alias("review_date"),
+                 cast((employee_id + n) % 4 + 1 as int)) as rating""",
+            "(100 + (employee_id * 7 + n * 13) % 401) * 0.01 as review_score",
+            "200000 + employee_id % 60000 as reviewer_id",
+            "if((employee_id + n) % 14 = 0, null, reviewed) as review_date",
+        )
     )
 
 
 def _payroll(employees: DataFrame) -> DataFrame:
-    runs = (
-        employees.select("employee_id", "person_id", "hire_date", "termination_date")
-        .withColumn("first_month", F.expr("trunc(hire_date, 'MM')"))
-        .withColumn("last_month", F.expr(f"trunc(coalesce(termination_date, {_LAST_DAY}), 'MM')"))
-        .withColumn("pay_period", F.explode(F.expr("sequence(first_month, last_month, interval 1 month)")))
-        .withColumn("month_key", F.expr("year(pay_period) * 12 + month(pay_period)"))
-        .withColumn("is_partial_period", F.expr("pay_period = first_month or pay_period = last_month"))
-        .withColumn(
-            "copy", F.explode(F.expr("if((employee_id + month_key) % 100 = 7, array(0, 1), array(0))"))
+    return (
+        employees.selectExpr(
+            "employee_id",
+            "person_id",
+            "trunc(hire_date, 'MM') as first_month",
+            f"trunc(coalesce(termination_date, {_LAST_DAY}), 'MM') as last_month",
+        )
+        .selectExpr("*", "explode(sequence(first_month, last_month, interval 1 month)) as period")
+        .selectExpr("*", "year(period) * 12 + month(period) as month_key")
+        .selectExpr(
+            "*",
+            "period in (first_month, last_month) as is_partial_period",
+            "explode(if((employee_id + month_key) % 100 = 7, array(0, 1), array(0))) as copy",
+        )
+        .selectExpr(
+            "(employee_id * 100000 + month_key) * 10 + copy as payroll_id",
+            "employee_id",
+            "person_id",
+            "period as pay_period",
+            "(4000 + employee_id * 17 % 14000) * if(is_partial_period, 0.5, 1.0) as gross_pay",
+            "case person_id % 6 when 3 then 'GBP' when 4 then 'EUR' when 5 then 'SGD' else 'USD' end as currency",
+            "is_partial_period",
+            """cast(period as timestamp_ntz)
+                 + make_dt_interval(cast(25 + (employee_id + month_key) % 6 as int)) as paid_at""",
         )
     )
-    return runs.select(
-        F.expr("(employee_id * 100000 + month_key) * 10 + copy").alias("payroll_id"),
-        "employee_id",
-        "person_id",
-        F.col("pay_period").cast("timestamp_ntz").alias("pay_period"),
-        F.expr("(4000 + employee_id * 17 % 14000) * if(is_partial_period, 0.5, 1.0)").alias("gross_pay"),
-        F.expr(
-            "case person_id % 6 when 3 then 'GBP' when 4 then 'EUR' when 5 then 'SGD' else 'USD' end"
-        ).alias("currency"),
-        "is_partial_period",
-        F.expr(
-            """cast(pay_period as timestamp_ntz)
-                 + make_dt_interval(cast(25 + (employee_id + month_key) % 6 as int))"""
-        ).alias("paid_at"),
-    )
 
 
-def project_workforce_tables(spark: SparkSession, star_dir: str) -> WorkforceTables:
-    employees = _employees(spark.read.parquet(f"{star_dir}/customer.parquet"))
-    tables = {
-        "departments": _departments(spark),
-        "employees": employees,
-        "performance_reviews": _performance_reviews(employees),
-        "payroll": _payroll(employees),
-    }
-    return WorkforceTables(**{name: conform(df, WORKFORCE_SCHEMAS[name]) for name, df in tables.items()})
+class ProjectedWorkforceTables:
+    """The four tables, each projected when first asked for."""
+
+    def __init__(self, spark: SparkSession, star_dir: str):
+        self._spark = spark
+        self._star = StarTables(spark, star_dir)
+
+    @cached_property
+    def departments(self) -> DataFrame:
+        return conform(_departments(self._spark), WORKFORCE_SCHEMAS["departments"])
+
+    @cached_property
+    def employees(self) -> DataFrame:
+        return conform(_employees(self._star.customer), WORKFORCE_SCHEMAS["employees"])
+
+    @cached_property
+    def performance_reviews(self) -> DataFrame:
+        return conform(_performance_reviews(self.employees), WORKFORCE_SCHEMAS["performance_reviews"])
+
+    @cached_property
+    def payroll(self) -> DataFrame:
+        return conform(_payroll(self.employees), WORKFORCE_SCHEMAS["payroll"])
