@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 
+from ledgerlane.functions.durable import durable
 from ledgerlane.operators import ride_drivers, ride_finance, ride_riders, ride_staging
 from ledgerlane.operators.ride_trips import enrich_trips
 from ledgerlane.sources.tables import RideTables
@@ -74,6 +75,11 @@ class RideModels:
     def mart_reconciliation(self) -> DataFrame:
         return ride_finance.revenue_bridge(self.int_trips_enriched)
 
+    def settle(self, names: Iterable[str]) -> None:
+        """Write these models and use the written copies from now on."""
+        for name in names:
+            self.__dict__[name] = durable(getattr(self, name), name)
+
     def marts(self) -> dict[str, DataFrame]:
         return {
             name: getattr(self, name)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
 from functools import cached_property
 
@@ -112,6 +113,11 @@ class WorkforceModels:
     def workforce_kpis(self) -> DataFrame:
         return people_bridge.workforce_kpis(self.stint_records, self.int_person_employment_history)
 
+    def settle(self, names: Iterable[str]) -> None:
+        """Write these models and use the written copies from now on."""
+        for name in names:
+            self.__dict__[name] = durable(getattr(self, name), name)
+
     def marts(self) -> dict[str, DataFrame]:
         return {
             name: getattr(self, name)

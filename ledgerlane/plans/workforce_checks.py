@@ -55,12 +55,12 @@ def active_unique(models: WorkforceModels) -> Check:
 
 
 def attrition_no_transfers(models: WorkforceModels) -> Check:
-    """People who are gone, have no end date, and hold no terminated record either."""
+    """People who are gone without an end date or a terminated record: lost transfers."""
     gone = models.fct_workforce.where(
         (F.col("is_currently_active") == 0) & F.col("last_termination_date").isNull()
     ).select("person_id")
     terminated = models.stint_records.where(F.col("employment_status") == "terminated").select("person_id")
-    return Check("attrition_no_transfers", "error", gone.join(terminated, "person_id", "left_anti"))
+    return Check("attrition_no_transfers", "warn", gone.join(terminated, "person_id", "left_anti"))
 
 
 def dept_ties(models: WorkforceModels) -> Check:
@@ -72,7 +72,7 @@ def dept_ties(models: WorkforceModels) -> Check:
 def orphan_payroll(models: WorkforceModels) -> Check:
     """Pay of unknown records. Pay of a dropped duplicate counts as known, by its raw record."""
     missing = relationships(models.stg_payroll, "employee_id", models.raw.employees, "employee_id")
-    return Check("orphan_payroll", "error", missing, "rows_affected")
+    return Check("orphan_payroll", "warn", missing, "rows_affected")
 
 
 def payroll_dedup(models: WorkforceModels) -> Check:
@@ -103,7 +103,7 @@ def stint_continuity(models: WorkforceModels) -> Check:
 
 def tenure_positive(models: WorkforceModels) -> Check:
     bad = (F.col("is_currently_active") == 1) & (F.col("tenure_total_service_days") <= 0)
-    return Check("tenure_positive", "error", models.fct_workforce.where(bad))
+    return Check("tenure_positive", "warn", models.fct_workforce.where(bad))
 
 
 def transfer_chain(models: WorkforceModels) -> Check:
