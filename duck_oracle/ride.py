@@ -376,8 +376,8 @@ RIDE: dict[str, str] = {
     "dq_rh_captured_lte_fare": _rule(
         "captured_lte_fare", "warn",
         "SELECT count(*) FROM fact WHERE is_completed AND captured_amount > gross_fare * 1.1"),
-    "dq_rh_incentive_reconciliation": _rule(
-        "incentive_reconciliation", "error",
+    "dq_rh_incentive_recon": _rule(
+        "incentive_recon", "error",
         "SELECT count(*) FROM metrics m JOIN ledger l USING (driver_id) "
         "WHERE abs(m.total_incentive_paid - l.total) > 0.01"),
     "dq_rh_no_fraud_revenue": _rule(

@@ -76,9 +76,9 @@ def captured_lte_fare(models: RideModels, now: datetime) -> Check:
     return Check("captured_lte_fare", "warn", models.int_trips_enriched.where(over))
 
 
-def incentive_reconciliation(models: RideModels, now: datetime) -> Check:
+def incentive_recon(models: RideModels, now: datetime) -> Check:
     compared = ledger_comparison(models.int_driver_metrics, models.raw.driver_incentives)
-    return Check("incentive_reconciliation", "error", compared.where(~F.col("reconciles")))
+    return Check("incentive_recon", "error", compared.where(~F.col("reconciles")))
 
 
 def no_fraud_revenue(models: RideModels, now: datetime) -> Check:
@@ -112,7 +112,7 @@ RULES = {
         negative_fares,
         future_trips,
         captured_lte_fare,
-        incentive_reconciliation,
+        incentive_recon,
         no_fraud_revenue,
         gap_bounds,
         kpi_months,

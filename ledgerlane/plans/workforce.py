@@ -24,9 +24,9 @@ DEFAULT_AS_OF = date(2025, 12, 31)
 class WorkforceModels:
     """Models over one set of raw tables, measured at ``as_of``.
 
-    Staged employees are written once per object, because following transfers reads them several
-    times. So are stint spans where one model reads them repeatedly; ``share`` makes every model
-    use that copy, for building several from one object.
+    Tables that one model reads several times are written once per object: staged employees,
+    because following transfers reads them repeatedly, and stint records and spans where needed.
+    ``share`` makes every model use those copies, for building several from one object.
     """
 
     def __init__(
@@ -66,17 +66,27 @@ class WorkforceModels:
         return durable(staged, "employees")
 
     @cached_property
-    def stint_records(self) -> DataFrame:
+    def _placed_records(self) -> DataFrame:
         placement = people_stints.stint_placement(self._employees)
         return people_stints.stint_records(self._employees, placement)
 
+    @cached_property
+    def stint_records(self) -> DataFrame:
+        return durable(self._placed_records, "stint-records")
+
     @cached_property
     def stint_spans(self) -> DataFrame:
-        return durable(people_stints.stint_spans(self.stint_records), "stint-spans")
+        return durable(self._spans_view(), "stint-spans")
+
+    def _spans_view(self) -> DataFrame:
+        """Spans from the written records if there are any, otherwise straight from the feed."""
+        written = self.share or "stint_records" in self.__dict__
+        return people_stints.stint_spans(self.stint_records if written else self._placed_records)
 
     @cached_property
     def int_employment_stints(self) -> DataFrame:
-        return people_stints.employment_stints(self.stint_records, self.stint_spans)
+        records = self.stint_records
+        return people_stints.employment_stints(records, self.stint_spans)
 
     @cached_property
     def int_payroll_monthly(self) -> DataFrame:
@@ -84,7 +94,7 @@ class WorkforceModels:
 
     @cached_property
     def int_person_employment_history(self) -> DataFrame:
-        spans = self.stint_spans if self.share else people_stints.stint_spans(self.stint_records)
+        spans = self.stint_spans if self.share else self._spans_view()
         return people_history.person_history(spans, self.as_of)
 
     @cached_property
@@ -111,7 +121,8 @@ class WorkforceModels:
 
     @cached_property
     def workforce_kpis(self) -> DataFrame:
-        return people_bridge.workforce_kpis(self.stint_records, self.int_person_employment_history)
+        records = self.stint_records
+        return people_bridge.workforce_kpis(records, self.int_person_employment_history)
 
     def settle(self, names: Iterable[str]) -> None:
         """Write these models and use the written copies from now on."""

@@ -25,13 +25,18 @@ DEPARTMENTS = [
 _LAST_DAY = "date'2025-12-31'"
 
 
-def _departments(spark: SparkSession) -> DataFrame:
-    rows = ", ".join(
-        f"({10 + i}L, '{code}', '{name}', '{division}', 'CC-{1000 + 10 * i}')"
-        for i, (code, name, division) in enumerate(DEPARTMENTS)
+def _departments(customer: DataFrame) -> DataFrame:
+    """The departments that people are first hired into."""
+    details = ", ".join(
+        f"struct('{code}' as department_code, '{name}' as department_name, '{division}' as division)"
+        for code, name, division in DEPARTMENTS
+    )
+    return (
+        customer.selectExpr("cast(c_custkey % 10 as int) as slot")
+        .distinct()
+        .selectExpr("slot", f"element_at(array({details}), slot + 1) as detail")
+        .selectExpr("10 + slot as department_id", "detail.*", "concat('CC-', 1000 + 10 * slot) as cost_center")
     )
-    names = "department_id, department_code, department_name, division, cost_center"
-    return spark.sql(f"SELECT * FROM VALUES {rows} AS d({names})")
 
 
 def _before_last_day(day: str) -> str:
@@ -186,12 +191,11 @@ class ProjectedWorkforceTables:
     """The four tables, each projected when first asked for."""
 
     def __init__(self, spark: SparkSession, star_dir: str):
-        self._spark = spark
         self._star = StarTables(spark, star_dir)
 
     @cached_property
     def departments(self) -> DataFrame:
-        return conform(_departments(self._spark), WORKFORCE_SCHEMAS["departments"])
+        return conform(_departments(self._star.customer), WORKFORCE_SCHEMAS["departments"])
 
     @cached_property
     def employees(self) -> DataFrame:

@@ -52,12 +52,12 @@ def test_ride_rule_reports_planted_violations(spark, data, name):
     assert outcome.status == outcome.severity
 
 
-def test_incentive_reconciliation_reports_a_changed_total(spark, data):
+def test_incentive_recon_reports_a_changed_total(spark, data):
     models = ride(spark, data)
     models.__dict__["int_driver_metrics"] = edit(
         models.int_driver_metrics, "total_incentive_paid", "total_incentive_paid + 1", "driver_id in (1, 2)"
     )
-    assert failures(ride_checks.RULES["incentive_reconciliation"](models, ride_checks.DEFAULT_NOW)).failures == 2
+    assert failures(ride_checks.RULES["incentive_recon"](models, ride_checks.DEFAULT_NOW)).failures == 2
 
 
 def test_fraud_revenue_is_reported(spark, data):
