@@ -10,7 +10,7 @@ from ledgerlane.functions.columns import (
     count_where,
     ratio_or_zero,
     ride_usd_rate,
-    sum_where,
+    sum_usd,
     zero_if_null,
 )
 
@@ -43,8 +43,8 @@ def _trip_metrics(trips: DataFrame) -> DataFrame:
             count_where("trip_status = 'cancelled'").alias("cancelled_trips"),
             count_where("is_fraud_flagged").alias("fraud_flagged_trips"),
             count_where("is_revenue_eligible").alias("revenue_eligible_trips"),
-            sum_where("gross_fare_usd", "is_completed").alias("gross_earnings_usd"),
-            sum_where("captured_amount_usd", "is_revenue_eligible").alias("net_captured_usd"),
+            sum_usd("gross_fare_usd", "is_completed").alias("gross_earnings_usd"),
+            sum_usd("captured_amount_usd", "is_revenue_eligible").alias("net_captured_usd"),
             F.min("requested_at").alias("first_trip_at"),
             F.max("requested_at").alias("last_trip_at"),
         )

@@ -12,7 +12,7 @@ from ledgerlane.functions.columns import (
     ratio,
     ratio_or_zero,
     ride_usd_rate,
-    sum_where,
+    sum_usd,
 )
 
 _NET = "captured_amount_usd - processor_fee_usd"
@@ -29,13 +29,13 @@ def marketplace_kpis(trips: DataFrame) -> DataFrame:
     monthly = _totals(
         trips.groupBy(month_of("requested_at").alias("report_month")),
         {
-            "gmv_usd": sum_where("gross_fare_usd", "is_completed"),
-            "cancellation_fee_revenue_usd": sum_where("captured_amount_usd", "has_cancellation_fee"),
-            "net_revenue_usd": sum_where(_NET, "is_revenue_eligible"),
-            "fraud_revenue_usd": sum_where("captured_amount_usd", "is_fraud_flagged"),
-            "uncollected_fare_usd": sum_where("gross_fare_usd", _UNCOLLECTED),
-            "processor_fees_usd": sum_where("processor_fee_usd", "is_revenue_eligible"),
-            "incentive_spend_usd": F.sum("incentive_amount_usd"),
+            "gmv_usd": sum_usd("gross_fare_usd", "is_completed"),
+            "cancellation_fee_revenue_usd": sum_usd("captured_amount_usd", "has_cancellation_fee"),
+            "net_revenue_usd": sum_usd(_NET, "is_revenue_eligible"),
+            "fraud_revenue_usd": sum_usd("captured_amount_usd", "is_fraud_flagged"),
+            "uncollected_fare_usd": sum_usd("gross_fare_usd", _UNCOLLECTED),
+            "processor_fees_usd": sum_usd("processor_fee_usd", "is_revenue_eligible"),
+            "incentive_spend_usd": sum_usd("incentive_amount_usd"),
             "total_trip_requests": F.count("*"),
             "completed_trips": count_where("is_completed"),
             "cancelled_trips": count_where("trip_status = 'cancelled'"),
@@ -60,14 +60,14 @@ def revenue_bridge(trips: DataFrame) -> DataFrame:
     totals = _totals(
         trips,
         {
-            "gmv_usd": sum_where("gross_fare_usd", "is_completed"),
-            "cancellation_fee_revenue_usd": sum_where("captured_amount_usd", "has_cancellation_fee"),
-            "fraud_reversals_usd": sum_where("captured_amount_usd", "is_fraud_flagged and has_captured_payment"),
-            "uncollected_fares_usd": sum_where("gross_fare_usd", _UNCOLLECTED),
-            "processor_fees_usd": sum_where("processor_fee_usd", _COLLECTED),
-            "net_revenue_usd": sum_where(_NET, _COLLECTED),
-            "total_incentive_spend_usd": F.sum("incentive_amount_usd"),
-            "incentive_on_fraud_usd": sum_where("incentive_amount_usd", "is_fraud_flagged"),
+            "gmv_usd": sum_usd("gross_fare_usd", "is_completed"),
+            "cancellation_fee_revenue_usd": sum_usd("captured_amount_usd", "has_cancellation_fee"),
+            "fraud_reversals_usd": sum_usd("captured_amount_usd", "is_fraud_flagged and has_captured_payment"),
+            "uncollected_fares_usd": sum_usd("gross_fare_usd", _UNCOLLECTED),
+            "processor_fees_usd": sum_usd("processor_fee_usd", _COLLECTED),
+            "net_revenue_usd": sum_usd(_NET, _COLLECTED),
+            "total_incentive_spend_usd": sum_usd("incentive_amount_usd"),
+            "incentive_on_fraud_usd": sum_usd("incentive_amount_usd", "is_fraud_flagged"),
         },
     )
     return totals.selectExpr(
@@ -86,11 +86,11 @@ def bridge_components(trips: DataFrame) -> DataFrame:
     return _totals(
         trips,
         {
-            "gmv_usd": sum_where("gross_fare_usd", "is_completed"),
-            "revenue_captured_usd": sum_where("captured_amount_usd", "is_revenue_eligible"),
-            "fees_usd": sum_where("processor_fee_usd", "is_revenue_eligible"),
-            "fraud_captured_usd": sum_where("captured_amount_usd", "is_fraud_flagged"),
-            "total_incentives_usd": F.sum("incentive_amount_usd"),
+            "gmv_usd": sum_usd("gross_fare_usd", "is_completed"),
+            "revenue_captured_usd": sum_usd("captured_amount_usd", "is_revenue_eligible"),
+            "fees_usd": sum_usd("processor_fee_usd", "is_revenue_eligible"),
+            "fraud_captured_usd": sum_usd("captured_amount_usd", "is_fraud_flagged"),
+            "total_incentives_usd": sum_usd("incentive_amount_usd"),
         },
     )
 
@@ -104,17 +104,17 @@ def closing_bridge(trips: DataFrame) -> DataFrame:
     totals = _totals(
         trips,
         {
-            "gmv": sum_where("gross_fare_usd", "is_completed"),
-            "net": sum_where(_NET, _COLLECTED),
-            "fraud_captured": sum_where(
+            "gmv": sum_usd("gross_fare_usd", "is_completed"),
+            "net": sum_usd(_NET, _COLLECTED),
+            "fraud_captured": sum_usd(
                 "captured_amount_usd", "is_completed and is_fraud_flagged and has_captured_payment"
             ),
-            "fraud_uncollected": sum_where(
+            "fraud_uncollected": sum_usd(
                 "gross_fare_usd", "is_completed and is_fraud_flagged and not has_captured_payment"
             ),
-            "uncollected": sum_where("gross_fare_usd", _UNCOLLECTED),
-            "fees": sum_where("processor_fee_usd", _COLLECTED),
-            "repriced": sum_where("gross_fare_usd - captured_amount_usd", "is_completed and has_captured_payment"),
+            "uncollected": sum_usd("gross_fare_usd", _UNCOLLECTED),
+            "fees": sum_usd("processor_fee_usd", _COLLECTED),
+            "repriced": sum_usd("gross_fare_usd - captured_amount_usd", "is_completed and has_captured_payment"),
         },
     ).selectExpr("*", "gmv - net as gap")
     lines = [
@@ -141,17 +141,17 @@ def closing_bridge(trips: DataFrame) -> DataFrame:
 
 def cash_ledger_tieout(trips: DataFrame, payments: DataFrame) -> DataFrame:
     """Net revenue rebuilt from captured cash, next to the trip fact's figure."""
-    net_on_trips = trips.agg(sum_where(_NET, "is_revenue_eligible")).scalar()
+    net_on_trips = trips.agg(sum_usd(_NET, "is_revenue_eligible")).scalar()
     facts = trips.select("trip_id", "is_revenue_eligible", "is_completed", "is_fraud_flagged", "has_cancellation_fee")
     ledger = _totals(
         payments.selectExpr(
             "trip_id", f"amount * {ride_usd_rate()} as cash", f"processor_fee * {ride_usd_rate()} as fee"
         ).join(facts, "trip_id", "left"),
         {
-            "captured_cash_usd": F.sum("cash"),
-            "fraud_cash_usd": sum_where("cash", "is_completed and is_fraud_flagged"),
-            "cancellation_fee_cash_usd": sum_where("cash", "has_cancellation_fee"),
-            "processor_fees_usd": sum_where("fee", "is_revenue_eligible"),
+            "captured_cash_usd": sum_usd("cash"),
+            "fraud_cash_usd": sum_usd("cash", "is_completed and is_fraud_flagged"),
+            "cancellation_fee_cash_usd": sum_usd("cash", "has_cancellation_fee"),
+            "processor_fees_usd": sum_usd("fee", "is_revenue_eligible"),
         },
     )
     return (
@@ -171,10 +171,10 @@ def kpis_by_cash_month(trips: DataFrame, incentives: DataFrame) -> DataFrame:
         trips.where("has_captured_payment").groupBy(month_of("captured_at").alias("cash_month")),
         {
             "captures": F.count("*"),
-            "captured_usd": F.sum("captured_amount_usd"),
-            "net_revenue_usd": sum_where(_NET, "is_revenue_eligible"),
-            "cancellation_fee_revenue_usd": sum_where("captured_amount_usd", "has_cancellation_fee"),
-            "fraud_captured_usd": sum_where("captured_amount_usd", "is_fraud_flagged"),
+            "captured_usd": sum_usd("captured_amount_usd"),
+            "net_revenue_usd": sum_usd(_NET, "is_revenue_eligible"),
+            "cancellation_fee_revenue_usd": sum_usd("captured_amount_usd", "has_cancellation_fee"),
+            "fraud_captured_usd": sum_usd("captured_amount_usd", "is_fraud_flagged"),
         },
     )
     paid = _totals(
@@ -197,8 +197,8 @@ def multi_campaign_share(trips: DataFrame) -> DataFrame:
         {
             "incentivized_trips": F.count("*"),
             "multi_campaign_trips": count_where("is_multi_campaign_trip"),
-            "incentive_spend_usd": F.sum("incentive_amount_usd"),
-            "multi_campaign_spend_usd": sum_where("incentive_amount_usd", "is_multi_campaign_trip"),
+            "incentive_spend_usd": sum_usd("incentive_amount_usd"),
+            "multi_campaign_spend_usd": sum_usd("incentive_amount_usd", "is_multi_campaign_trip"),
         },
     )
     return monthly.withColumn(

@@ -9,7 +9,7 @@ from ledgerlane.functions.columns import (
     average_or_zero,
     count_where,
     ratio_or_zero,
-    sum_where,
+    sum_usd,
 )
 
 _MEASURES = [
@@ -37,8 +37,8 @@ def rider_activity(riders: DataFrame, trips: DataFrame, requests: DataFrame) ->
         count_where("is_revenue_eligible").alias("completed_nonfraud_trips"),
         count_where("trip_status = 'cancelled'").alias("cancelled_trips"),
         count_where("is_fraud_flagged").alias("fraud_trips"),
-        F.sum("gross_fare_usd").alias("total_gross_fare_usd"),
-        sum_where("captured_amount_usd", "is_revenue_eligible").alias("total_captured_usd"),
+        sum_usd("gross_fare_usd").alias("total_gross_fare_usd"),
+        sum_usd("captured_amount_usd", "is_revenue_eligible").alias("total_captured_usd"),
         F.min("requested_at").alias("first_trip_at"),
         F.max("requested_at").alias("last_trip_at"),
         F.bool_or(eligible & last_30).alias("is_active_30d"),
