@@ -29,9 +29,11 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Unlike a cached plan the result survives lost executors, keeps exact size statistics for join
-    planning, and is read column by column.
+    planning, and is read column by column. Tables are kept per application, so a folder can be
+    dropped once its application has ended.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/ledgerlane/{label}-{uuid.uuid4().hex}"
+    application = spark.conf.get("spark.app.id", "session")
+    path = f"{shared_folder(spark)}/ledgerlane/{application}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -8,11 +8,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WARN_HOURS = 24
-ERROR_HOURS = 48
 
-
-def freshness(sources: dict[str, tuple[DataFrame, str]], as_of: datetime) -> DataFrame:
+def freshness(
+    sources: dict[str, tuple[DataFrame, str]], as_of: datetime, warn_hours: int = 24, error_hours: int = 48
+) -> DataFrame:
     """Latest load time, age and status of each source; a source without rows is an error."""
     newest = [
         table.agg(F.max(column).cast("timestamp_ntz").alias("last_loaded_at")).withColumn("source", F.lit(name))
@@ -21,8 +20,8 @@ def freshness(sources: dict[str, tuple[DataFrame, str]], as_of: datetime) -> Dat
     now = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
     age = (now - F.col("last_loaded_at")).cast("interval second").cast("bigint") / 3600
     status = (
-        F.when(F.col("age_hours") <= WARN_HOURS, "pass")
-        .when(F.col("age_hours") <= ERROR_HOURS, "warn")
+        F.when(F.col("age_hours") <= warn_hours, "pass")
+        .when(F.col("age_hours") <= error_hours, "warn")
         .otherwise("error")
     )
     return (

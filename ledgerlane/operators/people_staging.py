@@ -128,21 +128,25 @@ def payroll_monthly(payroll: DataFrame, employees: DataFrame) -> DataFrame:
 
 
 def reassigned_payroll(payroll: DataFrame, dropped: DataFrame, employees: DataFrame) -> DataFrame:
-    """Payroll with the pay of dropped duplicates moved to the record that was kept."""
-    moved = dropped.select("employee_id", "kept_employee_id")
-    home = employees.select(F.col("employee_id").alias("kept_employee_id"), "department_id")
+    """Payroll with the pay of dropped duplicates moved to the record that was kept.
+
+    Every record id, kept or dropped, maps to the record that counts. A duplicate shares the
+    department of the record it repeats, so payroll meets the small side once, on employee_id.
+    """
+    kept = employees.selectExpr("employee_id as paid_employee_id", "employee_id", "department_id", "false as is_reassigned")
+    moved = dropped.selectExpr(
+        "employee_id as paid_employee_id", "kept_employee_id as employee_id", "department_id", "true as is_reassigned"
+    )
     return (
-        payroll.join(moved, "employee_id", "left")
-        .withColumn("is_reassigned", F.col("kept_employee_id").isNotNull())
-        .withColumn("kept_employee_id", F.coalesce("kept_employee_id", "employee_id"))
-        .join(home, "kept_employee_id")
-        .select(
+        payroll.withColumnRenamed("employee_id", "paid_employee_id")
+        .join(kept.unionByName(moved), "paid_employee_id")
+        .selectExpr(
             "payroll_id",
-            F.col("employee_id").alias("paid_employee_id"),
-            F.col("kept_employee_id").alias("employee_id"),
+            "paid_employee_id",
+            "employee_id",
             "person_id",
             "department_id",
-            F.trunc("pay_period", "MM").alias("pay_month"),
+            "trunc(pay_period, 'MM') as pay_month",
             "gross_pay",
             "currency",
             "gross_pay_usd",

@@ -81,3 +81,34 @@ def write_raw_tables(tables: RideTables | WorkforceTables, schemas: dict[str, st
     """Full-replace load: running it again leaves the same tables."""
     for name, ddl in schemas.items():
         conform(getattr(tables, name), ddl).write.mode("overwrite").parquet(f"{path}/raw_{name}")
+
+
+# Keys the large tables are joined and deduplicated on.
+RIDE_KEYS = {"trips": "trip_id", "payments": "trip_id", "driver_incentives": "trip_id"}
+WORKFORCE_KEYS = {"employees": "employee_id", "payroll": "employee_id"}
+
+
+def save_bucketed_tables(
+    tables: RideTables | WorkforceTables,
+    schemas: dict[str, str],
+    keys: dict[str, str],
+    database: str,
+    buckets: int,
+) -> None:
+    """Store the tables in the catalog, the keyed ones bucketed and sorted on their key.
+
+    Deduplication and joins on the key then read matching buckets together and need no shuffle.
+    """
+    for name, ddl in schemas.items():
+        df, key = conform(getattr(tables, name), ddl), keys.get(name)
+        if key is None:
+            writer = df.write
+        else:
+            # Same hash as the buckets, so every bucket is one file.
+            writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+        writer.mode("overwrite").format("parquet").saveAsTable(f"{database}.raw_{name}")
+
+
+def load_tables(spark: SparkSession, schemas: dict[str, str], database: str) -> SimpleNamespace:
+    """Tables stored by ``save_bucketed_tables``, or any catalog tables with these names."""
+    return SimpleNamespace(**{name: spark.table(f"{database}.raw_{name}") for name in schemas})
