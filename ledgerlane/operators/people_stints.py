@@ -81,9 +81,12 @@ def stint_placement(employees: DataFrame) -> DataFrame:
     while unsettled:
         # Two rounds per write settle chains of up to four transfers in one job.
         state, remaining = _write_counted(_double(_double(state)))
-        # Every chain that still ends somewhere settles at least one record per round.
-        if remaining == unsettled:
-            break
+        if remaining >= unsettled:
+            # A rerun task may have counted twice, so the decision to stop rests on the table.
+            remaining = state.where("not settled").count()
+            # Every chain that still ends somewhere settles at least one record per round.
+            if remaining == unsettled:
+                break
         unsettled = remaining
     return state.select(
         "employee_id", "record_type", F.when(F.col("settled"), F.col("pointer")).alias("stint_id")
