@@ -10,6 +10,7 @@ import json
 import os
 import re
 import statistics
+import tempfile
 import time
 
 from ledgerlane.plans.registry import QUERIES, RIDE_MODELS, WORKFORCE_MODELS
@@ -39,9 +40,12 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "1"))
     names = [n for n in os.environ.get("BENCH_ONLY", "").split(",") if n] or HEADLINES
-    spark = build_session(
-        "bench", f"local[{cpus}]", **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g"}
-    )
+    settings = {
+        "spark.sql.shuffle.partitions": cpus,
+        "spark.driver.memory": "16g",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
+    }
+    spark = build_session("bench", f"local[{cpus}]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
 
     def run(name: str) -> float:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 # Settings that hold at any scale. Partition counts are left to adaptive execution, which
@@ -22,4 +24,13 @@ def build_session(app_name: str, master: str | None = None, **overrides: str) ->
         builder = builder.master(master).config("spark.ui.enabled", "false")
     for key, value in {**SETTINGS, **overrides}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return share_code(builder.getOrCreate())
+
+
+def share_code(spark: SparkSession) -> SparkSession:
+    """Let Python workers that see this installation's folder import the library; ship it with
+    ``--py-files`` where they do not."""
+    root, path = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in path.split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{path}".rstrip(":")
+    return spark

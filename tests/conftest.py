@@ -12,10 +12,13 @@ DATA = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session(
-        "tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"}
-    )
+def spark(tmp_path_factory):
+    settings = {
+        "spark.sql.shuffle.partitions": "4",
+        "spark.driver.memory": "4g",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
+    }
+    session = build_session("tests", "local[4]", **settings)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
