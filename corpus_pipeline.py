@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerlane.functions.durable import drop_durable, durable
 from ledgerlane.llm.decontaminate import without_contaminated
 from ledgerlane.llm.pieces import encode_documents
+from ledgerlane.llm.quality import with_good_quality
 from ledgerlane.llm.simhash import without_near_duplicates
 from ledgerlane.llm.tables import read_table
+from ledgerlane.llm.toxicity import without_toxic
 
 #: Trained models and seeded hashes have no SQL; the tests hold the stages against brute force.
 ORACLE_SQL = None
@@ -18,6 +20,14 @@ ORACLE_SQL = None
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    return without_toxic(docs, read_table(spark, folder, "labels"))
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    return with_good_quality(docs, read_table(spark, folder, "labels"))
+
+
 def simhash_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return without_near_duplicates(docs)
 
@@ -31,6 +41,8 @@ def sentencepiece(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity),
+    ("quality_classifier", quality_classifier),
     ("simhash_dedup", simhash_dedup),
     ("decontamination", decontamination),
     ("sentencepiece", sentencepiece),
