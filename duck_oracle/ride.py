@@ -238,17 +238,23 @@ bridge AS (
   FROM fact)
 """
 
-QUOTES = """
+_TRIP_DAYS = "SELECT min(CAST(requested_at AS DATE)) AS a, max(CAST(requested_at AS DATE)) AS b FROM raw_trips"
+
+
+def quotes(days: str = _TRIP_DAYS) -> str:
+    """Daily rates for the calendar from day a to day b of a one-row relation."""
+    return f"""
 quotes AS (
   SELECT 'GBP' AS currency, DATE '2024-01-04' + CAST((s_suppkey * 53) % 360 AS INT) AS quoted_on,
          arg_max(CAST((12000 + (s_suppkey * 37) % 1500) * 0.0001 AS DECIMAL(10,4)), s_suppkey) AS rate
   FROM supplier GROUP BY quoted_on),
+shown AS (SELECT * FROM quotes WHERE quoted_on <= (SELECT b FROM ({days}))),
 calendar AS (
-  SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-12-31', INTERVAL 1 DAY)) AS DATE) AS rate_date),
+  SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS rate_date FROM ({days})),
 daily AS (
-  SELECT 'GBP' AS currency, c.rate_date, coalesce(q.rate, (SELECT arg_min(rate, quoted_on) FROM quotes)) AS rate,
-         coalesce(q.quoted_on, (SELECT min(quoted_on) FROM quotes)) AS quoted_on
-  FROM calendar c ASOF LEFT JOIN quotes q ON c.rate_date >= q.quoted_on)
+  SELECT 'GBP' AS currency, c.rate_date, coalesce(q.rate, (SELECT arg_min(rate, quoted_on) FROM shown)) AS rate,
+         coalesce(q.quoted_on, (SELECT min(quoted_on) FROM shown)) AS quoted_on
+  FROM calendar c ASOF LEFT JOIN shown q ON c.rate_date >= q.quoted_on)
 """
 
 
@@ -479,17 +485,70 @@ RIDE: dict[str, str] = {
                   date_diff('second', accepted_at, requested_at) AS skew_seconds
            FROM raw_trips WHERE accepted_at < requested_at"""
     ),
-    "rh_cash_ledger_tieout": _models(
-        """SELECT CAST(sum(cap) AS DOUBLE) AS captured_cash_usd,
-                  CAST(sum(cap) FILTER (is_completed AND is_fraud_flagged) AS DOUBLE) AS fraud_cash_usd,
-                  CAST(sum(cap) FILTER (has_cancellation_fee) AS DOUBLE) AS cancellation_fee_cash_usd,
-                  CAST(sum(fee) FILTER (is_revenue_eligible) AS DOUBLE) AS processor_fees_usd,
-                  CAST(sum(cap) - sum(cap) FILTER (is_completed AND is_fraud_flagged)
-                       - sum(cap) FILTER (has_cancellation_fee) - sum(fee) FILTER (is_revenue_eligible) AS DOUBLE)
-                    AS ledger_net_revenue_usd,
-                  CAST(sum(cap - fee) FILTER (is_revenue_eligible) AS DOUBLE) AS mart_net_revenue_usd,
-                  CAST(0 AS DOUBLE) AS difference_usd, true AS ties_out
-           FROM fact"""
+    "rh_cash_ledger_tieout": _over(
+        RAW, MODELS,
+        """cash AS (
+             SELECT s.amount * CASE WHEN s.currency = 'GBP' THEN 1.27 ELSE 1.00 END AS got,
+                    s.processor_fee * CASE WHEN s.currency = 'GBP' THEN 1.27 ELSE 1.00 END AS kept, t.*
+             FROM settled s LEFT JOIN (SELECT trip_id AS t, is_completed, is_fraud_flagged, has_cancellation_fee,
+                                              is_revenue_eligible FROM v_trips) t ON t.t = s.trip_id),
+           ledger_side AS (
+             SELECT sum(got) AS a, sum(got) FILTER (is_completed AND is_fraud_flagged) AS b,
+                    sum(got) FILTER (has_cancellation_fee) AS c, sum(kept) FILTER (is_revenue_eligible) AS d FROM cash),
+           mart_side AS (SELECT sum(cap - fee) FILTER (is_revenue_eligible) AS m FROM fact)""",
+        body="""SELECT CAST(a AS DOUBLE) AS captured_cash_usd, CAST(b AS DOUBLE) AS fraud_cash_usd,
+                       CAST(c AS DOUBLE) AS cancellation_fee_cash_usd, CAST(d AS DOUBLE) AS processor_fees_usd,
+                       CAST(m AS DOUBLE) AS mart_net_revenue_usd, CAST(a - b - c - d AS DOUBLE) AS ledger_net_revenue_usd,
+                       CAST(a - b - c - d - m AS DOUBLE) AS difference_usd, abs(a - b - c - d - m) <= 0.01 AS ties_out
+                FROM ledger_side, mart_side""",
+    ),
+    "rh_contribution_bridge": _over(
+        RAW, MODELS,
+        """parts AS (
+             SELECT sum(gross) FILTER (is_completed) AS gmv, sum(cap - fee) FILTER (is_revenue_eligible AND paid) AS net,
+                    sum(inc) AS inc, coalesce(sum(inc) FILTER (is_fraud_flagged), 0) AS bad,
+                    sum(fee) FILTER (is_revenue_eligible AND paid) AS fees, sum(cap) AS cash,
+                    coalesce((SELECT sum(p.amount * CASE WHEN p.currency = 'GBP' THEN 1.27 ELSE 1.00 END)
+                              FROM raw_payments p JOIN settled s ON s.trip_id = p.trip_id
+                              WHERE p.payment_status = 'captured' AND p.payment_id <> s.payment_id), 0) AS twice,
+                    sum(cap) FILTER (is_revenue_eligible AND paid) AS good
+             FROM fact)""",
+        body="""SELECT line_no, line_item, CAST(amount AS DOUBLE) AS amount_usd FROM parts,
+                LATERAL (VALUES (1, 'Gross merchandise value', gmv),
+                  (2, 'Less: gap to net collected revenue', net - gmv),
+                  (3, 'Net collected revenue', net),
+                  (4, 'Less: incentives on sound trips', bad - inc),
+                  (5, 'Less: incentives on fraud trips', -bad),
+                  (6, 'Contribution after incentives', net - inc),
+                  (7, 'Add back: incentives', inc),
+                  (8, 'Add back: processor fees', fees),
+                  (9, 'Add: cash that is not revenue (fraud and cancellation fees)', cash - good),
+                  (10, 'Captured cash, each trip once', cash),
+                  (11, 'Add: duplicate captures', twice),
+                  (12, 'Cash as the processor reports it', cash + twice)) AS v(line_no, line_item, amount)""",
+    ),
+    "rh_kpis_at_monthly_rate": _over(
+        RAW, MODELS, quotes(),
+        """rates AS (
+             SELECT currency, CAST(date_trunc('month', rate_date) AS DATE) AS report_month,
+                    round(CAST(sum(rate) AS DOUBLE) / count(*), 6) AS avg_usd_rate FROM daily GROUP BY ALL),
+           sums AS (
+             SELECT CAST(date_trunc('month', requested_at) AS DATE) AS report_month, currency,
+                    count(*) FILTER (is_completed) AS completed_trips,
+                    CAST(coalesce(sum(gross_fare) FILTER (is_completed), 0) AS DOUBLE) AS gmv_local,
+                    CAST(sum(captured_amount) AS DOUBLE) AS captured_local,
+                    CAST(coalesce(sum(processor_fee) FILTER (is_revenue_eligible), 0) AS DOUBLE) AS processor_fees_local,
+                    CAST(coalesce(sum(captured_amount - processor_fee) FILTER (is_revenue_eligible), 0) AS DOUBLE)
+                      AS net_revenue_local,
+                    CAST(sum(incentive_amount) AS DOUBLE) AS incentives_local
+             FROM fact GROUP BY ALL),
+           priced AS (
+             SELECT s.*, CASE WHEN s.currency = 'USD' THEN 1.0::DOUBLE ELSE r.avg_usd_rate END AS avg_usd_rate
+             FROM sums s LEFT JOIN rates r USING (report_month, currency))""",
+        body="""SELECT *, round(gmv_local * avg_usd_rate, 2) AS gmv_usd, round(captured_local * avg_usd_rate, 2) AS captured_usd,
+                       round(processor_fees_local * avg_usd_rate, 2) AS processor_fees_usd,
+                       round(net_revenue_local * avg_usd_rate, 2) AS net_revenue_usd,
+                       round(incentives_local * avg_usd_rate, 2) AS incentives_usd FROM priced""",
     ),
     "rh_bridge_residual": _over(
         RAW,
@@ -518,7 +577,8 @@ RIDE: dict[str, str] = {
     "rh_dedup_audit": _models(
         """SELECT 'driver_onboarding' AS entity, driver_id AS entity_id, CAST(NULL AS BIGINT) AS discarded_id,
                   CAST(NULL AS BIGINT) AS kept_id, r.onboarded_at AS recorded_at, CAST(0 AS DOUBLE) AS excess_usd
-           FROM raw_drivers r JOIN v_drivers v USING (driver_id) WHERE r.onboarded_at <> v.last_onboarded_at
+           FROM (SELECT *, row_number() OVER (PARTITION BY driver_id ORDER BY onboarded_at DESC NULLS LAST) AS nth
+                 FROM raw_drivers) r WHERE nth > 1
            UNION ALL
            SELECT 'duplicate_capture', p.trip_id, p.payment_id, s.payment_id, p.captured_at,
                   CAST(p.amount * CASE WHEN p.currency = 'GBP' THEN 1.27 ELSE 1.00 END AS DOUBLE)
@@ -526,9 +586,9 @@ RIDE: dict[str, str] = {
            WHERE p.payment_status = 'captured' AND p.payment_id <> s.payment_id"""
     ),
     "fx_daily_rates": _over(
-        QUOTES, body="SELECT currency, rate_date, CAST(rate AS DOUBLE) AS usd_rate, quoted_on FROM daily"),
+        RAW, quotes(), body="SELECT currency, rate_date, CAST(rate AS DOUBLE) AS usd_rate, quoted_on FROM daily"),
     "fx_monthly_rates": _over(
-        QUOTES,
+        RAW, quotes(),
         body="""SELECT currency, CAST(date_trunc('month', rate_date) AS DATE) AS rate_month,
                        round(CAST(sum(rate) AS DOUBLE) / count(*), 6) AS avg_usd_rate,
                        CAST(arg_max(rate, rate_date) AS DOUBLE) AS month_end_usd_rate, count(*) AS days,
@@ -536,12 +596,14 @@ RIDE: dict[str, str] = {
                 FROM daily GROUP BY currency, rate_month""",
     ),
     "fx_asof_rates": _over(
-        RAW, MODELS, QUOTES,
+        RAW, MODELS, quotes(),
         body="""SELECT CAST(date_trunc('month', requested_at) AS DATE) AS report_month, t.currency, count(*) AS trips,
                        CAST(sum(gross_fare) AS DOUBLE) AS gross_local,
                        CAST(sum(gross_fare * CASE WHEN t.currency = 'GBP' THEN 1.27 ELSE 1.00 END) AS DOUBLE)
                          AS gross_usd_fixed,
-                       CAST(sum(gross_fare * coalesce(rate, 1.0000)) AS DOUBLE) AS gross_usd_as_of,
+                       CAST(sum(gross_fare * CASE WHEN t.currency = 'USD' THEN 1.0000 ELSE rate END) AS DOUBLE)
+                         AS gross_usd_as_of,
+                       count(*) FILTER (t.currency <> 'USD' AND rate IS NULL) AS trips_without_rate,
                        count(*) FILTER (quoted_on <> rate_date) AS trips_on_carried_rate,
                        CAST(coalesce(max(abs(date_diff('day', quoted_on, rate_date))), 0) AS BIGINT)
                          AS max_quote_distance_days

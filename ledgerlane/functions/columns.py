@@ -32,13 +32,8 @@ def payroll_usd_rate(currency: str = "currency") -> str:
 
 
 def sum_usd(value: str, condition: str = "true") -> Column:
-    """Exact sum of dollar amounts, over the rows that meet a condition.
-
-    An amount is cents times a rate of two decimals, so ten-thousandths are whole numbers. They
-    add up as longs, about twice as fast as wide decimals; a total beyond 900 trillion dollars
-    raises an error.
-    """
-    return F.expr(f"cast(sum(if({condition}, cast(({value}) * 10000 as bigint), 0)) as decimal(20,0)) * 0.0001")
+    """Exact decimal sum of amounts, whatever their scale, over the rows that meet a condition."""
+    return F.expr(f"sum(if({condition}, {value}, 0))")
 
 
 def count_where(condition: str) -> Column:

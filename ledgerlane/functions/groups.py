@@ -8,11 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerlane.functions.durable import durable
-
-# A group up to this many rows is numbered by one window task; larger ones are split.
-SPLIT_GROUP_ROWS = 1_000_000
-
 
 def first_per_group(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], repeat_flag: str | None = None
@@ -34,51 +29,44 @@ def first_per_group(
 def losers(df: DataFrame, keys: Sequence[str], row_id: str, best: Column, kept: str) -> DataFrame:
     """Rows that deduplication drops, with the id of the row kept in their place.
 
-    ``best`` aggregates a group to a struct that holds ``row_id`` of the kept row. Winners are
-    pre-aggregated before the shuffle, and only groups with repeats meet the rows again.
+    ``best`` aggregates a group to a struct that holds ``row_id`` of the kept row. Keys are counted by
+    hash first; only rows whose key repeats are then reduced and joined, on plain equality. Rows with
+    a null key are the same event as others with the same nulls, and are looked at apart.
     """
+    any_null = F.expr(" or ".join(f"{key} is null" for key in keys))
+    repeated = df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > 1).select(*keys)
+    plain = df.join(repeated, list(keys), "left_semi")
+    winners = plain.groupBy(*keys).agg(best.alias("_best")).select(*keys, F.col(f"_best.{row_id}").alias(kept))
+    dropped = plain.join(winners, list(keys)).select(*df.columns, kept)
+
     shadow = {key: f"_key_{i}" for i, key in enumerate(keys)}
-    winners = (
-        df.groupBy(*keys)
-        .agg(best.alias("_best"), F.count("*").alias("_rows"))
-        .where(F.col("_rows") > 1)
-        .select(*[F.col(key).alias(name) for key, name in shadow.items()], F.col(f"_best.{row_id}").alias(kept))
+    unknown = df.where(any_null)
+    unknown_winners = unknown.groupBy(*keys).agg(best.alias("_best")).select(
+        *[F.col(key).alias(name) for key, name in shadow.items()], F.col(f"_best.{row_id}").alias(kept)
     )
     same_group = [F.col(key).eqNullSafe(F.col(name)) for key, name in shadow.items()]
-    return df.join(winners, same_group).where(F.col(row_id) != F.col(kept)).drop(*shadow.values())
+    dropped_unknown = unknown.join(unknown_winners, same_group).select(*df.columns, kept)
+    return dropped.unionByName(dropped_unknown).where(F.col(row_id) != F.col(kept))
 
 
-def number_in_group(
-    df: DataFrame, key: str, order: Sequence[str], name: str, split_rows: int = SPLIT_GROUP_ROWS
-) -> DataFrame:
-    """1-based position of each row in its group under the ascending total order ``order``.
+def number_in_group(df: DataFrame, key: str, first: str, rest: Sequence[str], name: str) -> DataFrame:
+    """1-based position of each row in its group, ascending by the date ``first`` and then ``rest``.
 
-    ``df`` should be cheap to read twice. Groups beyond ``split_rows`` are range-partitioned on
-    the full sort key instead, numbered inside each partition, and shifted by the row counts of
-    the partitions before it.
+    Rows are counted per group and date, and the counts of earlier dates are added to the position
+    within the date. So a window never holds more than one date of a group, and the window over a
+    group's dates at most one row per calendar day. Rows without a date come first.
     """
-    by_window = F.row_number().over(W.partitionBy(key).orderBy(*order)).cast("long")
-    hot = df.groupBy(key).count().where(F.col("count") > split_rows).select(key)
-    if hot.isEmpty():
-        return df.withColumn(name, by_window)
-
-    hot = durable(hot, "hot-groups")
-    cold_rows = df.join(hot, key, "left_anti").withColumn(name, by_window)
-    placed = durable(
-        df.join(hot, key, "left_semi")
-        .repartitionByRange(key, *order)
-        .sortWithinPartitions(key, *order)
-        .withColumn("_place", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_place", 33)),
-        "hot-rows",
-    )
-    earlier = W.partitionBy(key).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    blocks = (
-        placed.groupBy(key, "_part")
-        .agg(F.min("_place").alias("_start"), F.count("*").alias("_size"))
-        .withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
+    dated = df.withColumn("_day", F.coalesce(first, F.lit("0001-01-01").cast("date")))
+    earlier = W.partitionBy(key).orderBy("_day").rowsBetween(W.unboundedPreceding, -1)
+    offsets = (
+        dated.groupBy(key, "_day")
+        .agg(F.count("*").alias("_rows"))
+        .select(key, "_day", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
     )
-    hot_rows = placed.join(blocks, [key, "_part"]).withColumn(
-        name, F.col("_place") - F.col("_start") + F.col("_before") + 1
+    within = F.row_number().over(W.partitionBy(key, "_day").orderBy(*rest))
+    return (
+        dated.withColumn("_within", within)
+        .join(offsets, [key, "_day"])
+        .withColumn(name, F.col("_before") + F.col("_within"))
+        .select(*df.columns, name)
     )
-    return cold_rows.unionByName(hot_rows.select(*df.columns, name))

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from datetime import date
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerlane.functions.columns import month_of, ratio, ride_usd_rate
 
 
-def daily_rates(quotes: DataFrame, first_day: date, last_day: date) -> DataFrame:
-    """One rate per currency and calendar day between the two days.
+def calendar_of(trips: DataFrame) -> tuple[Column, Column]:
+    """The days of the first and last trip, as scalar subqueries."""
+    day = F.col("requested_at").cast("date")
+    return trips.agg(F.min(day)).scalar(), trips.agg(F.max(day)).scalar()
+
+
+def daily_rates(quotes: DataFrame, first_day: Column, last_day: Column) -> DataFrame:
+    """One rate per currency and calendar day between the two days; none if a day is null.
 
     Quotes have columns currency, quoted_on, quote_id, usd_rate; the highest quote_id of a day
     counts. A day without a quote carries the last one forward; days before the first quote take
@@ -20,7 +24,7 @@ def daily_rates(quotes: DataFrame, first_day: date, last_day: date) -> DataFrame
     """
     latest = F.max(F.struct("quote_id", "usd_rate"))
     by_day = (
-        quotes.where(F.col("quoted_on") <= F.lit(last_day))
+        quotes.where(F.col("quoted_on") <= last_day)
         .groupBy("currency", "quoted_on")
         .agg(latest.alias("quote"))
     )
@@ -29,11 +33,11 @@ def daily_rates(quotes: DataFrame, first_day: date, last_day: date) -> DataFrame
         "currency",
         "quoted_on",
         "quote.usd_rate",
-        F.when(F.lag("quoted_on").over(along).isNull(), F.least("quoted_on", F.lit(first_day)))
-        .otherwise(F.greatest("quoted_on", F.lit(first_day)))
+        F.when(F.lag("quoted_on").over(along).isNull(), F.least("quoted_on", first_day))
+        .otherwise(F.greatest("quoted_on", first_day))
         .alias("starts"),
-        F.coalesce(F.date_sub(F.lead("quoted_on").over(along), 1), F.lit(last_day)).alias("ends"),
-    ).withColumn("starts", F.greatest("starts", F.lit(first_day)))
+        F.coalesce(F.date_sub(F.lead("quoted_on").over(along), 1), last_day).alias("ends"),
+    ).withColumn("starts", F.greatest("starts", first_day))
     days = F.explode(F.sequence("starts", "ends"))
     return spans.where(F.col("starts") <= F.col("ends")).select(
         "currency",
@@ -67,15 +71,16 @@ def monthly_rates(daily: DataFrame) -> DataFrame:
 def convert_as_of(trips: DataFrame, daily: DataFrame) -> DataFrame:
     """Gross fares by month and currency: local, at the fixed rate, and at the rate of the day.
 
-    ``daily`` is bounded by its calendar (see ``daily_rates``), which is what makes broadcasting
-    it safe; the lookup is a plain equality join instead of a range join.
+    The lookup is a plain equality join instead of a range join; Spark broadcasts the rates where
+    they are small enough. Dollars need no rate; other trips without a quoted rate are counted and
+    have no as-of amount.
     """
     lookup = daily.select(F.col("currency"), F.col("rate_date"), "usd_rate", "quoted_on")
     asked_on = F.col("requested_at").cast("date")
     priced = (
         trips.select("currency", "gross_fare", asked_on.alias("rate_date"))
-        .join(F.broadcast(lookup), ["currency", "rate_date"], "left")
-        .withColumn("rate", F.expr(f"coalesce(usd_rate, cast({ride_usd_rate()} as decimal(10,4)))"))
+        .join(lookup, ["currency", "rate_date"], "left")
+        .withColumn("rate", F.expr("if(currency = 'USD', cast(1 as decimal(10,4)), usd_rate)"))
     )
     distance = F.abs(F.date_diff(F.col("rate_date"), F.col("quoted_on")))
     return priced.groupBy(month_of("rate_date").alias("report_month"), "currency").agg(
@@ -84,5 +89,6 @@ def convert_as_of(trips: DataFrame, daily: DataFrame) -> DataFrame:
         F.expr(f"sum(gross_fare * {ride_usd_rate()})").alias("gross_usd_fixed"),
         F.sum(F.col("gross_fare") * F.col("rate")).alias("gross_usd_as_of"),
         F.count_if(F.col("quoted_on") != F.col("rate_date")).alias("trips_on_carried_rate"),
+        F.count_if(F.col("rate").isNull()).alias("trips_without_rate"),
         F.coalesce(F.max(distance), F.lit(0)).cast("bigint").alias("max_quote_distance_days"),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -116,3 +118,68 @@ def workforce_kpis(records: DataFrame, history: DataFrame) -> DataFrame:
         )
         .drop("events")
     )
+
+
+def _lines(totals: DataFrame, lines: list[tuple[str, str]], value: str) -> DataFrame:
+    """One row of totals as numbered lines of whole numbers."""
+    rows = ", ".join(
+        f"struct({i} as line_no, '{label}' as line_item, cast({amount} as bigint) as {value})"
+        for i, (label, amount) in enumerate(lines, start=1)
+    )
+    return totals.selectExpr("*", f"inline(array({rows}))")
+
+
+def tenure_spread_bridge(records: DataFrame, history: DataFrame, as_of: date) -> DataFrame:
+    """Why the tenure clocks of active people differ: what transfers and rehires add, in days and years.
+
+    Starts at the current record, adds the earlier records of the stint, then service before a
+    rehire and the time away; the lines add up to the clock that runs since the first hire.
+    """
+    starts = records.selectExpr("employee_id as current_employee_id", "hire_date as record_start")
+    active = history.where("is_currently_active = 1").join(starts, "current_employee_id", "left")
+    totals = active.agg(
+        F.count("*").alias("heads"),
+        F.sum(F.date_diff(F.lit(as_of), F.col("record_start")).cast("bigint")).alias("record"),
+        F.sum("tenure_current_stint_days").alias("stint"),
+        F.sum("tenure_total_service_days").alias("service"),
+        F.sum("tenure_continuous_days").alias("continuous"),
+    )
+    lines = [
+        ("Clock since the current record", "record"),
+        ("Add: earlier records of the stint (transfers)", "stint - record"),
+        ("Clock since the start of the stint", "stint"),
+        ("Add: service before a rehire", "service - stint"),
+        ("Add: time away before a rehire", "continuous - service"),
+        ("Clock since the first hire", "continuous"),
+        ("Spread between the last two clocks", "continuous - stint"),
+    ]
+    average = F.round(F.col("total_days").cast("double") / F.nullif("heads", F.lit(0)) / DAYS_PER_YEAR, 2)
+    return _lines(totals, lines, "total_days").select("line_no", "line_item", "total_days", average.alias("avg_years"))
+
+
+def duplicate_bridge(raw_employees: DataFrame, dropped: DataFrame, staged: DataFrame) -> DataFrame:
+    """How many exits of the trailing year, and how many heads, are duplicate records."""
+    first, last = trailing_year(staged)
+    leaves = F.col("employment_status").isin("terminated", "transferred")
+    gone = leaves & F.col("termination_date").cast("date").between(first, last)
+
+    def counted(rows: DataFrame, prefix: str):
+        return rows.agg(
+            F.struct(
+                F.count_if(gone).alias("exits"), F.count_if(F.col("employment_status") == "active").alias("heads")
+            )
+        ).scalar().alias(prefix)
+
+    one = staged.sparkSession.range(1)
+    totals = one.select(counted(raw_employees, "raw"), counted(dropped, "twice"), counted(staged, "kept"))
+    lines = [
+        (f"{title}: {label}", amount)
+        for title, name in (("Exits", "exits"), ("Heads", "heads"))
+        for label, amount in (
+            ("records as loaded", f"raw.{name}"),
+            ("less duplicate records", f"-twice.{name}"),
+            ("unexplained", f"kept.{name} - raw.{name} + twice.{name}"),
+            ("records after deduplication", f"kept.{name}"),
+        )
+    ]
+    return _lines(totals, lines, "records").select("line_no", "line_item", "records")

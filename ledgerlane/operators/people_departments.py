@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerlane.functions.columns import DAYS_PER_YEAR, percent
-from ledgerlane.operators.people_attrition import SERIES_START, last_month, month_position
+from ledgerlane.functions.columns import DAYS_PER_YEAR, month_of, percent, ratio
+from ledgerlane.operators.people_attrition import last_month, month_number, month_start
 from ledgerlane.operators.people_bridge import trailing_year
 from ledgerlane.operators.people_stints import REHIRE, TRANSFER
 
@@ -111,48 +112,112 @@ def tenure_by_department(history: DataFrame, departments: DataFrame) -> DataFram
     )
 
 
-def payroll_cost_tieout(
-    payroll_monthly: DataFrame, employees: DataFrame, departments: DataFrame, as_of: date
-) -> DataFrame:
-    """Deduplicated payroll per month and department next to the records employed that month.
+def _employed_records(employees: DataFrame, as_of: date) -> DataFrame:
+    """Records employed per department and month, from the department's first hire to ``as_of``.
 
-    Employment is counted from starts and ends alone: one +1 and one -1 per record, then a
-    running sum over the months of each department.
+    One +1 and one -1 per record, then a running sum over the months of each department. A record
+    without a hire date, or that ended before it began, is never employed.
     """
     last = last_month(as_of)
-    starts = f"greatest({month_position('hire_date')}, 0)"
-    stops = f"{month_position(f'coalesce(termination_date, date\'{as_of}\')')} + 1"
+    ends = f"least({month_number(f'coalesce(termination_date, date\'{as_of}\')')}, {last})"
     changes = (
-        employees.selectExpr(
-            "department_id", f"inline(array(struct({starts} as month_no, 1 as step), struct({stops} as month_no, -1 as step)))"
+        employees.where("hire_date is not null")
+        .selectExpr("department_id", f"{month_number('hire_date')} as lo", f"{ends} as hi")
+        .where("lo <= hi")
+        .selectExpr(
+            "department_id", "inline(array(struct(lo as month_no, 1 as step), struct(hi + 1 as month_no, -1 as step)))"
         )
         .groupBy("department_id", "month_no")
         .agg(F.sum("step").alias("change"))
     )
-    calendar = departments.selectExpr(
-        "department_id", "department_name", f"explode(sequence(0, {last})) as month_no"
+    calendar = (
+        changes.groupBy("department_id")
+        .agg(F.min("month_no").alias("first"))
+        .selectExpr("department_id", f"explode(sequence(first, {last})) as month_no", "0 as change")
     )
     running = W.partitionBy("department_id").orderBy("month_no").rowsBetween(W.unboundedPreceding, 0)
-    employed = calendar.join(changes, ["department_id", "month_no"], "left").select(
-        "department_id",
-        "department_name",
-        F.add_months(F.lit(SERIES_START), F.col("month_no")).alias("pay_month"),
-        F.sum(F.coalesce("change", F.lit(0))).over(running).alias("employed_records"),
+    return (
+        calendar.unionByName(changes)
+        .groupBy("department_id", "month_no")
+        .agg(F.sum("change").alias("change"))
+        .select("department_id", "month_no", F.sum("change").over(running).alias("employed_records"))
+        .where(F.col("month_no") <= last)
     )
-    paid = payroll_monthly.groupBy("department_id", "pay_month").agg(
+
+
+def payroll_cost_tieout(
+    payroll: DataFrame,
+    raw_employees: DataFrame,
+    reassigned: DataFrame,
+    employees: DataFrame,
+    departments: DataFrame,
+    as_of: date,
+) -> DataFrame:
+    """Payroll per month and department next to the records employed, and next to the staged pay.
+
+    ``reassigned`` moves the pay of dropped duplicates to the kept record; ``staged_usd`` is the same
+    deduplicated payroll by the department of the paid record itself. A month ties out when as many
+    records were paid as employed and both amounts agree. Pay outside the months of employment, of a
+    department that is not listed, or of an unknown record (department null) has rows of its own, so
+    the amounts add up to all of the staged payroll.
+    """
+    month = F.expr(f"{month_number('pay_month')} as month_no")
+    paid = reassigned.groupBy("department_id", month).agg(
         F.count("*").alias("pay_runs"),
         F.count_distinct("employee_id").alias("paid_records"),
         F.sum("gross_pay_usd").alias("payroll_usd"),
     )
+    homes = raw_employees.select("employee_id", "department_id")
+    staged = (
+        payroll.join(homes, "employee_id", "left")
+        .groupBy("department_id", F.expr(f"{month_number('pay_period')} as month_no"))
+        .agg(F.sum("gross_pay_usd").alias("staged_usd"))
+    )
+    parts = [_employed_records(employees, as_of), paid, staged]
+    measures = ["employed_records", "pay_runs", "paid_records", "payroll_usd", "staged_usd"]
+    together = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
     return (
-        employed.join(paid, ["department_id", "pay_month"], "left")
-        .withColumns(
-            {
-                name: F.coalesce(name, F.lit(0))
-                for name in ("pay_runs", "paid_records", "payroll_usd")
-            }
+        together.groupBy("department_id", "month_no")
+        .agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in measures])
+        .where("employed_records > 0 or pay_runs > 0 or staged_usd <> 0")
+        .join(departments.select("department_id", "department_name"), "department_id", "left")
+        .select(
+            "department_id",
+            "department_name",
+            F.expr(f"{month_start('month_no')} as pay_month"),
+            *measures,
+            F.expr("paid_records - employed_records as record_difference"),
+            F.expr("payroll_usd - staged_usd as usd_difference"),
+            F.expr("paid_records = employed_records and payroll_usd = staged_usd as ties_out"),
         )
-        .where((F.col("employed_records") > 0) | (F.col("paid_records") > 0))
-        .withColumn("record_difference", F.col("paid_records") - F.col("employed_records"))
-        .withColumn("ties_out", F.col("record_difference") == 0)
+    )
+
+
+def pay_calendar(payroll: DataFrame) -> tuple[Column, Column]:
+    """The first day and the last day of the paid months, as scalar subqueries."""
+    return payroll.agg(F.min("pay_period")).scalar(), payroll.agg(F.last_day(F.max("pay_period"))).scalar()
+
+
+def payroll_monthly_cost(payroll: DataFrame, monthly: DataFrame) -> DataFrame:
+    """Deduplicated payroll per month and currency: local, at the fixed rate, at the month's average rate, and
+    per head. Dollars need no rate; another currency without quotes has null amounts at the month's rate."""
+    # Collapsed to people first, so that counting them needs no distinct aggregate over the runs.
+    people = payroll.groupBy(month_of("pay_period").alias("pay_month"), "currency", "person_id").agg(
+        F.count("*").alias("runs"), F.sum("gross_pay").alias("local"), F.sum("gross_pay_usd").alias("usd")
+    )
+    totals = people.groupBy("pay_month", "currency").agg(
+        F.sum("runs").alias("pay_runs"),
+        F.count("person_id").alias("paid_heads"),
+        F.sum("local").alias("gross_local"),
+        F.sum("usd").alias("gross_usd_fixed"),
+    )
+    rates = monthly.select(F.col("rate_month").alias("pay_month"), "currency", "avg_usd_rate")
+    priced = totals.join(rates, ["pay_month", "currency"], "left").withColumn(
+        "avg_usd_rate", F.expr("if(currency = 'USD', 1.0D, avg_usd_rate)")
+    )
+    return priced.withColumn("gross_usd", F.expr("round(cast(gross_local as double) * avg_usd_rate, 2)")).withColumns(
+        {
+            "local_per_head": ratio("gross_local", "paid_heads", 2),
+            "usd_per_head": ratio("gross_usd", "paid_heads", 2),
+        }
     )

@@ -54,30 +54,21 @@ def person_history(spans: DataFrame, as_of: date) -> DataFrame:
 
 
 def _latest_pay(raw_payroll: DataFrame, employees: DataFrame) -> DataFrame:
-    """Last pay of each person.
+    """Last pay of each person, by period, then record, then time of payment and run.
 
-    The last run of a record's last period is also what period deduplication would keep, so the
-    feed reduces to one row per record before the first shuffle instead of being deduplicated.
+    The last run of a record's last period is also what period deduplication would keep. Each record's
+    last period comes from a hash aggregate over the feed; only the runs of a person's last record
+    and period are then looked at. Runs without a period are nobody's last pay.
     """
-    last_run = F.max(
-        F.struct(
-            F.col("pay_period").cast("date").alias("pay_period"), "paid_at", "payroll_id", "gross_pay", "currency"
-        )
-    )
-    per_record = raw_payroll.groupBy("person_id", "employee_id").agg(last_run.alias("run"))
+    runs = raw_payroll.withColumn("pay_period", F.col("pay_period").cast("date"))
+    per_record = runs.groupBy("person_id", "employee_id").agg(F.max("pay_period").alias("pay_period"))
     known = per_record.join(employees.select("employee_id"), "employee_id", "left_semi")
-    latest = F.max(
-        F.struct(
-            F.col("run.pay_period").alias("pay_period"),
-            "employee_id",
-            F.col("run.payroll_id").alias("payroll_id"),
-            F.col("run.gross_pay").alias("gross_pay"),
-            F.col("run.currency").alias("currency"),
-        )
-    )
+    last = known.groupBy("person_id").agg(F.max(F.struct("pay_period", "employee_id")).alias("last"))
+    of_last = runs.join(last.select("person_id", "last.*"), ["person_id", "employee_id", "pay_period"])
+    final = F.max(F.struct("paid_at", "payroll_id", "gross_pay", "currency"))
     return (
-        known.groupBy("person_id")
-        .agg(latest.alias("pay"))
+        of_last.groupBy("person_id")
+        .agg(final.alias("pay"))
         .selectExpr(
             "person_id",
             f"pay.gross_pay * {payroll_usd_rate('pay.currency')} as latest_monthly_pay_usd",

@@ -127,11 +127,14 @@ def payroll_monthly(payroll: DataFrame, employees: DataFrame) -> DataFrame:
     )
 
 
-def reassigned_payroll(payroll: DataFrame, dropped: DataFrame, employees: DataFrame) -> DataFrame:
+def reassigned_payroll(
+    payroll: DataFrame, dropped: DataFrame, employees: DataFrame, keep_unknown: bool = False
+) -> DataFrame:
     """Payroll with the pay of dropped duplicates moved to the record that was kept.
 
     Every record id, kept or dropped, maps to the record that counts. A duplicate shares the
-    department of the record it repeats, so payroll meets the small side once, on employee_id.
+    department of the record it repeats, so payroll meets the small side once, on employee_id. Pay of
+    a record nobody knows is left out, or kept without a record and department if ``keep_unknown``.
     """
     kept = employees.selectExpr("employee_id as paid_employee_id", "employee_id", "department_id", "false as is_reassigned")
     moved = dropped.selectExpr(
@@ -139,7 +142,7 @@ def reassigned_payroll(payroll: DataFrame, dropped: DataFrame, employees: DataFr
     )
     return (
         payroll.withColumnRenamed("employee_id", "paid_employee_id")
-        .join(kept.unionByName(moved), "paid_employee_id")
+        .join(kept.unionByName(moved), "paid_employee_id", "left" if keep_unknown else "inner")
         .selectExpr(
             "payroll_id",
             "paid_employee_id",

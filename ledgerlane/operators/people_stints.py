@@ -141,7 +141,8 @@ def employment_stints(records: DataFrame, spans: DataFrame) -> DataFrame:
             "transfers_in_stint",
         ),
         "person_id",
-        ["stint_start_date", "stint_id"],
+        "stint_start_date",
+        ["stint_id"],
         "stint_number",
     )
     return records.join(numbered, ["stint_id", "person_id"])

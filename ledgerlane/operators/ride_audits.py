@@ -58,14 +58,16 @@ def retry_rates(raw_payments: DataFrame) -> DataFrame:
 
 
 def _superseded_onboardings(raw_drivers: DataFrame) -> DataFrame:
-    newest = (
-        raw_drivers.groupBy("driver_id")
-        .agg(F.max("onboarded_at").alias("kept_at"), F.count("*").alias("onboardings"))
-        .where(F.col("onboardings") > 1)
-    )
+    # Rows of one driver and time are counted: of those at the kept time one is kept, the rest and all
+    # rows at other times, or without one, are listed.
+    times = raw_drivers.groupBy("driver_id", "onboarded_at").agg(F.count("*").alias("rows_at"))
+    newest = times.groupBy("driver_id").agg(F.max("onboarded_at").alias("kept_at"), F.sum("rows_at").alias("onboardings"))
+    kept = F.col("onboarded_at").eqNullSafe(F.col("kept_at")).cast("bigint")
     return (
-        raw_drivers.join(newest, "driver_id")
-        .where(F.col("onboarded_at") < F.col("kept_at"))
+        times.join(newest.where(F.col("onboardings") > 1), "driver_id")
+        .withColumn("left_out", F.col("rows_at") - kept)
+        .where(F.col("left_out") > 0)
+        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("left_out"))))
         .select(
             F.lit("driver_onboarding").alias("entity"),
             F.col("driver_id").alias("entity_id"),
@@ -77,7 +79,7 @@ def _superseded_onboardings(raw_drivers: DataFrame) -> DataFrame:
     )
 
 
-def _extra_captures(raw_payments: DataFrame) -> DataFrame:
+def extra_captures(raw_payments: DataFrame) -> DataFrame:
     captured = raw_payments.where(F.col("payment_status") == "captured")
     earliest = F.min(F.struct(F.col("captured_at").isNull(), "captured_at", "payment_id"))
     return losers(captured, ["trip_id"], "payment_id", earliest, "kept_id").select(
@@ -92,7 +94,7 @@ def _extra_captures(raw_payments: DataFrame) -> DataFrame:
 
 def dedup_audit(raw_drivers: DataFrame, raw_payments: DataFrame) -> DataFrame:
     """Every row that deduplication left out, with the money it would have counted twice."""
-    return _superseded_onboardings(raw_drivers).unionByName(_extra_captures(raw_payments))
+    return _superseded_onboardings(raw_drivers).unionByName(extra_captures(raw_payments))
 
 
 def clock_skew(trips: DataFrame) -> DataFrame:

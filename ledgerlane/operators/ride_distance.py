@@ -9,6 +9,7 @@ from ledgerlane.functions.columns import ratio
 
 EARTH_RADIUS_KM = 6371.0
 BAND_KM = 2
+COORDINATES = ["pickup_lat", "pickup_lon", "dropoff_lat", "dropoff_lon"]
 
 
 def haversine_km(lat_1: Column, lon_1: Column, lat_2: Column, lon_2: Column) -> Column:
@@ -21,14 +22,12 @@ def haversine_km(lat_1: Column, lon_1: Column, lat_2: Column, lon_2: Column) ->
     return F.asin(F.sqrt(chord)) * (2 * EARTH_RADIUS_KM)
 
 
-def trip_distances(trips: DataFrame, staged: DataFrame) -> DataFrame:
-    """Completed trips with distance; coordinates come from the staged feed."""
-    km = haversine_km(*[F.col(c) for c in ("pickup_lat", "pickup_lon", "dropoff_lat", "dropoff_lon")])
-    measured = staged.where("is_completed").select(
-        "trip_id", F.round(km, 6).cast("decimal(18,6)").alias("distance_km")
-    )
+def trip_distances(trips: DataFrame) -> DataFrame:
+    """Completed trips with distance, from a trip fact that carries COORDINATES."""
+    km = haversine_km(*[F.col(c) for c in COORDINATES])
     return (
-        trips.join(measured, "trip_id")
+        trips.where("is_completed")
+        .withColumn("distance_km", F.round(km, 6).cast("decimal(18,6)"))
         .selectExpr(
             "trip_id",
             "city",

@@ -59,13 +59,21 @@ def _trip_metrics(trips: DataFrame) -> DataFrame:
 
 
 def _ledger_totals(incentives: DataFrame) -> DataFrame:
-    return incentives.groupBy("driver_id").agg(
-        F.sum("bonus_amount").alias("total_incentive_paid"),
-        F.expr(f"sum(bonus_amount * {ride_usd_rate()})").alias("total_incentive_paid_usd"),
-        F.count("*").alias("total_incentive_lines"),
-        F.count_distinct("trip_id").alias("incentivized_trips"),
-        F.count_distinct("campaign").alias("campaigns_participated"),
+    # Campaigns are few, so amounts collapse to driver x campaign; trips are counted from distinct
+    # pairs of their own. Counting both at once would expand every line.
+    per_campaign = incentives.groupBy("driver_id", "campaign").agg(
+        F.sum("bonus_amount").alias("paid"),
+        F.expr(f"sum(bonus_amount * {ride_usd_rate()})").alias("paid_usd"),
+        F.count("*").alias("lines"),
     )
+    totals = per_campaign.groupBy("driver_id").agg(
+        F.sum("paid").alias("total_incentive_paid"),
+        F.sum("paid_usd").alias("total_incentive_paid_usd"),
+        F.sum("lines").alias("total_incentive_lines"),
+        F.count("campaign").alias("campaigns_participated"),
+    )
+    trips = incentives.select("driver_id", "trip_id").distinct().groupBy("driver_id").agg(F.count("trip_id").alias("incentivized_trips"))
+    return totals.join(trips, "driver_id")
 
 
 def driver_metrics(drivers: DataFrame, trips: DataFrame, incentives: DataFrame) -> DataFrame:

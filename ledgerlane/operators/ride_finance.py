@@ -24,9 +24,27 @@ def _totals(grouped, measures: dict[str, Column]) -> DataFrame:
     return grouped.agg(*[column.alias(name) for name, column in measures.items()])
 
 
-def marketplace_kpis(trips: DataFrame) -> DataFrame:
+def _active_people(staged: DataFrame) -> DataFrame:
+    """Riders who asked for a trip and drivers who completed one, per month of the request.
+
+    Distinct (month, rider) and (month, driver) pairs are counted; two distinct counts in one
+    aggregate would expand every trip. The staged trips have all that is needed.
+    """
+    month = month_of("requested_at").alias("report_month")
+    kinds = {"active_riders": F.col("rider_id"), "active_drivers": F.expr("if(is_completed, driver_id, null)")}
+    counted = [
+        staged.select(month, person.alias("person"))
+        .distinct()
+        .groupBy("report_month")
+        .agg(F.count("person").alias(name))
+        for name, person in kinds.items()
+    ]
+    return counted[0].unionByName(counted[1], allowMissingColumns=True)
+
+
+def marketplace_kpis(trips: DataFrame, staged: DataFrame) -> DataFrame:
     """One row per month of the trip request, in dollars."""
-    monthly = _totals(
+    figures = _totals(
         trips.groupBy(month_of("requested_at").alias("report_month")),
         {
             "gmv_usd": sum_usd("gross_fare_usd", "is_completed"),
@@ -41,10 +59,13 @@ def marketplace_kpis(trips: DataFrame) -> DataFrame:
             "cancelled_trips": count_where("trip_status = 'cancelled'"),
             "fraud_trips": count_where("is_fraud_flagged"),
             "revenue_eligible_trips": count_where("is_revenue_eligible"),
-            "active_riders": F.count_distinct("rider_id"),
-            "active_drivers": F.expr("count(distinct if(is_completed, driver_id, null))"),
         },
     )
+    # A handful of rows per month: figures, riders and drivers come together by month, null months too.
+    together = figures.unionByName(_active_people(staged), allowMissingColumns=True)
+    monthly = together.groupBy("report_month").agg(
+        *[F.max(name).alias(name) for name in together.columns if name != "report_month"]
+    )
     return monthly.withColumns(
         {
             "gross_revenue_usd": F.expr("gmv_usd + cancellation_fee_revenue_usd"),
@@ -140,28 +161,35 @@ def closing_bridge(trips: DataFrame) -> DataFrame:
 
 
 def cash_ledger_tieout(trips: DataFrame, payments: DataFrame) -> DataFrame:
-    """Net revenue rebuilt from captured cash, next to the trip fact's figure."""
-    net_on_trips = trips.agg(sum_usd(_NET, "is_revenue_eligible")).scalar()
-    facts = trips.select("trip_id", "is_revenue_eligible", "is_completed", "is_fraud_flagged", "has_cancellation_fee")
-    ledger = _totals(
-        payments.selectExpr(
-            "trip_id", f"amount * {ride_usd_rate()} as cash", f"processor_fee * {ride_usd_rate()} as fee"
-        ).join(facts, "trip_id", "left"),
+    """Net revenue rebuilt from captured cash, next to the figure by trip.
+
+    Both sides come from one full join of staged trips and settled payments: the ledger takes every
+    payment at its own currency, the mart every eligible trip at the trip's.
+    """
+    settled = payments.selectExpr(
+        "trip_id", "amount", "processor_fee", f"amount * {ride_usd_rate()} as cash", f"processor_fee * {ride_usd_rate()} as fee"
+    )
+    joined = trips.select(
+        "trip_id", "currency", "is_revenue_eligible", "is_completed", "is_fraud_flagged", "has_cancellation_fee"
+    ).join(settled, "trip_id", "full")
+    return _totals(
+        joined,
         {
             "captured_cash_usd": sum_usd("cash"),
             "fraud_cash_usd": sum_usd("cash", "is_completed and is_fraud_flagged"),
             "cancellation_fee_cash_usd": sum_usd("cash", "has_cancellation_fee"),
             "processor_fees_usd": sum_usd("fee", "is_revenue_eligible"),
+            "mart_net_revenue_usd": sum_usd(
+                f"(coalesce(amount, 0) - coalesce(processor_fee, 0)) * {ride_usd_rate()}", "is_revenue_eligible"
+            ),
         },
-    )
-    return (
-        ledger.withColumn(
-            "ledger_net_revenue_usd",
-            F.expr("captured_cash_usd - fraud_cash_usd - cancellation_fee_cash_usd - processor_fees_usd"),
-        )
-        .withColumn("mart_net_revenue_usd", net_on_trips)
-        .withColumn("difference_usd", F.expr("ledger_net_revenue_usd - mart_net_revenue_usd"))
-        .withColumn("ties_out", F.expr("abs(difference_usd) <= 0.01"))
+    ).selectExpr(
+        "*",
+        "captured_cash_usd - fraud_cash_usd - cancellation_fee_cash_usd - processor_fees_usd as ledger_net_revenue_usd",
+    ).selectExpr(
+        "*",
+        "ledger_net_revenue_usd - mart_net_revenue_usd as difference_usd",
+        "abs(ledger_net_revenue_usd - mart_net_revenue_usd) <= 0.01 as ties_out",
     )
 
 
@@ -204,3 +232,71 @@ def multi_campaign_share(trips: DataFrame) -> DataFrame:
     return monthly.withColumn(
         "pct_trips_multi_campaign", ratio("multi_campaign_trips", "incentivized_trips", 4)
     )
+
+
+def kpis_at_monthly_rate(trips: DataFrame, monthly: DataFrame) -> DataFrame:
+    """KPIs per month and currency: local amounts, and dollars at the month's average rate.
+
+    Dollars need no rate. Any other currency without a quote has null dollars.
+    """
+    local = _totals(
+        trips.groupBy(month_of("requested_at").alias("report_month"), "currency"),
+        {
+            "completed_trips": count_where("is_completed"),
+            "gmv_local": sum_usd("gross_fare", "is_completed"),
+            "captured_local": sum_usd("captured_amount"),
+            "processor_fees_local": sum_usd("processor_fee", "is_revenue_eligible"),
+            "net_revenue_local": sum_usd("captured_amount - processor_fee", "is_revenue_eligible"),
+            "incentives_local": sum_usd("incentive_amount"),
+        },
+    )
+    rates = monthly.select(F.col("rate_month").alias("report_month"), "currency", "avg_usd_rate")
+    priced = local.join(rates, ["report_month", "currency"], "left").withColumn(
+        "avg_usd_rate", F.expr("if(currency = 'USD', 1.0D, avg_usd_rate)")
+    )
+    return priced.withColumns(
+        {
+            f"{name}_usd": F.expr(f"round(cast({name}_local as double) * avg_usd_rate, 2)")
+            for name in ("gmv", "captured", "processor_fees", "net_revenue", "incentives")
+        }
+    )
+
+
+def contribution_bridge(trips: DataFrame, extra_captures: DataFrame) -> DataFrame:
+    """From gross merchandise value to what is left after incentives, and to the processor's cash.
+
+    Continues ``closing_bridge``: net collected revenue less incentives is the contribution. Net
+    revenue plus the fees, fraud captures and cancellation fees in the captured cash, plus captures
+    that were logged twice, is the cash the processor reports. Each part adds up exactly.
+    """
+    totals = _totals(
+        trips,
+        {
+            "gmv": sum_usd("gross_fare_usd", "is_completed"),
+            "net": sum_usd(_NET, _COLLECTED),
+            "incentives": sum_usd("incentive_amount_usd"),
+            "on_fraud": sum_usd("incentive_amount_usd", "is_fraud_flagged"),
+            "fees": sum_usd("processor_fee_usd", _COLLECTED),
+            "cash": sum_usd("captured_amount_usd"),
+            "eligible_cash": sum_usd("captured_amount_usd", _COLLECTED),
+        },
+    ).withColumn("twice", F.coalesce(extra_captures.agg(F.sum("excess_usd")).scalar(), F.lit(0)))
+    lines = [
+        ("Gross merchandise value", "gmv"),
+        ("Less: gap to net collected revenue", "net - gmv"),
+        ("Net collected revenue", "net"),
+        ("Less: incentives on sound trips", "on_fraud - incentives"),
+        ("Less: incentives on fraud trips", "-on_fraud"),
+        ("Contribution after incentives", "net - incentives"),
+        ("Add back: incentives", "incentives"),
+        ("Add back: processor fees", "fees"),
+        ("Add: cash that is not revenue (fraud and cancellation fees)", "cash - eligible_cash"),
+        ("Captured cash, each trip once", "net + fees + cash - eligible_cash"),
+        ("Add: duplicate captures", "twice"),
+        ("Cash as the processor reports it", "net + fees + cash - eligible_cash + twice"),
+    ]
+    rows = ", ".join(
+        f"struct({i} as line_no, '{label}' as line_item, cast({amount} as decimal(38,4)) as amount_usd)"
+        for i, (label, amount) in enumerate(lines, start=1)
+    )
+    return totals.selectExpr(f"inline(array({rows}))")

@@ -71,12 +71,14 @@ def incentives_per_trip(raw: DataFrame) -> DataFrame:
 def driver_incentives(raw: DataFrame) -> DataFrame:
     """Every incentive line; lines are real payouts and are never removed.
 
-    The line count joins back from a pre-aggregate instead of a window over the trip, so a trip
-    with very many lines can be split across tasks.
+    The line count joins back from a pre-aggregate on the plain key, so a trip with very many lines
+    can be split across tasks, and a table bucketed on trip_id is not shuffled. Lines without a trip
+    are counted together, by themselves.
     """
     overlap = incentives_per_trip(raw).select(
-        F.col("trip_id").alias("_trip"),
-        F.col("incentive_line_count").alias("incentives_per_trip"),
-        "is_multi_campaign_trip",
+        "trip_id", F.col("incentive_line_count").alias("incentives_per_trip"), "is_multi_campaign_trip"
     )
-    return raw.join(overlap, F.col("trip_id").eqNullSafe(F.col("_trip"))).drop("_trip")
+    loose = raw.where("trip_id is null")
+    n = loose.agg(F.count("*")).scalar()
+    counted = loose.withColumns({"incentives_per_trip": n, "is_multi_campaign_trip": n > 1})
+    return raw.join(overlap, "trip_id").select(*counted.columns).unionByName(counted)

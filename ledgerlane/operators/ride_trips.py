@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from ledgerlane.functions.columns import ride_usd_rate
@@ -29,8 +31,13 @@ _FROM_TRIP = [
 ]
 
 
-def enrich_trips(trips: DataFrame, payments: DataFrame, incentives_per_trip: DataFrame) -> DataFrame:
-    """All three inputs are keyed by trip, so each is shuffled once on trip_id and zipped."""
+def enrich_trips(
+    trips: DataFrame, payments: DataFrame, incentives_per_trip: DataFrame, extra: Sequence[str] = ()
+) -> DataFrame:
+    """All three inputs are keyed by trip, so each is shuffled once on trip_id and zipped.
+
+    ``extra`` names further columns of the trips to carry along.
+    """
     settled = payments.selectExpr(
         "trip_id",
         "payment_id",
@@ -43,6 +50,7 @@ def enrich_trips(trips: DataFrame, payments: DataFrame, incentives_per_trip: Dat
     joined = trips.join(settled, "trip_id", "left").join(incentives_per_trip, "trip_id", "left")
     local = joined.selectExpr(
         *_FROM_TRIP,
+        *extra,
         "coalesce(amount, 0) as captured_amount",
         "coalesce(fee, 0) as processor_fee",
         "coalesce(total_incentive_amount, 0) as incentive_amount",

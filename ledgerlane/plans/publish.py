@@ -1,14 +1,19 @@
-"""Build, check and publish: marts replace the published ones only when no error check fails."""
+"""Build, check and publish: all marts replace the published ones at once, and only when no error check fails.
+
+``out_dir`` holds one folder per run and a pointer file that names the current one; read the marts in
+``published(spark, out_dir)``.
+"""
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from ledgerlane.functions.columns import present
-from ledgerlane.functions.durable import durable
+from ledgerlane.functions.durable import drop_durable, durable
 from ledgerlane.operators.checks import run_checks
 from ledgerlane.plans import ride_checks, workforce_checks
 from ledgerlane.plans.ride import RideModels
@@ -24,16 +29,53 @@ class BlockedByChecks(RuntimeError):
         self.failed = failed
 
 
+POINTER = "CURRENT"
+
+
+def _filesystem(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def published(spark: SparkSession, out_dir: str) -> str | None:
+    """The folder of the marts published last, or None."""
+    files, pointer = _filesystem(spark, f"{out_dir}/{POINTER}")
+    if not files.exists(pointer):
+        return None
+    return f"{out_dir}/{spark.read.text(f'{out_dir}/{POINTER}').first()[0]}"
+
+
+def _switch(spark: SparkSession, out_dir: str, run: str) -> None:
+    """Point to another run. The pointer is written beside the old one and renamed over it in one step."""
+    files, fresh = _filesystem(spark, f"{out_dir}/{POINTER}-{run}")
+    stream = files.create(fresh, True)
+    stream.write(bytearray(run.encode()))
+    stream.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
+    overwrite = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = overwrite
+    context.rename(fresh, _filesystem(spark, f"{out_dir}/{POINTER}")[1], options)
+
+
 def _publish(marts: dict[str, DataFrame], reports: list[DataFrame], out_dir: str) -> list[Row]:
+    """Write all marts to a folder of their own, then switch to it; the run before is deleted."""
     report = durable(reduce(DataFrame.unionByName, reports), "checks")
     # One row per check, so the driver holds a few dozen rows.
     outcomes = report.orderBy("test").collect()
     failed = [row for row in outcomes if row.status == "error"]
     if failed:
         raise BlockedByChecks(failed)
+    spark, run = report.sparkSession, f"run-{uuid.uuid4().hex}"
+    before = published(spark, out_dir)
     for name, mart in marts.items():
-        present(mart).write.mode("overwrite").parquet(f"{out_dir}/{name}")
-    report.write.mode("overwrite").parquet(f"{out_dir}/check_report")
+        present(mart).write.parquet(f"{out_dir}/{run}/{name}")
+    report.write.parquet(f"{out_dir}/{run}/check_report")
+    _switch(spark, out_dir, run)
+    if before:
+        files, old = _filesystem(spark, before)
+        files.delete(old, True)
+    drop_durable(report)
     return outcomes
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +14,7 @@ from ledgerlane.functions.durable import durable
 from ledgerlane.operators import (
     fx_rates,
     people_attrition,
+    people_bridge,
     people_departments,
     people_history,
     people_staging,
@@ -34,7 +35,6 @@ from ledgerlane.sources.workforce_projection import ProjectedWorkforceTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-FX_FIRST_DAY, FX_LAST_DAY = date(2024, 1, 1), date(2024, 12, 31)
 RIDE_AS_OF = datetime(2025, 1, 1)
 WORKFORCE_AS_OF = datetime(2025, 12, 31)
 
@@ -69,7 +69,9 @@ def _latest_attrition(models: WorkforceModels) -> DataFrame:
 
 
 def _daily_rates(spark: SparkSession, folder: str) -> DataFrame:
-    return fx_rates.daily_rates(project_fx_quotes(spark, folder), FX_FIRST_DAY, FX_LAST_DAY)
+    """Rates for the days that the trips cover."""
+    trips = RideModels(ProjectedRideTables(spark, folder)).stg_trips
+    return fx_rates.daily_rates(project_fx_quotes(spark, folder), *fx_rates.calendar_of(trips))
 
 
 def _fx_as_of(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,6 +79,27 @@ def _fx_as_of(spark: SparkSession, folder: str) -> DataFrame:
     return present(fx_rates.convert_as_of(trips, _daily_rates(spark, folder)))
 
 
+def _kpis_at_monthly_rate(spark: SparkSession, folder: str) -> DataFrame:
+    trips = RideModels(ProjectedRideTables(spark, folder)).int_trips_enriched
+    return present(ride_finance.kpis_at_monthly_rate(trips, fx_rates.monthly_rates(_daily_rates(spark, folder))))
+
+
+def _payroll_monthly_cost(spark: SparkSession, folder: str) -> DataFrame:
+    payroll = WorkforceModels(ProjectedWorkforceTables(spark, folder)).stg_payroll
+    calendar = people_departments.pay_calendar(payroll)
+    rates = fx_rates.monthly_rates(fx_rates.daily_rates(project_fx_quotes(spark, folder), *calendar))
+    return present(people_departments.payroll_monthly_cost(payroll, rates))
+
+
+def _tieout(models: WorkforceModels) -> DataFrame:
+    dropped = people_staging.dropped_records(models.raw.employees)
+    staged = models.stg_employees
+    reassigned = people_staging.reassigned_payroll(models.stg_payroll, dropped, staged, keep_unknown=True)
+    return people_departments.payroll_cost_tieout(
+        models.stg_payroll, models.raw.employees, reassigned, staged, models.stg_departments, models.as_of
+    )
+
+
 def _freshness(spark: SparkSession, folder: str) -> DataFrame:
     rides, people = ProjectedRideTables(spark, folder), ProjectedWorkforceTables(spark, folder)
     ride_sources = {
@@ -191,9 +214,14 @@ EXTENSIONS = {
     "hr_attrition_standard": workforce(
         lambda m: people_attrition.attrition_standard(m.stint_spans, m.as_of)
     ),
-    "hr_payroll_cost_tieout": workforce(
-        lambda m: people_departments.payroll_cost_tieout(
-            m.int_payroll_monthly, m.stg_employees, m.stg_departments, m.as_of
+    "hr_payroll_cost_tieout": workforce(_tieout),
+    "hr_payroll_monthly_cost": _payroll_monthly_cost,
+    "hr_tenure_spread_bridge": workforce(
+        lambda m: people_bridge.tenure_spread_bridge(m.stint_records, m.int_person_employment_history, m.as_of)
+    ),
+    "hr_duplicate_bridge": workforce(
+        lambda m: people_bridge.duplicate_bridge(
+            m.raw.employees, people_staging.dropped_records(m.raw.employees), m.stg_employees
         )
     ),
     "hr_tenure_by_department": workforce(
@@ -205,16 +233,20 @@ EXTENSIONS = {
     "rh_kpis_by_capture_month": ride(
         lambda m: ride_finance.kpis_by_cash_month(m.int_trips_enriched, m.raw.driver_incentives)
     ),
-    "rh_trip_distance": ride(lambda m: ride_distance.trip_distances(m.int_trips_enriched, m.stg_trips)),
+    "rh_trip_distance": ride(lambda m: ride_distance.trip_distances(m.located_trips)),
     "rh_surge_by_distance": ride(
         lambda m: ride_distance.surge_by_distance(
-            ride_distance.trip_distances(m.int_trips_enriched, m.stg_trips)
+            ride_distance.trip_distances(m.located_trips)
         )
     ),
     "rh_clock_skew": ride(lambda m: ride_audits.clock_skew(m.stg_trips)),
     "rh_cash_ledger_tieout": ride(
-        lambda m: ride_finance.cash_ledger_tieout(m.int_trips_enriched, m.stg_payments)
+        lambda m: ride_finance.cash_ledger_tieout(m.stg_trips, m.stg_payments)
+    ),
+    "rh_contribution_bridge": ride(
+        lambda m: ride_finance.contribution_bridge(m.int_trips_enriched, ride_audits.extra_captures(m.raw.payments))
     ),
+    "rh_kpis_at_monthly_rate": _kpis_at_monthly_rate,
     "rh_bridge_residual": ride(lambda m: ride_finance.closing_bridge(m.int_trips_enriched)),
     "rh_dedup_audit": ride(lambda m: ride_audits.dedup_audit(m.raw.drivers, m.raw.payments)),
     "fx_daily_rates": lambda spark, folder: present(_daily_rates(spark, folder)),

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from ledgerlane.functions.durable import durable
 from ledgerlane.operators import ride_drivers, ride_finance, ride_riders, ride_staging
+from ledgerlane.operators.ride_distance import COORDINATES
 from ledgerlane.operators.ride_trips import enrich_trips
 from ledgerlane.sources.tables import RideTables
 
@@ -49,6 +50,12 @@ class RideModels:
         per_trip = ride_staging.incentives_per_trip(self.raw.driver_incentives)
         return self._keep(enrich_trips(self.stg_trips, self.stg_payments, per_trip), "trips-enriched")
 
+    @cached_property
+    def located_trips(self) -> DataFrame:
+        """The trip fact with the trips' coordinates."""
+        per_trip = ride_staging.incentives_per_trip(self.raw.driver_incentives)
+        return enrich_trips(self.stg_trips, self.stg_payments, per_trip, COORDINATES)
+
     @cached_property
     def int_driver_metrics(self) -> DataFrame:
         return ride_drivers.driver_metrics(
@@ -69,7 +76,7 @@ class RideModels:
 
     @cached_property
     def mart_marketplace_kpis(self) -> DataFrame:
-        return ride_finance.marketplace_kpis(self.int_trips_enriched)
+        return ride_finance.marketplace_kpis(self.int_trips_enriched, self.stg_trips)
 
     @cached_property
     def mart_reconciliation(self) -> DataFrame:

@@ -111,11 +111,12 @@ def _employees(customer: DataFrame) -> DataFrame:
                 prior="person_id * 10 + 1",
             ),
         ),
-        ("person_id % 97 = 5", dict(first, id="10000000 + person_id * 10 + 1")),
+        ("person_id % 97 = 5", dict(first, id="person_id * 10 + 9")),
     ]
     records = ", ".join(
         f"if({condition}, {record.format(**fields)}, null)" for condition, fields in variants
     )
+    # Levels, employment types and locations.
     return people.selectExpr(
         "person_id", f"inline(filter(array({records}), r -> r is not null))"
     ).selectExpr(
@@ -149,6 +150,7 @@ def _performance_reviews(employees: DataFrame) -> DataFrame:
             "employee_id",
             "person_id",
             "year(reviewed) as review_period",
+            # Ratings.
             """element_at(array('outstanding', 'exceeds', 'meets', 'below'),
                  cast((employee_id + n) % 4 + 1 as int)) as rating""",
             "(100 + (employee_id * 7 + n * 13) % 401) * 0.01 as review_score",

@@ -3,7 +3,8 @@
 import pytest
 from fixtures import ride
 
-from ledgerlane.plans.publish import BlockedByChecks, publish_ride, publish_workforce
+from ledgerlane.plans import publish
+from ledgerlane.plans.publish import BlockedByChecks, publish_ride, publish_workforce, published
 from ledgerlane.sources.ride_projection import ProjectedRideTables
 from ledgerlane.sources.tables import RIDE_SCHEMAS, read_ride_tables, write_raw_tables
 from ledgerlane.sources.workforce_projection import ProjectedWorkforceTables
@@ -20,19 +21,41 @@ def test_ride_marts_publish_from_loaded_tables_and_repeat(spark, data, tmp_path)
     assert len(report) == 48
     assert not [r for r in report if r.status == "error"]
     marts = ["mart_drivers", "mart_riders", "mart_marketplace_kpis", "mart_reconciliation"]
-    before = {name: rows(spark, f"{out}/{name}") for name in marts}
+    before = {name: rows(spark, f"{published(spark, out)}/{name}") for name in marts}
     publish_ride(raw, out)
-    assert {name: rows(spark, f"{out}/{name}") for name in marts} == before
+    assert {name: rows(spark, f"{published(spark, out)}/{name}") for name in marts} == before
 
     broken = ride(spark, data, riders=raw.riders.where("rider_id <> 0")).raw
+    at = published(spark, out)
     with pytest.raises(BlockedByChecks) as blocked:
         publish_ride(broken, out)
     assert [r.test for r in blocked.value.failed] == ["orphan_trips"]
-    assert {name: rows(spark, f"{out}/{name}") for name in marts} == before
+    assert {name: rows(spark, f"{published(spark, out)}/{name}") for name in marts} == before
+    assert published(spark, out) == at
+
+
+def test_a_run_that_breaks_half_way_leaves_the_old_marts(spark, data, tmp_path, monkeypatch):
+    raw, out = ProjectedRideTables(spark, data), f"{tmp_path}/out"
+    publish_ride(raw, out)
+    at = published(spark, out)
+    before = rows(spark, f"{at}/mart_riders")
+    written = []
+
+    def breaking(mart):
+        written.append(mart)
+        if len(written) == 3:
+            raise OSError("the store went away")
+        return mart
+
+    monkeypatch.setattr(publish, "present", breaking)
+    with pytest.raises(OSError):
+        publish_ride(raw, out)
+    assert published(spark, out) == at
+    assert rows(spark, f"{at}/mart_riders") == before
 
 
 def test_workforce_marts_publish(spark, data, tmp_path):
     report = publish_workforce(ProjectedWorkforceTables(spark, data), f"{tmp_path}/out")
     assert len(report) == 29
     assert {r.test for r in report if r.status != "pass"} == {"transfer_chain", "attrition_no_transfers"}
-    assert spark.read.parquet(f"{tmp_path}/out/fct_workforce").count() == 150
+    assert spark.read.parquet(f"{published(spark, f'{tmp_path}/out')}/fct_workforce").count() == 150

@@ -4,7 +4,7 @@ from datetime import date, datetime
 
 from fixtures import ride
 
-from ledgerlane.operators import fx_rates, ride_distance, ride_finance, ride_staging
+from ledgerlane.operators import fx_rates, ride_audits, ride_distance, ride_finance, ride_staging
 from ledgerlane.sources.tables import RIDE_SCHEMAS, conform
 
 
@@ -44,7 +44,7 @@ def test_bridge_closes_and_equals_the_cash_ledger(spark, data):
     assert lines["Unexplained residual"] == 0
     net = lines.pop("Net collected revenue")
     assert sum(lines.values()) == net
-    tieout = ride_finance.cash_ledger_tieout(models.int_trips_enriched, models.stg_payments).collect()[0]
+    tieout = ride_finance.cash_ledger_tieout(models.stg_trips, models.stg_payments).collect()[0]
     assert tieout.ties_out and tieout.mart_net_revenue_usd == net
 
 
@@ -69,7 +69,7 @@ def quotes(spark, rows):
 def test_daily_rates_carry_forward_and_fill_back(spark):
     given = [("GBP", "2024-01-03", 1, 1.2), ("GBP", "2024-01-05", 2, 1.3), ("GBP", "2024-01-05", 3, 1.4),
              ("GBP", "2024-02-01", 4, 9.0), ("EUR", "2023-12-01", 5, 1.0), ("EUR", "2023-12-20", 6, 1.1)]
-    daily = fx_rates.daily_rates(quotes(spark, given), date(2024, 1, 1), date(2024, 1, 6))
+    daily = fx_rates.daily_rates(quotes(spark, given), spark_lit(date(2024, 1, 1)), spark_lit(date(2024, 1, 6)))
     got = {(r.currency, r.rate_date.day): (float(r.usd_rate), r.quoted_on) for r in daily.collect()}
     third, fifth, old = date(2024, 1, 3), date(2024, 1, 5), date(2023, 12, 20)
     assert got == {
@@ -86,6 +86,46 @@ def test_haversine(spark):
     assert abs(km.collect()[0].km - 111.1949) < 0.001
 
 
+def spark_lit(value):
+    from pyspark.sql import functions as F
+
+    return F.lit(value)
+
+
+def test_contribution_bridge_adds_up(spark, data):
+    models = ride(spark, data)
+    extra = ride_audits.extra_captures(models.raw.payments)
+    lines = [r.amount_usd for r in ride_finance.contribution_bridge(models.int_trips_enriched, extra).collect()]
+    assert lines[0] + lines[1] == lines[2]
+    assert sum(lines[2:5]) == lines[5]
+    assert sum(lines[5:9]) == lines[9]
+    assert lines[9] + lines[10] == lines[11]
+    cash = models.raw.payments.where("payment_status = 'captured'").selectExpr(
+        "sum(amount * if(currency = 'GBP', 1.27, 1.00)) as c"
+    )
+    assert lines[11] == cash.collect()[0].c
+
+
+def test_trips_without_a_quoted_rate_are_flagged(spark):
+    trips = spark.sql(
+        """select * from values ('USD', 10.00, timestamp_ntz'2031-05-01 10:00:00'),
+           ('GBP', 20.00, timestamp_ntz'2031-05-02 10:00:00'), ('EUR', 5.00, timestamp_ntz'2031-05-02 10:00:00')
+           as t(currency, gross_fare, requested_at)"""
+    )
+    daily = fx_rates.daily_rates(quotes(spark, [("GBP", "2030-01-01", 1, 1.5)]), *fx_rates.calendar_of(trips))
+    got = {r.currency: (r.gross_usd_as_of, r.trips_without_rate) for r in fx_rates.convert_as_of(trips, daily).collect()}
+    assert got == {"USD": (10, 0), "GBP": (30, 0), "EUR": (None, 1)}
+
+
+def test_every_onboarding_left_out_is_listed(spark):
+    drivers = spark.sql(
+        """select * from values (1, timestamp_ntz'2024-01-01 00:00:00'), (1, timestamp_ntz'2024-01-01 00:00:00'),
+           (1, null), (2, null), (2, null), (3, timestamp_ntz'2024-01-01 00:00:00') as t(driver_id, onboarded_at)"""
+    )
+    listed = ride_audits._superseded_onboardings(drivers).collect()
+    assert sorted((r.entity_id, r.recorded_at is None) for r in listed) == [(1, False), (1, True), (2, True)]
+
+
 def spark_col(name):
     from pyspark.sql import functions as F
 

@@ -1,10 +1,11 @@
 """Storage of raw tables and of intermediate results."""
 
+import os
 from types import SimpleNamespace
 
 import pytest
 
-from ledgerlane.functions.durable import durable, shared_folder
+from ledgerlane.functions.durable import drop_durable, durable, shared_folder
 from ledgerlane.plans.ride import RideModels
 from ledgerlane.sources.ride_projection import ProjectedRideTables
 from ledgerlane.sources.tables import RIDE_KEYS, RIDE_SCHEMAS, load_tables, save_bucketed_tables
@@ -32,13 +33,26 @@ def test_durable_tables_go_to_the_folder_the_session_names(spark):
     assert f"{folder}/ledgerlane/" in written.inputFiles()[0]
 
 
-def session_with(settings):
-    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)))
+def session_with(settings, checkpoint_dir=None):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)),
+        sparkContext=SimpleNamespace(getCheckpointDir=lambda: checkpoint_dir),
+    )
 
 
-def test_cluster_without_a_shared_folder_is_an_error():
+@pytest.mark.parametrize("master", ["yarn", "local[2]"])
+def test_a_session_without_a_shared_folder_is_an_error(master):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(session_with({"spark.master": "yarn"}))
-    named = {"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///tmp/work/"}
+        shared_folder(session_with({"spark.master": master}))
+    named = {"spark.master": master, "spark.checkpoint.dir": "hdfs:///tmp/work/"}
     assert shared_folder(session_with(named)) == "hdfs:///tmp/work"
-    assert shared_folder(session_with({"spark.master": "local[2]"}))
+    assert shared_folder(session_with({"spark.master": master}, "hdfs:///tmp/given")) == "hdfs:///tmp/given"
+
+
+def test_durable_tables_can_be_dropped(spark, tmp_path):
+    kept, dropped = durable(spark.range(3), "kept"), durable(spark.range(3), "dropped")
+    path = dropped.inputFiles()[0].removeprefix("file:")
+    assert os.path.exists(path)
+    drop_durable(dropped)
+    assert not os.path.exists(path)
+    assert kept.count() == 3

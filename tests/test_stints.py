@@ -1,6 +1,7 @@
 """Stint stitching against brute force on shapes the projected data does not contain."""
 
 import random
+from collections import Counter
 from datetime import date, timedelta
 
 import pytest
@@ -103,15 +104,17 @@ def test_rehire_opens_a_second_stint(spark, data):
 
 def test_numbers_of_a_hot_group_equal_a_plain_window(spark):
     rng = random.Random(3)
-    rows = [(1 if i % 3 else i % 11, rng.randint(0, 50), i) for i in range(900)]
-    df = spark.createDataFrame(rows, "g long, a long, b long")
+    rows = [(1 if i % 3 else i % 11, str(DAY + timedelta(days=rng.randint(0, 50))), i) for i in range(900)]
+    rows += [(1, None, 901), (1, None, 900), (None, "2016-01-01", 902)]
+    df = spark.createDataFrame(rows, "g long, a string, b long").selectExpr("g", "cast(a as date) as a", "b")
+    # Rows without a date come first; the group without a key has no position to give.
     want = {}
-    for g, a, b in sorted(rows):
-        want[(g, a, b)] = 1 + sum(1 for k in want if k[0] == g)
-    got = number_in_group(df, "g", ["a", "b"], "n", split_rows=100)
-    assert {(r.g, r.a, r.b): r.n for r in got.collect()} == want
-    plain = number_in_group(df, "g", ["a", "b"], "n")
-    assert {(r.g, r.a, r.b): r.n for r in plain.collect()} == want
+    seen = Counter()
+    for g, _, b in sorted((r for r in rows if r[0] is not None), key=lambda r: (r[0], r[1] or "", r[2])):
+        seen[g] += 1
+        want[b] = seen[g]
+    got = number_in_group(df, "g", "a", ["b"], "n").where("g is not null")
+    assert {r.b: r.n for r in got.collect()} == want
 
 
 def test_dedup_keeps_and_reports_every_row_of_a_hot_group(spark):
@@ -133,8 +136,11 @@ def spans(spark, rows):
     )
 
 
-def months():
-    return [date(2016 + i // 12, i % 12 + 1, 1) for i in range(120)]
+def months(rows):
+    """From the month of the earliest start to December 2025."""
+    first = min(start for _, _, start, _ in rows)
+    numbers = range(first.year * 12 + first.month - 1, 2025 * 12 + 12)
+    return [date(n // 12, n % 12 + 1, 1) for n in numbers]
 
 
 def following(day):
@@ -160,7 +166,7 @@ def test_headcounts_match_brute_force(spark, seed):
     rows = random_spans(seed)
     df = spans(spark, [(i, p, str(s), str(e) if e else None) for i, p, s, e in rows])
     any_time = {
-        m: len({p for _, p, s, e in rows if s <= following(m) and (e is None or e > m)}) for m in months()
+        m: len({p for _, p, s, e in rows if s <= following(m) and (e is None or e > m)}) for m in months(rows)
     }
     monthly = attrition_monthly(df, date(2025, 12, 31)).collect()
     assert {r.month_start: r.active_headcount_eom for r in monthly} == {m: n for m, n in any_time.items() if n}
@@ -179,3 +185,28 @@ def test_headcounts_match_brute_force(spark, seed):
         opened = date(shut.year - 1, shut.month, 1)
         opened = following(opened) - timedelta(days=1)
         assert (r.opening_headcount, r.closing_headcount) == (closing(opened), closing(shut))
+        left = {p for _, p, _, e in rows if e is not None and opened < e <= shut}
+        assert r.exits_12m == len(left)
+
+
+def test_series_covers_the_dates_of_the_data(spark):
+    rows = [(1, 1, "2012-05-10", None), (2, 2, "2026-03-01", "2026-04-15"), (3, 3, None, None)]
+    monthly = {r.month_start: r for r in attrition_monthly(spans(spark, rows), date(2026, 6, 30)).collect()}
+    assert (min(monthly), max(monthly)) == (date(2012, 5, 1), date(2026, 6, 1))
+    # A stint without a start is never present.
+    assert monthly[date(2012, 5, 1)].active_headcount_eom == 1
+    assert monthly[date(2026, 3, 1)].active_headcount_eom == 2
+    assert (monthly[date(2026, 3, 1)].hires, monthly[date(2026, 4, 1)].exits) == (1, 1)
+
+
+def test_two_exits_in_one_window_are_one_person(spark):
+    rows = [(1, 1, "2020-01-10", "2021-02-01"), (2, 1, "2021-04-01", "2021-08-01"), (3, 2, "2020-01-01", None)]
+    got = {r.month_start: r.exits_12m for r in attrition_standard(spans(spark, rows), date(2022, 12, 31)).collect()}
+    assert got[date(2021, 12, 1)] == 1
+    assert (got[date(2022, 7, 1)], got[date(2022, 8, 1)]) == (1, 0)
+
+
+def test_losers_with_null_keys(spark):
+    df = spark.createDataFrame([(None, 1, 5), (None, 1, 6), (2, 1, 7), (2, 1, 8), (3, None, 9)], "a int, b int, id int")
+    dropped = losers(df, ["a", "b"], "id", F.min(F.struct("id")), "kept")
+    assert sorted((r.id, r.kept) for r in dropped.collect()) == [(6, 5), (8, 7)]
