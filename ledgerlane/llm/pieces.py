@@ -97,6 +97,11 @@ def variant_seed(seed: int, variant: int) -> int:
     return (seed * 1_000_003 + variant) & _MASK
 
 
+def skip_limit(dropout: float) -> int:
+    """Candidates whose hash is below this are skipped."""
+    return min(int(dropout * 2**64), _MASK)
+
+
 def _place_hash(key: int, left: int, middle: int, right: int) -> int:
     x = (key + left * _MIX[0] + middle * _MIX[1] + right * _MIX[2]) & _MASK
     x = ((x ^ (x >> 30)) * _MIX[1]) & _MASK
@@ -115,7 +120,7 @@ def _place_hashes(keys: np.ndarray, left: np.ndarray, middle: np.ndarray, right:
 def encode_chunk(chunk: str, key: int, dropout: float, pieces: Pieces) -> list[int]:
     """The symbols of one chunk, by a heap of candidate merges. Negative: a character's code point - 2^31."""
     symbols = [int(pieces.char_ids[ord(c)]) for c in chunk]
-    n, limit = len(symbols), int(dropout * 2**64)
+    n, limit = len(symbols), skip_limit(dropout)
     after, before, end = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
     agenda: list[tuple[int, int, int, int, int]] = []
 
@@ -154,7 +159,7 @@ def _candidates(
     at[at == len(pieces.pairs)] = 0
     found = pieces.pairs[at] == wanted
     if dropout:
-        found &= _place_hashes(keys, start, middle, end) >= np.uint64(int(dropout * 2**64))
+        found &= _place_hashes(keys, start, middle, end) >= np.uint64(skip_limit(dropout))
     return np.where(found, pieces.ranks[at], np.int32(pieces.size)), np.where(found, pieces.results[at], np.int32(0))
 
 

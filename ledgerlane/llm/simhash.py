@@ -155,8 +155,8 @@ def without_near_duplicates(
     repeated = gone.where("not gone")
     if repeated.isEmpty():
         return single
-    again = docs.join(repeated, found, "left_semi").withColumn("_text_key", F.xxhash64(text_column))
-    return single.union(again.dropDuplicates([id_column, "_text_key"]).drop("_text_key"))
+    again = docs.join(repeated, found, "left_semi")
+    return single.union(again.dropDuplicates([id_column, text_column]))
 
 
 def _null_safe(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
