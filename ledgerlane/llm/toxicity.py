@@ -18,6 +18,7 @@ no rows at all to learn from, the score is that of the assumed voters.
 from __future__ import annotations
 
 import re
+from collections import Counter as Tally
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -49,6 +50,8 @@ RIDGE = 1.0
 #: Accuracy that a row's own label is taken to have, beside the label model's posterior.
 LABEL_ACCURACY = 0.98
 BLOCK_CHARS = 1 << 20
+#: Stems that a task counts before it hands its counts on.
+STEMS_AT_ONCE = 200_000
 
 #: Lexicons of common English abuse.
 LEXICONS: dict[str, tuple[str, ...]] = {
@@ -218,6 +221,26 @@ def _keyed_labels(labels: DataFrame) -> DataFrame:
     )
 
 
+def _stem_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of (label, text) rows that hold each stem, counted within the task as far as memory is kept
+    small: (stem, toxic, clean)."""
+    tallies = (Tally(), Tally())
+
+    def partial() -> pa.RecordBatch:
+        stems = list(tallies[0].keys() | tallies[1].keys())
+        columns = [pa.array(stems, pa.string()), *(pa.array([tallies[k][s] for s in stems], pa.int64()) for k in (1, 0))]
+        return pa.RecordBatch.from_arrays(columns, names=["stem", "toxic", "clean"])
+
+    for batch in batches:
+        for label, text in zip(*batch.columns):
+            words = {w for block in text_blocks((text.as_py() or "").lower()) for w in _WORD.findall(block)}
+            tallies[label.as_py()].update({w[:n] for w in words for n in STEM_LENGTHS if len(w) >= n})
+            if len(tallies[0]) + len(tallies[1]) > STEMS_AT_ONCE:
+                yield partial()
+                tallies = (Tally(), Tally())
+    yield partial()
+
+
 def learnt_stems(docs: DataFrame, known: DataFrame) -> dict[str, int]:
     """Stems that tell toxic labelled documents (own_id, own_text) from clean ones, at most STEM_LEXICON, with
     the half of the lexicon each belongs to. Learnt from SAMPLE_ROWS labelled rows per class."""
@@ -232,18 +255,10 @@ def learnt_stems(docs: DataFrame, known: DataFrame) -> dict[str, int]:
     if len(totals) < 2:
         return {}
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def stems(texts):
-        def of(text):
-            words = {w for block in text_blocks((text or "").lower()) for w in _WORD.findall(block)}
-            return list({w[:n] for w in words for n in STEM_LENGTHS if len(w) >= n})
-
-        return texts.map(of)
-
     # The sample is at most 2 * SAMPLE_ROWS pairs of numbers.
-    texts = docs.join(F.broadcast(sample), docs["own_id"] == sample["label_id"]).select("label", stems("own_text").alias("stems"))
-    toxic, clean = F.sum("label"), F.sum(1 - F.col("label"))
-    counted = texts.select("label", F.explode("stems").alias("stem")).groupBy("stem").agg(toxic.alias("toxic"), clean.alias("clean"))
+    texts = docs.join(F.broadcast(sample), docs["own_id"] == sample["label_id"]).select("label", "own_text")
+    parts = texts.mapInArrow(_stem_counts, "stem string, toxic long, clean long")
+    counted = parts.groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     # Both classes' documents in the labelled rows, as far as the sample tells.
     toxic_rows, clean_rows = F.col("toxic") * (overall[1] / totals[1]), F.col("clean") * (overall[0] / totals[0])
     rows = (
