@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 RANKS_PATH = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How the public vocabulary cuts text into pre-tokens: a fixed value.
-PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Leaves are cut at the first chance after so many characters; a leaf of over LARGE_LEAF times as many,
 #: grown by edits, is cut anew.
 LEAF_CHARS = 256
@@ -197,8 +197,9 @@ def apply_edits(
     (start, end, replacement)."""
     rest = _without(counted, EDIT_FIELDS).drop(edits_column)
     names = [f.name for f in EDIT_FIELDS]
-    given = counted.select(*rest.columns, "leaf_chars", "leaf_tokens", edits_column)
-    text_at, width = rest.columns.index(text_column), len(rest.columns)
+    kept = rest.columns
+    given = counted.select(*kept, "leaf_chars", "leaf_tokens", edits_column)
+    text_at, width = kept.index(text_column), len(kept)
 
     def edit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoding(path)
@@ -212,7 +213,7 @@ def apply_edits(
                 trees.append(tree)
             columns = batch.columns[:width]
             columns[text_at] = pa.array([t.text() if t else None for t in trees], pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, *_columns(trees, names)], names=[*rest.columns, *names])
+            yield pa.RecordBatch.from_arrays([*columns, *_columns(trees, names)], names=[*kept, *names])
 
     return given.mapInArrow(edit, T.StructType([*rest.schema.fields, *EDIT_FIELDS]))
 
