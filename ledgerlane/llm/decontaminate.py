@@ -1,7 +1,8 @@
 """Benchmark passages in training documents, found by spaced-seed hashing.
 
-A token is a run of ASCII letters and digits and of bytes above 127, with A-Z lower-cased. A seed is
-a fixed mask over neighbouring tokens; tokens at its 0 positions are ignored, so a window with
+A token is a run of ASCII letters and digits and of characters beyond ASCII, other than marks and
+spaces of the Latin-1 and General Punctuation blocks; A-Z and the capitals of Latin-1 are lower-cased.
+A seed is a fixed mask over neighbouring tokens; tokens at its 0 positions are ignored, so a window with
 substituted tokens there still has the hash of the original. Hashes of benchmark windows and
 document windows are joined, and around every hit the two texts are compared token by token without
 shifting: a document is contaminated when ``MIN_OVERLAP`` neighbouring tokens (the whole item, if it
@@ -36,7 +37,7 @@ MARGIN = MIN_OVERLAP
 #: some millions of benchmark windows it lets more through, and the join alone decides.
 FILTER_BITS = 1 << 24
 #: Bytes of text whose tokens are looked at together.
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 19
 
 _BYTE_CLASS = np.zeros(256, dtype=np.uint64)
 for _c in range(256):
@@ -47,6 +48,19 @@ _PRIME = np.uint64(0x100000001B3)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _classes(data: np.ndarray) -> np.ndarray:
+    """The lower-cased bytes plus one, and 0 for bytes outside tokens."""
+    classes = _BYTE_CLASS[data]
+    after = np.append(data[1:], 0)
+    capital = np.flatnonzero((data == 0xC3) & (after >= 0x80) & (after <= 0x9E) & (after != 0x97)) + 1
+    classes[capital] += np.uint64(32)
+    for first, width in ((data == 0xC2, 2), ((data == 0xE2) & ((after == 0x80) | (after == 0x81)), 3)):
+        at = np.flatnonzero(first)
+        for k in range(width):
+            classes[np.minimum(at + k, len(data) - 1)] = 0
+    return classes
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(32))
@@ -63,7 +77,7 @@ _POWERS = _powers(64)
 
 def tokens(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, first byte and end byte of every token of a text's UTF-8 bytes."""
-    classes = _BYTE_CLASS[data]
+    classes = _classes(data)
     inside = np.concatenate([[False], classes > 0, [False]])
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
@@ -96,6 +110,11 @@ def _filter_places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (hashes % np.uint64(FILTER_BITS)).astype(np.int64), ((hashes >> np.uint64(32)) % np.uint64(FILTER_BITS)).astype(np.int64)
 
 
+def _passes(places: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Whether the filter's bits, packed eight to a byte, are set."""
+    return (bits[places >> 3] >> (places & 7).astype(np.uint8)) & np.uint8(1) == 1
+
+
 def _pieces(row: int, text: bytes) -> Iterator[tuple[int, int, bytes]]:
     """(row, first byte, piece) of a text. Most texts are one piece. Long ones are cut between tokens, and
     each piece begins so far back that every window and its margins lie within one of them."""
@@ -169,7 +188,7 @@ def _item_windows(items: DataFrame) -> DataFrame:
 
 
 def _filter_bits(windows: DataFrame) -> np.ndarray:
-    """Which filter bits the benchmark's hashes set, gathered as at most FILTER_BITS / 64 longs."""
+    """The filter bits that the benchmark's hashes set, eight to a byte; gathered as FILTER_BITS / 64 longs at most."""
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,7 +201,7 @@ def _filter_bits(windows: DataFrame) -> np.ndarray:
     rows = set_bits.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toPandas()
     words = np.zeros(FILTER_BITS // 64, dtype=np.int64)
     words[rows["word"].to_numpy(dtype=np.int64)] = rows["bits"].to_numpy(dtype=np.int64)
-    return np.unpackbits(words.view(np.uint8), bitorder="little").astype(bool)
+    return words.view(np.uint8)
 
 
 def _seeded_regions(docs: DataFrame, bits: np.ndarray, short: list[int]) -> DataFrame:
@@ -192,15 +211,14 @@ def _seeded_regions(docs: DataFrame, bits: np.ndarray, short: list[int]) -> Data
     of the tokens), mask, hash, at (window's place in the region) as parallel arrays.
     """
     context = docs.sparkSession.sparkContext
-    shared = context.broadcast(np.packbits(bits))
+    shared = context.broadcast(bits)
     masks = [*MASKS, *("1" * n for n in short)]
 
     def seek(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.unpackbits(shared.value).astype(bool)
         for batch in batches:
             out: list[tuple] = []
             for block in _blocks(batch.column(2)):
-                out.extend(_regions(block, known, masks))
+                out.extend(_regions(block, shared.value, masks))
             if out:
                 rows = pa.array([o[0] for o in out])
                 keys = [batch.column(k).take(rows) for k in (0, 1)]
@@ -218,7 +236,7 @@ REGION_SCHEMA = (
 REGION_COLUMNS = [part.split()[0] for part in REGION_SCHEMA.split(", ")]
 
 
-def _regions(block: list[tuple[int, int, bytes]], known: np.ndarray, masks: list[str]) -> Iterator[tuple]:
+def _regions(block: list[tuple[int, int, bytes]], bits: np.ndarray, masks: list[str]) -> Iterator[tuple]:
     words, starts, ends = tokens(np.frombuffer(b"\n".join(piece for *_, piece in block), dtype=np.uint8))
     piece_starts = np.cumsum([0, *(len(piece) + 1 for *_, piece in block)])
     piece_of = np.searchsorted(piece_starts, starts, side="right") - 1
@@ -226,8 +244,8 @@ def _regions(block: list[tuple[int, int, bytes]], known: np.ndarray, masks: list
     for mask in masks:
         hashes = window_hashes(words, mask)
         one, two = _filter_places(hashes)
-        passed = np.flatnonzero(known[one])
-        passed = passed[known[two[passed]] & (piece_of[passed] == piece_of[passed + len(mask) - 1])]
+        passed = np.flatnonzero(_passes(one, bits))
+        passed = passed[_passes(two[passed], bits) & (piece_of[passed] == piece_of[passed + len(mask) - 1])]
         found.extend((at, mask, h) for at, h in zip(passed.tolist(), hashes[passed].view(np.int64).tolist()))
     found.sort()
     bounds = np.searchsorted(piece_of, np.arange(len(block) + 1))

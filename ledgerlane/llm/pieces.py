@@ -35,8 +35,8 @@ VARIANTS = 2
 #: Chunks up to this length are merged side by side in arrays, longer ones each with a heap.
 SIDE_BY_SIDE_CHARS = 32
 #: So many characters are looked at together, which bounds the memory of a task.
-BLOCK_CHARS = 1 << 22
-REMEMBERED_CHUNKS = 600_000
+BLOCK_CHARS = 1 << 21
+REMEMBERED_CHUNKS = 400_000
 
 _MASK = (1 << 64) - 1
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)

@@ -50,6 +50,8 @@ RIDGE = 1.0
 #: Accuracy that a row's own label is taken to have, beside the label model's posterior.
 LABEL_ACCURACY = 0.98
 BLOCK_CHARS = 1 << 20
+#: Words whose kind a task remembers.
+REMEMBERED_WORDS = 100_000
 #: Stems that a task counts before it hands its counts on.
 STEMS_AT_ONCE = 200_000
 
@@ -106,7 +108,7 @@ class Counter:
         if not kind:
             half = next((self.stems[word[:n]] for n in reversed(STEM_LENGTHS) if word[:n] in self.stems and len(word) >= n), None)
             kind = 0 if half is None else len(LEXICONS) + half + 1
-        if len(self.known) > 300_000:
+        if len(self.known) > REMEMBERED_WORDS:
             self.known.clear()
         self.known[word] = kind
         return kind
@@ -375,4 +377,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id"
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted toxic."""
     _, model = _counts_and_model(docs, labels, "doc_id", "text")
-    return docs.where(score_column(model, counts_column(model.stems, F.col("text"))) < THRESHOLD)
+
+    @F.pandas_udf("boolean")
+    def toxic(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        counter = Counter(model.stems)
+        for texts in batches:
+            counts = np.array([counter.counts(t) for t in texts]).reshape(-1, len(COUNTS))
+            yield pd.Series(model.score(counts) >= THRESHOLD)
+
+    return docs.where(~toxic("text"))

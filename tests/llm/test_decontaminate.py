@@ -35,6 +35,8 @@ def test_tokens():
     data = text.encode()
     assert [data[s:e].decode() for s, e in zip(starts, ends)] == ["Ab", "ab", "AB", "é1", "x" * 200]
     assert words[0] == words[1] == words[2] and len(set(words.tolist())) == 3
+    folded, *_ = hashed("École\u00a0école “école”—ÉCOLE × Þ þ")
+    assert len(set(folded[:4].tolist())) == 1 and len(folded) == 7 and folded[5] == folded[6]
     assert len(hashed(" .,")[0]) == len(hashed("")[0]) == 0
     assert len({hashed("x" * n)[0][0] for n in range(1, 300)}) == 299
 
