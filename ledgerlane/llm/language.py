@@ -9,8 +9,8 @@ text's language is the one with the largest product of its words' probabilities
 share of the training documents.
 
 Piece probabilities are learnt by expectation maximisation, from equal ones on, over the words of a
-bounded sample of training documents: per language the ``SAMPLE_DOCS`` whose ids have the smallest
-hash. Languages, sources and ids are never read when a text is scored. Scoring reads whole texts.
+bounded sample of training documents: about ``SAMPLE_DOCS`` of each language, chosen by a hash of the
+id (repeated ids are chosen together). Languages, sources and ids are never read when a text is scored. Scoring reads whole texts.
 
 A null text, or one without a letter, gets ``und`` and score 0, and so does every text if there is
 nothing to learn from. Equal scores go to the language that comes first by name. Repeated rows are
@@ -26,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlane.functions.durable import durable
@@ -201,14 +201,16 @@ class LanguageModel:
     def _log_sums(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         place: dict[str, int] = {}
         uses: list[np.ndarray] = []
+        known: list[bool] = []
         for text in texts:
             words = words_of(text)
+            known.append(any(c.isalpha() for word in words for c in word))
             fresh = list(set(words).difference(place))
             place.update(zip(fresh, range(len(place), len(place) + len(fresh))))
             uses.append(np.fromiter(map(place.__getitem__, words), dtype=np.int64, count=len(words)))
         by_word = log_chances(list(place), self.chances, vocabulary(self.path))
         sums = np.array([by_word[own].sum(axis=0) for own in uses]).reshape(len(texts), len(self.languages))
-        return sums + np.log(self.priors), np.array([len(own) > 0 for own in uses], dtype=bool)
+        return sums + np.log(self.priors), np.array(known, dtype=bool)
 
 
 def _blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
@@ -222,19 +224,13 @@ def _blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def _sample(training: DataFrame) -> DataFrame:
-    """(lang, text) of the SAMPLE_DOCS training documents of each language with the smallest hash of the id."""
-    order = Window.partitionBy("lang").orderBy("place", "own_id")
-    ids = (
-        training.select("lang", "own_id", F.xxhash64("own_id").alias("place"))
-        .withColumn("n", F.row_number().over(order))
-        .where(F.col("n") <= SAMPLE_DOCS)
-        .select(F.col("lang").alias("sample_lang"), F.col("own_id").alias("sample_id"))
-    )
-    ids = durable(ids, "language-sample")
-    same = (F.col("own_id") == F.col("sample_id")) & (F.col("lang") == F.col("sample_lang"))
-    # SAMPLE_DOCS ids per language.
-    return training.join(F.broadcast(ids), same, "left_semi").select("lang", "own_text")
+def _sample(training: DataFrame, sizes: dict[str, int]) -> DataFrame:
+    """(lang, text) of the training documents whose id hashes below their language's share: about SAMPLE_DOCS
+    of each language, or all of a smaller one, chosen row by row."""
+    steps = 1 << 30
+    shares = [F.when(F.col("lang") == lang, F.lit(min(steps, steps * SAMPLE_DOCS // n))) for lang, n in sizes.items()]
+    place = F.pmod(F.xxhash64("own_id"), F.lit(steps))
+    return training.where(place < F.coalesce(*shares)).select("lang", "own_text")
 
 
 def _word_counts(sample: DataFrame) -> DataFrame:
@@ -274,7 +270,7 @@ def learn(docs: DataFrame, path: str = MODEL_PATH) -> LanguageModel:
     size = vocabulary(path).size
     chances = {lang: np.append(np.full(size, 1.0 / size), 0.0) for lang in languages}
     if languages:
-        words = _word_counts(_sample(training))
+        words = _word_counts(_sample(training, shares))
         for _ in range(EM_ROUNDS):
             # At most one row per language and piece.
             rows = _expected(words, chances, path).toPandas()

@@ -68,7 +68,7 @@ def test_held_out_accuracy(spark, data):
 def test_nulls_repeats_and_empty_tables(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text", "lang")
     extra = spark.createDataFrame(
-        [(-1, None, "en", 1), (None, "", None, 2), (-3, "12 !", "fr", 3), (None, "the thing", None, 4), (None, "the thing", None, 4)],
+        [(-1, None, "en", 1), (None, "", None, 2), (-3, "12 ½² !", "fr", 3), (None, "the thing", None, 4), (None, "the thing", None, 4)],
         "doc_id long, text string, lang string, score int",
     )
     got = identify(docs.unionByName(extra, allowMissingColumns=True)).where("doc_id is null or doc_id < 0").collect()
