@@ -78,7 +78,7 @@ def driver_incentives(raw: DataFrame) -> DataFrame:
     overlap = incentives_per_trip(raw).select(
         "trip_id", F.col("incentive_line_count").alias("incentives_per_trip"), "is_multi_campaign_trip"
     )
-    loose = raw.where("trip_id is null")
-    n = loose.agg(F.count("*")).scalar()
-    counted = loose.withColumns({"incentives_per_trip": n, "is_multi_campaign_trip": n > 1})
-    return raw.join(overlap, "trip_id").select(*counted.columns).unionByName(counted)
+    loose = raw.where("trip_id is null").agg(F.count("*")).scalar()
+    own = F.when(F.col("trip_id").isNull(), loose).otherwise(F.col("incentives_per_trip"))
+    counted = raw.join(overlap, "trip_id", "left").withColumns({"incentives_per_trip": own, "is_multi_campaign_trip": own > 1})
+    return counted.select(*raw.columns, "incentives_per_trip", "is_multi_campaign_trip")
