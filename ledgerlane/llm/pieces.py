@@ -3,9 +3,11 @@
 The vocabulary is a public file of the installed sentencepiece library, whose path is a parameter.
 Encoding keeps an agenda of candidate merges of neighbouring symbols, best score first and leftmost
 among equals. A candidate is skipped for good when a keyed hash of its place falls below the dropout
-rate; the key is the seed, a variant number and the chunk of text. Occurrences of a chunk take turns
-through the variants, starting at a hash of the row's key, so texts are cut in varied yet
-reproducible ways. With dropout 0 the pieces are those of the library itself.
+rate; the key is the seed, the row's key and the place of the chunk in its text, so every occurrence
+of a chunk draws its own merges, and the same ones when the row is encoded again. What is remembered
+is the pieces of a chunk where certain candidates are skipped, with the other candidates that come up on
+the way to them: an occurrence that skips the former and none of the latter has those pieces, and any
+other occurrence is merged by itself. With dropout 0 the pieces are those of the library itself.
 
 Every character has an encoding (bytes stand for characters outside the vocabulary, and for a
 literal U+2581), so decoding gives back the exact text. A null text has null pieces, an empty text
@@ -18,7 +20,7 @@ import functools
 import heapq
 import re
 from collections.abc import Iterable, Iterator, Sequence
-from itertools import repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +33,20 @@ from pyspark.sql import types as T
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 7
-VARIANTS = 2
+#: A number here would let each chunk be cut in so many ways at most.
+VARIANTS = None
 #: Chunks up to this length are merged side by side in arrays, longer ones each with a heap.
 SIDE_BY_SIDE_CHARS = 32
+#: So many of them, which fit a CPU's cache.
+ROWS_AT_ONCE = 4096
 #: So many characters are looked at together, which bounds the memory of a task.
 BLOCK_CHARS = 1 << 21
 REMEMBERED_CHUNKS = 400_000
+REMEMBERED_PATHS = 600_000
+#: A path is worked out when so many occurrences in a block take it.
+PATH_TIMES = 4
+#: Remembered paths skip up to so many candidates.
+PATH_SKIPS = 4
 
 _MASK = (1 << 64) - 1
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
@@ -109,14 +119,18 @@ def _place_hash(key: int, left: int, middle: int, right: int) -> int:
     return x ^ (x >> 31)
 
 
-def _place_hashes(keys: np.ndarray, left: np.ndarray, middle: np.ndarray, right: np.ndarray) -> np.ndarray:
-    mix = [np.uint64(m) for m in _MIX]
-    x = keys + left.astype(np.uint64) * mix[0] + middle.astype(np.uint64) * mix[1] + right.astype(np.uint64) * mix[2]
-    x = (x ^ (x >> np.uint64(30))) * mix[1]
-    x = (x ^ (x >> np.uint64(27))) * mix[2]
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(_MIX[1])
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(_MIX[2])
     return x ^ (x >> np.uint64(31))
 
 
+def _place_terms(left: np.ndarray, middle: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """What a candidate's place adds to the key before it is mixed."""
+    mix = [np.uint64(m) for m in _MIX]
+    return left.astype(np.uint64) * mix[0] + middle.astype(np.uint64) * mix[1] + right.astype(np.uint64) * mix[2]
+
+
 def encode_chunk(chunk: str, key: int, dropout: float, pieces: Pieces) -> list[int]:
     """The symbols of one chunk, by a heap of candidate merges. Negative: a character's code point - 2^31."""
     symbols = [int(pieces.char_ids[ord(c)]) for c in chunk]
@@ -148,9 +162,31 @@ def encode_chunk(chunk: str, key: int, dropout: float, pieces: Pieces) -> list[i
     return [s if s >= 0 else ord(chunk[i]) - (1 << 31) for i, s in enumerate(symbols) if not gone[i]]
 
 
+class Trace:
+    """Notes the candidates of chunks, by number and place, and leaves out those that are to be skipped."""
+
+    def __init__(self, skipped: np.ndarray):
+        #: Terms of the places to be skipped, a row for each chunk, filled up with 0.
+        self.skipped = skipped
+        self.owners = [np.zeros(0, dtype=np.int64)]
+        self.terms = [np.zeros(0, dtype=np.uint64)]
+
+    def meet(self, found: np.ndarray, numbers: np.ndarray, terms: np.ndarray) -> None:
+        at = np.flatnonzero(found)
+        found[at] = (terms[at, None] != self.skipped[numbers[at]]).all(axis=1)
+        at = np.flatnonzero(found)
+        self.owners.append(numbers[at])
+        self.terms.append(terms[at])
+
+    def candidates(self) -> Ragged:
+        """The terms of each chunk's candidates, in the order in which they came up."""
+        owners, terms = np.concatenate(self.owners), np.concatenate(self.terms)
+        return Ragged(np.bincount(owners, minlength=len(self.skipped)), terms[np.argsort(owners, kind="stable")])
+
+
 def _candidates(
     left: np.ndarray, right: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.ndarray,
-    keys: np.ndarray, dropout: float, pieces: Pieces,
+    keys: np.ndarray, dropout: float, pieces: Pieces, numbers: np.ndarray, trace: Trace | None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Rank and result of merging neighbours; a rank of the vocabulary's size where there is none."""
     wanted = left.astype(np.int64) * pieces.size + right
@@ -159,12 +195,14 @@ def _candidates(
     at[at == len(pieces.pairs)] = 0
     found = pieces.pairs[at] == wanted
     if dropout:
-        found &= _place_hashes(keys, start, middle, end) >= np.uint64(skip_limit(dropout))
+        found &= _mixed(keys + _place_terms(start, middle, end)) >= np.uint64(skip_limit(dropout))
+    if trace is not None:
+        trace.meet(found, numbers, _place_terms(start, middle, end))
     return np.where(found, pieces.ranks[at], np.int32(pieces.size)), np.where(found, pieces.results[at], np.int32(0))
 
 
 def _merge_side_by_side(
-    codes: np.ndarray, keys: np.ndarray, dropout: float, pieces: Pieces
+    codes: np.ndarray, keys: np.ndarray, dropout: float, pieces: Pieces, numbers: np.ndarray, trace: Trace | None
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places and symbols of chunks of one length, as they get ready: each round every chunk still
     going makes its best merge."""
@@ -175,7 +213,7 @@ def _merge_side_by_side(
     places = np.arange(rows)
     ranks, results = _candidates(
         symbols[:, :-1].ravel(), symbols[:, 1:].ravel(), starts[:, :-2].ravel(), starts[:, 1:-1].ravel(),
-        starts[:, 2:].ravel(), np.repeat(keys, width - 1), dropout, pieces,
+        starts[:, 2:].ravel(), np.repeat(keys, width - 1), dropout, pieces, np.repeat(numbers, width - 1), trace,
     )
     ranks, results = ranks.reshape(rows, width - 1), results.reshape(rows, width - 1)
     while width > 1 and len(places):
@@ -201,7 +239,7 @@ def _merge_side_by_side(
             k = at[near]
             ranks[near, k], results[near, k] = _candidates(
                 symbols[near, k], symbols[near, k + 1], starts[near, k], starts[near, k + 1], starts[near, k + 2],
-                keys[near], dropout, pieces,
+                keys[near], dropout, pieces, numbers[places[near]], trace,
             )
     if len(places):
         yield places, symbols
@@ -215,38 +253,44 @@ def _with_bytes(symbols: Sequence[int], pieces: Pieces) -> list[int]:
 
 
 class Ragged:
-    """Rows of piece ids, one after the other in a flat array."""
+    """Rows of numbers, one after the other in a flat array."""
 
     def __init__(self, lengths: np.ndarray, flat: np.ndarray):
         self.lengths, self.flat = lengths, flat
         self.starts = np.cumsum(lengths) - lengths
 
-    def take(self, rows: np.ndarray) -> np.ndarray:
-        """The ids of these rows, joined."""
+    def slots(self, rows: np.ndarray) -> np.ndarray:
+        """Where the numbers of these rows are in the flat array."""
         lengths = self.lengths[rows]
         ends = np.cumsum(lengths)
-        return self.flat[np.repeat(self.starts[rows] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        return np.repeat(self.starts[rows] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+    def take(self, rows: np.ndarray) -> np.ndarray:
+        """The numbers of these rows, joined."""
+        return self.flat[self.slots(rows)]
 
     def extended(self, other: Ragged) -> Ragged:
         return Ragged(np.concatenate([self.lengths, other.lengths]), np.concatenate([self.flat, other.flat]))
 
 
-def encode_chunks(chunks: Sequence[str], keys: Sequence[int], dropout: float, pieces: Pieces) -> Ragged:
-    """The piece ids of every chunk."""
+def encode_chunks(
+    chunks: Sequence[str], keys: Sequence[int], dropout: float, pieces: Pieces, trace: Trace | None = None
+) -> Ragged:
+    """The piece ids of every chunk. ``trace`` is for chunks merged side by side."""
     sizes = np.fromiter(map(len, chunks), dtype=np.int64, count=len(chunks))
     hashes = np.array(keys, dtype=np.uint64)
     lengths = np.zeros(len(chunks), dtype=np.int64)
     ready: list[tuple[np.ndarray, np.ndarray]] = []
     single: list[tuple[int, list[int]]] = []
-    for size in np.unique(sizes).tolist():
-        places = np.flatnonzero(sizes == size)
+    groups = [(size, np.flatnonzero(sizes == size)) for size in np.unique(sizes).tolist()]
+    for size, places in ((size, group[k : k + ROWS_AT_ONCE]) for size, group in groups for k in range(0, len(group), ROWS_AT_ONCE)):
         if size > SIDE_BY_SIDE_CHARS:
             for i in places.tolist():
                 single.append((i, _with_bytes(encode_chunk(chunks[i], keys[i], dropout, pieces), pieces)))
             continue
         joined = "".join([chunks[i] for i in places.tolist()]).encode("utf-32-le", "surrogatepass")
         codes = np.frombuffer(joined, dtype="<u4").astype(np.int64).reshape(len(places), size)
-        for own, symbols in _merge_side_by_side(codes, hashes[places], dropout, pieces):
+        for own, symbols in _merge_side_by_side(codes, hashes[places], dropout, pieces, places, trace):
             plain = (symbols >= 0).all(axis=1)
             for i in np.flatnonzero(~plain).tolist():
                 single.append((int(places[own[i]]), _with_bytes(symbols[i].tolist(), pieces)))
@@ -267,40 +311,101 @@ def _split(text: str) -> list[str]:
 
 
 class Encoder:
-    """Encodes texts together, each distinct chunk and variant once while it is remembered."""
+    """Encodes texts together. Every occurrence of a chunk draws its own skips; the paths that several
+    occurrences take are worked out once while they are remembered."""
 
-    def __init__(self, pieces: Pieces, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS):
-        self.pieces, self.dropout, self.seed = pieces, dropout, seed
-        self.variants = variants if dropout else 1
+    def __init__(self, pieces: Pieces, dropout: float = DROPOUT, seed: int = SEED, variants: int | None = VARIANTS):
+        self.pieces, self.dropout, self.seed, self.variants = pieces, dropout, seed, variants
         self._forget()
 
     def _forget(self) -> None:
-        self.known: list[dict[str, int]] = [{} for _ in range(self.variants)]
+        self.known: dict[str, int] = {}
+        #: The path of each known chunk that skips nothing; -1 where it is not worked out.
+        self.roots = np.zeros(0, dtype=np.int64)
+        # By path: pieces, candidates skipped, other candidates that come up, and the path that skips one of these as well.
         self.ids = Ragged(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32))
+        self.skipped = np.zeros((0, PATH_SKIPS), dtype=np.uint64)
+        self.terms = Ragged(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64))
+        self.next = np.zeros(0, dtype=np.int64)
+
+    def _keys(self, cuts: list[list[str]], keys: Sequence[object]) -> np.ndarray:
+        """The hash key of each chunk of these texts, one after the other."""
+        own = np.array([xxhash.xxh64_intdigest(repr(key), self.seed) for key in keys], dtype=np.uint64)
+        sizes = np.fromiter(map(len, cuts), dtype=np.int64, count=len(cuts))
+        place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        drawn = _mixed(np.repeat(own, sizes) + (place + 1).astype(np.uint64) * np.uint64(_MIX[0]))
+        if not self.variants:
+            return drawn
+        turns = [variant_seed(self.seed, v) for v in (drawn % np.uint64(self.variants)).tolist()]
+        return np.array([*map(xxhash.xxh64_intdigest, chain.from_iterable(cuts), turns)], dtype=np.uint64)
+
+    def _work_out(self, chunks: list[str], skipped: np.ndarray) -> np.ndarray:
+        """New paths of these chunks, each skipping its own candidates."""
+        first, trace = len(self.ids.lengths), Trace(skipped)
+        self.ids = self.ids.extended(encode_chunks(chunks, [0] * len(chunks), 0, self.pieces, trace))
+        self.skipped = np.concatenate([self.skipped, skipped])
+        self.terms = self.terms.extended(trace.candidates())
+        self.next = np.append(self.next, np.full(len(self.terms.flat) - len(self.next), -1))
+        return np.arange(first, first + len(chunks))
+
+    def _first_skips(self, paths: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of these occurrences skip a candidate of their path, and where the first such is in ``terms``."""
+        slots = self.terms.slots(paths)
+        lengths = self.terms.lengths[paths]
+        below = np.flatnonzero(_mixed(np.repeat(keys, lengths) + self.terms.flat[slots]) < np.uint64(skip_limit(self.dropout)))
+        owners = np.repeat(np.arange(len(paths)), lengths)[below]
+        first = np.append(True, owners[1:] != owners[:-1])[: len(owners)]
+        return owners[first], slots[below[first]]
+
+    def _paths(self, flat: list[str], numbers: np.ndarray, drawn: np.ndarray) -> np.ndarray:
+        """The path of each occurrence, -1 where it is not worth remembering."""
+        found = np.full(len(flat), -1, dtype=np.int64)
+        paths = self.roots[numbers]
+        going = np.flatnonzero(paths >= 0)
+        for depth in range(PATH_SKIPS + 1):
+            paths = paths[paths >= 0] if depth else paths[going]
+            skip, slots = self._first_skips(paths, drawn[going])
+            clean = np.ones(len(going), dtype=bool)
+            clean[skip] = False
+            found[going[clean]] = paths[clean]
+            if depth == PATH_SKIPS or not len(skip):
+                break
+            going, paths = going[skip], paths[skip]
+            missing = np.flatnonzero(self.next[slots] < 0)
+            new, at, times = np.unique(slots[missing], return_index=True, return_counts=True)
+            new, at = new[times >= PATH_TIMES], missing[at[times >= PATH_TIMES]]
+            skipped = self.skipped[paths[at]]
+            skipped[:, depth] = self.terms.flat[new]
+            self.next[new] = self._work_out([flat[i] for i in going[at].tolist()], skipped)
+            paths = self.next[slots]
+            going = going[paths >= 0]
+        return found
 
     def encode(self, texts: Sequence[str], keys: Sequence[object]) -> list[np.ndarray]:
-        n = self.variants
-        if len(self.ids.lengths) > REMEMBERED_CHUNKS:
+        if len(self.known) > REMEMBERED_CHUNKS or len(self.ids.lengths) > REMEMBERED_PATHS:
             self._forget()
-        chunks: list[str] = []
-        hashes: list[int] = []
-        places: list[np.ndarray] = []
-        total = len(self.ids.lengths)
-        for text, key in zip(texts, keys):
-            cut = _split(text)
-            offset = xxhash.xxh64_intdigest(repr(key), self.seed) % n
-            place = np.empty(len(cut), dtype=np.int64)
-            for v in range(n):
-                seen, own = self.known[(offset + v) % n], cut[v::n]
-                fresh = list(set(own).difference(seen))
-                seen.update(zip(fresh, range(total, total + len(fresh))))
-                total += len(fresh)
-                chunks += fresh
-                hashes += map(xxhash.xxh64_intdigest, fresh, repeat(variant_seed(self.seed, (offset + v) % n)))
-                place[v::n] = np.fromiter(map(seen.__getitem__, own), dtype=np.int64, count=len(own))
-            places.append(place)
-        self.ids = self.ids.extended(encode_chunks(chunks, hashes, self.dropout, self.pieces))
-        return [self.ids.take(place) for place in places]
+        cuts = [_split(text) for text in texts]
+        before = len(self.known)
+        for cut in cuts:
+            fresh = set(cut).difference(self.known)
+            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
+        flat = list(chain.from_iterable(cuts))
+        numbers = np.fromiter(map(self.known.__getitem__, flat), dtype=np.int64, count=len(flat))
+        self.roots = np.append(self.roots, np.full(len(self.known) - before, -1, dtype=np.int64))
+        # Chunks that come again; those longer than SIDE_BY_SIDE_CHARS are always merged by themselves.
+        first, at, times = np.unique(numbers, return_index=True, return_counts=True)
+        wanted = at[((times > 1) | (first < before)) & (self.roots[first] < 0)].tolist()
+        wanted = [i for i in wanted if len(flat[i]) <= SIDE_BY_SIDE_CHARS]
+        self.roots[numbers[wanted]] = self._work_out([flat[i] for i in wanted], np.zeros((len(wanted), PATH_SKIPS), dtype=np.uint64))
+        drawn = self._keys(cuts, keys)
+        paths = self._paths(flat, numbers, drawn)
+        single = np.flatnonzero(paths < 0)
+        paths[single] = np.arange(len(self.ids.lengths), len(self.ids.lengths) + len(single))
+        ids = self.ids.extended(
+            encode_chunks([flat[i] for i in single.tolist()], drawn[single].tolist(), self.dropout, self.pieces)
+        )
+        ends = np.cumsum([len(cut) for cut in cuts], dtype=np.int64)
+        return [ids.take(paths[end - len(cut) : end]) for cut, end in zip(cuts, ends.tolist())]
 
 
 def decode(ids: Iterable[int], pieces: Pieces) -> str:
@@ -333,7 +438,7 @@ def encode_documents(
     key_column: str = "doc_id",
     dropout: float = DROPOUT,
     seed: int = SEED,
-    variants: int = VARIANTS,
+    variants: int | None = VARIANTS,
     model_path: str = MODEL_PATH,
 ) -> DataFrame:
     """``docs`` with piece_ids, n_pieces and lossless (whether decoding gave the text back; null for null).

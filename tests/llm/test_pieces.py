@@ -71,3 +71,22 @@ def test_documents_nulls_repeats_and_clashing_columns(spark, texts):
     assert found[0].piece_ids == found[2].piece_ids and found[3].piece_ids == []
     assert [r.text for r in decode_documents(got).collect()] == [r[1] for r in rows]
     assert encode_documents(docs.limit(0)).count() == 0
+
+
+def test_every_occurrence_draws_its_own_merges():
+    line = "unbelievable representations of internationalization"
+    got = Encoder(load()).encode([line] * 300, range(300))
+    assert len({tuple(g) for g in got}) > 30
+    words = [tuple(Encoder(load()).encode([" ".join(["representations"] * 300)], [key])[0]) for key in (1, 2)]
+    assert words[0] != words[1]
+    # An occurrence has the pieces that it has when it is merged alone, remembered paths or not.
+    texts = [line, "the cat " * 40, "x" * 50, "日本 the"] * 30
+    for dropout in (0.0, 0.1, 0.5, 1.0):
+        encoder = Encoder(load(), dropout)
+        for _ in range(2):
+            got = encoder.encode(texts, range(len(texts)))
+            cuts = [_split(t) for t in texts]
+            drawn = iter(encoder._keys(cuts, range(len(texts))).tolist())
+            for cut, ids in zip(cuts, got):
+                alone = [_with_bytes(encode_chunk(chunk, next(drawn), dropout, load()), load()) for chunk in cut]
+                assert sum(alone, []) == ids.tolist()
