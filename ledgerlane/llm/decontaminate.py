@@ -8,8 +8,8 @@ document windows are joined, and around every hit the two texts are compared tok
 shifting: a document is contaminated when ``MIN_OVERLAP`` neighbouring tokens (the whole item, if it
 is shorter) agree in at least ``MIN_AGREEMENT`` of the places.
 
-A window of 15 tokens with up to two substitutions anywhere is always hit, one with three in 90 % of
-the cases; longer passages have more windows. Items shorter than the seeds are hashed whole, so they
+A window of 15 tokens with up to three substitutions anywhere, as many as the comparison accepts, is
+always hit; an overlap within a longer item has such a window. Items shorter than the seeds are hashed whole, so they
 match exactly; items of fewer than ``SHORTEST_ITEM`` tokens say nothing about a document and are not
 looked for. Null and empty texts match nothing. Items with equal tokens are reported once, under
 the smallest item_id, with their number.
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ledgerlane.functions.durable import durable
 
-MASKS = ["10101100111", "11110101001", "11000011111"]
+MASKS = ["10011100111", "10100101111", "10100110111", "11000111101", "11011101001", "11110100011"]
 SPAN = 11
 MIN_OVERLAP = 15
 MIN_AGREEMENT = 0.8

@@ -1,5 +1,6 @@
 """Planted benchmark passages, with substitutions, against a comparison of all places."""
 
+import itertools
 import random
 
 import numpy as np
@@ -48,6 +49,25 @@ def test_every_two_substitutions_leave_a_hit():
             assert any(not p & {a, b} for p in places)
 
 
+def test_every_three_substitutions_leave_a_hit():
+    places = [{k + at for k, c in enumerate(mask) if c == "1"} for mask in MASKS for at in range(MIN_OVERLAP - len(mask) + 1)]
+    assert all(any(not p & {*changed} for p in places) for changed in itertools.combinations(range(MIN_OVERLAP), 3))
+
+
+def test_planted_passages_with_three_substitutions(spark):
+    rng = random.Random(5)
+    items = [prose(rng, n) for n in (15, 16, 17, 18, 30)]
+    docs, want = [], set()
+    for d, changed in enumerate(itertools.combinations(range(15), 3)):
+        passage = [w if k not in changed else "zz" for k, w in enumerate(items[d % 5])]
+        words = prose(rng, 20) + passage + prose(rng, 20)
+        docs.append((d, " ".join(words)))
+        want |= {(d, i) for i, item in enumerate(items) if plain_overlap(words, item)}
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    found = overlaps(spark.createDataFrame(docs, "doc_id long, text string"), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == want and len(want) == len(docs)
+
+
 @pytest.mark.parametrize("block", [1 << 22, 600])
 def test_planted_passages(spark, monkeypatch, block):
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
