@@ -9,14 +9,17 @@ shifting: a document is contaminated when ``MIN_OVERLAP`` neighbouring tokens (t
 is shorter) agree in at least ``MIN_AGREEMENT`` of the places.
 
 A window of 15 tokens with up to three substitutions anywhere, as many as the comparison accepts, is
-always hit; an overlap within a longer item has such a window. Items shorter than the seeds are hashed whole, so they
-match exactly; items of fewer than ``SHORTEST_ITEM`` tokens say nothing about a document and are not
-looked for. Null and empty texts match nothing. Items with equal tokens are reported once, under
+always hit; an overlap within a longer item has such a window. A shorter item is hashed whole, with masks
+of its own length that leave a hit for as many substitutions as the comparison accepts: two from 10
+tokens on, one from 5 on, none below. Items of fewer than ``SHORTEST_ITEM`` tokens say little about a
+document, so they are looked for only on demand, and no document is dropped for them. Null and empty texts match nothing. Items with equal tokens are reported once, under
 the smallest item_id, with their number.
 """
 
 from __future__ import annotations
 
+import functools
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -106,6 +109,25 @@ def window_hashes(words: np.ndarray, mask: str) -> np.ndarray:
     return _mixed(total)
 
 
+@functools.cache
+def item_masks(n: int) -> list[str]:
+    """The masks for items of ``n`` tokens: for every choice of substituted places that still counts as overlap,
+    one of them (below MIN_OVERLAP tokens) or of their shifts ignores all these places."""
+    if n >= MIN_OVERLAP:
+        return MASKS
+    changes = max(c for c in range(n) if n - c >= MIN_AGREEMENT * n)
+    if not changes:
+        return ["1" * n]
+    blocks = [frozenset(b) for b in itertools.combinations(range(n), n // 2 - 1)]
+    left = {frozenset(c) for c in itertools.combinations(range(n), changes)}
+    masks: list[str] = []
+    while left:
+        ignored = max(blocks, key=lambda block: sum(c <= block for c in left))
+        left = {c for c in left if not c <= ignored}
+        masks.append("".join("0" if k in ignored else "1" for k in range(n)))
+    return masks
+
+
 def _filter_places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (hashes % np.uint64(FILTER_BITS)).astype(np.int64), ((hashes >> np.uint64(32)) % np.uint64(FILTER_BITS)).astype(np.int64)
 
@@ -145,8 +167,8 @@ def _blocks(texts: pa.Array) -> Iterator[list[tuple[int, int, bytes]]]:
     yield block
 
 
-def _items(benchmark: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """One row per distinct token sequence: item_id, copies, words."""
+def _items(benchmark: DataFrame, id_column: str, text_column: str, shortest: int) -> DataFrame:
+    """One row per distinct token sequence of at least ``shortest`` tokens: item_id, copies, words."""
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,7 +183,7 @@ def _items(benchmark: DataFrame, id_column: str, text_column: str) -> DataFrame:
     items = benchmark.select(F.col(id_column).cast("long").alias("item_id"), text_column)
     return (
         items.mapInArrow(tokenise, "item_id long, words array<long>")
-        .where(F.size("words") >= SHORTEST_ITEM)
+        .where(F.size("words") >= max(1, shortest))
         .groupBy("words")
         .agg(F.min("item_id").alias("item_id"), F.count("*").alias("item_copies"))
         .withColumn("item_key", F.xxhash64("words"))
@@ -175,8 +197,7 @@ def _item_windows(items: DataFrame) -> DataFrame:
         for batch in batches:
             for key, row in zip(batch.column(0).to_pylist(), batch.column(1)):
                 words = row.values.to_numpy(zero_copy_only=False).view(np.uint64)
-                masks = MASKS if len(words) >= SPAN else ["1" * len(words)]
-                for mask in masks:
+                for mask in item_masks(len(words)):
                     hashes = window_hashes(words, mask).view(np.int64)
                     n = len(hashes)
                     yield pa.RecordBatch.from_arrays(
@@ -212,7 +233,7 @@ def _seeded_regions(docs: DataFrame, bits: np.ndarray, short: list[int]) -> Data
     """
     context = docs.sparkSession.sparkContext
     shared = context.broadcast(bits)
-    masks = [*MASKS, *("1" * n for n in short)]
+    masks = [*MASKS, *(mask for n in short for mask in item_masks(n))]
 
     def seek(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -322,23 +343,29 @@ def overlaps(
     text_column: str = "text",
     item_id_column: str = "item_id",
     item_text_column: str = "text",
+    shortest_item: int = SHORTEST_ITEM,
 ) -> DataFrame:
     """One row per document and item that overlap: doc_id, text_key (a hash that tells apart rows of
     one id), item_id, item_copies, item_tokens, agreeing and overlap (tokens of the longest overlap),
-    start_byte and end_byte (its place in the document's UTF-8 text)."""
-    items = durable(_items(benchmark, item_id_column, item_text_column), "benchmark-items")
+    start_byte and end_byte (its place in the document's UTF-8 text). Items of fewer than
+    ``shortest_item`` tokens are not looked for."""
+    items = durable(_items(benchmark, item_id_column, item_text_column, shortest_item), "benchmark-items")
     windows = durable(_item_windows(items), "benchmark-windows")
-    # Lengths below SPAN are at most a handful of numbers.
-    short = [r.n for r in items.select(F.size("words").alias("n")).where(F.col("n") < SPAN).distinct().collect()]
+    # Lengths below MIN_OVERLAP are at most a handful of numbers.
+    short = [r.n for r in items.select(F.size("words").alias("n")).where(F.col("n") < MIN_OVERLAP).distinct().collect()]
     keyed = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_key(F.col(text_column)).alias("text_key"), text_column)
     regions = durable(_seeded_regions(keyed, _filter_bits(windows), sorted(short)).distinct(), "seeded-regions")
     seeds = regions.select(
         "doc_id", "text_key", "region", F.explode(F.arrays_zip("masks", "hashes", "places")).alias("seed")
     ).select("doc_id", "text_key", "region", F.col("seed.masks").alias("mask"), F.col("seed.hashes").alias("hash"), F.col("seed.places").alias("at"))
+    # Of matches of a whole item without substitutions, the first of a region tells all.
+    shift = F.col("at") - F.col("item_at")
+    apart = F.when(F.col("mask").contains("0"), shift).alias("apart")
     hits = (
         seeds.join(windows, ["mask", "hash"])
-        .select("doc_id", "text_key", "region", "item_key", (F.col("at") - F.col("item_at")).alias("shift"))
-        .distinct()
+        .groupBy("doc_id", "text_key", "region", "item_key", apart)
+        .agg(F.min(shift).alias("shift"))
+        .drop("apart")
     )
     sides = items.select("item_key", "item_id", "item_copies", F.col("words").alias("item_words"), F.size("words").alias("item_tokens"))
     place = ["text_key", "region"]

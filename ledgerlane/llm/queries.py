@@ -33,7 +33,7 @@ def sentencepiece_codec(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    return overlaps(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+    return overlaps(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"), shortest_item=1)
 
 
 def language_id(spark: SparkSession, folder: str) -> DataFrame:

@@ -68,6 +68,25 @@ def test_planted_passages_with_three_substitutions(spark):
     assert {(r.doc_id, r.item_id) for r in found} == want and len(want) == len(docs)
 
 
+def test_short_items(spark):
+    rng = random.Random(6)
+    items = [prose(rng, n) for n in range(1, 15)]
+    docs, want = [], set()
+    for n, item in enumerate(items, start=1):
+        accepted = max(c for c in range(n) if n - c >= MIN_AGREEMENT * n)
+        for changed in itertools.combinations(range(n), accepted):
+            passage = ["zz" if k in changed else w for k, w in enumerate(item)]
+            words = prose(rng, 15) + passage + prose(rng, 15) + passage + prose(rng, 15)
+            want |= {(len(docs), i) for i, other in enumerate(items) if plain_overlap(words, other)}
+            docs.append((len(docs), " ".join(words)))
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in overlaps(table, benchmark, shortest_item=1).collect()}
+    assert got == want and len(want) >= len(docs)
+    by_default = {(r.doc_id, r.item_id) for r in overlaps(table, benchmark).collect()}
+    assert by_default == {(d, i) for d, i in got if len(items[i]) >= 5}
+
+
 @pytest.mark.parametrize("block", [1 << 22, 600])
 def test_planted_passages(spark, monkeypatch, block):
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
