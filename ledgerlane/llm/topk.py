@@ -12,7 +12,8 @@ list a candidate has a partial score, and its score is the sum over the lists.
 Queries go in blocks of bounded size, each block against all candidates. At most k + 1 of equal
 vectors can be in any result, the ones with the smallest ids, so the others need no scores.
 
-Vectors that are null, or hold null or non-finite components, or have no id, take no part. A shorter
+Every distinct row of id and vector has a number, by which queries and candidates are told apart all
+the way; ids come back at the end. Vectors that are null, or hold null or non-finite components, or have no id, take no part. A shorter
 vector counts as ending in zeros, and an empty one scores 0. Rows that repeat both id and vector
 count once; rows that share only the id are candidates of their own, and are never candidates for a
 query of that id. Ties go to the smaller vec_id. An empty table gives an empty result.
@@ -36,8 +37,8 @@ QUERY_BLOCK = 1024
 ROWS_AT_ONCE = 2048
 TIE_SALTS = 16
 
-ENTRY_SCHEMA = "query long, list int, candidate long, partial long"
-ENTRY_NAMES = ["query", "list", "candidate", "partial"]
+ENTRY_SCHEMA = "query long, list int, candidate long, vec_id long, partial long"
+ENTRY_NAMES = ["query", "list", "candidate", "vec_id", "partial"]
 
 
 def integer_vectors(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
@@ -56,7 +57,7 @@ def _without_surplus_ties(rows: DataFrame, keep: int) -> DataFrame:
     for group in (["vector", "salt"], ["vector"]):
         order = Window.partitionBy(*group).orderBy("id")
         rows = rows.withColumn("salt", salt).withColumn("place", F.row_number().over(order)).where(F.col("place") <= keep)
-        rows = rows.select("id", "vector")
+        rows = rows.select("row", "id", "vector")
     return rows
 
 
@@ -81,40 +82,41 @@ def _products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 class _QueryBlock:
     """Queries whose vectors, and later cutoffs, every task gets."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, lists: int):
-        self.ids, self.vectors = ids, vectors
+    def __init__(self, rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray, lists: int):
+        self.rows, self.ids, self.vectors = rows, ids, vectors
         self.columns = np.array_split(np.arange(vectors.shape[1]), lists)
 
     def partials(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """(list, candidate ids, partial scores by query, whether they count) of every few candidates."""
+        """(list, candidate rows and ids, partial scores by query, whether they count) of every few candidates."""
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(start, ROWS_AT_ONCE)
-                ids = part.column(0).to_numpy(zero_copy_only=False)
-                matrix = _matrix(part.column(1), self.vectors.shape[1])
-                others = self.ids[:, None] != ids[None, :]
+                own = np.stack([part.column(k).to_numpy(zero_copy_only=False) for k in (0, 1)])
+                matrix = _matrix(part.column(2), self.vectors.shape[1])
+                others = self.ids[:, None] != own[1][None, :]
                 for k, columns in enumerate(self.columns):
-                    yield k, ids, _products(self.vectors[:, columns], matrix[:, columns]), others
+                    yield k, own, _products(self.vectors[:, columns], matrix[:, columns]), others
 
-    def entries(self, place: int, ids: np.ndarray, scores: np.ndarray, wanted: np.ndarray) -> pa.RecordBatch:
+    def entries(self, place: int, own: np.ndarray, scores: np.ndarray, wanted: np.ndarray) -> pa.RecordBatch:
         q, c = np.nonzero(wanted)
-        columns = [pa.array(self.ids[q]), pa.array(np.full(len(q), place, dtype=np.int32)), pa.array(ids[c]), pa.array(scores[q, c])]
+        lists = np.full(len(q), place, dtype=np.int32)
+        columns = [pa.array(x) for x in (self.rows[q], lists, own[0][c], own[1][c], scores[q, c])]
         return pa.RecordBatch.from_arrays(columns, names=ENTRY_NAMES)
 
     def best_entries(self, candidates: DataFrame, k: int) -> DataFrame:
         """Of every few candidates the k best partial scores per query and list."""
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for place, ids, scores, others in self.partials(batches):
+            for place, own, scores, others in self.partials(batches):
                 wanted = others.copy()
-                if len(ids) > k + 1:
+                if own.shape[1] > k + 1:
                     ranked = np.where(others, scores, np.iinfo(np.int64).min)
                     wanted = np.zeros_like(others)
                     np.put_along_axis(wanted, np.argpartition(-ranked, k - 1, axis=1)[:, :k], True, axis=1)
                     wanted &= others
-                yield self.entries(place, ids, scores, wanted)
+                yield self.entries(place, own, scores, wanted)
 
-        return candidates.select("id", "vector").mapInArrow(search, ENTRY_SCHEMA)
+        return candidates.select("row", "id", "vector").mapInArrow(search, ENTRY_SCHEMA)
 
     def entries_from(self, candidates: DataFrame, cutoffs: np.ndarray) -> DataFrame:
         """All entries that reach an equal share of their query's cutoff."""
@@ -122,10 +124,10 @@ class _QueryBlock:
         share = -(-cutoffs // lists)  # the smallest integer at or above cutoff / lists
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for place, ids, scores, others in self.partials(batches):
-                yield self.entries(place, ids, scores, others & (scores >= share[:, None]))
+            for place, own, scores, others in self.partials(batches):
+                yield self.entries(place, own, scores, others & (scores >= share[:, None]))
 
-        return candidates.select("id", "vector").mapInArrow(search, ENTRY_SCHEMA)
+        return candidates.select("row", "id", "vector").mapInArrow(search, ENTRY_SCHEMA)
 
 
 def _inner_product(left: str, right: str) -> Column:
@@ -135,14 +137,14 @@ def _inner_product(left: str, right: str) -> Column:
 
 def _resolved(pairs: DataFrame, queries: DataFrame, candidates: DataFrame) -> DataFrame:
     """The exact score of (query, candidate) pairs."""
-    asked = queries.select(F.col("id").alias("query"), F.col("vector").alias("query_vector"))
-    given = candidates.select(F.col("id").alias("candidate"), "vector")
+    asked = queries.select(F.col("row").alias("query"), F.col("vector").alias("query_vector"))
+    given = candidates.select(F.col("row").alias("candidate"), F.col("id").alias("vec_id"), "vector")
     scored = pairs.join(given, "candidate").join(asked, "query")
-    return scored.select("query", "candidate", _inner_product("query_vector", "vector").alias("score"))
+    return scored.select("query", "candidate", "vec_id", _inner_product("query_vector", "vector").alias("score"))
 
 
 def _first(rows: DataFrame, group: list[str], score: str, k: int) -> DataFrame:
-    order = Window.partitionBy(*group).orderBy(F.desc(score), "candidate")
+    order = Window.partitionBy(*group).orderBy(F.desc(score), "vec_id", "candidate")
     return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
@@ -150,25 +152,28 @@ def _top_k_of_block(queries: DataFrame, candidates: DataFrame, width: int, k: in
     rows = queries.toPandas()
     if len(rows) > 2 * QUERY_BLOCK:
         raise ValueError("a block of queries is over its bound")
-    block = _QueryBlock(
-        rows["id"].to_numpy(dtype=np.int64), _matrix(pa.array(list(rows["vector"]), pa.list_(pa.int64())), width), lists
-    )
+    vectors = _matrix(pa.array(list(rows["vector"]), pa.list_(pa.int64())), width)
+    block = _QueryBlock(rows["row"].to_numpy(dtype=np.int64), rows["id"].to_numpy(dtype=np.int64), vectors, lists)
     # Phase 1: local lists, and from their best candidates a safe cutoff.
     named = _first(block.best_entries(candidates, k), ["query", "list"], "partial", k).select("query", "candidate").distinct()
     leaders = _first(_resolved(named, queries, candidates), ["query"], "score", k)
     cutoff_rows = leaders.groupBy("query").agg(F.min("score").alias("cutoff"), F.count("*").alias("n")).toPandas()
     lowest = np.iinfo(np.int64).min // 2
     known = {q: c for q, c, n in cutoff_rows.itertuples(index=False) if n == k}
-    cutoffs = np.array([known.get(q, lowest) for q in block.ids.tolist()], dtype=np.int64)
+    cutoffs = np.array([known.get(q, lowest) for q in block.rows.tolist()], dtype=np.int64)
     # Phase 2: every entry that reaches its share of the cutoff.
     collected = durable(
-        block.entries_from(candidates, cutoffs).groupBy("query", "candidate").agg(F.sum("partial").alias("score"), F.count("*").alias("n")),
+        block.entries_from(candidates, cutoffs)
+        .groupBy("query", "candidate", "vec_id")
+        .agg(F.sum("partial").alias("score"), F.count("*").alias("n")),
         "topk-collected",
     )
     # Phase 3: the scores of candidates that lack an entry.
-    whole = collected.where(F.col("n") == lists).select("query", "candidate", "score")
+    whole = collected.where(F.col("n") == lists).select("query", "candidate", "vec_id", "score")
     partly = _resolved(collected.where(F.col("n") < lists).select("query", "candidate"), queries, candidates)
-    found = durable(_first(whole.union(partly), ["query"], "score", k), "topk-found")
+    asked = queries.select(F.col("row").alias("query"), F.col("id").alias("query_id"))
+    best = _first(whole.union(partly), ["query"], "score", k)
+    found = durable(best.join(asked, "query").select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"), "topk-found")
     drop_durable(collected)
     return found
 
@@ -186,20 +191,19 @@ def exact_top_k(
     ``is_query`` is a condition on the column ``id``.
     """
     spark = vectors.sparkSession
-    rows = durable(integer_vectors(vectors, id_column, vector_column), "topk-vectors")
+    # The numbers hold because they are written before anything reads them.
+    distinct = integer_vectors(vectors, id_column, vector_column)
+    rows = durable(distinct.withColumn("row", F.monotonically_increasing_id()), "topk-vectors")
     asked = durable(rows.where(is_query), "topk-queries")
     candidates = durable(_without_surplus_ties(rows, k + 1), "topk-candidates")
     width = rows.agg(F.max(F.size("vector"))).first()[0] or 0
     blocks = -(-asked.count() // QUERY_BLOCK)
     found: list[DataFrame] = []
     for block in range(blocks):
-        own = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block)
+        own = asked.where(F.pmod(F.xxhash64("row"), F.lit(blocks)) == block)
         found.append(_top_k_of_block(own, candidates, width, k, lists))
     if not found:
-        empty = rows.limit(0).select(F.col("id").alias("query"), F.col("id").alias("candidate"), F.lit(0).cast("long").alias("score"), F.lit(0).alias("rank"))
-        result = empty
-    else:
-        result = spark.read.schema(found[0].schema).parquet(*(f._durable_path for f in found))
-    return result.select(
-        F.col("query").alias("query_id"), F.col("rank").cast("int").alias("rank"), F.col("candidate").alias("vec_id"), "score"
-    )
+        return rows.limit(0).select(
+            F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("score")
+        )
+    return spark.read.schema(found[0].schema).parquet(*(f._durable_path for f in found))

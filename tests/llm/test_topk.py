@@ -43,6 +43,15 @@ def test_random_vectors_with_ties_and_odd_rows(spark, lists, monkeypatch):
     assert found(spark, rows, 5, 5, lists=lists) == brute_force([r[:2] for r in rows], 5, 5)
 
 
+@pytest.mark.parametrize("lists", [1, 2, 3])
+def test_ids_shared_by_different_vectors(spark, lists, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 16)
+    rng = np.random.default_rng(9)
+    rows = [(i % 40, [float(np.float32(x)) for x in rng.normal(size=6)], 1, "s") for i in range(160)]
+    rows += [(i, rows[0][1], 1, "s") for i in (0, 5, 7, 7, 50)]
+    assert found(spark, rows, 4, 5, lists=lists) == brute_force([r[:2] for r in rows], 4, 5)
+
+
 def test_fewer_candidates_than_k_and_empty_tables(spark):
     rows = [(0, [1.0], 1, "s"), (1, [2.0], 1, "s"), (2, [-2.0], 1, "s")]
     assert found(spark, rows, 5, 2) == brute_force([r[:2] for r in rows], 5, 2)
