@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlane.llm import chat, sharding
+from ledgerlane.llm import audit, chat, sharding, trie
 from ledgerlane.llm.decontaminate import overlaps
+from ledgerlane.llm.jaccard import similar_components
 from ledgerlane.llm.language import identify
 from ledgerlane.llm.pieces import encode_documents
 from ledgerlane.llm.quality import score_quality
@@ -61,6 +62,18 @@ def toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return score_toxicity(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 
 
+def filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.filter_audit(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
+def conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.conversation_trie(read_table(spark, folder, "conversations"))
+
+
+def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return similar_components(read_table(spark, folder, "documents"))
+
+
 TOP_K_SQL = """
 with vectors as (
   select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
@@ -89,10 +102,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": quality_classifier,
     "op9_benchmark_decontamination": benchmark_decontamination,
     "op10_toxicity": toxicity,
+    "op11_filter_audit": filter_audit,
+    "op12_conversation_trie": conversation_trie,
+    "op13_jaccard_join": jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_sharding": sharding.oracle_sql(),
     "op5_chat_formatting": chat.ORACLE_SQL,
     "op7_exact_top_k": TOP_K_SQL,
+    "op11_filter_audit": audit.ORACLE_SQL,
+    "op12_conversation_trie": trie.ORACLE_SQL,
 }

@@ -12,7 +12,7 @@ FOLDER = "/root/testdata/sf0.01"
 
 
 def test_names():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(ORACLE_SQL) < set(QUERIES)
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "toxicity", "quality_classifier", "simhash_dedup", "decontamination", "sentencepiece"
