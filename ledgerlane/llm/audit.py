@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -120,19 +121,45 @@ def sparse_rows(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     return durable(own.mapInArrow(_cells, CELLS_SQL), "audit-cells")
 
 
-def word_numbers(words: DataFrame) -> DataFrame:
-    """(word, number): every distinct word of column ``word`` with a number from 0 on, without gaps.
+def word_places(cells: DataFrame) -> DataFrame:
+    """Where the words of all shards come to stand, written once: shard (``holder``), local number, and the place
+    among the distinct words of one task. The first row of a word carries the word itself.
 
-    Tasks number their own words; a table of one row per task says where each begins.
+    Words are shuffled once and numbered as they pass by in order; the numbers of tasks are put one behind
+    the other in ``_numbered``.
     """
-    spread = 33  # bits of the number within a task
-    placed = durable(words.select("word").distinct().withColumn("place", F.monotonically_increasing_id()), "audit-words")
-    task = F.shiftright("place", spread)
+    words = cells.where("word is not null").select(F.col("shard").alias("holder"), F.col("row").alias("local"), "word")
+    names = ["holder", "local", "word", "task", "place"]
+    schema = pa.schema(list(zip(names, [pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int64()])))
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, last, next_place = TaskContext.get().partitionId(), pa.nulls(1, pa.binary()), 0
+        for batch in batches:
+            if batch.num_rows:
+                own = batch.column(2)
+                before = pa.concat_arrays([last, own[:-1]])
+                new = pc.fill_null(pc.not_equal(own, before), True)
+                places = next_place - 1 + np.cumsum(new.to_numpy(zero_copy_only=False), dtype=np.int64)
+                last, next_place = own[-1:], int(places[-1]) + 1
+                firsts = pc.if_else(new, own, pa.scalar(None, pa.binary()))
+                tasks = pa.array(np.full(len(own), task, "<i4"))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:2], firsts, tasks, pa.array(places)], schema=schema)
+
+    ordered = words.repartition("word").sortWithinPartitions("word")
+    return durable(ordered.mapInArrow(number, "holder long, local int, word binary, task int, place long"), "audit-words")
+
+
+def _numbered(places: DataFrame) -> DataFrame:
+    """Places with the word's number in the whole dictionary, from 0 on without gaps. There is one start per task."""
+    sizes = places.groupBy("task").agg((F.max("place") + 1).alias("n"))
     before = F.sum("n").over(W.orderBy("task").rowsBetween(W.unboundedPreceding, -1))
-    starts = placed.groupBy(task.alias("task")).agg(F.count("*").alias("n")).select("task", F.coalesce(before, F.lit(0)).alias("start"))
-    return placed.join(F.broadcast(starts), task == F.col("task")).select(
-        "word", (F.col("start") + F.col("place").bitwiseAND((1 << spread) - 1)).alias("number")
-    )
+    starts = sizes.select("task", F.coalesce(before, F.lit(0)).alias("start"))
+    return places.join(F.broadcast(starts), "task").withColumn("number", F.col("start") + F.col("place"))
+
+
+def dictionary(places: DataFrame) -> DataFrame:
+    """(word, number) of every distinct word."""
+    return _numbered(places).where("word is not null").select("word", "number")
 
 
 def _block(cells: pa.Table, words: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -145,15 +172,13 @@ def _block(cells: pa.Table, words: pa.Table) -> tuple[np.ndarray, np.ndarray, np
     return borders, numbers[np.concatenate(columns)], counts
 
 
-def _with_numbers(cells: DataFrame):
+def _with_numbers(cells: DataFrame, places: DataFrame):
     """Shards beside the global numbers of their words, grouped by shard."""
-    words = cells.where("word is not null").select(F.col("shard").alias("holder"), F.col("row").alias("local"), "word")
-    numbered = words.join(word_numbers(words), "word").select("holder", "local", "number")
     rows = cells.where("word is null").drop("word")
-    return rows.groupBy("shard").cogroup(numbered.groupBy("holder"))
+    return rows.groupBy("shard").cogroup(_numbered(places).select("holder", "local", "number").groupBy("holder"))
 
 
-def csr_shards(cells: DataFrame) -> DataFrame:
+def csr_shards(cells: DataFrame, places: DataFrame) -> DataFrame:
     """The matrix: per shard its documents, row borders, global word numbers and counts."""
     kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32())]
     schema = pa.schema(list(zip(["shard", "doc_ids", "borders", "columns", "counts"], kinds)))
@@ -166,10 +191,10 @@ def csr_shards(cells: DataFrame) -> DataFrame:
         return pa.table([pa.array(shard, kinds[0]), *(pa.array([v], k) for v, k in zip(lists, kinds[1:]))], schema=schema)
 
     sql = "shard long, doc_ids array<long>, borders array<long>, columns array<long>, counts array<int>"
-    return _with_numbers(cells).applyInArrow(build, sql)
+    return _with_numbers(cells, places).applyInArrow(build, sql)
 
 
-def matrix_flags(cells: DataFrame) -> DataFrame:
+def matrix_flags(cells: DataFrame, places: DataFrame) -> DataFrame:
     """(doc_id, part, digest, fails): filters A and B from sums and nonzero entries of the CSR rows, beside C and D."""
     kept = ["doc_id", "part", "digest", "fails"]
     schema = pa.schema([CELLS.field(name) for name in kept])
@@ -184,14 +209,15 @@ def matrix_flags(cells: DataFrame) -> DataFrame:
         fails = (rows["fails"].to_numpy() | few | repeated).astype("int32")
         return pa.table([*(rows[name] for name in kept[:3]), pa.array(fails)], schema=schema)
 
-    return _with_numbers(cells).applyInArrow(decide, "doc_id long, part string, digest binary, fails int")
+    return _with_numbers(cells, places).applyInArrow(decide, "doc_id long, part string, digest binary, fails int")
 
 
 def failed_filters(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, part, fails (bit k for the k-th filter), good, toxic."""
     cells = sparse_rows(docs)
-    rows = durable(matrix_flags(cells), "audit-rows")
-    drop_durable(cells)
+    places = word_places(cells)
+    rows = durable(matrix_flags(cells, places), "audit-rows")
+    drop_durable(cells, places)
     # Rows that hold the smallest doc_id of their text are no copies; looked up by id too, so no text is a hot key.
     firsts = rows.groupBy("digest").agg(F.min("doc_id").alias("doc_id")).withColumn("first", F.lit(True))
     marked = labels.groupBy("doc_id").agg(

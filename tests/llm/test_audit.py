@@ -79,15 +79,15 @@ def test_many_small_shards_and_the_matrix(spark, data, monkeypatch):
     whole = as_dict(audit.filter_audit(docs, spark.read.parquet(f"{data}/labels.parquet")))
     texts = {r.doc_id: Counter((r.text or "").encode().split()) for r in docs.collect()}
     cells = audit.sparse_rows(docs)
-    numbers = {bytes(r.word): r.number for r in audit.word_numbers(cells.where("word is not null").select("word")).collect()}
-    assert sorted(numbers.values()) == list(range(len(set().union(*texts.values()))))
+    places = audit.word_places(cells)
+    words = {r.number: bytes(r.word) for r in audit.dictionary(places).collect()}
+    assert set(words) == set(range(len(words))) and sorted(words.values()) == sorted(set().union(*texts.values()))
     seen = {}
-    for shard in audit.csr_shards(cells).collect():
+    for shard in audit.csr_shards(cells, places).collect():
         for k, doc_id in enumerate(shard.doc_ids):
             own = slice(shard.borders[k], shard.borders[k + 1])
-            seen[doc_id] = dict(zip(shard.columns[own], shard.counts[own]))
-    # Numbers are drawn anew for every reading of the words, so counts are compared.
-    assert {i: sorted(c.values()) for i, c in seen.items()} == {i: sorted(c.values()) for i, c in texts.items()}
+            seen[doc_id] = {words[c]: n for c, n in zip(shard.columns[own], shard.counts[own])}
+    assert seen == texts
 
     source = audit._cells.__globals__
     monkeypatch.setitem(source, "SHARD_ENTRIES", 500)
