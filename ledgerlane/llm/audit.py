@@ -41,7 +41,7 @@ SYMBOLS = b"#$%&*|"
 FILTERS = "ABCDE"
 
 #: Nonzero entries after which a shard is closed. A shard is one task's memory: about 40 bytes an entry.
-SHARD_ENTRIES = 1 << 20
+SHARD_ENTRIES = 1 << 21
 
 _CAPITALS = bytes(range(65, 91))
 
@@ -75,9 +75,10 @@ def _text_bits(text: str, data: bytes) -> int:
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sparse rows with local column numbers, and after the rows of a shard its words: ``row`` is the local number."""
+    """Sparse rows with local column numbers, and after the rows of a shard its words: ``row`` is the local number.
+    A word's local number is the count of the shard's entries before its first one."""
     task = TaskContext.get().partitionId()
-    number, entries, local, rows = 0, 0, {}, []
+    number, entries, local, rows, ticks = 0, 0, {}, [], itertools.count()
 
     def shard() -> Iterator[pa.RecordBatch]:
         own = [(task << 32) | number]
@@ -87,10 +88,10 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             + [pa.nulls(len(rows), pa.binary())],
             schema=CELLS,
         )
-        words = list(local)
+        words, places = list(local), pa.array(local.values(), pa.int32())
         empty = [pa.nulls(len(words), CELLS.field(k).type) for k in range(2, 8)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(own * len(words), pa.int64()), pa.array(range(len(words)), pa.int32()), *empty, pa.array(words, pa.binary())],
+            [pa.array(own * len(words), pa.int64()), places, *empty, pa.array(words, pa.binary())],
             schema=CELLS,
         )
 
@@ -99,14 +100,14 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data, counts = encoded(text), Counter()
             for block in word_blocks(data):
                 counts.update(block)
-            columns = np.fromiter((local.setdefault(w, len(local)) for w in counts), "<i4", len(counts))
+            columns = np.fromiter(map(local.setdefault, counts, ticks), "<i4", len(counts))
             values = np.fromiter(counts.values(), "<i4", len(counts))
             digest = hashlib.sha256(data).digest()[:16]
             rows.append((doc_id, part, digest, _text_bits(text or "", data), columns.tobytes(), values.tobytes()))
             entries += len(counts)
             if entries >= SHARD_ENTRIES:
                 yield from shard()
-                number, entries, local, rows = number + 1, 0, {}, []
+                number, entries, local, rows, ticks = number + 1, 0, {}, [], itertools.count()
     if rows:
         yield from shard()
 
@@ -164,8 +165,9 @@ def dictionary(places: DataFrame) -> DataFrame:
 
 def _block(cells: pa.Table, words: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row borders, global column numbers and counts of one shard."""
-    numbers = np.empty(words.num_rows, "<i8")
-    numbers[words["local"].to_numpy()] = words["number"].to_numpy()
+    places = words["local"].to_numpy()
+    numbers = np.empty(places.max(initial=-1) + 1, "<i8")
+    numbers[places] = words["number"].to_numpy()
     columns = [np.frombuffer(c, "<i4") for c in cells["columns"].to_pylist()]
     borders = np.concatenate([[0], np.cumsum([len(c) for c in columns], dtype=np.int64)])
     counts = np.frombuffer(b"".join(cells["counts"].to_pylist()), "<i4")
