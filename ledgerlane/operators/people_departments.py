@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerlane.functions.columns import DAYS_PER_YEAR, month_of, percent, ratio
-from ledgerlane.operators.people_attrition import last_month, month_number, month_start
 from ledgerlane.operators.people_bridge import trailing_year
 from ledgerlane.operators.people_stints import REHIRE, TRANSFER
 
@@ -23,7 +20,8 @@ def department_movements(records: DataFrame, history: DataFrame, departments: Da
     """Headcount and trailing-year movements by department, division and company.
 
     A linked transfer leaves its old department and enters the new one on the same day, so the
-    two columns have equal sums; a transfer without a successor record is listed on its own.
+    two columns have equal sums; a transfer without a successor record is listed on its own. A
+    department that is not listed, and records without one, have a row without name and division.
     """
     first, last = trailing_year(records)
     joined_in = F.col("hire_date").between(first, last)
@@ -63,9 +61,10 @@ def department_movements(records: DataFrame, history: DataFrame, departments: Da
         "unlinked_transfers_out",
         "service_days",
     ]
-    per_department = departments
-    for part in (present, arrivals, departures):
-        per_department = per_department.join(part, "department_id", "left")
+    known = departments.select("division", "department_id", "department_name", "cost_center")
+    moved = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), (present, arrivals, departures))
+    summed = moved.groupBy("department_id").agg(*[F.sum(name).alias(name) for name in measures])
+    per_department = summed.join(known, "department_id", "full")
     level = F.grouping_id()
     one_department = level == 0
     rolled = per_department.rollup("division", "department_id").agg(
@@ -112,87 +111,6 @@ def tenure_by_department(history: DataFrame, departments: DataFrame) -> DataFram
     )
 
 
-def _employed_records(employees: DataFrame, as_of: date) -> DataFrame:
-    """Records employed per department and month, from the department's first hire to ``as_of``.
-
-    One +1 and one -1 per record, then a running sum over the months of each department. A record
-    without a hire date, or that ended before it began, is never employed.
-    """
-    last = last_month(as_of)
-    ends = f"least({month_number(f'coalesce(termination_date, date\'{as_of}\')')}, {last})"
-    changes = (
-        employees.where("hire_date is not null")
-        .selectExpr("department_id", f"{month_number('hire_date')} as lo", f"{ends} as hi")
-        .where("lo <= hi")
-        .selectExpr(
-            "department_id", "inline(array(struct(lo as month_no, 1 as step), struct(hi + 1 as month_no, -1 as step)))"
-        )
-        .groupBy("department_id", "month_no")
-        .agg(F.sum("step").alias("change"))
-    )
-    calendar = (
-        changes.groupBy("department_id")
-        .agg(F.min("month_no").alias("first"))
-        .selectExpr("department_id", f"explode(sequence(first, {last})) as month_no", "0 as change")
-    )
-    running = W.partitionBy("department_id").orderBy("month_no").rowsBetween(W.unboundedPreceding, 0)
-    return (
-        calendar.unionByName(changes)
-        .groupBy("department_id", "month_no")
-        .agg(F.sum("change").alias("change"))
-        .select("department_id", "month_no", F.sum("change").over(running).alias("employed_records"))
-        .where(F.col("month_no") <= last)
-    )
-
-
-def payroll_cost_tieout(
-    payroll: DataFrame,
-    raw_employees: DataFrame,
-    reassigned: DataFrame,
-    employees: DataFrame,
-    departments: DataFrame,
-    as_of: date,
-) -> DataFrame:
-    """Payroll per month and department next to the records employed, and next to the staged pay.
-
-    ``reassigned`` moves the pay of dropped duplicates to the kept record; ``staged_usd`` is the same
-    deduplicated payroll by the department of the paid record itself. A month ties out when as many
-    records were paid as employed and both amounts agree. Pay outside the months of employment, of a
-    department that is not listed, or of an unknown record (department null) has rows of its own, so
-    the amounts add up to all of the staged payroll.
-    """
-    month = F.expr(f"{month_number('pay_month')} as month_no")
-    paid = reassigned.groupBy("department_id", month).agg(
-        F.count("*").alias("pay_runs"),
-        F.count_distinct("employee_id").alias("paid_records"),
-        F.sum("gross_pay_usd").alias("payroll_usd"),
-    )
-    homes = raw_employees.select("employee_id", "department_id")
-    staged = (
-        payroll.join(homes, "employee_id", "left")
-        .groupBy("department_id", F.expr(f"{month_number('pay_period')} as month_no"))
-        .agg(F.sum("gross_pay_usd").alias("staged_usd"))
-    )
-    parts = [_employed_records(employees, as_of), paid, staged]
-    measures = ["employed_records", "pay_runs", "paid_records", "payroll_usd", "staged_usd"]
-    together = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
-    return (
-        together.groupBy("department_id", "month_no")
-        .agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in measures])
-        .where("employed_records > 0 or pay_runs > 0 or staged_usd <> 0")
-        .join(departments.select("department_id", "department_name"), "department_id", "left")
-        .select(
-            "department_id",
-            "department_name",
-            F.expr(f"{month_start('month_no')} as pay_month"),
-            *measures,
-            F.expr("paid_records - employed_records as record_difference"),
-            F.expr("payroll_usd - staged_usd as usd_difference"),
-            F.expr("paid_records = employed_records and payroll_usd = staged_usd as ties_out"),
-        )
-    )
-
-
 def pay_calendar(payroll: DataFrame) -> tuple[Column, Column]:
     """The first day and the last day of the paid months, as scalar subqueries."""
     return payroll.agg(F.min("pay_period")).scalar(), payroll.agg(F.last_day(F.max("pay_period"))).scalar()

@@ -16,7 +16,9 @@ from ledgerlane.operators import (
     people_attrition,
     people_bridge,
     people_departments,
+    people_gaps,
     people_history,
+    people_service,
     people_staging,
     ride_audits,
     ride_distance,
@@ -91,13 +93,16 @@ def _payroll_monthly_cost(spark: SparkSession, folder: str) -> DataFrame:
     return present(people_departments.payroll_monthly_cost(payroll, rates))
 
 
+def _pay_gaps(models: WorkforceModels) -> tuple[DataFrame, DataFrame]:
+    """Paid months per record, written, and the ranges in which payroll and employment disagree."""
+    records = people_gaps.record_map(models.raw.employees, people_staging.dropped_records(models.raw.employees), models.stg_employees)
+    paid = durable(people_gaps.paid_months(models.stg_payroll, records), "paid-months")
+    return paid, people_gaps.pay_employment_gaps(paid, models.stg_employees, models.as_of)
+
+
 def _tieout(models: WorkforceModels) -> DataFrame:
-    dropped = people_staging.dropped_records(models.raw.employees)
-    staged = models.stg_employees
-    reassigned = people_staging.reassigned_payroll(models.stg_payroll, dropped, staged, keep_unknown=True)
-    return people_departments.payroll_cost_tieout(
-        models.stg_payroll, models.raw.employees, reassigned, staged, models.stg_departments, models.as_of
-    )
+    paid, gaps = _pay_gaps(models)
+    return people_gaps.payroll_cost_tieout(paid, gaps, models.stg_employees, models.stg_departments, models.as_of)
 
 
 def _freshness(spark: SparkSession, folder: str) -> DataFrame:
@@ -215,6 +220,10 @@ EXTENSIONS = {
         lambda m: people_attrition.attrition_standard(m.stint_spans, m.as_of)
     ),
     "hr_payroll_cost_tieout": workforce(_tieout),
+    "hr_pay_employment_gaps": workforce(lambda m: _pay_gaps(m)[1]),
+    "hr_tenure_bridged": workforce(
+        lambda m: people_service.tenure_bridged(m.stint_spans, m.int_person_employment_history, m.as_of)
+    ),
     "hr_payroll_monthly_cost": _payroll_monthly_cost,
     "hr_tenure_spread_bridge": workforce(
         lambda m: people_bridge.tenure_spread_bridge(m.stint_records, m.int_person_employment_history, m.as_of)
