@@ -511,7 +511,11 @@ RIDE: dict[str, str] = {
                     coalesce((SELECT sum(p.amount * CASE WHEN p.currency = 'GBP' THEN 1.27 ELSE 1.00 END)
                               FROM raw_payments p JOIN settled s ON s.trip_id = p.trip_id
                               WHERE p.payment_status = 'captured' AND p.payment_id <> s.payment_id), 0) AS twice,
-                    sum(cap) FILTER (is_revenue_eligible AND paid) AS good
+                    sum(cap) FILTER (is_revenue_eligible AND paid) AS good,
+                    (SELECT sum(amount * CASE WHEN currency = 'GBP' THEN 1.27 ELSE 1.00 END)
+                     FROM raw_payments WHERE payment_status = 'captured') AS reported,
+                    coalesce((SELECT sum(amount * CASE WHEN currency = 'GBP' THEN 1.27 ELSE 1.00 END)
+                              FROM settled WHERE trip_id NOT IN (SELECT trip_id FROM raw_trips)), 0) AS stray
              FROM fact)""",
         body="""SELECT line_no, line_item, CAST(amount AS DOUBLE) AS amount_usd FROM parts,
                 LATERAL (VALUES (1, 'Gross merchandise value', gmv),
@@ -525,7 +529,9 @@ RIDE: dict[str, str] = {
                   (9, 'Add: cash that is not revenue (fraud and cancellation fees)', cash - good),
                   (10, 'Captured cash, each trip once', cash),
                   (11, 'Add: duplicate captures', twice),
-                  (12, 'Cash as the processor reports it', cash + twice)) AS v(line_no, line_item, amount)""",
+                  (12, 'Add: captures of unknown trips', stray),
+                  (13, 'Unexplained residual', reported - cash - twice - stray),
+                  (14, 'Cash as the processor reports it', reported)) AS v(line_no, line_item, amount)""",
     ),
     "rh_kpis_at_monthly_rate": _over(
         RAW, MODELS, quotes(),

@@ -5,9 +5,11 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerlane.functions.columns import DAYS_PER_YEAR, percent
+from ledgerlane.functions.ranges import merged
 
 
 def trailing_year(records: DataFrame) -> tuple[Column, Column]:
@@ -129,29 +131,47 @@ def _lines(totals: DataFrame, lines: list[tuple[str, str]], value: str) -> DataF
     return totals.selectExpr("*", f"inline(array({rows}))")
 
 
-def tenure_spread_bridge(records: DataFrame, history: DataFrame, as_of: date) -> DataFrame:
+def tenure_spread_bridge(records: DataFrame, spans: DataFrame, history: DataFrame, as_of: date) -> DataFrame:
     """Why the tenure clocks of active people differ: what transfers and rehires add, in days and years.
 
-    Starts at the current record, adds the earlier records of the stint, then service before a
-    rehire and the time away; the lines add up to the clock that runs since the first hire.
+    Starts at the current record and adds the earlier records of the stint, then service before the stint
+    and the time away. Service and time away are measured on the stints themselves, overlapping ones
+    united, so the lines need not add up to the clock that runs since the first hire; what is missing is
+    the residual.
     """
     starts = records.selectExpr("employee_id as current_employee_id", "hire_date as record_start")
-    active = history.where("is_currently_active = 1").join(starts, "current_employee_id", "left")
-    totals = active.agg(
+    ranges = spans.select(
+        "person_id", F.col("stint_start_date").alias("lo"), F.coalesce("stint_end_date", F.lit(as_of)).alias("hi")
+    )
+    order = W.partitionBy("person_id").orderBy("lo")
+    present = history.where("is_currently_active = 1")
+    apart = (
+        merged(ranges, ["person_id"])
+        .withColumn("left_on", F.lag("hi").over(order))
+        .join(present.select("person_id", "current_stint_start_date"), "person_id")
+        .groupBy("person_id")
+        .agg(
+            F.expr("sum(greatest(date_diff(least(hi, current_stint_start_date), lo), 0))").alias("before"),
+            F.expr("sum(coalesce(date_diff(lo, left_on), 0))").alias("away"),
+        )
+    )
+    totals = present.join(starts, "current_employee_id", "left").join(apart, "person_id", "left").agg(
         F.count("*").alias("heads"),
         F.sum(F.date_diff(F.lit(as_of), F.col("record_start")).cast("bigint")).alias("record"),
         F.sum("tenure_current_stint_days").alias("stint"),
-        F.sum("tenure_total_service_days").alias("service"),
         F.sum("tenure_continuous_days").alias("continuous"),
+        F.sum("before").alias("before"),
+        F.sum("away").alias("away"),
     )
     lines = [
         ("Clock since the current record", "record"),
         ("Add: earlier records of the stint (transfers)", "stint - record"),
         ("Clock since the start of the stint", "stint"),
-        ("Add: service before a rehire", "service - stint"),
-        ("Add: time away before a rehire", "continuous - service"),
+        ("Add: service before the stint, each day once", "before"),
+        ("Add: time away before a rehire", "away"),
+        ("Unexplained residual", "continuous - stint - before - away"),
         ("Clock since the first hire", "continuous"),
-        ("Spread between the last two clocks", "continuous - stint"),
+        ("Spread between the two clocks", "continuous - stint"),
     ]
     average = F.round(F.col("total_days").cast("double") / F.nullif("heads", F.lit(0)) / DAYS_PER_YEAR, 2)
     return _lines(totals, lines, "total_days").select("line_no", "line_item", "total_days", average.alias("avg_years"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlane.functions.columns import payroll_usd_rate, years
+from ledgerlane.functions.groups import first_per_group
 
 
 def person_history(spans: DataFrame, as_of: date) -> DataFrame:
@@ -79,17 +80,18 @@ def _latest_pay(raw_payroll: DataFrame, employees: DataFrame) -> DataFrame:
 
 
 def _latest_review(raw_reviews: DataFrame) -> DataFrame:
-    """Last review of each person; the overall last one is last within its own cycle too."""
-    latest = F.max(F.struct("review_period", "review_date", "review_id", "rating", "review_score"))
-    return (
-        raw_reviews.groupBy("person_id")
-        .agg(latest.alias("review"))
-        .select(
-            "person_id",
-            F.col("review.rating").alias("latest_rating"),
-            F.col("review.review_score").alias("latest_review_score"),
-            F.col("review.review_period").alias("latest_review_period"),
-        )
+    """Last review of each person; the overall last one is last within its own cycle too.
+
+    The last cycle comes from a hash aggregate over the feed; only its reviews are ranked. A review
+    without a cycle is nobody's last one.
+    """
+    last = raw_reviews.groupBy("person_id").agg(F.max("review_period").alias("review_period"))
+    order = [F.col("review_date").desc_nulls_last(), F.col("review_id").desc()]
+    return first_per_group(raw_reviews.join(last, ["person_id", "review_period"]), ["person_id"], order).select(
+        "person_id",
+        F.col("rating").alias("latest_rating"),
+        F.col("review_score").alias("latest_review_score"),
+        F.col("review_period").alias("latest_review_period"),
     )
 
 

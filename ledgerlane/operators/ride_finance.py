@@ -262,13 +262,24 @@ def kpis_at_monthly_rate(trips: DataFrame, monthly: DataFrame) -> DataFrame:
     )
 
 
-def contribution_bridge(trips: DataFrame, extra_captures: DataFrame) -> DataFrame:
+def contribution_bridge(
+    trips: DataFrame, payments: DataFrame, raw_payments: DataFrame, extra_captures: DataFrame
+) -> DataFrame:
     """From gross merchandise value to what is left after incentives, and to the processor's cash.
 
     Continues ``closing_bridge``: net collected revenue less incentives is the contribution. Net
-    revenue plus the fees, fraud captures and cancellation fees in the captured cash, plus captures
-    that were logged twice, is the cash the processor reports. Each part adds up exactly.
+    revenue plus the fees, fraud captures and cancellation fees in the captured cash is the cash by
+    trip. Captures that were logged twice and captures of trips that nobody knows lead from there to
+    the sum of the processor's own captures, which is taken from the raw feed at each capture's own
+    currency; whatever is left over is the residual.
     """
+    usd = f"amount * {ride_usd_rate()}"
+    unknown = payments.join(trips.select("trip_id"), "trip_id", "left_anti")
+    captured = raw_payments.where("payment_status = 'captured'")
+
+    def total(df: DataFrame, value: str) -> Column:
+        return F.coalesce(df.agg(F.expr(f"sum({value})")).scalar(), F.lit(0))
+
     totals = _totals(
         trips,
         {
@@ -280,7 +291,14 @@ def contribution_bridge(trips: DataFrame, extra_captures: DataFrame) -> DataFram
             "cash": sum_usd("captured_amount_usd"),
             "eligible_cash": sum_usd("captured_amount_usd", _COLLECTED),
         },
-    ).withColumn("twice", F.coalesce(extra_captures.agg(F.sum("excess_usd")).scalar(), F.lit(0)))
+    ).withColumns(
+        {
+            "twice": total(extra_captures, "excess_usd"),
+            "stray": total(unknown, usd),
+            "reported": total(captured, usd),
+        }
+    )
+    by_trip = "net + fees + cash - eligible_cash"
     lines = [
         ("Gross merchandise value", "gmv"),
         ("Less: gap to net collected revenue", "net - gmv"),
@@ -291,9 +309,11 @@ def contribution_bridge(trips: DataFrame, extra_captures: DataFrame) -> DataFram
         ("Add back: incentives", "incentives"),
         ("Add back: processor fees", "fees"),
         ("Add: cash that is not revenue (fraud and cancellation fees)", "cash - eligible_cash"),
-        ("Captured cash, each trip once", "net + fees + cash - eligible_cash"),
+        ("Captured cash, each trip once", by_trip),
         ("Add: duplicate captures", "twice"),
-        ("Cash as the processor reports it", "net + fees + cash - eligible_cash + twice"),
+        ("Add: captures of unknown trips", "stray"),
+        ("Unexplained residual", f"reported - ({by_trip}) - twice - stray"),
+        ("Cash as the processor reports it", "reported"),
     ]
     rows = ", ".join(
         f"struct({i} as line_no, '{label}' as line_item, cast({amount} as decimal(38,4)) as amount_usd)"

@@ -15,19 +15,21 @@ def riders(raw: DataFrame) -> DataFrame:
 def drivers(raw: DataFrame) -> DataFrame:
     """One row per driver: the latest onboarding, with the first and last onboarding times."""
     # The columns after onboarded_at only settle ties between identical times.
-    newest = F.expr("max(struct(onboarded_at, vehicle_class, driver_status, home_city, rating))")
-    merged = raw.groupBy("driver_id").agg(
-        newest.alias("newest"), F.min("onboarded_at").alias("first_onboarded_at"), F.count("*").alias("onboardings")
+    latest = ["onboarded_at", "vehicle_class", "driver_status", "home_city", "rating"]
+    newest = first_per_group(raw, ["driver_id"], [F.col(name).desc_nulls_last() for name in latest])
+    counted = raw.groupBy("driver_id").agg(
+        F.min("onboarded_at").alias("first_onboarded_at"), F.count("*").alias("onboardings")
     )
-    return merged.selectExpr(
-        "driver_id",
-        "newest.home_city",
-        "newest.driver_status",
-        "newest.vehicle_class",
-        "newest.rating",
+    driver = newest["driver_id"].eqNullSafe(counted["driver_id"])
+    return newest.join(counted, driver).select(
+        newest["driver_id"],
+        "home_city",
+        "driver_status",
+        "vehicle_class",
+        "rating",
         "first_onboarded_at",
-        "newest.onboarded_at as last_onboarded_at",
-        "onboardings > 1 as is_reonboarded",
+        F.col("onboarded_at").alias("last_onboarded_at"),
+        (F.col("onboardings") > 1).alias("is_reonboarded"),
     )
 
 

@@ -226,7 +226,9 @@ EXTENSIONS = {
     ),
     "hr_payroll_monthly_cost": _payroll_monthly_cost,
     "hr_tenure_spread_bridge": workforce(
-        lambda m: people_bridge.tenure_spread_bridge(m.stint_records, m.int_person_employment_history, m.as_of)
+        lambda m: people_bridge.tenure_spread_bridge(
+            m.stint_records, m.stint_spans, m.int_person_employment_history, m.as_of
+        )
     ),
     "hr_duplicate_bridge": workforce(
         lambda m: people_bridge.duplicate_bridge(
@@ -253,7 +255,9 @@ EXTENSIONS = {
         lambda m: ride_finance.cash_ledger_tieout(m.stg_trips, m.stg_payments)
     ),
     "rh_contribution_bridge": ride(
-        lambda m: ride_finance.contribution_bridge(m.int_trips_enriched, ride_audits.extra_captures(m.raw.payments))
+        lambda m: ride_finance.contribution_bridge(
+            m.int_trips_enriched, m.stg_payments, m.raw.payments, ride_audits.extra_captures(m.raw.payments)
+        )
     ),
     "rh_kpis_at_monthly_rate": _kpis_at_monthly_rate,
     "rh_bridge_residual": ride(lambda m: ride_finance.closing_bridge(m.int_trips_enriched)),

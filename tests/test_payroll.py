@@ -72,12 +72,12 @@ def test_bridges_add_up(spark, data):
     days = [
         r.total_days
         for r in people_bridge.tenure_spread_bridge(
-            models.stint_records, models.int_person_employment_history, models.as_of
+            models.stint_records, models.stint_spans, models.int_person_employment_history, models.as_of
         ).collect()
     ]
     assert days[0] + days[1] == days[2]
-    assert sum(days[2:5]) == days[5]
-    assert days[6] == days[5] - days[2]
+    assert sum(days[2:6]) == days[6] and days[5] == 0
+    assert days[7] == days[6] - days[2]
     dropped = people_staging.dropped_records(models.raw.employees)
     records = [
         r.records for r in people_bridge.duplicate_bridge(models.raw.employees, dropped, models.stg_employees).collect()
@@ -93,3 +93,21 @@ def test_employee_ids_stay_unique_for_many_people(spark):
     people = spark.range(1_500_000).selectExpr("id as c_custkey")
     ids = _employees(people).select("employee_id")
     assert ids.count() == ids.distinct().count()
+
+
+def test_the_tenure_bridge_states_what_it_cannot_explain(spark, data):
+    people = [
+        (1, 1, "2020-01-01", "2020-12-31", "terminated", None), (2, 1, "2020-07-01", "2021-01-01", "terminated", 1),
+        (3, 1, "2023-01-01", None, "active", 2),
+    ]
+    models = workforce(spark, data, employees=employees(spark, people))
+
+    def lines(history):
+        rows = people_bridge.tenure_spread_bridge(models.stint_records, models.stint_spans, history, models.as_of).collect()
+        return [r.total_days for r in rows]
+
+    history = models.int_person_employment_history
+    # Two stints that overlap are 366 days of service, not 549; 730 days lie between them and the rehire.
+    assert lines(history) == [1095, 0, 1095, 366, 730, 0, 2191, 1096]
+    late = history.withColumn("tenure_continuous_days", F.col("tenure_continuous_days") + 7)
+    assert lines(late)[5] == 7

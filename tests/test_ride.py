@@ -1,6 +1,7 @@
 """Ride-hailing semantics on small cases."""
 
 from datetime import date, datetime
+from decimal import Decimal
 
 from fixtures import ride
 
@@ -92,18 +93,40 @@ def spark_lit(value):
     return F.lit(value)
 
 
+def contribution_lines(models):
+    extra = ride_audits.extra_captures(models.raw.payments)
+    rows = ride_finance.contribution_bridge(models.int_trips_enriched, models.stg_payments, models.raw.payments, extra).collect()
+    return [r.amount_usd for r in rows]
+
+
 def test_contribution_bridge_adds_up(spark, data):
     models = ride(spark, data)
-    extra = ride_audits.extra_captures(models.raw.payments)
-    lines = [r.amount_usd for r in ride_finance.contribution_bridge(models.int_trips_enriched, extra).collect()]
+    lines = contribution_lines(models)
     assert lines[0] + lines[1] == lines[2]
     assert sum(lines[2:5]) == lines[5]
     assert sum(lines[5:9]) == lines[9]
-    assert lines[9] + lines[10] == lines[11]
+    assert sum(lines[9:13]) == lines[13] and lines[11:13] == [0, 0]
     cash = models.raw.payments.where("payment_status = 'captured'").selectExpr(
         "sum(amount * if(currency = 'GBP', 1.27, 1.00)) as c"
     )
-    assert lines[11] == cash.collect()[0].c
+    assert lines[13] == cash.collect()[0].c
+
+
+def test_contribution_bridge_states_stray_captures_and_the_residual(spark, data):
+    from pyspark.sql import functions as F
+
+    raw = ride(spark, data).raw
+    one = raw.payments.where("payment_status = 'captured' and currency = 'USD'").orderBy("payment_id").limit(1)
+    changed = {"trip_id": "-77L", "amount": "cast(12.50 as decimal(12,2))"}
+    stray = one.withColumns({name: F.expr(value) for name, value in changed.items()})
+    both = [stray.withColumn("payment_id", F.lit(k).cast("bigint")) for k in (-5, -4)]
+    lines = contribution_lines(ride(spark, data, payments=raw.payments.union(both[0]).union(both[1])))
+    # Two captures of a trip that nobody knows: one is a duplicate, one is stray.
+    assert (lines[11], lines[12]) == (Decimal("12.5"), 0)
+    assert sum(lines[9:13]) == lines[13]
+    # A capture in another currency than its trip's cannot be explained by trip.
+    switched = raw.payments.withColumn("currency", F.expr("if(currency = 'GBP', 'USD', currency)"))
+    assert contribution_lines(ride(spark, data, payments=switched))[12] != 0
 
 
 def test_trips_without_a_quoted_rate_are_flagged(spark):
