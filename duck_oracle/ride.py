@@ -502,6 +502,26 @@ RIDE: dict[str, str] = {
                        CAST(a - b - c - d - m AS DOUBLE) AS difference_usd, abs(a - b - c - d - m) <= 0.01 AS ties_out
                 FROM ledger_side, mart_side""",
     ),
+    "rh_quarantine": _over(
+        RAW, MODELS,
+        """broken AS (
+             SELECT 'raw_riders' AS model, rider_id AS k, 'not_null:raw_riders.rider_id' AS rule FROM raw_riders WHERE rider_id IS NULL
+             UNION ALL SELECT 'stg_trips', trip_id, 'clock_skew' FROM v_trips WHERE accepted_at < requested_at
+             UNION ALL SELECT 'stg_trips', trip_id, 'negative_fares' FROM v_trips WHERE gross_fare < 0
+             UNION ALL SELECT 'stg_trips', trip_id, 'future_trips' FROM v_trips WHERE requested_at > TIMESTAMP '2026-01-01'
+             UNION ALL SELECT 'stg_trips', trip_id, 'orphan_trips' FROM v_trips t ANTI JOIN raw_riders r ON r.rider_id = t.rider_id
+                       WHERE t.rider_id IS NOT NULL
+             UNION ALL SELECT 'stg_trips', trip_id, 'accepted_values:stg_trips.trip_classification' FROM v_trips WHERE
+                       trip_classification NOT IN ('completed', 'completed_fraud', 'cancelled_no_match', 'cancelled_billed')
+             UNION ALL SELECT 'stg_payments', trip_id, 'orphan_payments' FROM settled s
+                       ANTI JOIN raw_trips t ON t.trip_id = s.trip_id WHERE s.trip_id IS NOT NULL
+             UNION ALL SELECT 'int_trips_enriched', trip_id, 'captured_lte_fare' FROM fact
+                       WHERE is_completed AND captured_amount > gross_fare * 1.1
+             UNION ALL SELECT 'int_trips_enriched', trip_id, 'no_fraud_revenue' FROM fact
+                       WHERE is_fraud_flagged AND (is_revenue_eligible OR has_cancellation_fee) AND captured_amount > processor_fee)""",
+        body="""SELECT model, CAST(k AS VARCHAR) AS row_key, string_agg(rule, ',' ORDER BY rule) AS rules
+                FROM broken GROUP BY model, k""",
+    ),
     "rh_contribution_bridge": _over(
         RAW, MODELS,
         """parts AS (

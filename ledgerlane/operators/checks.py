@@ -92,6 +92,11 @@ class ModelTests:
         return conditions
 
 
+def is_staged(model: str) -> bool:
+    """Whether a model comes before the marts: a raw feed or a staged one."""
+    return model.startswith(("raw_", "stg_"))
+
+
 def run_model_tests(df: DataFrame, tests: ModelTests) -> DataFrame:
     """All tests of a model in as few passes as there are unique columns (at least one).
 

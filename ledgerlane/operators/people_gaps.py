@@ -15,16 +15,17 @@ PAID = "paid_not_employed"
 EMPLOYED = "employed_not_paid"
 
 
-def record_map(raw_employees: DataFrame, dropped: DataFrame, employees: DataFrame) -> DataFrame:
-    """Every record id as it may stand in payroll: its own department, the record that counts, and that one's department."""
+def record_map(raw_employees: DataFrame, dropped: DataFrame | None, employees: DataFrame) -> DataFrame:
+    """Every record id as it may stand in payroll: its own department, the record that counts, and that one's
+    department. Without ``dropped`` every record counts for itself, and a dropped one has no department."""
     own = raw_employees.select("employee_id", F.col("department_id").alias("own_department_id"))
     kept = employees.select(F.col("employee_id").alias("record_id"), "department_id")
-    return (
-        own.join(dropped.select("employee_id", "kept_employee_id"), "employee_id", "left")
-        .withColumn("record_id", F.coalesce("kept_employee_id", "employee_id"))
-        .drop("kept_employee_id")
-        .join(kept, "record_id", "left")
-    )
+    if dropped is None:
+        own = own.withColumn("record_id", F.col("employee_id"))
+    else:
+        replaced = dropped.select("employee_id", "kept_employee_id")
+        own = own.join(replaced, "employee_id", "left").withColumn("record_id", F.coalesce("kept_employee_id", "employee_id"))
+    return own.select("employee_id", "own_department_id", "record_id").join(kept, "record_id", "left")
 
 
 def paid_months(payroll: DataFrame, records: DataFrame) -> DataFrame:

@@ -28,7 +28,9 @@ from ledgerlane.operators import (
 )
 from ledgerlane.operators.checks import run_checks
 from ledgerlane.operators.freshness import freshness
+from ledgerlane.operators.quarantine import all_broken_rows
 from ledgerlane.plans import ride_checks, workforce_checks
+from ledgerlane.plans.publish import ride_sources, workforce_sources
 from ledgerlane.plans.ride import RideModels
 from ledgerlane.plans.workforce import WorkforceModels
 from ledgerlane.sources.fx_quotes import project_fx_quotes
@@ -93,9 +95,10 @@ def _payroll_monthly_cost(spark: SparkSession, folder: str) -> DataFrame:
     return present(people_departments.payroll_monthly_cost(payroll, rates))
 
 
-def _pay_gaps(models: WorkforceModels) -> tuple[DataFrame, DataFrame]:
+def _pay_gaps(models: WorkforceModels, reassign: bool = True) -> tuple[DataFrame, DataFrame]:
     """Paid months per record, written, and the ranges in which payroll and employment disagree."""
-    records = people_gaps.record_map(models.raw.employees, people_staging.dropped_records(models.raw.employees), models.stg_employees)
+    dropped = people_staging.dropped_records(models.raw.employees) if reassign else None
+    records = people_gaps.record_map(models.raw.employees, dropped, models.stg_employees)
     paid = durable(people_gaps.paid_months(models.stg_payroll, records), "paid-months")
     return paid, people_gaps.pay_employment_gaps(paid, models.stg_employees, models.as_of)
 
@@ -106,20 +109,9 @@ def _tieout(models: WorkforceModels) -> DataFrame:
 
 
 def _freshness(spark: SparkSession, folder: str) -> DataFrame:
-    rides, people = ProjectedRideTables(spark, folder), ProjectedWorkforceTables(spark, folder)
-    ride_sources = {
-        "raw_riders": (rides.riders, "signup_at"),
-        "raw_drivers": (rides.drivers, "onboarded_at"),
-        "raw_trips": (rides.trips, "requested_at"),
-        "raw_payments": (rides.payments, "attempted_at"),
-        "raw_driver_incentives": (rides.driver_incentives, "earned_at"),
-    }
-    workforce_sources = {
-        "raw_employees": (people.employees, "hire_date"),
-        "raw_performance_reviews": (people.performance_reviews, "review_date"),
-        "raw_payroll": (people.payroll, "paid_at"),
-    }
-    return freshness(ride_sources, RIDE_AS_OF).unionByName(freshness(workforce_sources, WORKFORCE_AS_OF))
+    rides = ride_sources(ProjectedRideTables(spark, folder))
+    people = workforce_sources(ProjectedWorkforceTables(spark, folder))
+    return freshness(rides, RIDE_AS_OF).unionByName(freshness(people, WORKFORCE_AS_OF))
 
 
 RIDE_MODELS = {
@@ -163,6 +155,8 @@ QUALITY = {
     },
     "dq_rh_schema_tests": shared_ride(ride_checks.schema_test_report),
     "dq_hr_schema_tests": workforce(workforce_checks.schema_test_report, share=True),
+    "rh_quarantine": shared_ride(lambda m: all_broken_rows(ride_checks.row_rules(m, ride_checks.DEFAULT_NOW))),
+    "hr_quarantine": workforce(lambda m: all_broken_rows(workforce_checks.row_rules(m)), share=True),
     "freshness_report": _freshness,
 }
 
@@ -221,6 +215,7 @@ EXTENSIONS = {
     ),
     "hr_payroll_cost_tieout": workforce(_tieout),
     "hr_pay_employment_gaps": workforce(lambda m: _pay_gaps(m)[1]),
+    "hr_pay_gaps_as_paid": workforce(lambda m: _pay_gaps(m, reassign=False)[1]),
     "hr_tenure_bridged": workforce(
         lambda m: people_service.tenure_bridged(m.stint_spans, m.int_person_employment_history, m.as_of)
     ),

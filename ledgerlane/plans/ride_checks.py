@@ -5,16 +5,18 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlane.operators.checks import (
     Check,
     ModelTests,
+    is_staged,
     relationships,
     run_model_tests,
     with_status,
 )
+from ledgerlane.operators.quarantine import Partner, RowRules
 from ledgerlane.operators.ride_drivers import ledger_comparison
 from ledgerlane.plans.ride import RideModels
 
@@ -47,8 +49,10 @@ def _model(models: RideModels, name: str) -> DataFrame:
     return getattr(models.raw, name.removeprefix("raw_")) if name.startswith("raw_") else getattr(models, name)
 
 
-def schema_test_report(models: RideModels) -> DataFrame:
-    outcomes = [run_model_tests(_model(models, tests.model), tests) for tests in MODEL_TESTS]
+def schema_test_report(models: RideModels, staged: bool | None = None) -> DataFrame:
+    """Column tests of all models, or only of raw and staged ones, or only of the others."""
+    chosen = [tests for tests in MODEL_TESTS if staged is None or staged == is_staged(tests.model)]
+    outcomes = [run_model_tests(_model(models, tests.model), tests) for tests in chosen]
     return with_status(reduce(DataFrame.unionByName, outcomes))
 
 
@@ -62,18 +66,28 @@ def orphan_payments(models: RideModels, now: datetime) -> Check:
     return Check("orphan_payments", "error", missing, "rows_affected")
 
 
+def _in_future(now: datetime) -> Column:
+    return F.col("requested_at") > F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def _over_fare() -> Column:
+    return F.col("is_completed") & (F.col("captured_amount") > F.col("gross_fare") * F.lit(1.1).cast("decimal(2,1)"))
+
+
+def _fraud_earns() -> Column:
+    return F.col("is_fraud_flagged") & (F.col("net_revenue_local") > 0)
+
+
 def negative_fares(models: RideModels, now: datetime) -> Check:
     return Check("negative_fares", "error", models.stg_trips.where(F.col("gross_fare") < 0))
 
 
 def future_trips(models: RideModels, now: datetime) -> Check:
-    moment = F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")
-    return Check("future_trips", "warn", models.stg_trips.where(F.col("requested_at") > moment))
+    return Check("future_trips", "warn", models.stg_trips.where(_in_future(now)))
 
 
 def captured_lte_fare(models: RideModels, now: datetime) -> Check:
-    over = F.col("is_completed") & (F.col("captured_amount") > F.col("gross_fare") * F.lit(1.1).cast("decimal(2,1)"))
-    return Check("captured_lte_fare", "warn", models.int_trips_enriched.where(over))
+    return Check("captured_lte_fare", "warn", models.int_trips_enriched.where(_over_fare()))
 
 
 def incentive_recon(models: RideModels, now: datetime) -> Check:
@@ -82,8 +96,7 @@ def incentive_recon(models: RideModels, now: datetime) -> Check:
 
 
 def no_fraud_revenue(models: RideModels, now: datetime) -> Check:
-    earning = F.col("is_fraud_flagged") & (F.col("net_revenue_local") > 0)
-    return Check("no_fraud_revenue", "error", models.int_trips_enriched.where(earning))
+    return Check("no_fraud_revenue", "error", models.int_trips_enriched.where(_fraud_earns()))
 
 
 def gap_bounds(models: RideModels, now: datetime) -> Check:
@@ -119,3 +132,31 @@ RULES = {
         rider_monotonic,
     )
 }
+
+#: Rules that need a staged model only; they are looked at before any mart is built.
+STAGING_RULES = ("orphan_trips", "orphan_payments", "negative_fares", "future_trips")
+
+
+def row_rules(models: RideModels, now: datetime) -> list[tuple[DataFrame, RowRules]]:
+    """Every model with rules that a single row can break: the column tests, and the rules above of that kind.
+
+    Trips accepted before they were requested are set aside too; no check counts them.
+    """
+    own = {
+        "stg_trips": (
+            {
+                "negative_fares": F.col("gross_fare") < 0,
+                "future_trips": _in_future(now),
+                "clock_skew": F.col("accepted_at") < F.col("requested_at"),
+            },
+            {"orphan_trips": Partner("rider_id", models.stg_riders, "rider_id")},
+        ),
+        "stg_payments": ({}, {"orphan_payments": Partner("trip_id", models.stg_trips, "trip_id")}),
+        "int_trips_enriched": ({"captured_lte_fare": _over_fare(), "no_fraud_revenue": _fraud_earns()}, {}),
+    }
+    found = []
+    for tests in MODEL_TESTS:
+        conditions, partners = own.get(tests.model, ({}, {}))
+        key = tests.unique[0] if tests.unique else tests.not_null[0]
+        found.append((_model(models, tests.model), RowRules(tests.model, key, tests.row_conditions() | conditions, partners)))
+    return found

@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlane.operators.checks import (
     Check,
     ModelTests,
+    is_staged,
     relationships,
     run_model_tests,
     unique,
     with_status,
 )
 from ledgerlane.operators.people_stints import TRANSFER
+from ledgerlane.operators.quarantine import Partner, RowRules
 from ledgerlane.plans.workforce import WorkforceModels
 
 EMPLOYMENT_STATUSES = ["active", "terminated", "transferred"]
@@ -40,8 +42,12 @@ def _model(models: WorkforceModels, name: str) -> DataFrame:
     return getattr(models.raw, name.removeprefix("raw_")) if name.startswith("raw_") else getattr(models, name)
 
 
-def schema_test_report(models: WorkforceModels) -> DataFrame:
-    outcomes = [run_model_tests(_model(models, tests.model), tests) for tests in MODEL_TESTS]
+def schema_test_report(models: WorkforceModels, staged: bool | None = None) -> DataFrame:
+    """Column tests of all models, or only of raw and staged ones, or only of the others."""
+    chosen = [tests for tests in MODEL_TESTS if staged is None or staged == is_staged(tests.model)]
+    outcomes = [run_model_tests(_model(models, tests.model), tests) for tests in chosen]
+    if staged is False:
+        return with_status(reduce(DataFrame.unionByName, outcomes))
     unknown = relationships(
         models.raw.employees, "department_id", models.raw.departments, "department_id"
     )
@@ -102,8 +108,11 @@ def stint_continuity(models: WorkforceModels) -> Check:
 
 
 def tenure_positive(models: WorkforceModels) -> Check:
-    bad = (F.col("is_currently_active") == 1) & (F.col("tenure_total_service_days") <= 0)
-    return Check("tenure_positive", "warn", models.fct_workforce.where(bad))
+    return Check("tenure_positive", "warn", models.fct_workforce.where(_no_tenure()))
+
+
+def _no_tenure() -> Column:
+    return (F.col("is_currently_active") == 1) & (F.col("tenure_total_service_days") <= 0)
 
 
 def transfer_chain(models: WorkforceModels) -> Check:
@@ -128,3 +137,29 @@ RULES = {
         transfer_chain,
     )
 }
+
+#: Rules that need a staged model only; they are looked at before any mart is built.
+STAGING_RULES = ("active_unique", "orphan_payroll", "payroll_dedup", "review_dedup", "transfer_chain")
+
+#: Staged models with rules of their own, and their keys.
+STAGED = {"stg_employees": "employee_id", "stg_payroll": "payroll_id"}
+
+
+def row_rules(models: WorkforceModels) -> list[tuple[DataFrame, RowRules]]:
+    """Every model with rules that a single row can break: the column tests, and the rules above of that kind."""
+    moved = F.col("employment_status") == "transferred"
+    own = {
+        "raw_employees": (
+            {},
+            {"relationships:raw_employees.department_id": Partner("department_id", models.raw.departments, "department_id")},
+        ),
+        "stg_employees": ({}, {"transfer_chain": Partner("employee_id", models.stg_employees, "prior_employee_id", moved)}),
+        "stg_payroll": ({}, {"orphan_payroll": Partner("employee_id", models.raw.employees, "employee_id")}),
+        "fct_workforce": ({"tenure_positive": _no_tenure()}, {}),
+    }
+    tested = {tests.model: (tests.unique[0], tests.row_conditions()) for tests in MODEL_TESTS}
+    found = []
+    for name, (key, conditions) in (tested | {name: (key, {}) for name, key in STAGED.items()}).items():
+        more, partners = own.get(name, ({}, {}))
+        found.append((_model(models, name), RowRules(name, key, conditions | more, partners)))
+    return found
