@@ -1,12 +1,12 @@
 """Language identification by unigram pieces, with all segmentations of a word summed.
 
-A word is a run of letters, lower-cased, with a space before it; words of over ``WORD_CHARS`` characters
-are scored in parts of that length. The pieces are those of a public vocabulary file, up to
-``PIECE_CHARS`` characters long. For each language a piece has a probability, and a word's probability
-is the sum over all ways to cut it into pieces of the product of their probabilities, by the forward
-algorithm. Characters outside the vocabulary have the same small probability in every language. A
-text's language is the one with the largest product of its words' probabilities and the language's
-share of the training documents.
+A word is a run of letters of any length, lower-cased, with a space before it. The pieces are all those
+of a public vocabulary file that lower-cased text can hold. For each language a piece has a
+probability, and a word's probability is the sum over all ways to cut it into pieces of the product of
+their probabilities, by the forward algorithm; over a long word only the last forward values are
+carried, and rescaled before they get too small. Characters outside the vocabulary have the same small
+probability in every language. A text's language is the one with the largest product of its words'
+probabilities and the language's share of the training documents.
 
 Piece probabilities are learnt by expectation maximisation, from equal ones on, over the words of a
 bounded sample of training documents: about ``SAMPLE_DOCS`` of each language, chosen by a hash of the
@@ -35,8 +35,12 @@ from ledgerlane.llm.tables import id_remainder
 
 HELD_OUT = (3, 1)
 UNDETERMINED = "und"
-PIECE_CHARS = 6
-WORD_CHARS = 32
+#: Pieces up to this length are looked up at every place, longer ones only where their beginning occurs.
+SHORT_PIECE = 6
+#: Words up to this length need no rescaling: no product over them gets too small for a double.
+PLAIN_WORD = 32
+#: Positions of a long word that are looked up at once.
+WORD_BLOCK = 1 << 16
 SAMPLE_DOCS = 1500
 EM_ROUNDS = 3
 #: Added to every piece's expected count.
@@ -50,53 +54,88 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 def words_of(text: str | None) -> list[str]:
     """The words of a text, as they are scored."""
-    words = _WORD.findall((text or "").lower())
-    if any(len(w) >= WORD_CHARS for w in words):
-        return [part for w in words for part in _parts(" " + w)]
-    return [" " + w for w in words]
+    return [" " + w for w in _WORD.findall((text or "").lower())]
 
 
-def _parts(word: str) -> list[str]:
-    return [word[k : k + WORD_CHARS] for k in range(0, len(word), WORD_CHARS)]
+@dataclass(frozen=True)
+class Found:
+    """Pieces in words of one length: ``short`` [length - 1, word, last position] has a piece or ``size``; ``ending`` and
+    ``starting`` have, per last and per first position, the longer ones as (length, words, pieces)."""
+
+    short: np.ndarray
+    ending: list[list[tuple[int, np.ndarray, np.ndarray]]]
+    starting: list[list[tuple[int, np.ndarray, np.ndarray]]]
 
 
 class Vocabulary:
-    """The pieces of up to PIECE_CHARS characters, found by a hash of their code points."""
+    """All pieces that lower-cased text can hold, found by a hash of their code points."""
 
     BASE = np.uint64(0x9E3779B97F4A7C15)
 
     def __init__(self, path: str):
-        texts = sorted(p for p in load(path).ids if len(p) <= PIECE_CHARS and p == p.lower())
-        hashes = np.array([int(self._hash(np.array([[ord(c) for c in t]], dtype=np.uint64))[0]) for t in texts], dtype=np.uint64)
+        texts = sorted(p for p in load(path).ids if p == p.lower())
+        hashes = np.array([self._hash_of(t) for t in texts], dtype=np.uint64)
         order = np.argsort(hashes)
         self.texts = [texts[k] for k in order.tolist()]
         self.hashes = hashes[order]
         if len(np.unique(self.hashes)) < len(texts):
             raise ValueError("two pieces have one hash")
         self.size = len(texts)
+        self.longest = max(map(len, texts))
+        # Beginnings of longer pieces, by length; a hash that agrees by chance only costs a further look.
+        self.beginnings = {
+            n: np.unique(np.array([self._hash_of(t[:n]) for t in texts if len(t) >= n], dtype=np.uint64))
+            for n in range(SHORT_PIECE + 1, self.longest + 1)
+        }
 
     @classmethod
-    def _hash(cls, codes: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(codes), dtype=np.uint64)
-        for k in range(codes.shape[1]):
-            total = total * cls.BASE + codes[:, k]
-        return total
-
-    def pieces_ending(self, codes: np.ndarray) -> np.ndarray:
-        """[length - 1, word, position]: the piece of that length ending after that position, or ``size``."""
+    def _hash_of(cls, text: str) -> np.uint64:
+        total = np.zeros(1, dtype=np.uint64)
+        for c in text:
+            total = total * cls.BASE + np.uint64(ord(c))
+        return total[0]
+
+    @staticmethod
+    def _among(sorted_hashes: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the sorted hashes, and whether the hash is there."""
+        at = np.searchsorted(sorted_hashes, wanted)
+        at[at == len(sorted_hashes)] = 0
+        return at, sorted_hashes[at] == wanted
+
+    def pieces_in(self, codes: np.ndarray) -> Found:
+        """All pieces in words [word, position] of code points."""
         rows, width = codes.shape
-        found = np.full((PIECE_CHARS, rows, width), self.size, dtype=np.int32)
+        short = np.full((SHORT_PIECE, rows, width), self.size, dtype=np.int32)
         sums = np.zeros((rows, width + 1), dtype=np.uint64)
         for t in range(width):
             sums[:, t + 1] = sums[:, t] * self.BASE + codes[:, t]
         power = np.uint64(1)
-        for k in range(1, min(PIECE_CHARS, width) + 1):
+        for k in range(1, min(SHORT_PIECE, width) + 1):
             power = power * self.BASE
-            wanted = sums[:, k:] - sums[:, : width + 1 - k] * power
-            at = np.searchsorted(self.hashes, wanted)
-            at[at == self.size] = 0
-            found[k - 1, :, k - 1 :] = np.where(self.hashes[at] == wanted, at, self.size)
-        return found
+            at, there = self._among(self.hashes, sums[:, k:] - sums[:, : width + 1 - k] * power)
+            short[k - 1, :, k - 1 :] = np.where(there, at, self.size)
+        ending: list[list] = [[] for _ in range(width)]
+        starting: list[list] = [[] for _ in range(width)]
+        start, row = (grid.ravel() for grid in np.meshgrid(np.arange(width), np.arange(rows)))
+        for k in range(SHORT_PIECE + 1, min(self.longest, width) + 1):
+            power = power * self.BASE
+            fits = start + k <= width
+            start, row = start[fits], row[fits]
+            wanted = sums[row, start + k] - sums[row, start] * power
+            begun = self._among(self.beginnings[k], wanted)[1]
+            start, row, wanted = start[begun], row[begun], wanted[begun]
+            at, there = self._among(self.hashes, wanted)
+            self._by_place(k, start[there], row[there], at[there], ending, starting)
+        return Found(short, ending, starting)
+
+    @staticmethod
+    def _by_place(k: int, start: np.ndarray, row: np.ndarray, piece: np.ndarray, ending: list, starting: list) -> None:
+        order = np.argsort(start, kind="stable")
+        places, firsts = np.unique(start[order], return_index=True)
+        for place, own in zip(places.tolist(), np.split(order, firsts[1:])):
+            hit = (k, row[own], piece[own])
+            starting[place].append(hit)
+            ending[place + k - 1].append(hit)
 
 
 _loaded: dict[str, Vocabulary] = {}
@@ -113,42 +152,98 @@ def _by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(places, code points) of the words of each length, some thousands at once."""
     sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     for size in np.unique(sizes).tolist():
-        places = np.flatnonzero(sizes == size)
-        for start in range(0, len(places), 20_000):
-            own = places[start : start + 20_000]
+        places, step = np.flatnonzero(sizes == size), max(1, min(20_000, 640_000 // size))
+        for start in range(0, len(places), step):
+            own = places[start : start + step]
             joined = "".join([words[i] for i in own.tolist()]).encode("utf-32-le", "surrogatepass")
             yield own, np.frombuffer(joined, dtype="<u4").astype(np.uint64).reshape(len(own), size)
 
 
-def _forward(found: np.ndarray, chances: np.ndarray) -> np.ndarray:
+def _own(found: Found, chances: np.ndarray, k: int, last: int) -> np.ndarray:
+    """[word, language]: chances of the pieces of k + 1 characters that end at a position."""
+    piece = found.short[k, :, last]
+    own = chances[piece]
+    return np.where((piece == chances.shape[0] - 1)[:, None], UNKNOWN, own) if k == 0 else own
+
+
+def _forward(found: Found, chances: np.ndarray) -> np.ndarray:
     """[position, word, language]: summed probability of all segmentations up to the position. ``chances``
     [piece, language] ends with a row of zeros for substrings that are no piece."""
-    _, rows, width = found.shape
-    none = chances.shape[0] - 1
+    _, rows, width = found.short.shape
     forward = np.zeros((width + 1, rows, chances.shape[1]))
     forward[0] = 1
     for t in range(width):
-        for k in range(min(PIECE_CHARS, t + 1)):
-            piece = found[k, :, t]
-            own = chances[piece]
-            if k == 0:
-                own = np.where((piece == none)[:, None], UNKNOWN, own)
-            forward[t + 1] += forward[t - k] * own
+        for k in range(min(SHORT_PIECE, t + 1)):
+            forward[t + 1] += forward[t - k] * _own(found, chances, k, t)
+        for length, own, piece in found.ending[t]:
+            forward[t + 1][own] += forward[t + 1 - length][own] * chances[piece]
     return forward
 
 
-def _backward(found: np.ndarray, chances: np.ndarray) -> np.ndarray:
-    _, rows, width = found.shape
-    none = chances.shape[0] - 1
+class _Rescaled:
+    """The last sums of a walk over a long word, all divided by exp(``logs``)."""
+
+    def __init__(self, longest: int, rows: int, languages: int):
+        self.window = np.zeros((longest, rows, languages))
+        self.window[0] = 1
+        self.logs = np.zeros((rows, languages))
+
+    def push(self, total: np.ndarray) -> None:
+        self.window = np.concatenate([total[None], self.window[:-1]])
+        if total.min() < 1e-60:
+            self.logs += np.log(total)
+            self.window /= total
+
+    def log(self) -> np.ndarray:
+        return self.logs + np.log(self.window[0])
+
+
+def _log_forward_long(codes: np.ndarray, chances: np.ndarray, pieces: Vocabulary, keep: bool = False) -> np.ndarray:
+    """[word, language]: log of the summed probability of long words, looked up block by block; with ``keep``, of
+    every beginning, as [position, word, language]."""
+    rows, width = codes.shape
+    state = _Rescaled(pieces.longest, rows, chances.shape[1])
+    kept = [state.log()] if keep else []
+    for begin in range(0, width, WORD_BLOCK):
+        back = min(begin, pieces.longest - 1)
+        found = pieces.pieces_in(codes[:, begin - back : begin + WORD_BLOCK])
+        for t in range(back, found.short.shape[2]):
+            total = np.zeros_like(state.logs)
+            for k in range(min(SHORT_PIECE, t + 1)):
+                total += state.window[k] * _own(found, chances, k, t)
+            for length, own, piece in found.ending[t]:
+                total[own] += state.window[length - 1][own] * chances[piece]
+            state.push(total)
+            if keep:
+                kept.append(state.log())
+    return np.stack(kept) if keep else state.log()
+
+
+def _log_backward_long(found: Found, chances: np.ndarray, longest: int) -> np.ndarray:
+    """[position, word, language]: log of the summed probability of every end of long words."""
+    _, rows, width = found.short.shape
+    state = _Rescaled(longest, rows, chances.shape[1])
+    kept = [state.log()]
+    for t in range(width - 1, -1, -1):
+        total = np.zeros_like(state.logs)
+        for k in range(min(SHORT_PIECE, width - t)):
+            total += state.window[k] * _own(found, chances, k, t + k)
+        for length, own, piece in found.starting[t]:
+            total[own] += state.window[length - 1][own] * chances[piece]
+        state.push(total)
+        kept.append(state.log())
+    return np.stack(kept[::-1])
+
+
+def _backward(found: Found, chances: np.ndarray) -> np.ndarray:
+    _, rows, width = found.short.shape
     backward = np.zeros((width + 1, rows, chances.shape[1]))
     backward[width] = 1
     for t in range(width - 1, -1, -1):
-        for k in range(min(PIECE_CHARS, width - t)):
-            piece = found[k, :, t + k]
-            own = chances[piece]
-            if k == 0:
-                own = np.where((piece == none)[:, None], UNKNOWN, own)
-            backward[t] += backward[t + k + 1] * own
+        for k in range(min(SHORT_PIECE, width - t)):
+            backward[t] += backward[t + k + 1] * _own(found, chances, k, t + k)
+        for length, own, piece in found.starting[t]:
+            backward[t][own] += backward[t + length][own] * chances[piece]
     return backward
 
 
@@ -157,23 +252,33 @@ def log_chances(words: list[str], chances: np.ndarray, pieces: Vocabulary) -> np
     out = np.zeros((len(words), chances.shape[1]))
     with np.errstate(over="ignore"):
         for places, codes in _by_length(words):
-            out[places] = np.log(_forward(pieces.pieces_ending(codes), chances)[-1])
+            if codes.shape[1] > PLAIN_WORD:
+                out[places] = _log_forward_long(codes, chances, pieces)
+            else:
+                out[places] = np.log(_forward(pieces.pieces_in(codes), chances)[-1])
     return out
 
 
 def expected_counts(words: list[str], numbers: np.ndarray, chances: np.ndarray, pieces: Vocabulary) -> np.ndarray:
     """Expected number of uses of every piece in words of one language, by forward and backward sums."""
     total = np.zeros(pieces.size + 1)
-    with np.errstate(over="ignore"):
+    with np.errstate(over="ignore", divide="ignore"):
         for places, codes in _by_length(words):
-            found = pieces.pieces_ending(codes)
-            forward, backward = _forward(found, chances)[..., 0], _backward(found, chances)[..., 0]
-            weight = numbers[places] / forward[-1]
+            found = pieces.pieces_in(codes)
+            if codes.shape[1] > PLAIN_WORD:
+                before = _log_forward_long(codes, chances, pieces, keep=True)[..., 0]
+                after = _log_backward_long(found, chances, pieces.longest)[..., 0]
+                whole = before[-1]
+                used = lambda s, e, own: np.exp(before[s][own] + after[e][own] - whole[own])  # noqa: B023, E731
+            else:
+                forward, backward = _forward(found, chances)[..., 0], _backward(found, chances)[..., 0]
+                used = lambda s, e, own: forward[s][own] * backward[e][own] / forward[-1][own]  # noqa: B023, E731
+            weight, everyone = numbers[places], np.arange(len(places))
             for t in range(codes.shape[1]):
-                for k in range(min(PIECE_CHARS, t + 1)):
-                    piece = found[k, :, t]
-                    used = forward[t - k] * chances[piece, 0] * backward[t + 1] * weight
-                    total += np.bincount(piece, used, minlength=len(total))
+                hits = [(k + 1, everyone, found.short[k, :, t]) for k in range(min(SHORT_PIECE, t + 1))]
+                for length, own, piece in [*hits, *found.ending[t]]:
+                    share = used(t + 1 - length, t + 1, own) * chances[piece, 0] * weight[own]
+                    total += np.bincount(piece, share, minlength=len(total))
     return total[:-1]
 
 
