@@ -208,6 +208,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id",
 
 
 def with_good_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents whose predicted quality is 1."""
-    _, model = _statistics_and_model(docs, labels, [], "doc_id", "text")
-    return docs.where(score_column(model, statistics_of(F.col("text"))) >= THRESHOLD)
+    """The documents whose predicted quality is 1. Texts are read once: statistics are written beside the rows, and the
+    written rows are filtered."""
+    rows, model = _statistics_and_model(docs, labels, [F.struct(*docs.columns).alias("document")], "doc_id", "text")
+    return rows.where(score_column(model, F.col("statistics")) >= THRESHOLD).select("document.*")

@@ -1,10 +1,11 @@
 """Toxicity by weak supervision.
 
 Many voters look at a text: lexicons of abuse, a lexicon of word stems learnt from the labelled part,
-and patterns. Each votes toxic, clean or abstains. A generative model of the votes estimates how
-accurate every voter is and how strongly voters are correlated given the class, by expectation
-maximisation from the labelled rows on; correlated voters share their weight. Its posterior labels
-train a linear classifier over what the voters counted, which scores all texts.
+and patterns. Each votes toxic, clean or abstains; a row's label, where it has one in the training part, is
+one more vote. A generative model of the votes estimates how accurate every voter is, the label
+included, and how strongly voters are correlated given the class, by expectation maximisation;
+correlated voters share their weight. Its posterior alone trains a linear classifier over what the
+voters counted, which scores all texts.
 
 Stems are learnt from a bounded sample of labelled rows; vote counts and the classifier's sums are added
 up over all rows of the training part.
@@ -19,7 +20,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter as Tally
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,17 +39,14 @@ THRESHOLD = 0.5
 #: Stems are the first characters of a word.
 STEM_LENGTHS = (4, 5, 6)
 #: A stem enters the lexicon if so many toxic documents of the sample hold it, and such a share of them, and
-#: if of all labelled documents that hold it so large a share is toxic.
+#: if of all labelled documents that hold it so large a share is toxic. The share bounds the lexicon: it holds at
+#: most 1 / STEM_SHARE times the stems of an average toxic document.
 STEM_DOCUMENTS, STEM_SHARE, STEM_PRECISION = 5, 0.01, 0.98
 #: Labelled rows of each class that stems are learnt from: those whose id has the smallest hash.
 SAMPLE_ROWS = 10_000
-#: The learnt lexicon holds the most telling stems, at most so many.
-STEM_LEXICON = 5000
 EM_ROUNDS = 25
 NEWTON_ROUNDS = 12
 RIDGE = 1.0
-#: Accuracy that a row's own label is taken to have, beside the label model's posterior.
-LABEL_ACCURACY = 0.98
 BLOCK_CHARS = 1 << 20
 #: Words whose kind a task remembers.
 REMEMBERED_WORDS = 100_000
@@ -77,9 +75,11 @@ _AIMED = re.compile(r"\b(?:you|your|he|she|they)\b(?:\W+\w+){0,3}?\W+$")
 #: What is counted in a text, per lexicon and pattern.
 COUNTS = [*LEXICONS, "stems_even", "stems_odd", "aimed", "shouts", "words"]
 TOXIC, CLEAN, ABSTAIN = 1, 0, 2
-VOTERS = ["insult_nouns", "insult_adjectives", "threats", "profanity", "stems_even", "stems_odd", "aimed", "repeated", "shouting", "nothing_found"]
+VOTERS = ["insult_nouns", "insult_adjectives", "threats", "profanity", "stems_even", "stems_odd", "aimed", "repeated", "shouting", "nothing_found", "label"]
 #: Assumed chances of (clean, toxic, abstain) votes given clean and given toxic, where nothing is known.
-ASSUMED = np.array([[[0.0, 0.05, 0.95], [0.0, 0.4, 0.6]]] * 9 + [[[0.8, 0.0, 0.2], [0.1, 0.0, 0.9]]])
+ASSUMED = np.array(
+    [[[0.0, 0.05, 0.95], [0.0, 0.4, 0.6]]] * 9 + [[[0.8, 0.0, 0.2], [0.1, 0.0, 0.9]], [[0.38, 0.02, 0.6], [0.02, 0.38, 0.6]]]
+)
 ASSUMED_ROWS = 4.0
 
 
@@ -131,14 +131,16 @@ class Counter:
         return found.tolist()
 
 
-def votes(counts: np.ndarray) -> np.ndarray:
-    """Votes of all VOTERS for rows of COUNTS."""
+def votes(counts: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Votes of all VOTERS for rows of COUNTS with labels (0, 1, or -1 for none)."""
     out = np.full((len(counts), len(VOTERS)), ABSTAIN, dtype=np.int8)
     hits = counts[:, : len(LEXICONS) + 2]
     out[:, : len(LEXICONS) + 3][counts[:, : len(LEXICONS) + 3] > 0] = TOXIC
     out[hits.sum(axis=1) >= 3, VOTERS.index("repeated")] = TOXIC
     out[(counts[:, -2] >= 1) & (hits.sum(axis=1) >= 1), VOTERS.index("shouting")] = TOXIC
     out[hits.sum(axis=1) == 0, VOTERS.index("nothing_found")] = CLEAN
+    out[labels == 1, VOTERS.index("label")] = TOXIC
+    out[labels == 0, VOTERS.index("label")] = CLEAN
     return out
 
 
@@ -159,18 +161,17 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(ratio, -500, 500)))
 
 
-def fit_label_model(patterns: np.ndarray, n: np.ndarray, labels: np.ndarray) -> LabelModel:
-    """From distinct vote patterns with their numbers of rows and labels (0, 1, or -1 for unlabelled).
+def fit_label_model(patterns: np.ndarray, n: np.ndarray) -> LabelModel:
+    """From distinct vote patterns with their numbers of rows.
 
-    The labelled rows' classes are known; the others' are estimated in turn with the voters' chances. A
-    voter's weight is one over its summed absolute correlations, within classes, with all voters.
+    No row's class is taken as known: classes and the voters' chances are estimated in turn, from assumed
+    chances on. A voter's weight is one over its summed absolute correlations, within classes, with all voters.
     """
     voters = patterns.shape[1]
     smooth = (ASSUMED + 0.02) / (ASSUMED + 0.02).sum(axis=2, keepdims=True)
     model = LabelModel(smooth, np.ones(voters), np.eye(voters), 0.1)
-    labelled = labels >= 0
     for _ in range(EM_ROUNDS):
-        toxic = np.where(labelled, labels, model.posterior(patterns))
+        toxic = model.posterior(patterns)
         chances = smooth * ASSUMED_ROWS
         by_class = np.stack([n * (1 - toxic), n * toxic])
         for j in range(voters):
@@ -244,8 +245,8 @@ def _stem_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learnt_stems(docs: DataFrame, known: DataFrame) -> dict[str, int]:
-    """Stems that tell toxic labelled documents (own_id, own_text) from clean ones, at most STEM_LEXICON, with
-    the half of the lexicon each belongs to. Learnt from SAMPLE_ROWS labelled rows per class."""
+    """Stems that tell toxic labelled documents (own_id, own_text) from clean ones, with the half of the lexicon
+    each belongs to. Learnt from SAMPLE_ROWS labelled rows per class."""
     samples = [
         known.where(F.col("label") == label).orderBy(F.xxhash64("label_id"), "label_id").limit(SAMPLE_ROWS)
         for label in (0, 1)
@@ -266,8 +267,7 @@ def learnt_stems(docs: DataFrame, known: DataFrame) -> dict[str, int]:
     rows = (
         counted.where(F.col("toxic") >= max(STEM_DOCUMENTS, STEM_SHARE * totals[1]))
         .where(toxic_rows >= STEM_PRECISION * (toxic_rows + clean_rows))
-        .orderBy(F.desc("toxic"), "stem")
-        .limit(STEM_LEXICON)
+        .select("stem")
         .collect()
     )
     return {r.stem: xxhash.xxh64_intdigest(r.stem) % 2 for r in rows}
@@ -288,36 +288,32 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _fit_labels(training: DataFrame) -> LabelModel:
-    """From the training rows (counts, label or -1), first reduced to distinct vote patterns. Voters say one
-    of two things each, so there are at most 3 * 2^10 of them."""
+    """From the training rows (counts, label or -1), first reduced to distinct vote patterns. Voters but the label
+    say one of two things each, so there are at most 3 * 2^10 of them."""
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = votes(_matrix(batch.column(0)))
+            rows = votes(_matrix(batch.column(0)), batch.column(1).to_numpy(zero_copy_only=False))
             texts = ["".join(map(str, row)) for row in rows.tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column(1)], names=["pattern", "label"])
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["pattern"])
 
-    found = training.select("counts", "label").mapInArrow(vote, "pattern string, label int")
-    rows = found.groupBy("pattern", "label").agg(F.count("*").alias("n")).orderBy("pattern", "label").toPandas()
+    found = training.select("counts", "label").mapInArrow(vote, "pattern string")
+    rows = found.groupBy("pattern").agg(F.count("*").alias("n")).orderBy("pattern").toPandas()
     patterns = np.array([[int(c) for c in p] for p in rows["pattern"]], dtype=np.int8).reshape(-1, len(VOTERS))
-    return fit_label_model(patterns, rows["n"].to_numpy(dtype=float), rows["label"].to_numpy(dtype=int))
+    return fit_label_model(patterns, rows["n"].to_numpy(dtype=float))
 
 
 def _fit_classifier(training: DataFrame, labels: LabelModel) -> np.ndarray:
-    """Logistic regression on the posterior labels by Newton's method; tasks add up gradients and Hessians.
-    A row's own label, where it has one, is a further voter of accuracy LABEL_ACCURACY."""
+    """Logistic regression on the posterior by Newton's method; tasks add up gradients and Hessians."""
     d = features(np.zeros((1, len(COUNTS)))).shape[1]
     weights = np.zeros(d)
-    said = np.log(LABEL_ACCURACY) - np.log1p(-LABEL_ACCURACY)
 
     def step(weights: np.ndarray):
         def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros(d + d * d)
             for batch in batches:
                 counts, label = _matrix(batch.column(0)), batch.column(1).to_numpy(zero_copy_only=False)
-                vote = np.where(label < 0, 0.0, (2 * label - 1) * said)
-                own = np.clip(labels.posterior(votes(counts)), 1e-9, 1 - 1e-9)
-                target = 1 / (1 + np.exp(-(np.log(own) - np.log1p(-own) + vote)))
+                target = labels.posterior(votes(counts, label))
                 x = features(counts)
                 p = 1 / (1 + np.exp(-np.clip(x @ weights, -500, 500)))
                 total[:d] += x.T @ (target - p)
@@ -339,11 +335,15 @@ def _fit_classifier(training: DataFrame, labels: LabelModel) -> np.ndarray:
     return weights
 
 
-def _counts_and_model(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str) -> tuple[DataFrame, ToxicityModel]:
+def _counts_and_model(
+    docs: DataFrame, labels: DataFrame, id_column: str, text_column: str, kept: Sequence[Column] = ()
+) -> tuple[DataFrame, ToxicityModel]:
+    """Rows of (own_id, counts) and the columns ``kept``, written, and the model learnt from them."""
     known = _keyed_labels(labels)
     own = docs.select(F.col(id_column).cast("long").alias("own_id"), F.col(text_column).alias("own_text"))
     stems = learnt_stems(own, known)
-    rows = durable(own.select("own_id", counts_column(stems, F.col("own_text")).alias("counts")), "toxicity-counts")
+    counted = counts_column(stems, F.col(text_column)).alias("counts")
+    rows = durable(docs.select(F.col(id_column).cast("long").alias("own_id"), counted, *kept), "toxicity-counts")
     # Rows without an id cannot be held out by it, nor have a label; nothing is learnt from them.
     usable = rows.where(id_remainder(F.col("own_id"), HELD_OUT) != 0)
     training = durable(
@@ -375,14 +375,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id"
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not predicted toxic."""
-    _, model = _counts_and_model(docs, labels, "doc_id", "text")
-
-    @F.pandas_udf("boolean")
-    def toxic(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        counter = Counter(model.stems)
-        for texts in batches:
-            counts = np.array([counter.counts(t) for t in texts]).reshape(-1, len(COUNTS))
-            yield pd.Series(model.score(counts) >= THRESHOLD)
-
-    return docs.where(~toxic("text"))
+    """The documents that are not predicted toxic. Texts are read once: what the voters counted is written beside
+    the rows, and the written rows are filtered."""
+    rows, model = _counts_and_model(docs, labels, "doc_id", "text", [F.struct(*docs.columns).alias("document")])
+    return rows.where(score_column(model, F.col("counts")) < THRESHOLD).select("document.*")
