@@ -7,7 +7,10 @@ list a candidate has a partial score, and its score is the sum over the lists.
    k * LISTS candidates per query, whose exact scores give a cutoff: the k-th highest.
 2. The cutoff is broadcast. A candidate that reaches it has, in some list, at least an equal share of
    it, so every entry with that share is collected, and no other candidate can be among the top k.
-3. Collected candidates with all entries have their score; the rest is resolved from the vectors.
+3. Collected candidates with all entries have their score, and the k-th highest of these is a higher
+   cutoff. A candidate that lacks entries has at most its entries and just below the share for each one
+   missing; where that stays below the higher cutoff it is dropped. The rest is resolved from the
+   vectors.
 
 Queries go in blocks of bounded size, each block against all candidates. At most k + 1 of equal
 vectors can be in any result, the ones with the smallest ids, so the others need no scores.
@@ -17,6 +20,10 @@ the way; ids come back at the end. Vectors that are null, or hold null or non-fi
 vector counts as ending in zeros, and an empty one scores 0. Rows that repeat both id and vector
 count once; rows that share only the id are candidates of their own, and are never candidates for a
 query of that id. Ties go to the smaller vec_id. An empty table gives an empty result.
+
+Scores are longs. By the inequality of Cauchy and Schwarz no score is beyond the largest squared
+length of a vector; where that does not fit a long the search raises ``ScoresTooLarge`` before it begins,
+rather than give wrong ranks.
 """
 
 from __future__ import annotations
@@ -32,17 +39,24 @@ from ledgerlane.functions.durable import drop_durable, durable
 
 SCALE = 256
 LISTS = 2
-#: Queries of a block: about QUERY_BLOCK, never over twice as many (checked).
+#: Queries of a block: about QUERY_BLOCK, never over twice as many.
 QUERY_BLOCK = 1024
+#: Largest squared length of a vector: all scores, and all sums on the way to them, stay below 2^62.
+LARGEST = float(1 << 62)
 ROWS_AT_ONCE = 2048
 TIE_SALTS = 16
 
+
+class ScoresTooLarge(ValueError):
+    """Vectors are so long that scores may not fit a long."""
+
+
 ENTRY_SCHEMA = "query long, list int, candidate long, vec_id long, partial long"
 ENTRY_NAMES = ["query", "list", "candidate", "vec_id", "partial"]
 
 
 def integer_vectors(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
-    """Distinct (id, vector) of the rows that take part; ids as longs."""
+    """Distinct (id, vector) of the rows that take part; ids as longs. Components beyond a long end at its limits."""
     finite = F.forall(vector_column, lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False)))
     scaled = F.transform(vector_column, lambda x: F.floor(F.lit(float(SCALE)) * x.cast("double")).cast("long"))
     known = F.col(id_column).isNotNull() & F.col(vector_column).isNotNull()
@@ -136,8 +150,8 @@ def _inner_product(left: str, right: str) -> Column:
 
 
 def _resolved(pairs: DataFrame, queries: DataFrame, candidates: DataFrame) -> DataFrame:
-    """The exact score of (query, candidate) pairs."""
-    asked = queries.select(F.col("row").alias("query"), F.col("vector").alias("query_vector"))
+    """The exact score of (query, candidate) pairs. Queries are a block's, so they are few enough to send."""
+    asked = F.broadcast(queries.select(F.col("row").alias("query"), F.col("vector").alias("query_vector")))
     given = candidates.select(F.col("row").alias("candidate"), F.col("id").alias("vec_id"), "vector")
     scored = pairs.join(given, "candidate").join(asked, "query")
     return scored.select("query", "candidate", "vec_id", _inner_product("query_vector", "vector").alias("score"))
@@ -148,10 +162,30 @@ def _first(rows: DataFrame, group: list[str], score: str, k: int) -> DataFrame:
     return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _higher_cutoffs(whole: DataFrame, queries: np.ndarray, cutoffs: np.ndarray, k: int, lists: int) -> DataFrame:
+    """(query, share, cutoff): what an entry had to reach, and the k-th highest score known by now. One row per
+    query of the block."""
+    known = _first(whole, ["query"], "score", k).groupBy("query").agg(F.min("score").alias("later"), F.count("*").alias("n"))
+    first = whole.sparkSession.createDataFrame(
+        [(int(q), int(-(-c // lists)), int(c)) for q, c in zip(queries, cutoffs)], "query long, share long, first long"
+    )
+    higher = F.when(F.col("n") == k, F.greatest("first", "later")).otherwise(F.col("first"))
+    return first.join(known, "query", "left").select("query", "share", higher.alias("cutoff"))
+
+
+def _query_blocks(asked: DataFrame) -> list[DataFrame]:
+    """The queries in blocks of at most twice QUERY_BLOCK, by their place in equal parts of the table."""
+    parts = max(1, -(-asked.count() // QUERY_BLOCK))
+    placed = asked.repartition(parts).withColumn("place", F.monotonically_increasing_id())
+    within = F.col("place").bitwiseAND((1 << 33) - 1)
+    blocks = (F.shiftright("place", 33) * (1 << 20)) + F.floor(within / (2 * QUERY_BLOCK))
+    dealt = durable(placed.select("row", "id", "vector", blocks.alias("block")), "topk-blocks")
+    numbers = sorted(r.block for r in dealt.select("block").distinct().collect())
+    return [dealt.where(F.col("block") == number).drop("block") for number in numbers]
+
+
 def _top_k_of_block(queries: DataFrame, candidates: DataFrame, width: int, k: int, lists: int) -> DataFrame:
     rows = queries.toPandas()
-    if len(rows) > 2 * QUERY_BLOCK:
-        raise ValueError("a block of queries is over its bound")
     vectors = _matrix(pa.array(list(rows["vector"]), pa.list_(pa.int64())), width)
     block = _QueryBlock(rows["row"].to_numpy(dtype=np.int64), rows["id"].to_numpy(dtype=np.int64), vectors, lists)
     # Phase 1: local lists, and from their best candidates a safe cutoff.
@@ -168,9 +202,12 @@ def _top_k_of_block(queries: DataFrame, candidates: DataFrame, width: int, k: in
         .agg(F.sum("partial").alias("score"), F.count("*").alias("n")),
         "topk-collected",
     )
-    # Phase 3: the scores of candidates that lack an entry.
+    # Phase 3: the scores of candidates that lack an entry and can still be among the best.
     whole = collected.where(F.col("n") == lists).select("query", "candidate", "vec_id", "score")
-    partly = _resolved(collected.where(F.col("n") < lists).select("query", "candidate"), queries, candidates)
+    limits = _higher_cutoffs(whole, block.rows, cutoffs, k, lists)
+    most = F.col("score") + (lists - F.col("n")) * (F.col("share") - 1)
+    lacking = collected.where(F.col("n") < lists).join(F.broadcast(limits), "query")
+    partly = _resolved(lacking.where(most >= F.col("cutoff")).select("query", "candidate"), queries, candidates)
     asked = queries.select(F.col("row").alias("query"), F.col("id").alias("query_id"))
     best = _first(whole.union(partly), ["query"], "score", k)
     found = durable(best.join(asked, "query").select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"), "topk-found")
@@ -194,14 +231,13 @@ def exact_top_k(
     # The numbers hold because they are written before anything reads them.
     distinct = integer_vectors(vectors, id_column, vector_column)
     rows = durable(distinct.withColumn("row", F.monotonically_increasing_id()), "topk-vectors")
-    asked = durable(rows.where(is_query), "topk-queries")
+    asked = rows.where(is_query)
+    square = F.aggregate(F.transform("vector", lambda x: x.cast("double") * x.cast("double")), F.lit(0.0), lambda a, b: a + b)
+    width, longest = rows.agg(F.max(F.size("vector")), F.max(square)).first()
+    if (longest or 0) >= LARGEST:
+        raise ScoresTooLarge(f"a vector has a squared length of {longest:.3g} after scaling; scores must stay below {LARGEST:.3g}")
     candidates = durable(_without_surplus_ties(rows, k + 1), "topk-candidates")
-    width = rows.agg(F.max(F.size("vector"))).first()[0] or 0
-    blocks = -(-asked.count() // QUERY_BLOCK)
-    found: list[DataFrame] = []
-    for block in range(blocks):
-        own = asked.where(F.pmod(F.xxhash64("row"), F.lit(blocks)) == block)
-        found.append(_top_k_of_block(own, candidates, width, k, lists))
+    found = [_top_k_of_block(own, candidates, width, k, lists) for own in _query_blocks(asked)] if width is not None else []
     if not found:
         return rows.limit(0).select(
             F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("score")

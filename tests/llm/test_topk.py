@@ -59,5 +59,28 @@ def test_fewer_candidates_than_k_and_empty_tables(spark):
     assert found(spark, [], 5, 2) == []
 
 
+def test_scores_that_do_not_fit_a_long_are_an_error(spark):
+    rows = [(i, [float(i), 1.0], 1, "s") for i in range(10)]
+    for huge in (1e18, -3e38, 1e7):
+        with pytest.raises(topk.ScoresTooLarge):
+            found(spark, [*rows, (11, [huge, 1.0], 1, "s")], 5, 5)
+    assert found(spark, [*rows, (11, [5e6, 1.0], 1, "s")], 5, 5) == brute_force([r[:2] for r in [*rows, (11, [5e6, 1.0])]], 5, 5)
+
+
+def test_blocks_are_bounded_and_whole(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 8)
+    asked = spark.range(0, 100, 1, 3).selectExpr("id as row", "id", "array(id) as vector")
+    blocks = [[r.row for r in block.collect()] for block in topk._query_blocks(asked)]
+    assert sorted(sum(blocks, [])) == list(range(100)) and max(map(len, blocks)) <= 16
+
+
+def test_the_higher_cutoff_keeps_every_tie(spark):
+    # Scores come from one list or the other, so many candidates lack an entry and tie at the cutoff.
+    rows = [(0, [1.0, 1.0], 1, "s")]
+    rows += [(k, [3.0, 0.0] if k % 3 else [0.0, 3.0] if k % 2 else [1.5, 1.5], 1, "s") for k in range(1, 60)]
+    for k in (1, 5, 20):
+        assert found(spark, rows, k, 50) == brute_force([r[:2] for r in rows], k, 50)
+
+
 def test_query_equals_the_statement(spark, data):
     assert differences(QUERIES["op7_exact_top_k"](spark, data), connect(data), ORACLE_SQL["op7_exact_top_k"]) == []
