@@ -41,8 +41,12 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify(read_table(spark, folder, "documents"))
 
 
+#: Bytes of a shard that a loader takes in one request; a table of any of the given sizes splits at it.
+LOADER_SHARD_BYTES = 1 << 16
+
+
 def sharded(spark: SparkSession, folder: str) -> DataFrame:
-    return sharding.assign_shards(read_table(spark, folder, "documents"))
+    return sharding.assign_shards(read_table(spark, folder, "documents"), limit=LOADER_SHARD_BYTES)
 
 
 def chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
@@ -108,7 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
-    "op4_sharding": sharding.oracle_sql(),
+    "op4_sharding": sharding.oracle_sql(LOADER_SHARD_BYTES),
     "op5_chat_formatting": chat.ORACLE_SQL,
     "op7_exact_top_k": TOP_K_SQL,
     "op11_filter_audit": audit.ORACLE_SQL,

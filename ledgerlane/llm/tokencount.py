@@ -1,8 +1,10 @@
 """Token counts that follow edits, by a segment tree of pre-token runs per document.
 
-A text is cut into leaves: runs of whole pre-tokens. A cut after a letter and before anything else is
-always the end of one pre-token and the start of the next, whatever stands around it, so a leaf has
-the same tokens alone as in its text. A segment tree over the leaves sums characters and tokens. An
+A text is cut into leaves: runs of whole pre-tokens. Where letters, digits and other characters meet, or
+white space follows any of them, one pre-token always ends and the next begins, whatever stands around
+it (an apostrophe before a letter aside), so a leaf has the same tokens alone as in its text. A run of one
+kind without white space (a single word, a number, unspaced ideographs) is one pre-token of the
+vocabulary itself and stays in one leaf, however long; an edit inside it encodes it whole. A segment tree over the leaves sums characters and tokens. An
 edit finds its leaves by descending the sums, takes the leaves that hold the characters beside it as
 context, cuts and encodes these anew, and updates the sums above them; all other leaves stay.
 
@@ -38,7 +40,12 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 LEAF_CHARS = 256
 LARGE_LEAF = 8
 
-_CUT = regex.compile(r"\p{L}(?=[^\p{L}])")
+#: A pre-token holds letters, digits or other characters, each behind at most one space, or white space; so it
+#: ends where the kind changes, but never after white space, nor between an apostrophe and a letter.
+_CUT = regex.compile(
+    r"\p{L}(?=\P{L})|\p{N}(?=\P{N})"
+    r"|[^\p{White_Space}\p{L}\p{N}](?=[\p{White_Space}\p{N}])|[^\p{White_Space}\p{L}\p{N}'](?=\p{L})"
+)
 
 
 @functools.cache

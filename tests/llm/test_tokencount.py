@@ -5,6 +5,7 @@ import random
 import pytest
 
 from ledgerlane.llm.tokencount import (
+    _CUT,
     PATTERN,
     TokenTree,
     apply_edits,
@@ -60,6 +61,30 @@ def test_a_small_edit_encodes_a_small_part():
     assert tree.chars_encoded < 1000
 
 
+def test_every_cut_place_keeps_the_tokens():
+    rng = random.Random(11)
+    alphabet = ["a", "s", "re", "'", "'s", "1", "23", " ", "  ", "\n", "\t", "!", "é", "e\u0301", "日", "½", "\u00a0", "\u2028", "\x1c", "\u200b", "٣", "_"]
+    for _ in range(400):
+        text = "".join(rng.choices(alphabet, k=60))
+        whole = encoding().encode_ordinary(text)
+        for found in _CUT.finditer(text, overlapped=True):
+            at = found.end()
+            assert encoding().encode_ordinary(text[:at]) + encoding().encode_ordinary(text[at:]) == whole, (text, at)
+
+
+@pytest.mark.parametrize("part", ["12 4 88 ", "7", "日本語", "1,2;", "a1"])
+def test_texts_without_words_have_leaves_too(part):
+    rng = random.Random(3)
+    text = (part * 200_000)[:200_000]
+    if part == "7":
+        text = "".join(rng.choice("0123456789") + (" " if k % 9 == 0 else "") for k in range(180_000))
+    tree = TokenTree.of(text, encoding())
+    tree.edit(100_000, 100_001, "x")
+    assert tree.n_tokens == tokens(text[:100_000] + "x" + text[100_001:])
+    if part != "日本語":  # one run of letters is one pre-token
+        assert tree.chars_encoded < 0.02 * len(text)
+
+
 def test_query_against_whole_encoding(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     got = {r.doc_id: r for r in counted_and_edited(docs).collect()}
