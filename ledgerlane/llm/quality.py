@@ -186,10 +186,10 @@ def score_column(model: Discriminant, statistics_column: Column) -> Column:
 
 
 def _statistics_and_model(
-    docs: DataFrame, labels: DataFrame, kept: list[Column], id_column: str, text_column: str
+    docs: DataFrame, labels: DataFrame, id_column: str, text_column: str
 ) -> tuple[DataFrame, Discriminant]:
     rows = durable(
-        docs.select(*kept, F.col(id_column).cast("long").alias("own_id"), statistics_of(F.col(text_column)).alias("statistics")),
+        docs.select(F.col(id_column).cast("long").alias("own_id"), statistics_of(F.col(text_column)).alias("statistics")),
         "quality-statistics",
     )
     known = training_labels(labels, "quality")
@@ -199,7 +199,7 @@ def _statistics_and_model(
 
 def score_quality(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, score (higher: label 1 likelier) and predicted."""
-    rows, model = _statistics_and_model(docs, labels, [], id_column, text_column)
+    rows, model = _statistics_and_model(docs, labels, id_column, text_column)
     return rows.select(
         F.col("own_id").alias("doc_id"),
         (id_remainder(F.col("own_id"), HELD_OUT) == 0).alias("held_out"),
@@ -208,7 +208,6 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id",
 
 
 def with_good_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents whose predicted quality is 1. Texts are read once: statistics are written beside the rows, and the
-    written rows are filtered."""
-    rows, model = _statistics_and_model(docs, labels, [F.struct(*docs.columns).alias("document")], "doc_id", "text")
-    return rows.where(score_column(model, F.col("statistics")) >= THRESHOLD).select("document.*")
+    """The documents whose predicted quality is 1. Texts are read once for the fit and once for the decisions."""
+    _, model = _statistics_and_model(docs, labels, "doc_id", "text")
+    return docs.where(score_column(model, statistics_of(F.col("text"))) >= THRESHOLD)

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter as Tally
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -335,15 +335,12 @@ def _fit_classifier(training: DataFrame, labels: LabelModel) -> np.ndarray:
     return weights
 
 
-def _counts_and_model(
-    docs: DataFrame, labels: DataFrame, id_column: str, text_column: str, kept: Sequence[Column] = ()
-) -> tuple[DataFrame, ToxicityModel]:
-    """Rows of (own_id, counts) and the columns ``kept``, written, and the model learnt from them."""
+def _counts_and_model(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str) -> tuple[DataFrame, ToxicityModel]:
+    """Rows of (own_id, counts), written, and the model learnt from them."""
     known = _keyed_labels(labels)
     own = docs.select(F.col(id_column).cast("long").alias("own_id"), F.col(text_column).alias("own_text"))
     stems = learnt_stems(own, known)
-    counted = counts_column(stems, F.col(text_column)).alias("counts")
-    rows = durable(docs.select(F.col(id_column).cast("long").alias("own_id"), counted, *kept), "toxicity-counts")
+    rows = durable(own.select("own_id", counts_column(stems, F.col("own_text")).alias("counts")), "toxicity-counts")
     # Rows without an id cannot be held out by it, nor have a label; nothing is learnt from them.
     usable = rows.where(id_remainder(F.col("own_id"), HELD_OUT) != 0)
     training = durable(
@@ -375,7 +372,15 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id"
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not predicted toxic. Texts are read once: what the voters counted is written beside
-    the rows, and the written rows are filtered."""
-    rows, model = _counts_and_model(docs, labels, "doc_id", "text", [F.struct(*docs.columns).alias("document")])
-    return rows.where(score_column(model, F.col("counts")) < THRESHOLD).select("document.*")
+    """The documents that are not predicted toxic. Texts are counted once more for it: the counts of the fit have
+    no text beside them, and a copy of all texts would cost more disk than the second reading costs time."""
+    _, model = _counts_and_model(docs, labels, "doc_id", "text")
+
+    @F.pandas_udf("boolean")
+    def toxic(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        counter = Counter(model.stems)
+        for texts in batches:
+            counts = np.array([counter.counts(t) for t in texts]).reshape(-1, len(COUNTS))
+            yield pd.Series(model.score(counts) >= THRESHOLD)
+
+    return docs.where(~toxic("text"))
