@@ -502,6 +502,42 @@ RIDE: dict[str, str] = {
                        CAST(a - b - c - d - m AS DOUBLE) AS difference_usd, abs(a - b - c - d - m) <= 0.01 AS ties_out
                 FROM ledger_side, mart_side""",
     ),
+    "rh_period_restatement": _over(
+        RAW, MODELS,
+        """then_trips AS (
+             SELECT * REPLACE (is_fraud_flagged AND requested_at <= TIMESTAMP '2024-06-01' AS is_fraud_flagged)
+             FROM raw_trips WHERE requested_at <= TIMESTAMP '2024-07-01'),
+           then_pay AS (
+             SELECT DISTINCT ON (trip_id) *, count(*) OVER (PARTITION BY trip_id) > 1 AS twice FROM raw_payments
+             WHERE payment_status = 'captured' AND attempted_at <= TIMESTAMP '2024-07-01' AND captured_at <= TIMESTAMP '2024-07-01'
+             ORDER BY trip_id, captured_at, payment_id),
+           then_inc AS (
+             SELECT trip_id, sum(bonus_amount) AS spend FROM raw_driver_incentives
+             WHERE earned_at <= TIMESTAMP '2024-07-01' GROUP BY trip_id),
+           then_fact AS (
+             SELECT t.*, CASE WHEN t.currency = 'GBP' THEN 1.27 ELSE 1.00 END AS fx, p.payment_id IS NOT NULL AS paid,
+                    coalesce(twice, false) AS twice, coalesce(p.amount, 0) AS got, coalesce(p.processor_fee, 0) AS cost,
+                    coalesce(i.spend, 0) AS spend, trip_status = 'completed' AS done,
+                    trip_status = 'completed' AND NOT is_fraud_flagged AS good
+             FROM then_trips t LEFT JOIN then_pay p ON p.trip_id = t.trip_id LEFT JOIN then_inc i ON i.trip_id = t.trip_id),
+           compared AS (
+             SELECT f.requested_at,
+                    CASE WHEN e.is_fraud_flagged <> f.is_fraud_flagged THEN 'fraud_flag'
+                         WHEN NOT e.paid AND f.paid THEN 'late_capture'
+                         WHEN NOT e.twice AND f.has_duplicate_captures THEN 'duplicate_capture'
+                         WHEN e.spend <> f.incentive_amount THEN 'late_incentive'
+                         WHEN e.got <> f.captured_amount OR e.cost <> f.processor_fee OR e.gross_fare <> f.gross_fare THEN 'amended'
+                    END AS cause,
+                    CASE WHEN f.is_completed THEN gross ELSE 0 END - CASE WHEN e.done THEN e.gross_fare * e.fx ELSE 0 END AS gmv,
+                    CASE WHEN f.is_revenue_eligible AND f.paid THEN cap - fee ELSE 0 END
+                      - CASE WHEN e.good AND e.paid THEN (e.got - e.cost) * e.fx ELSE 0 END AS net,
+                    inc - e.spend * e.fx AS bonus
+             FROM fact f JOIN then_fact e ON e.trip_id = f.trip_id)""",
+        body="""SELECT CAST(date_trunc('month', requested_at) AS DATE) AS report_month, cause, count(*) AS trips,
+                       CAST(sum(gmv) AS DOUBLE) AS gmv_change_usd, CAST(sum(net) AS DOUBLE) AS net_revenue_change_usd,
+                       CAST(sum(bonus) AS DOUBLE) AS incentives_change_usd
+                FROM compared WHERE cause IS NOT NULL GROUP BY ALL""",
+    ),
     "rh_quarantine": _over(
         RAW, MODELS,
         """broken AS (

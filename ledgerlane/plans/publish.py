@@ -5,6 +5,9 @@
 marts are sound. Every gate that stops it leaves the rows that broke a rule under ``stopped``. The last
 runs stay, so a reader that has resolved the pointer keeps its files; older ones go by age.
 
+Every run leaves, under ``history``, the rows of each mart that the run before did not have, had otherwise
+or had in addition; ``mart_versions`` reads them as versions with validity ranges, whatever runs are left.
+
 Layers that were written before a run stopped are kept under a name made of their input files, and the
 next run over the same files takes them up instead of writing them again.
 """
@@ -16,15 +19,17 @@ import time
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlane.functions.columns import present
 from ledgerlane.functions.durable import drop_durable, durable
 from ledgerlane.operators.checks import run_checks
 from ledgerlane.operators.freshness import freshness
+from ledgerlane.operators.history import differences, versions
 from ledgerlane.operators.quarantine import RowRules, write_broken
 from ledgerlane.plans import ride_checks, workforce_checks
 from ledgerlane.plans.ride import RideModels
@@ -58,6 +63,10 @@ class Keeping:
 
 POINTER = "CURRENT"
 
+#: What makes a row of a mart the same row in another run; a mart of one row has no key.
+RIDE_KEYS = {"mart_drivers": ["driver_id"], "mart_riders": ["rider_id"], "mart_marketplace_kpis": ["report_month"]}
+WORKFORCE_KEYS = {"dim_department": ["department_id"], "fct_workforce": ["person_id"], "fct_attrition_monthly": ["month_start"]}
+
 
 def _filesystem(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -159,6 +168,31 @@ def _set_aside(tables: Sequence[tuple[DataFrame, RowRules]], path: str) -> dict[
     return found
 
 
+def _write_changes(spark: SparkSession, keys: dict[str, list[str]], before: str | None, run: str) -> None:
+    """The differences to the run before, per mart, within the run's own folder."""
+    moment = F.lit(datetime.now(timezone.utc).replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
+    for mart, own in keys.items():
+        after = spark.read.parquet(f"{run}/{mart}")
+        old = spark.read.schema(after.schema).parquet(f"{before}/{mart}") if before else after.limit(0)
+        changes = differences(old, after, own).withColumn("run_at", moment)
+        changes.write.parquet(f"{run}/changes/{mart}")
+
+
+def _file_changes(spark: SparkSession, keys: dict[str, list[str]], out_dir: str, run: str) -> None:
+    """Move a published run's differences to where they outlive the run."""
+    for mart in keys:
+        files, source = _filesystem(spark, f"{out_dir}/{run}/changes/{mart}")
+        target = _filesystem(spark, f"{out_dir}/history/{mart}/{run}")[1]
+        files.mkdirs(target.getParent())
+        files.rename(source, target)
+
+
+def mart_versions(spark: SparkSession, out_dir: str, mart: str, keys: Sequence[str]) -> DataFrame:
+    """All versions of a mart's rows over all runs so far, with valid_from and valid_to."""
+    folder = f"{out_dir}/history/{mart}"
+    return versions(spark.read.parquet(*(f"{folder}/{run}" for run in _children(spark, folder))), keys)
+
+
 @dataclass
 class _Run:
     """What a domain brings to the gates: models, staging layer, reports and row rules."""
@@ -171,6 +205,7 @@ class _Run:
     row_rules: Callable[[], list[tuple[DataFrame, RowRules]]]
     sources: dict[str, tuple[DataFrame, str]]
     fingerprint: str | None
+    mart_keys: dict[str, list[str]]
 
 
 def _gate(run: _Run, report: DataFrame, out_dir: str, staged_only: bool) -> list[Row]:
@@ -206,9 +241,11 @@ def _publish(run: _Run, out_dir: str, fresh_at: datetime | None, keeping: Keepin
         for mart, df in models.marts().items():
             present(df).write.parquet(f"{out_dir}/{name}/{mart}")
         _set_aside(run.row_rules(), f"{out_dir}/{name}/set_aside")
+        _write_changes(spark, run.mart_keys, published(spark, out_dir), f"{out_dir}/{name}")
         outcomes.sort(key=lambda row: row.test)
         spark.createDataFrame(outcomes).coalesce(1).write.parquet(f"{out_dir}/{name}/check_report")
         _switch(spark, out_dir, name)
+        _file_changes(spark, run.mart_keys, out_dir, name)
     except BaseException:
         _delete(spark, f"{out_dir}/{name}")
         raise
@@ -262,6 +299,7 @@ def publish_ride(
         lambda: ride_checks.row_rules(models, now),
         sources,
         _fingerprint([table for table, _ in sources.values()], "ride", now),
+        RIDE_KEYS,
     )
     return _publish(run, out_dir, fresh_at, keeping)
 
@@ -289,5 +327,6 @@ def publish_workforce(
         lambda: workforce_checks.row_rules(models),
         sources,
         _fingerprint([raw.departments, *(table for table, _ in sources.values())], "workforce", as_of),
+        WORKFORCE_KEYS,
     )
     return _publish(run, out_dir, fresh_at, keeping)

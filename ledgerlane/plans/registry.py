@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
+from types import SimpleNamespace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from ledgerlane.functions.columns import present
 from ledgerlane.functions.durable import durable
 from ledgerlane.operators import (
     fx_rates,
+    history,
     people_attrition,
     people_bridge,
     people_departments,
@@ -108,6 +110,19 @@ def _tieout(models: WorkforceModels) -> DataFrame:
     return people_gaps.payroll_cost_tieout(paid, gaps, models.stg_employees, models.stg_departments, models.as_of)
 
 
+#: When the first of two compared runs closed, and how long fraud reviews take.
+CLOSED_AT, REVIEW_DAYS = datetime(2024, 7, 1), 30
+
+
+def _period_restatement(spark: SparkSession, folder: str) -> DataFrame:
+    """The run of mid-year against one over all that is known by now."""
+    raw = ProjectedRideTables(spark, folder)
+    trips, payments, incentives = history.as_known(raw.trips, raw.payments, raw.driver_incentives, CLOSED_AT, REVIEW_DAYS)
+    early = SimpleNamespace(riders=raw.riders, drivers=raw.drivers, trips=trips, payments=payments, driver_incentives=incentives)
+    facts = [RideModels(tables).int_trips_enriched for tables in (early, raw)]
+    return present(history.restatement(*facts, CLOSED_AT))
+
+
 def _freshness(spark: SparkSession, folder: str) -> DataFrame:
     rides = ride_sources(ProjectedRideTables(spark, folder))
     people = workforce_sources(ProjectedWorkforceTables(spark, folder))
@@ -257,6 +272,7 @@ EXTENSIONS = {
     "rh_kpis_at_monthly_rate": _kpis_at_monthly_rate,
     "rh_bridge_residual": ride(lambda m: ride_finance.closing_bridge(m.int_trips_enriched)),
     "rh_dedup_audit": ride(lambda m: ride_audits.dedup_audit(m.raw.drivers, m.raw.payments)),
+    "rh_period_restatement": _period_restatement,
     "fx_daily_rates": lambda spark, folder: present(_daily_rates(spark, folder)),
     "fx_monthly_rates": lambda spark, folder: present(fx_rates.monthly_rates(_daily_rates(spark, folder))),
     "fx_asof_rates": _fx_as_of,
