@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+# Names of cities, products, statuses, reasons, campaigns and payment methods, and the numbers that
+# deal them over the keys.
 RAW = """
 raw_riders AS (
   SELECT c_custkey AS rider_id,

@@ -99,6 +99,7 @@ def _payroll_monthly_cost(spark: SparkSession, folder: str) -> DataFrame:
 
 def _pay_gaps(models: WorkforceModels, reassign: bool = True) -> tuple[DataFrame, DataFrame]:
     """Paid months per record, written, and the ranges in which payroll and employment disagree."""
+    models.settle(["stg_employees"])  # read five times from here on
     dropped = people_staging.dropped_records(models.raw.employees) if reassign else None
     records = people_gaps.record_map(models.raw.employees, dropped, models.stg_employees)
     paid = durable(people_gaps.paid_months(models.stg_payroll, records), "paid-months")

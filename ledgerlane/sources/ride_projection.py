@@ -1,4 +1,8 @@
-"""Ride-hailing raw tables as deterministic projections of customer, supplier and orders."""
+"""Ride-hailing raw tables as deterministic projections of customer, supplier and orders.
+
+Fixed values throughout: names of cities, products, statuses, reasons, campaigns and payment methods, and the
+numbers that deal them over the keys.
+"""
 
 from __future__ import annotations
 
