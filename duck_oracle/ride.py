@@ -540,6 +540,25 @@ RIDE: dict[str, str] = {
                        CAST(sum(bonus) AS DOUBLE) AS incentives_change_usd
                 FROM compared WHERE cause IS NOT NULL GROUP BY ALL""",
     ),
+    "rh_campaign_overlap": _over(
+        RAW, MODELS,
+        """lines AS (
+             SELECT trip_id, campaign, bonus_amount * CASE WHEN currency = 'GBP' THEN 1.27 ELSE 1.00 END AS usd
+             FROM raw_driver_incentives WHERE campaign IS NOT NULL AND trip_id IN (SELECT trip_id FROM raw_trips)),
+           sets AS (
+             SELECT trip_id, list_sort(list_distinct(list(campaign))) AS c, count(*) AS n, sum(usd) AS spend, max(usd) AS best
+             FROM lines GROUP BY trip_id),
+           names AS (SELECT list_sort(list_distinct(list(campaign))) AS l FROM lines),
+           groups AS (
+             SELECT list_filter(l, lambda x, i: (k >> (i - 1)) % 2 = 1) AS g
+             FROM (SELECT l, unnest(range(1, 1 << len(l))) AS k FROM names))""",
+        body="""SELECT array_to_string(g, '+') AS campaigns, CAST(len(g) AS BIGINT) AS n_campaigns, count(*) AS trips_at_least,
+                       count(*) FILTER (c = g) AS trips_exactly, CAST(coalesce(sum(n) FILTER (c = g), 0) AS BIGINT) AS lines,
+                       count(*) FILTER (c = g AND n > 1) AS trips_with_several_lines,
+                       CAST(coalesce(sum(spend) FILTER (c = g), 0) AS DOUBLE) AS spend_usd,
+                       CAST(coalesce(sum(spend - best) FILTER (c = g), 0) AS DOUBLE) AS excess_usd
+                FROM groups JOIN sets ON list_has_all(c, g) GROUP BY g""",
+    ),
     "rh_quarantine": _over(
         RAW, MODELS,
         """broken AS (

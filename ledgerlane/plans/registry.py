@@ -23,6 +23,7 @@ from ledgerlane.operators import (
     people_service,
     people_staging,
     ride_audits,
+    ride_campaigns,
     ride_distance,
     ride_drivers,
     ride_finance,
@@ -252,6 +253,7 @@ EXTENSIONS = {
     "rh_failed_attempts": ride(lambda m: ride_audits.failed_attempts_with_outcome(m.raw.payments)),
     "rh_retry_rates": ride(lambda m: ride_audits.retry_rates(m.raw.payments)),
     "rh_multi_campaign_pct": ride(lambda m: ride_finance.multi_campaign_share(m.int_trips_enriched)),
+    "rh_campaign_overlap": ride(lambda m: ride_campaigns.campaign_overlap(m.raw.driver_incentives, m.stg_trips)),
     "rh_kpis_by_capture_month": ride(
         lambda m: ride_finance.kpis_by_cash_month(m.int_trips_enriched, m.raw.driver_incentives)
     ),

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 from fixtures import ride
 
-from ledgerlane.operators import fx_rates, ride_audits, ride_distance, ride_finance, ride_staging
+from ledgerlane.operators import fx_rates, ride_audits, ride_campaigns, ride_distance, ride_finance, ride_staging
 from ledgerlane.sources.tables import RIDE_SCHEMAS, conform
 
 
@@ -173,3 +173,26 @@ def test_rider_windows_include_their_first_day(spark, data):
     )
     rider = ride(spark, data, trips=moved).mart_riders.where("rider_id = 0").collect()[0]
     assert rider.is_active_30d and rider.lifecycle_stage == "active"
+
+
+def test_campaign_sets_add_up_to_the_multi_campaign_report(spark, data):
+    models = ride(spark, data)
+    sets = ride_campaigns.campaign_overlap(models.raw.driver_incentives, models.stg_trips)
+    report = ride_finance.multi_campaign_share(models.int_trips_enriched)
+    got = sets.selectExpr("sum(trips_exactly)", "sum(trips_with_several_lines)", "sum(spend_usd)").first()
+    want = report.selectExpr("sum(incentivized_trips)", "sum(multi_campaign_trips)", "sum(incentive_spend_usd)").first()
+    assert tuple(got) == tuple(want)
+
+
+def test_campaign_sets(spark):
+    lines = spark.sql(
+        """select * from values (1, 'a', 5.00), (1, 'b', 2.00), (1, 'c', 1.00), (2, 'a', 1.00), (2, 'a', 3.00), (3, 'b', 4.00),
+           (3, 'c', 4.00), (4, null, 9.00), (9, 'a', 7.00), (null, 'a', 7.00) as t(trip_id, campaign, bonus_amount)"""
+    ).selectExpr("*", "'USD' as currency")
+    rows = ride_campaigns.campaign_overlap(lines, spark.range(1, 6).withColumnRenamed("id", "trip_id")).collect()
+    got = {r.campaigns: (r.n_campaigns, r.trips_at_least, r.trips_exactly, r.lines, r.spend_usd, r.excess_usd) for r in rows}
+    assert got == {
+        "a": (1, 2, 1, 2, 4, 1), "b": (1, 2, 0, 0, 0, 0), "c": (1, 2, 0, 0, 0, 0), "a+b": (2, 1, 0, 0, 0, 0),
+        "a+c": (2, 1, 0, 0, 0, 0), "b+c": (2, 2, 1, 2, 8, 4), "a+b+c": (3, 1, 1, 3, 8, 3),
+    }
+    assert ride_campaigns.campaign_overlap(lines.limit(0), spark.range(0).withColumnRenamed("id", "trip_id")).count() == 0
