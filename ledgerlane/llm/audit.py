@@ -41,7 +41,7 @@ SYMBOLS = b"#$%&*|"
 FILTERS = "ABCDE"
 
 #: Nonzero entries after which a shard is closed. A shard is one task's memory: about 40 bytes an entry.
-SHARD_ENTRIES = 1 << 21
+SHARD_ENTRIES = 1 << 22
 
 _CAPITALS = bytes(range(65, 91))
 
