@@ -365,7 +365,9 @@ def _components(own: DataFrame, sets: DataFrame, width: int, percent: int) -> Da
     open_tiles = durable(known.join(mixed.select("key"), "key"), "jaccard-open")
     tested = stars.select("a", "b", F.lit(True).alias("tested"))
     pairs = _block_pairs(open_tiles, signatures, percent).join(tested, ["a", "b"], "left_anti")
-    across = durable(_verified(durable(pairs, "jaccard-pairs"), signatures, percent), "jaccard-links")
+    tested_pairs = durable(pairs, "jaccard-pairs")
+    across = durable(_verified(tested_pairs, signatures, percent), "jaccard-links")
+    drop_durable(tiles, signatures, stars, links, open_tiles, tested_pairs)
     for side in ("a", "b"):
         end = near.select(F.col("row").alias(side), F.col("component").alias(f"{side}_component"))
         across = across.join(end, side, "left").withColumn(f"{side}_component", F.coalesce(f"{side}_component", side))
