@@ -540,6 +540,37 @@ RIDE: dict[str, str] = {
                        CAST(sum(bonus) AS DOUBLE) AS incentives_change_usd
                 FROM compared WHERE cause IS NOT NULL GROUP BY ALL""",
     ),
+    "rh_changed_months": _over(
+        RAW,
+        """then_trips AS (
+             SELECT * REPLACE (is_fraud_flagged AND requested_at <= TIMESTAMP '2024-06-01' AS is_fraud_flagged)
+             FROM raw_trips WHERE requested_at <= TIMESTAMP '2024-07-01'),
+           then_rows AS (
+             SELECT 'trips' AS feed, requested_at AS moment, trip_id, CAST(t AS VARCHAR) AS content FROM then_trips t
+             UNION ALL
+             SELECT 'payments', attempted_at, trip_id, CAST(p AS VARCHAR) FROM raw_payments p
+             WHERE attempted_at <= TIMESTAMP '2024-07-01' AND coalesce(captured_at <= TIMESTAMP '2024-07-01', true)
+             UNION ALL
+             SELECT 'driver_incentives', earned_at, trip_id, CAST(i AS VARCHAR) FROM raw_driver_incentives i
+             WHERE earned_at <= TIMESTAMP '2024-07-01'),
+           now_rows AS (
+             SELECT 'trips' AS feed, requested_at AS moment, trip_id, CAST(t AS VARCHAR) AS content FROM raw_trips t
+             UNION ALL SELECT 'payments', attempted_at, trip_id, CAST(p AS VARCHAR) FROM raw_payments p
+             UNION ALL SELECT 'driver_incentives', earned_at, trip_id, CAST(i AS VARCHAR) FROM raw_driver_incentives i),
+           unequal AS (
+             (SELECT * FROM then_rows EXCEPT ALL SELECT * FROM now_rows)
+             UNION ALL (SELECT * FROM now_rows EXCEPT ALL SELECT * FROM then_rows)),
+           all_rows AS (
+             SELECT feed, strftime(r.moment, '%Y-%m') AS month, 1 AS b, 0 AS a, strftime(t.requested_at, '%Y-%m') AS own
+             FROM then_rows r LEFT JOIN then_trips t ON t.trip_id = r.trip_id
+             UNION ALL
+             SELECT feed, strftime(r.moment, '%Y-%m'), 0, 1, strftime(t.requested_at, '%Y-%m')
+             FROM now_rows r LEFT JOIN raw_trips t ON t.trip_id = r.trip_id)""",
+        body="""SELECT feed, month, CAST(sum(b) AS BIGINT) AS rows_before, CAST(sum(a) AS BIGINT) AS rows_after,
+                       array_to_string(list_sort(list_distinct(list(coalesce(own, 'no trip')))), ',') AS reached
+                FROM all_rows WHERE (feed, month) IN (SELECT (feed, strftime(moment, '%Y-%m')) FROM unequal)
+                GROUP BY feed, month""",
+    ),
     "rh_campaign_overlap": _over(
         RAW, MODELS,
         """lines AS (
@@ -695,3 +726,6 @@ RIDE: dict[str, str] = {
                 GROUP BY report_month, t.currency""",
     ),
 }
+
+# However it is brought up to date, the fact is the same.
+RIDE["rh_trips_by_month"] = RIDE["rh_int_trips_enriched"]

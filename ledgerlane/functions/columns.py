@@ -6,6 +6,8 @@ calls, and plans with many measures build noticeably faster.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,6 +84,12 @@ def years(days: str) -> Column:
     return F.expr(f"round({days} / cast({DAYS_PER_YEAR} as double), 1)")
 
 
+def row_hashes(columns: Sequence[str]) -> list[Column]:
+    """Two 64-bit hashes over all columns; nulls and empty strings differ."""
+    parts = [part for c in columns for part in (F.col(c), F.col(c).isNull())]
+    return [F.xxhash64(*parts, F.lit(seed)) for seed in (0, 1)]
+
+
 def zero_if_null(name: str) -> Column:
     return F.expr(f"coalesce({name}, 0) as {name}")
 

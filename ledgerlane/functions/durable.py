@@ -23,6 +23,12 @@ def application_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/ledgerlane/{spark.sparkContext.applicationId}"
 
 
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A new folder of this application, deleted like its other tables."""
+    _delete_at_exit(spark)
+    return f"{application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def durable(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -31,8 +37,7 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     more; what is left is deleted when the application's Python process ends.
     """
     spark = df.sparkSession
-    path = f"{application_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    _delete_at_exit(spark)
+    path = scratch_folder(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table._durable_path = path

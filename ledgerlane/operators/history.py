@@ -9,15 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerlane.functions.columns import month_of
+from ledgerlane.functions.columns import month_of, row_hashes
 
 ADDED, CHANGED, REMOVED = "added", "changed", "removed"
 
 
 def _row_hash(columns: Sequence[str]) -> Column:
-    """128 bits over all columns; nulls and empty strings differ."""
-    both = [F.xxhash64(*[part for c in columns for part in (F.col(c), F.col(c).isNull())], F.lit(seed)) for seed in (0, 1)]
-    return F.struct(*both)
+    return F.struct(*row_hashes(columns))
 
 
 def differences(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:

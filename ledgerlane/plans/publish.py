@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ledgerlane.functions.columns import present
 from ledgerlane.functions.durable import drop_durable, durable
+from ledgerlane.functions.files import children, delete, filesystem
 from ledgerlane.operators.checks import run_checks
 from ledgerlane.operators.freshness import freshness
 from ledgerlane.operators.history import differences, versions
@@ -68,14 +69,9 @@ RIDE_KEYS = {"mart_drivers": ["driver_id"], "mart_riders": ["rider_id"], "mart_m
 WORKFORCE_KEYS = {"dim_department": ["department_id"], "fct_workforce": ["person_id"], "fct_attrition_monthly": ["month_start"]}
 
 
-def _filesystem(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
-
-
 def published(spark: SparkSession, out_dir: str) -> str | None:
     """The folder of the marts published last, or None."""
-    files, pointer = _filesystem(spark, f"{out_dir}/{POINTER}")
+    files, pointer = filesystem(spark, f"{out_dir}/{POINTER}")
     if not files.exists(pointer):
         return None
     return f"{out_dir}/{spark.read.text(f'{out_dir}/{POINTER}').first()[0]}"
@@ -83,7 +79,7 @@ def published(spark: SparkSession, out_dir: str) -> str | None:
 
 def _switch(spark: SparkSession, out_dir: str, run: str) -> None:
     """Point to another run. The pointer is written beside the old one and renamed over it in one step."""
-    files, fresh = _filesystem(spark, f"{out_dir}/{POINTER}-{run}")
+    files, fresh = filesystem(spark, f"{out_dir}/{POINTER}-{run}")
     stream = files.create(fresh, True)
     stream.write(bytearray(run.encode()))
     stream.close()
@@ -91,29 +87,16 @@ def _switch(spark: SparkSession, out_dir: str, run: str) -> None:
     overwrite = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
     options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
     options[0] = overwrite
-    context.rename(fresh, _filesystem(spark, f"{out_dir}/{POINTER}")[1], options)
-
-
-def _children(spark: SparkSession, path: str) -> dict[str, float]:
-    """Names in a folder and the seconds since the epoch of their last change; none where there is no folder."""
-    files, folder = _filesystem(spark, path)
-    if not files.exists(folder):
-        return {}
-    return {status.getPath().getName(): status.getModificationTime() / 1000 for status in files.listStatus(folder)}
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    files, target = _filesystem(spark, path)
-    files.delete(target, True)
+    context.rename(fresh, filesystem(spark, f"{out_dir}/{POINTER}")[1], options)
 
 
 def _sweep(spark: SparkSession, out_dir: str, keeping: Keeping) -> None:
     """Delete finished runs beyond the last ones, once they are old enough that nobody reads them."""
-    runs = {name: changed for name, changed in _children(spark, out_dir).items() if name.startswith("run-")}
+    runs = {name: changed for name, changed in children(spark, out_dir).items() if name.startswith("run-")}
     newest = sorted(runs, key=runs.get, reverse=True)
     for name in newest[keeping.runs :]:
         if time.time() - runs[name] > keeping.age.total_seconds():
-            _delete(spark, f"{out_dir}/{name}")
+            delete(spark, f"{out_dir}/{name}")
 
 
 def _fingerprint(tables: Sequence[DataFrame], *parameters: object) -> str | None:
@@ -124,7 +107,7 @@ def _fingerprint(tables: Sequence[DataFrame], *parameters: object) -> str | None
         if not paths:
             return None
         for path in paths:
-            files, target = _filesystem(table.sparkSession, path)
+            files, target = filesystem(table.sparkSession, path)
             status = files.getFileStatus(target)
             found.update(f"{path} {status.getLen()} {status.getModificationTime()}\n".encode())
         found.update(b";")
@@ -142,7 +125,7 @@ def _settle_layer(models: RideModels | WorkforceModels, names: Sequence[str], fo
             written.append(name)
             continue
         path, spark = f"{folder}/{name}", model.sparkSession
-        if "_SUCCESS" not in _children(spark, path):
+        if "_SUCCESS" not in children(spark, path):
             model.write.mode("overwrite").parquet(path)
             written.append(name)
         models.__dict__[name] = spark.read.schema(model.schema).parquet(path)
@@ -163,7 +146,7 @@ def _set_aside(tables: Sequence[tuple[DataFrame, RowRules]], path: str) -> dict[
         if rules.names:
             counts = write_broken(df, rules, f"{path}/{rules.model}")
             if not any(counts.values()):
-                _delete(df.sparkSession, f"{path}/{rules.model}")
+                delete(df.sparkSession, f"{path}/{rules.model}")
             found |= counts
     return found
 
@@ -181,8 +164,8 @@ def _write_changes(spark: SparkSession, keys: dict[str, list[str]], before: str
 def _file_changes(spark: SparkSession, keys: dict[str, list[str]], out_dir: str, run: str) -> None:
     """Move a published run's differences to where they outlive the run."""
     for mart in keys:
-        files, source = _filesystem(spark, f"{out_dir}/{run}/changes/{mart}")
-        target = _filesystem(spark, f"{out_dir}/history/{mart}/{run}")[1]
+        files, source = filesystem(spark, f"{out_dir}/{run}/changes/{mart}")
+        target = filesystem(spark, f"{out_dir}/history/{mart}/{run}")[1]
         files.mkdirs(target.getParent())
         files.rename(source, target)
 
@@ -190,7 +173,7 @@ def _file_changes(spark: SparkSession, keys: dict[str, list[str]], out_dir: str,
 def mart_versions(spark: SparkSession, out_dir: str, mart: str, keys: Sequence[str]) -> DataFrame:
     """All versions of a mart's rows over all runs so far, with valid_from and valid_to."""
     folder = f"{out_dir}/history/{mart}"
-    return versions(spark.read.parquet(*(f"{folder}/{run}" for run in _children(spark, folder))), keys)
+    return versions(spark.read.parquet(*(f"{folder}/{run}" for run in children(spark, folder))), keys)
 
 
 @dataclass
@@ -247,9 +230,9 @@ def _publish(run: _Run, out_dir: str, fresh_at: datetime | None, keeping: Keepin
         _switch(spark, out_dir, name)
         _file_changes(spark, run.mart_keys, out_dir, name)
     except BaseException:
-        _delete(spark, f"{out_dir}/{name}")
+        delete(spark, f"{out_dir}/{name}")
         raise
-    _delete(spark, f"{out_dir}/layers")
+    delete(spark, f"{out_dir}/layers")
     _sweep(spark, out_dir, keeping)
     return outcomes
 

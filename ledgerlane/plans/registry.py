@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlane.functions.columns import present
-from ledgerlane.functions.durable import durable
+from ledgerlane.functions.durable import durable, scratch_folder
 from ledgerlane.operators import (
     fx_rates,
     history,
@@ -32,7 +32,7 @@ from ledgerlane.operators import (
 from ledgerlane.operators.checks import run_checks
 from ledgerlane.operators.freshness import freshness
 from ledgerlane.operators.quarantine import all_broken_rows
-from ledgerlane.plans import ride_checks, workforce_checks
+from ledgerlane.plans import refresh, ride_checks, workforce_checks
 from ledgerlane.plans.publish import ride_sources, workforce_sources
 from ledgerlane.plans.ride import RideModels
 from ledgerlane.plans.workforce import WorkforceModels
@@ -116,15 +116,32 @@ def _tieout(models: WorkforceModels) -> DataFrame:
 CLOSED_AT, REVIEW_DAYS = datetime(2024, 7, 1), 30
 
 
+def _known_at_close(raw: ProjectedRideTables) -> SimpleNamespace:
+    trips, payments, incentives = history.as_known(raw.trips, raw.payments, raw.driver_incentives, CLOSED_AT, REVIEW_DAYS)
+    return SimpleNamespace(riders=raw.riders, drivers=raw.drivers, trips=trips, payments=payments, driver_incentives=incentives)
+
+
 def _period_restatement(spark: SparkSession, folder: str) -> DataFrame:
     """The run of mid-year against one over all that is known by now."""
     raw = ProjectedRideTables(spark, folder)
-    trips, payments, incentives = history.as_known(raw.trips, raw.payments, raw.driver_incentives, CLOSED_AT, REVIEW_DAYS)
-    early = SimpleNamespace(riders=raw.riders, drivers=raw.drivers, trips=trips, payments=payments, driver_incentives=incentives)
-    facts = [RideModels(tables).int_trips_enriched for tables in (early, raw)]
+    facts = [RideModels(tables).int_trips_enriched for tables in (_known_at_close(raw), raw)]
     return present(history.restatement(*facts, CLOSED_AT))
 
 
+def _refreshed(spark: SparkSession, folder: str) -> tuple[refresh.Refreshed, DataFrame]:
+    """The monthly trip fact of mid-year, brought up to all that is known by now."""
+    raw, out_dir = ProjectedRideTables(spark, folder), scratch_folder(spark, "trips-by-month")
+    refresh.refresh_trips(_known_at_close(raw), out_dir)
+    report = refresh.refresh_trips(raw, out_dir)
+    return report, refresh.refreshed_trips(spark, out_dir, raw)
+
+
+def _changed_months(spark: SparkSession, folder: str) -> DataFrame:
+    kinds = "feed string, month string, rows_before bigint, rows_after bigint, reached string"
+    rows = [(c.feed, c.month, c.rows_before, c.rows_after, ",".join(c.reached)) for c in _refreshed(spark, folder)[0].changed]
+    return spark.createDataFrame(rows, kinds)
+
+
 def _freshness(spark: SparkSession, folder: str) -> DataFrame:
     rides = ride_sources(ProjectedRideTables(spark, folder))
     people = workforce_sources(ProjectedWorkforceTables(spark, folder))
@@ -276,6 +293,8 @@ EXTENSIONS = {
     "rh_bridge_residual": ride(lambda m: ride_finance.closing_bridge(m.int_trips_enriched)),
     "rh_dedup_audit": ride(lambda m: ride_audits.dedup_audit(m.raw.drivers, m.raw.payments)),
     "rh_period_restatement": _period_restatement,
+    "rh_changed_months": _changed_months,
+    "rh_trips_by_month": lambda spark, folder: present(_refreshed(spark, folder)[1].drop(refresh.PARTITION)),
     "fx_daily_rates": lambda spark, folder: present(_daily_rates(spark, folder)),
     "fx_monthly_rates": lambda spark, folder: present(fx_rates.monthly_rates(_daily_rates(spark, folder))),
     "fx_asof_rates": _fx_as_of,
