@@ -709,6 +709,31 @@ RIDE: dict[str, str] = {
                        count(*) FILTER (rate_date = quoted_on) AS quoted_days
                 FROM daily GROUP BY currency, rate_month""",
     ),
+    "fx_asof_moment": _over(
+        RAW, MODELS, quotes(),
+        """ticks AS (
+             SELECT 'GBP' AS currency, arg_max(CAST((12000 + (s_suppkey * 37) % 1500) * 0.0001 AS DECIMAL(10,4)), s_suppkey) AS tick,
+                    TIMESTAMP '2024-01-04' + to_days(CAST((s_suppkey * 53) % 360 AS INT)) + to_seconds((s_suppkey * 7919) % 86400)
+                      AS ticked_at
+             FROM supplier GROUP BY ticked_at
+             HAVING CAST(ticked_at AS DATE) <= (SELECT max(CAST(requested_at AS DATE)) FROM v_trips)),
+           met AS (
+             SELECT t.currency, t.gross_fare, t.requested_at, k.tick, k.ticked_at
+             FROM v_trips t ASOF LEFT JOIN ticks k ON k.currency = t.currency AND t.requested_at >= k.ticked_at),
+           priced AS (
+             SELECT m.*, CAST(requested_at AS DATE) AS d, m.currency = 'GBP' AND tick IS NULL AS back,
+                    CASE m.currency WHEN 'USD' THEN 1.0000
+                         WHEN 'GBP' THEN coalesce(tick, (SELECT arg_min(tick, ticked_at) FROM ticks)) END AS x,
+                    CASE m.currency WHEN 'USD' THEN 1.0000 ELSE y.rate END AS y
+             FROM met m LEFT JOIN daily y ON y.currency = m.currency AND y.rate_date = CAST(requested_at AS DATE))""",
+        body="""SELECT CAST(date_trunc('month', d) AS DATE) AS report_month, currency, count(*) AS trips,
+                       CAST(sum(gross_fare) AS DOUBLE) AS gross_local, CAST(sum(gross_fare * x) AS DOUBLE) AS gross_usd_at_moment,
+                       CAST(sum(gross_fare * y) AS DOUBLE) AS gross_usd_on_day, CAST(sum(gross_fare * (x - y)) AS DOUBLE) AS difference_usd,
+                       count(*) FILTER (x <> y) AS trips_at_another_rate,
+                       count(*) FILTER (CAST(ticked_at AS DATE) < d) AS trips_on_carried_rate,
+                       count(*) FILTER (back) AS trips_before_first_quote, count(*) FILTER (x IS NULL) AS trips_without_rate
+                FROM priced GROUP BY report_month, currency""",
+    ),
     "fx_asof_rates": _over(
         RAW, MODELS, quotes(),
         body="""SELECT CAST(date_trunc('month', requested_at) AS DATE) AS report_month, t.currency, count(*) AS trips,

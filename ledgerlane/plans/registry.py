@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ledgerlane.functions.columns import present
 from ledgerlane.functions.durable import durable, scratch_folder
 from ledgerlane.operators import (
+    fx_moment,
     fx_rates,
     history,
     people_attrition,
@@ -86,6 +87,13 @@ def _fx_as_of(spark: SparkSession, folder: str) -> DataFrame:
     return present(fx_rates.convert_as_of(trips, _daily_rates(spark, folder)))
 
 
+def _fx_at_moment(spark: SparkSession, folder: str) -> DataFrame:
+    trips = RideModels(ProjectedRideTables(spark, folder)).stg_trips
+    last_day = fx_rates.calendar_of(trips)[1]
+    quotes = project_fx_quotes(spark, folder).where(F.col("quoted_on") <= last_day)
+    return present(fx_moment.convert_at_moment(trips, quotes, _daily_rates(spark, folder)))
+
+
 def _kpis_at_monthly_rate(spark: SparkSession, folder: str) -> DataFrame:
     trips = RideModels(ProjectedRideTables(spark, folder)).int_trips_enriched
     return present(ride_finance.kpis_at_monthly_rate(trips, fx_rates.monthly_rates(_daily_rates(spark, folder))))
@@ -298,6 +306,7 @@ EXTENSIONS = {
     "fx_daily_rates": lambda spark, folder: present(_daily_rates(spark, folder)),
     "fx_monthly_rates": lambda spark, folder: present(fx_rates.monthly_rates(_daily_rates(spark, folder))),
     "fx_asof_rates": _fx_as_of,
+    "fx_asof_moment": _fx_at_moment,
 }
 
 QUERIES: dict[str, Query] = {**RIDE_MODELS, **WORKFORCE_MODELS, **QUALITY, **ANALYSIS, **EXTENSIONS}
