@@ -752,5 +752,6 @@ RIDE: dict[str, str] = {
     ),
 }
 
-# However it is brought up to date, the fact is the same.
+# However they are brought up to date, fact and rates are the same.
 RIDE["rh_trips_by_month"] = RIDE["rh_int_trips_enriched"]
+RIDE["fx_daily_rates_merged"] = RIDE["fx_daily_rates"]

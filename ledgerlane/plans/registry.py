@@ -33,7 +33,7 @@ from ledgerlane.operators import (
 from ledgerlane.operators.checks import run_checks
 from ledgerlane.operators.freshness import freshness
 from ledgerlane.operators.quarantine import all_broken_rows
-from ledgerlane.plans import refresh, ride_checks, workforce_checks
+from ledgerlane.plans import rates, refresh, ride_checks, workforce_checks
 from ledgerlane.plans.publish import ride_sources, workforce_sources
 from ledgerlane.plans.ride import RideModels
 from ledgerlane.plans.workforce import WorkforceModels
@@ -82,6 +82,20 @@ def _daily_rates(spark: SparkSession, folder: str) -> DataFrame:
     return fx_rates.daily_rates(project_fx_quotes(spark, folder), *fx_rates.calendar_of(trips))
 
 
+def _merged_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily rates after three batches: the later half of the days, the late quotes of the earlier half, and a pull."""
+    feed, out_dir = project_fx_quotes(spark, folder), scratch_folder(spark, "daily-rates")
+    calendar = RideModels(ProjectedRideTables(spark, folder)).stg_trips.agg(
+        F.min(F.col("requested_at").cast("date")), F.max(F.col("requested_at").cast("date"))
+    )
+    days = calendar.first()
+    late = feed.where(F.col("quoted_on") < F.lit(CLOSED_AT).cast("date"))
+    rates.merge_quotes(feed.where(F.col("quoted_on") >= F.lit(CLOSED_AT).cast("date")), out_dir, *days)
+    rates.merge_quotes(late, out_dir, *days)
+    rates.pull_quotes(feed, out_dir, *days)
+    return present(rates.stored_daily(spark, out_dir).drop("month"))
+
+
 def _fx_as_of(spark: SparkSession, folder: str) -> DataFrame:
     trips = RideModels(ProjectedRideTables(spark, folder)).stg_trips
     return present(fx_rates.convert_as_of(trips, _daily_rates(spark, folder)))
@@ -306,6 +320,7 @@ EXTENSIONS = {
     "fx_daily_rates": lambda spark, folder: present(_daily_rates(spark, folder)),
     "fx_monthly_rates": lambda spark, folder: present(fx_rates.monthly_rates(_daily_rates(spark, folder))),
     "fx_asof_rates": _fx_as_of,
+    "fx_daily_rates_merged": _merged_rates,
     "fx_asof_moment": _fx_at_moment,
 }
 
