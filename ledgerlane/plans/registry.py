@@ -23,6 +23,7 @@ from ledgerlane.operators import (
     people_history,
     people_service,
     people_staging,
+    people_transfers,
     ride_audits,
     ride_campaigns,
     ride_distance,
@@ -164,6 +165,12 @@ def _changed_months(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(rows, kinds)
 
 
+def _relinked_stints(models: WorkforceModels) -> DataFrame:
+    """Stints whose transfers are all inferred."""
+    models.__dict__["stg_employees"] = people_transfers.without_transfer_links(models.stg_employees)
+    return models.int_employment_stints
+
+
 def _freshness(spark: SparkSession, folder: str) -> DataFrame:
     rides = ride_sources(ProjectedRideTables(spark, folder))
     people = workforce_sources(ProjectedWorkforceTables(spark, folder))
@@ -269,6 +276,9 @@ EXTENSIONS = {
     "hr_attrition_standard": workforce(
         lambda m: people_attrition.attrition_standard(m.stint_spans, m.as_of)
     ),
+    "hr_inferred_transfers": workforce(lambda m: people_transfers.inferred_transfers(m.stg_employees)),
+    "hr_transfer_backtest": workforce(lambda m: people_transfers.backtest(m.stg_employees)),
+    "hr_relinked_stints": workforce(_relinked_stints, infer_transfers=True),
     "hr_payroll_cost_tieout": workforce(_tieout),
     "hr_pay_employment_gaps": workforce(lambda m: _pay_gaps(m)[1]),
     "hr_pay_gaps_as_paid": workforce(lambda m: _pay_gaps(m, reassign=False)[1]),

@@ -15,6 +15,7 @@ from ledgerlane.operators import (
     people_history,
     people_staging,
     people_stints,
+    people_transfers,
 )
 from ledgerlane.sources.tables import WorkforceTables
 
@@ -35,11 +36,13 @@ class WorkforceModels:
         as_of: date = DEFAULT_AS_OF,
         infer_terminations: bool = False,
         share: bool = False,
+        infer_transfers: bool = False,
     ):
         self.raw = raw
         self.as_of = as_of
         self.infer_terminations = infer_terminations
         self.share = share
+        self.infer_transfers = infer_transfers
 
     @cached_property
     def stg_departments(self) -> DataFrame:
@@ -63,6 +66,8 @@ class WorkforceModels:
         if self.infer_terminations:
             inferred = people_staging.inferred_terminations(staged, self.raw.payroll)
             staged = people_staging.with_inferred_terminations(staged, inferred)
+        if self.infer_transfers:
+            staged = people_transfers.with_inferred_links(staged, people_transfers.inferred_transfers(staged))
         return durable(staged, "employees")
 
     @cached_property
