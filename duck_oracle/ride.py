@@ -482,6 +482,32 @@ RIDE: dict[str, str] = {
                        round(sum(surge_multiplier) / count(*), 4) AS avg_surge
                 FROM measured GROUP BY city, band_from_km""",
     ),
+    "rh_eta_bands": _over(
+        RAW, MODELS, _DISTANCE,
+        """timed AS (
+             SELECT d.city, CAST(hour(t.requested_at) AS INT) AS h, CAST(floor(km / 2) * 2 AS BIGINT) AS band,
+                    CAST(epoch(t.started_at) - epoch(t.requested_at) AS BIGINT) AS waited,
+                    CAST(epoch(t.ended_at) - epoch(t.started_at) AS BIGINT) AS rode, CAST(km * 1000000 AS BIGINT) AS mm
+             FROM measured d JOIN raw_trips t ON t.trip_id = d.trip_id),
+           taken AS (
+             SELECT city, h, band, 'pickup_seconds' AS measure, waited AS x FROM timed WHERE waited >= 0
+             UNION ALL SELECT city, h, band, 'ride_seconds', rode FROM timed WHERE rode >= 0
+             UNION ALL SELECT city, h, band, 'metres_an_hour', mm * 3600 // (rode * 1000) FROM timed WHERE rode > 0),
+           spread AS (
+             SELECT 'city_hour_band' AS level, city, h, band, measure, x FROM taken
+             UNION ALL SELECT 'city_hour', city, h, NULL, measure, x FROM taken
+             UNION ALL SELECT 'city', city, NULL, NULL, measure, x FROM taken
+             UNION ALL SELECT 'all', NULL, NULL, NULL, measure, x FROM taken),
+           placed AS (
+             SELECT *, row_number() OVER (PARTITION BY level, city, h, band, measure ORDER BY x) AS place,
+                    count(*) OVER (PARTITION BY level, city, h, band, measure) AS n,
+                    (1::BIGINT << greatest(length(bin(x)) - 7, 0)) AS w
+             FROM spread),
+           celled AS (SELECT *, x - x % w + (w - 1) // 2 AS cell FROM placed)""",
+        body="""SELECT level, city, h AS request_hour, band AS band_from_km, measure, any_value(n) AS trips,
+                       max(cell) FILTER (place = (n * 50 + 99) // 100) AS median, max(cell) FILTER (place = (n * 90 + 99) // 100) AS p90
+                FROM celled GROUP BY level, city, h, band, measure""",
+    ),
     "rh_clock_skew": _models(
         """SELECT trip_id, city, trip_status, requested_at, accepted_at,
                   date_diff('second', accepted_at, requested_at) AS skew_seconds

@@ -28,6 +28,7 @@ from ledgerlane.operators import (
     ride_campaigns,
     ride_distance,
     ride_drivers,
+    ride_eta,
     ride_finance,
     ride_riders,
 )
@@ -312,6 +313,7 @@ EXTENSIONS = {
             ride_distance.trip_distances(m.located_trips)
         )
     ),
+    "rh_eta_bands": ride(lambda m: ride_eta.eta_bands(durable(ride_eta.eta_sketch(m.stg_trips), "eta"))),
     "rh_clock_skew": ride(lambda m: ride_audits.clock_skew(m.stg_trips)),
     "rh_cash_ledger_tieout": ride(
         lambda m: ride_finance.cash_ledger_tieout(m.stg_trips, m.stg_payments)
