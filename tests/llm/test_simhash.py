@@ -1,7 +1,9 @@
 """Fingerprints, links and components against brute force."""
 
+import random
 import re
 
+import numpy as np
 import pytest
 import xxhash
 
@@ -47,17 +49,30 @@ def test_long_texts_are_read_in_blocks(monkeypatch):
     assert fingerprint(text) == want
 
 
-def test_links_of_planted_distances(spark):
+@pytest.mark.parametrize("hot_members", [0, 2, 1 << 10])
+def test_links_of_planted_distances(spark, hot_members):
     base = [0, -1, 0x0123456789ABCDEF, -(1 << 63)]
     masks = [0, 1, 1 << 63, 1 << 31 | 1, 7, 7 << 31, 1 | 1 << 32 | 1 << 63, 15, 1 << 40 | 3]
     signed = lambda x: x - (1 << 64) if x >= 1 << 63 else x
     values = sorted({signed((b ^ m) & ((1 << 64) - 1)) for b in base for m in masks})
     df = spark.createDataFrame([(v,) for v in values], "fingerprint long")
     want = {(a, b) for a in values for b in values if a < b and ((a ^ b) & ((1 << 64) - 1)).bit_count() <= 3}
-    got = [(r.a, r.b) for r in near_links(df).collect()]
+    got = [(r.a, r.b) for r in near_links(df, hot_members).collect()]
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_links_of_a_half_that_many_share(spark):
+    rng = random.Random(3)
+    values = {0x77 << 32 | rng.getrandbits(32) for _ in range(1500)} | {rng.getrandbits(31) << 32 | 0x55 for _ in range(1500)}
+    for v in sorted(values)[::10]:
+        values.add(v ^ sum(1 << b for b in rng.sample(range(63), rng.randint(1, 4))))
+    df = spark.createDataFrame([(v,) for v in sorted(values)], "fingerprint long")
+    bits = np.array(sorted(values), dtype=np.uint64)
+    want = {(int(a), int(b)) for a in bits for b in bits[(np.bitwise_count(bits ^ a) <= 3) & (bits > a)]}
+    got = [(r.a, r.b) for r in near_links(df).collect()]
+    assert len(want) > 200 and len(got) == len(set(got)) and set(got) == want
+
+
 def test_components_of_a_long_chain_a_star_and_repeats(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (3, 4), (300, 200)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
