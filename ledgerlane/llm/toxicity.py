@@ -31,8 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlane.functions.durable import durable
-from ledgerlane.llm.tables import id_remainder
+from ledgerlane.functions.durable import drop_durable, durable
+from ledgerlane.llm.tables import id_remainder, text_key, without_rows
 
 HELD_OUT = 5
 THRESHOLD = 0.5
@@ -336,11 +336,14 @@ def _fit_classifier(training: DataFrame, labels: LabelModel) -> np.ndarray:
 
 
 def _counts_and_model(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str) -> tuple[DataFrame, ToxicityModel]:
-    """Rows of (own_id, counts), written, and the model learnt from them."""
+    """Rows of (own_id, own_key, counts), written, and the model learnt from them."""
     known = _keyed_labels(labels)
     own = docs.select(F.col(id_column).cast("long").alias("own_id"), F.col(text_column).alias("own_text"))
     stems = learnt_stems(own, known)
-    rows = durable(own.select("own_id", counts_column(stems, F.col("own_text")).alias("counts")), "toxicity-counts")
+    rows = durable(
+        own.select("own_id", text_key(F.col("own_text")).alias("own_key"), counts_column(stems, F.col("own_text")).alias("counts")),
+        "toxicity-counts",
+    )
     # Rows without an id cannot be held out by it, nor have a label; nothing is learnt from them.
     usable = rows.where(id_remainder(F.col("own_id"), HELD_OUT) != 0)
     training = durable(
@@ -350,7 +353,9 @@ def _counts_and_model(docs: DataFrame, labels: DataFrame, id_column: str, text_c
         "toxicity-training",
     )
     model = _fit_labels(training)
-    return rows, ToxicityModel(stems, model, _fit_classifier(training, model))
+    weights = _fit_classifier(training, model)
+    drop_durable(training)
+    return rows, ToxicityModel(stems, model, weights)
 
 
 def score_column(model: ToxicityModel, counts: Column) -> Column:
@@ -372,15 +377,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id"
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not predicted toxic. Texts are counted once more for it: the counts of the fit have
-    no text beside them, and a copy of all texts would cost more disk than the second reading costs time."""
-    _, model = _counts_and_model(docs, labels, "doc_id", "text")
-
-    @F.pandas_udf("boolean")
-    def toxic(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        counter = Counter(model.stems)
-        for texts in batches:
-            counts = np.array([counter.counts(t) for t in texts]).reshape(-1, len(COUNTS))
-            yield pd.Series(model.score(counts) >= THRESHOLD)
-
-    return docs.where(~toxic("text"))
+    """The documents that are not predicted toxic. Texts are counted once, for the fit and the decisions; the rows
+    decided against are then left out by id and text hash, those of one id and text alike."""
+    rows, model = _counts_and_model(docs, labels, "doc_id", "text")
+    toxic = rows.where(score_column(model, F.col("counts")) >= THRESHOLD)
+    gone = durable(toxic.select(F.col("own_id").alias("gone_id"), F.col("own_key").alias("gone_key")).distinct(), "toxic-rows")
+    drop_durable(rows)
+    return without_rows(docs, gone)

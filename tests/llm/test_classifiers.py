@@ -7,6 +7,8 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.errors import NumberFormatException
+from pyspark.sql import functions as F
 
 from ledgerlane.llm import quality, toxicity
 from ledgerlane.llm.quality import score_quality, with_good_quality
@@ -192,10 +194,40 @@ def test_nulls_repeats_missing_labels_and_empty_tables(spark, score, keep, label
     labels = spark.createDataFrame(
         [(1, 1, 0), (2, None, None), (2, 0, 1), (2, 1, 0), (None, 1, 1)], "doc_id long, quality int, toxic int"
     )
+    kept_class = 1 if label == "quality" else 0
     for known in (labels, labels.limit(0)):
         rows = score(docs, known).collect()
         assert len(rows) == 5 and all(0 <= r.score <= 1 and r.predicted in (0, 1) for r in rows)
         assert keep(docs, known).columns == docs.columns
-        assert keep(docs, known).count() <= 5
+        assert keep(docs, known).count() == sum(r.predicted == kept_class for r in rows)
     assert score(docs.limit(0), labels).count() == 0
     assert keep(docs.limit(0), labels).count() == 0
+
+
+@pytest.mark.parametrize(("score", "keep", "label"), [(score_quality, with_good_quality, "quality"), (score_toxicity, without_toxic, "toxic")])
+def test_rows_without_an_id_and_rows_of_one_id_are_decided_by_their_text(spark, tables, score, keep, label):
+    docs, labels = tables
+    wanted = 1 if label == "quality" else 0
+    ids = {p: [r.doc_id for r in score(docs, labels).where(f"predicted = {p}").limit(2).collect()] for p in (0, 1)}
+    texts = {p: [r.text for r in docs.where(docs.doc_id.isin(ids[p])).collect()] for p in (0, 1)}
+    rows = [(doc_id, t, "kept" if p == wanted else "gone") for p in (0, 1) for t in texts[p] for doc_id in (None, None, -5)]
+    odd = spark.createDataFrame(rows, "doc_id long, text string, gone_key string")
+    both = docs.select("doc_id", "text").withColumn("gone_key", F.lit("other")).union(odd)
+    found = [r for r in keep(both, labels).collect() if r.gone_key != "other"]
+    assert len(rows) == 12
+    assert sorted((str(r.doc_id), r.text, r.gone_key) for r in found) == sorted((str(d), t, k) for d, t, k in rows if k == "kept")
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    for score, keep in ((score_quality, with_good_quality), (score_toxicity, without_toxic)):
+        assert score(docs, labels).count() == 0 and keep(docs, labels).count() == 0
+
+
+@pytest.mark.parametrize("score", [score_quality, score_toxicity])
+def test_ids_that_are_no_numbers_are_refused(spark, score):
+    docs = spark.createDataFrame([("a-1", "some words")], "doc_id string, text string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    with pytest.raises(NumberFormatException):
+        score(docs, labels).collect()
