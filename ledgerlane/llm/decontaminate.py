@@ -12,7 +12,7 @@ A window of 15 tokens with up to three substitutions anywhere, as many as the co
 always hit; an overlap within a longer item has such a window. A shorter item is hashed whole, with masks
 of its own length that leave a hit for as many substitutions as the comparison accepts: two from 10
 tokens on, one from 5 on, none below. Items of fewer than ``SHORTEST_ITEM`` tokens say little about a
-document, so they are looked for only on demand, and no document is dropped for them. Null and empty texts match nothing. Items with equal tokens are reported once, under
+document, so they are looked for only on demand (``shortest_item``). Null and empty texts match nothing. Items with equal tokens are reported once, under
 the smallest item_id, with their number.
 """
 
@@ -24,10 +24,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlane.functions.durable import durable
+from ledgerlane.llm.tables import text_key, without_rows
 
 MASKS = ["10011100111", "10100101111", "10100110111", "11000111101", "11011101001", "11110100011"]
 SPAN = 11
@@ -332,10 +333,6 @@ OVERLAP_SCHEMA = (
 OVERLAP_COLUMNS = [part.split()[0] for part in OVERLAP_SCHEMA.split(", ")]
 
 
-def text_key(text: Column) -> Column:
-    return F.xxhash64(text)
-
-
 def overlaps(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -384,10 +381,9 @@ def overlaps(
     return found.select("doc_id", "text_key", "item_id", "best.*")
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents (doc_id, text and any other columns) that overlap no benchmark item."""
-    found = durable(overlaps(docs, benchmark).select("doc_id", "text_key").distinct(), "contaminated")
-    bad = found.withColumnsRenamed({"doc_id": "bad_id", "text_key": "bad_key"})
-    return docs.join(
-        bad, (text_key(docs["text"]) == bad["bad_key"]) & docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti"
-    )
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, shortest_item: int = SHORTEST_ITEM) -> DataFrame:
+    """The documents (doc_id, text and any other columns) that overlap no benchmark item of at least
+    ``shortest_item`` tokens."""
+    found = overlaps(docs, benchmark, shortest_item=shortest_item).select("doc_id", "text_key").distinct()
+    gone = durable(found.withColumnsRenamed({"doc_id": "gone_id", "text_key": "gone_key"}), "contaminated")
+    return without_rows(docs, gone)
