@@ -33,8 +33,6 @@ from pyspark.sql import types as T
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 7
-#: A number here would let each chunk be cut in so many ways at most.
-VARIANTS = None
 #: Chunks up to this length are merged side by side in arrays, longer ones each with a heap.
 SIDE_BY_SIDE_CHARS = 32
 #: So many of them, which fit a CPU's cache.
@@ -102,11 +100,6 @@ def load(path: str = MODEL_PATH) -> Pieces:
     return Pieces(path)
 
 
-def variant_seed(seed: int, variant: int) -> int:
-    """The seed of the hash (XXH64) that gives a chunk its key."""
-    return (seed * 1_000_003 + variant) & _MASK
-
-
 def skip_limit(dropout: float) -> int:
     """Candidates whose hash is below this are skipped."""
     return min(int(dropout * 2**64), _MASK)
@@ -314,8 +307,8 @@ class Encoder:
     """Encodes texts together. Every occurrence of a chunk draws its own skips; the paths that several
     occurrences take are worked out once while they are remembered."""
 
-    def __init__(self, pieces: Pieces, dropout: float = DROPOUT, seed: int = SEED, variants: int | None = VARIANTS):
-        self.pieces, self.dropout, self.seed, self.variants = pieces, dropout, seed, variants
+    def __init__(self, pieces: Pieces, dropout: float = DROPOUT, seed: int = SEED):
+        self.pieces, self.dropout, self.seed = pieces, dropout, seed
         self._forget()
 
     def _forget(self) -> None:
@@ -333,11 +326,7 @@ class Encoder:
         own = np.array([xxhash.xxh64_intdigest(repr(key), self.seed) for key in keys], dtype=np.uint64)
         sizes = np.fromiter(map(len, cuts), dtype=np.int64, count=len(cuts))
         place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        drawn = _mixed(np.repeat(own, sizes) + (place + 1).astype(np.uint64) * np.uint64(_MIX[0]))
-        if not self.variants:
-            return drawn
-        turns = [variant_seed(self.seed, v) for v in (drawn % np.uint64(self.variants)).tolist()]
-        return np.array([*map(xxhash.xxh64_intdigest, chain.from_iterable(cuts), turns)], dtype=np.uint64)
+        return _mixed(np.repeat(own, sizes) + (place + 1).astype(np.uint64) * np.uint64(_MIX[0]))
 
     def _work_out(self, chunks: list[str], skipped: np.ndarray) -> np.ndarray:
         """New paths of these chunks, each skipping its own candidates."""
@@ -438,7 +427,6 @@ def encode_documents(
     key_column: str = "doc_id",
     dropout: float = DROPOUT,
     seed: int = SEED,
-    variants: int | None = VARIANTS,
     model_path: str = MODEL_PATH,
 ) -> DataFrame:
     """``docs`` with piece_ids, n_pieces and lossless (whether decoding gave the text back; null for null).
@@ -452,7 +440,7 @@ def encode_documents(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(model_path)
-        encoder = Encoder(pieces, dropout, seed, variants)
+        encoder = Encoder(pieces, dropout, seed)
         for batch in batches:
             texts, keys = batch.column(text_at).to_pylist(), batch.column(key_at).to_pylist()
             for start, stop in _blocks(texts):
