@@ -23,6 +23,8 @@ DEPARTMENTS = [
     ("LEG", "Legal", "Operations"),
 ]
 _LAST_DAY = "date'2025-12-31'"
+#: Customers that one task turns into employees. Each has about sixty pay runs, so a small file of customers is dealt out.
+CUSTOMERS_A_TASK = 10_000
 
 
 def _departments(customer: DataFrame) -> DataFrame:
@@ -189,6 +191,12 @@ def _payroll(employees: DataFrame) -> DataFrame:
     )
 
 
+def _dealt_out(customer: DataFrame) -> DataFrame:
+    """The customers over as many tasks as their number asks for, whatever the files they lie in."""
+    tasks = -(-customer.count() // CUSTOMERS_A_TASK)  # the files' footers know the number
+    return customer.repartition(tasks) if tasks > 1 else customer
+
+
 class ProjectedWorkforceTables:
     """The four tables, each projected when first asked for."""
 
@@ -201,7 +209,7 @@ class ProjectedWorkforceTables:
 
     @cached_property
     def employees(self) -> DataFrame:
-        return conform(_employees(self._star.customer), WORKFORCE_SCHEMAS["employees"])
+        return conform(_employees(_dealt_out(self._star.customer)), WORKFORCE_SCHEMAS["employees"])
 
     @cached_property
     def performance_reviews(self) -> DataFrame:

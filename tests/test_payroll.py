@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ledgerlane.operators import people_bridge, people_staging
 from ledgerlane.plans.registry import _tieout
+from ledgerlane.sources import workforce_projection
 from ledgerlane.sources.tables import WORKFORCE_SCHEMAS, conform
+from ledgerlane.sources.workforce_projection import ProjectedWorkforceTables
 
 
 def runs(spark, rows):
@@ -111,3 +113,21 @@ def test_the_tenure_bridge_states_what_it_cannot_explain(spark, data):
     assert lines(history) == [1095, 0, 1095, 366, 730, 0, 2191, 1096]
     late = history.withColumn("tenure_continuous_days", F.col("tenure_continuous_days") + 7)
     assert lines(late)[5] == 7
+
+
+def test_customers_are_dealt_over_tasks_before_they_become_payroll(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path)
+    people = spark.range(95).selectExpr("id as c_custkey", "cast(id % 25 as int) as c_nationkey")
+    people.union(people.limit(3)).union(spark.sql("select null, 1")).coalesce(1).write.parquet(f"{folder}/customer.parquet")
+    whole = ProjectedWorkforceTables(spark, folder).payroll
+    assert whole.rdd.getNumPartitions() == 1
+    monkeypatch.setattr(workforce_projection, "CUSTOMERS_A_TASK", 20)
+    dealt = ProjectedWorkforceTables(spark, folder)
+    assert dealt.payroll.rdd.getNumPartitions() == dealt.employees.rdd.getNumPartitions() == 5
+    assert whole.count() == dealt.payroll.count() > 0
+    assert whole.exceptAll(dealt.payroll).isEmpty()
+
+
+def test_no_customers(spark, tmp_path):
+    spark.createDataFrame([], "c_custkey long, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    assert ProjectedWorkforceTables(spark, str(tmp_path)).payroll.isEmpty()
