@@ -109,12 +109,12 @@ def _content(feeds: dict[str, DataFrame]) -> dict[tuple[str, str], Content]:
 def _reaches(feeds: dict[str, DataFrame], wanted: Iterable[tuple[str, str]]) -> dict[tuple[str, str], set[str]]:
     """The trip months that these months of payments and incentives belong to."""
     found: dict[tuple[str, str], set[str]] = {key: set() for key in wanted}
-    jobs = []
-    for name in {feed for feed, _ in found}:
-        part = feeds[name].where(in_months(TIMES[name], {month for feed, month in found if feed == name}))
-        jobs.append(reach(part, TIMES[name], feeds["trips"], TIMES["trips"]).withColumn("feed", F.lit(name)))
-    if jobs:
-        for row in reduce(DataFrame.unionByName, jobs).collect():  # pairs of months
+    parts = [
+        (name, feeds[name].where(in_months(TIMES[name], {month for feed, month in found if feed == name})), TIMES[name])
+        for name in sorted({feed for feed, _ in found})
+    ]
+    if parts:
+        for row in reach(parts, feeds["trips"], TIMES["trips"]).collect():  # pairs of months
             found[row.feed, row.month].add(row.trip_month)
     return found
 

@@ -155,6 +155,7 @@ def _period_restatement(spark: SparkSession, folder: str) -> DataFrame:
 def _refreshed(spark: SparkSession, folder: str) -> tuple[refresh.Refreshed, DataFrame]:
     """The monthly trip fact of mid-year, brought up to all that is known by now."""
     raw, out_dir = ProjectedRideTables(spark, folder), scratch_folder(spark, "trips-by-month")
+    raw.__dict__["trips"] = durable(raw.trips, "raw-trips")  # all feeds come from it, and both runs read each several times
     refresh.refresh_trips(_known_at_close(raw), out_dir)
     report = refresh.refresh_trips(raw, out_dir)
     return report, refresh.refreshed_trips(spark, out_dir, raw)

@@ -9,8 +9,10 @@ from pyspark.sql.readwriter import DataFrameWriter
 
 from ledgerlane.functions.files import children
 from ledgerlane.operators import months
-from ledgerlane.plans.refresh import PARTITION, refresh_trips, refreshed_trips
+from ledgerlane.plans import registry
+from ledgerlane.plans.refresh import PARTITION, TIMES, refresh_trips, refreshed_trips
 from ledgerlane.plans.ride import RideModels
+from ledgerlane.sources.ride_projection import ProjectedRideTables
 
 
 @pytest.fixture(scope="module")
@@ -166,3 +168,50 @@ def test_ranges_of_months_reach_the_scan(spark, feeds):
     keyed = feeds["payments"].withColumn("m", months.month_key("attempted_at"))
     assert picked.count() == keyed.where(F.col("m").isin(*wanted)).count() > 0
     assert feeds["payments"].where(months.in_months("attempted_at", set())).count() == 0
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_trips_meet_the_rows_of_all_feeds_at_once(spark, feeds):
+    named = [(name, feeds[name], TIMES[name]) for name in ("payments", "driver_incentives")]
+    together = months.reach(named, feeds["trips"], TIMES["trips"])
+    assert plan_of(together).count("Join") == 1
+    assert {r.feed for r in together.collect()} == {"payments", "driver_incentives"}
+
+
+def test_months_reached_by_rows_without_a_time_or_a_known_trip(spark):
+    rows = [(1, "2024-02-03"), (1, "2024-02-09"), (2, "2024-02-03"), (3, None), (9, "0000-03-01"), (None, "2024-02-03")]
+    at = "cast(at as timestamp_ntz) as at"
+    feed = spark.createDataFrame(rows, "trip_id long, at string").selectExpr("trip_id", at)
+    trips = spark.createDataFrame([(1, "2023-12-31"), (2, None), (3, "0007-01-01"), (None, "2024-01-01")], "trip_id long, at string")
+    found = months.reach([("payments", feed, "at")], trips.selectExpr("trip_id", at), "at").collect()
+    assert sorted((r.month, r.trip_month) for r in found) == [
+        ("2024-02", "2023-12"), ("2024-02", months.NO_TRIP), ("2024-02", months.NO_MONTH),
+        ("none", "0007-01"), ("none", months.NO_TRIP),
+    ]
+
+
+def test_fingerprints_are_exact_sums_of_the_row_hashes(spark):
+    rows = spark.range(300).selectExpr("id % 90 as trip_id", "if(id % 7 = 0, null, timestamp_ntz'2024-01-30' + make_dt_interval(int(id))) as at")
+    found = {r.month: (r.rows, r.sum_0, r.sum_1) for r in months.fingerprints(rows, "at").collect()}
+    hashes, want = months.row_hashes(rows.columns), {}
+    for r in rows.select(months.month_key("at").alias("month"), *[h.alias(f"h{i}") for i, h in enumerate(hashes)]).collect():
+        n, a, b = want.get(r.month, (0, 0, 0))
+        want[r.month] = (n + 1, a + r.h0, b + r.h1)
+    assert found == {month: (n, str(a), str(b)) for month, (n, a, b) in want.items()}
+    assert "none" in found and len(found) > 10
+
+
+def test_the_query_derives_all_feeds_from_trips_that_are_written_once(spark, data, monkeypatch):
+    seen = []
+    monkeypatch.setattr(registry.refresh, "refresh_trips", lambda raw, out_dir: seen.append(raw))
+    monkeypatch.setattr(registry.refresh, "refreshed_trips", lambda *_: None)
+    registry._refreshed(spark, data)
+    closed, now = seen
+    for raw in (closed, now):
+        for name in TIMES:
+            assert "Join" not in plan_of(getattr(raw, name))
+    projected = ProjectedRideTables(spark, data)
+    assert now.payments.exceptAll(projected.payments).isEmpty() and projected.payments.exceptAll(now.payments).isEmpty()
