@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlane.functions.durable import drop_durable, durable
-from ledgerlane.llm.tables import id_remainder, text_key, without_rows
+from ledgerlane.llm.tables import id_remainder
 
 HELD_OUT = 5
 THRESHOLD = 0.3
@@ -188,13 +188,9 @@ def score_column(model: Discriminant, statistics_column: Column) -> Column:
 def _statistics_and_model(
     docs: DataFrame, labels: DataFrame, id_column: str, text_column: str
 ) -> tuple[DataFrame, Discriminant]:
-    """Rows of (own_id, own_key, statistics), written, and the model learnt from them."""
+    """Rows of (own_id, statistics), written, and the model learnt from them."""
     rows = durable(
-        docs.select(
-            F.col(id_column).cast("long").alias("own_id"),
-            text_key(F.col(text_column)).alias("own_key"),
-            statistics_of(F.col(text_column)).alias("statistics"),
-        ),
+        docs.select(F.col(id_column).cast("long").alias("own_id"), statistics_of(F.col(text_column)).alias("statistics")),
         "quality-statistics",
     )
     known = training_labels(labels, "quality")
@@ -213,10 +209,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id",
 
 
 def with_good_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents whose predicted quality is 1. Statistics are taken once, for the fit and the decisions; the rows
-    decided against are then left out by id and text hash, those of one id and text alike."""
+    """The documents whose predicted quality is 1. Statistics are taken once for the fit and once more for the decisions,
+    each in place: leaving poor rows out by their ids would shuffle every text as soon as the ids are too many to broadcast."""
     rows, model = _statistics_and_model(docs, labels, "doc_id", "text")
-    poor = rows.where(score_column(model, F.col("statistics")) < THRESHOLD)
-    gone = durable(poor.select(F.col("own_id").alias("gone_id"), F.col("own_key").alias("gone_key")).distinct(), "poor-rows")
     drop_durable(rows)
-    return without_rows(docs, gone)
+    return docs.where(score_column(model, statistics_of(F.col("text"))) >= THRESHOLD)
