@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlane.functions.durable import drop_durable, durable
-from ledgerlane.llm.tables import id_remainder, text_key, without_rows
+from ledgerlane.llm.tables import id_remainder
 
 HELD_OUT = 5
 THRESHOLD = 0.5
@@ -336,14 +336,11 @@ def _fit_classifier(training: DataFrame, labels: LabelModel) -> np.ndarray:
 
 
 def _counts_and_model(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str) -> tuple[DataFrame, ToxicityModel]:
-    """Rows of (own_id, own_key, counts), written, and the model learnt from them."""
+    """Rows of (own_id, counts), written, and the model learnt from them."""
     known = _keyed_labels(labels)
     own = docs.select(F.col(id_column).cast("long").alias("own_id"), F.col(text_column).alias("own_text"))
     stems = learnt_stems(own, known)
-    rows = durable(
-        own.select("own_id", text_key(F.col("own_text")).alias("own_key"), counts_column(stems, F.col("own_text")).alias("counts")),
-        "toxicity-counts",
-    )
+    rows = durable(own.select("own_id", counts_column(stems, F.col("own_text")).alias("counts")), "toxicity-counts")
     # Rows without an id cannot be held out by it, nor have a label; nothing is learnt from them.
     usable = rows.where(id_remainder(F.col("own_id"), HELD_OUT) != 0)
     training = durable(
@@ -377,10 +374,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id"
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not predicted toxic. Texts are counted once, for the fit and the decisions; the rows
-    decided against are then left out by id and text hash, those of one id and text alike."""
+    """The documents that are not predicted toxic. Texts are counted once for the fit and once more for the decisions, each
+    in place: leaving toxic rows out by their ids would shuffle every text as soon as the ids are too many to broadcast."""
     rows, model = _counts_and_model(docs, labels, "doc_id", "text")
-    toxic = rows.where(score_column(model, F.col("counts")) >= THRESHOLD)
-    gone = durable(toxic.select(F.col("own_id").alias("gone_id"), F.col("own_key").alias("gone_key")).distinct(), "toxic-rows")
     drop_durable(rows)
-    return without_rows(docs, gone)
+    return docs.where(score_column(model, counts_column(model.stems, F.col("text"))) < THRESHOLD)

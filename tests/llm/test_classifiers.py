@@ -233,12 +233,13 @@ def test_ids_that_are_no_numbers_are_refused(spark, score):
         score(docs, labels).collect()
 
 
-def test_poor_texts_are_left_out_without_a_shuffle_of_the_texts(spark, tables):
+@pytest.mark.parametrize("keep", [with_good_quality, without_toxic])
+def test_texts_are_left_out_without_a_shuffle(spark, tables, keep):
     docs, labels = tables
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = with_good_quality(docs, labels)._jdf.queryExecution().executedPlan().toString()
+        plan = keep(docs, labels)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert "Exchange" not in plan and "Join" not in plan
