@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlane.functions.durable import durable
+from ledgerlane.llm.memory import give_back
 from ledgerlane.llm.tables import text_key, without_rows
 
 MASKS = ["10011100111", "10100101111", "10100110111", "11000111101", "11011101001", "11110100011"]
@@ -238,15 +239,18 @@ def _seeded_regions(docs: DataFrame, bits: np.ndarray, short: list[int]) -> Data
 
     def seek(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
             for block in _blocks(batch.column(2)):
-                out.extend(_regions(block, shared.value, masks))
-            if out:
-                rows = pa.array([o[0] for o in out])
-                keys = [batch.column(k).take(rows) for k in (0, 1)]
-                kinds = [pa.int64(), *[pa.list_(pa.int64())] * 3, pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int32())]
-                columns = [pa.array([o[k + 1] for o in out], kind) for k, kind in enumerate(kinds)]
-                yield pa.RecordBatch.from_arrays([*keys, *columns], names=REGION_COLUMNS)
+                out = list(_regions(block, shared.value, masks))
+                if out:
+                    rows = pa.array([o[0] for o in out])
+                    keys = [batch.column(k).take(rows) for k in (0, 1)]
+                    kinds = [pa.int64(), *[pa.list_(pa.int64())] * 3, pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int32())]
+                    columns = [pa.array([o[k + 1] for o in out], kind) for k, kind in enumerate(kinds)]
+                    yield pa.RecordBatch.from_arrays([*keys, *columns], names=REGION_COLUMNS)
+                    del out, rows, keys, columns
+            del batch, block
+            give_back()
+        give_back()
 
     return docs.mapInArrow(seek, REGION_SCHEMA)
 

@@ -24,12 +24,15 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlane.llm.memory import give_back
+
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 7
@@ -43,6 +46,8 @@ REMEMBERED_CHUNKS = 400_000
 REMEMBERED_PATHS = 600_000
 #: A path is worked out when so many occurrences in a block take it.
 PATH_TIMES = 4
+#: Occurrences whose candidates are looked at together.
+OCCURRENCES_AT_ONCE = 1 << 15
 #: Remembered paths skip up to so many candidates.
 PATH_SKIPS = 4
 
@@ -338,7 +343,17 @@ class Encoder:
         return np.arange(first, first + len(chunks))
 
     def _first_skips(self, paths: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which of these occurrences skip a candidate of their path, and where the first such is in ``terms``."""
+        """Which of these occurrences skip a candidate of their path, and where the first such is in ``terms``.
+        A path has many candidates, so a bounded number of occurrences is looked at together."""
+        parts = [
+            (k + owners, slots)
+            for k in range(0, max(1, len(paths)), OCCURRENCES_AT_ONCE)
+            for owners, slots in [self._skips_of(paths[k : k + OCCURRENCES_AT_ONCE], keys[k : k + OCCURRENCES_AT_ONCE])]
+        ]
+        owners, slots = zip(*parts)
+        return np.concatenate(owners), np.concatenate(slots)
+
+    def _skips_of(self, paths: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         slots = self.terms.slots(paths)
         lengths = self.terms.lengths[paths]
         below = np.flatnonzero(_mixed(np.repeat(keys, lengths) + self.terms.flat[slots]) < np.uint64(skip_limit(self.dropout)))
@@ -409,16 +424,16 @@ PIECE_FIELDS = [
 ]
 
 
-def _blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of about BLOCK_CHARS characters."""
+def _blocks(lengths: list[int | None]) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about BLOCK_CHARS characters; a null text has no length."""
     start, total = 0, 0
-    for i, text in enumerate(texts):
-        total += len(text or "")
+    for i, length in enumerate(lengths):
+        total += length or 0
         if total >= BLOCK_CHARS:
             yield start, i + 1
             start, total = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(lengths):
+        yield start, len(lengths)
 
 
 def encode_documents(
@@ -442,9 +457,9 @@ def encode_documents(
         pieces = load(model_path)
         encoder = Encoder(pieces, dropout, seed)
         for batch in batches:
-            texts, keys = batch.column(text_at).to_pylist(), batch.column(key_at).to_pylist()
-            for start, stop in _blocks(texts):
-                own = texts[start:stop]
+            keys = batch.column(key_at).to_pylist()
+            for start, stop in _blocks(pc.utf8_length(batch.column(text_at)).to_pylist()):
+                own = batch.column(text_at).slice(start, stop - start).to_pylist()
                 ids = encoder.encode([t or "" for t in own], keys[start:stop])
                 missing = np.array([t is None for t in own])
                 lengths = np.array([len(i) for i in ids], dtype=np.int32)
@@ -457,6 +472,11 @@ def encode_documents(
                 ]
                 part = batch.slice(start, stop - start)
                 yield pa.RecordBatch.from_arrays([*part.columns, *added], names=[*batch.schema.names, *fields_in_order])
+                del own, ids, missing, lengths, offsets, same, added, part
+                give_back()
+            del batch, keys
+        del encoder
+        give_back()
 
     fields_in_order = [f.name for f in PIECE_FIELDS]
     return kept.mapInArrow(encode, schema)

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlane.functions.durable import drop_durable, durable
+from ledgerlane.llm.memory import mapped
 from ledgerlane.llm.tables import id_remainder
 
 HELD_OUT = 5
@@ -173,8 +174,8 @@ def fit(statistics_rows: DataFrame) -> Discriminant:
 
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
-def statistics_of(texts):
-    return texts.map(statistics)
+def statistics_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    return mapped(lambda texts: texts.map(statistics), batches)
 
 
 def score_column(model: Discriminant, statistics_column: Column) -> Column:

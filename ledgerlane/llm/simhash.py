@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ledgerlane.functions.durable import drop_durable, durable
 from ledgerlane.llm.components import connected_components
+from ledgerlane.llm.memory import mapped
 from ledgerlane.llm.tables import text_key, without_rows
 
 SHINGLE_WORDS = 3
@@ -78,7 +79,10 @@ def fingerprint_column(text: Column, shingle_words: int = SHINGLE_WORDS) -> Colu
     """The fingerprint as a signed long with the same bits."""
 
     @F.pandas_udf("long")
-    def signed(texts: pd.Series) -> pd.Series:
+    def signed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        return mapped(prints_of, batches)
+
+    def prints_of(texts: pd.Series) -> pd.Series:
         prints = np.array([fingerprint(t, shingle_words) for t in texts], dtype=np.uint64)
         return pd.Series(prints.view(np.int64))
 

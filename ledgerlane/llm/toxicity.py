@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlane.functions.durable import drop_durable, durable
+from ledgerlane.llm.memory import give_back, mapped
 from ledgerlane.llm.tables import id_remainder
 
 HELD_OUT = 5
@@ -242,6 +243,8 @@ def _stem_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield partial()
                 tallies = (Tally(), Tally())
     yield partial()
+    del tallies
+    give_back()
 
 
 def learnt_stems(docs: DataFrame, known: DataFrame) -> dict[str, int]:
@@ -277,8 +280,7 @@ def counts_column(stems: dict[str, int], text: Column) -> Column:
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def counted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         counter = Counter(stems)
-        for texts in batches:
-            yield texts.map(counter.counts)
+        return mapped(lambda texts: texts.map(counter.counts), batches)
 
     return counted(text)
 
