@@ -8,6 +8,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+#: Rows that one task sorts or hashes of a table that is dealt out.
+ROWS_A_TASK = 500_000
+#: Hash values of a key that rows are counted by before they are dealt out. Of some 30 billion rows every value has too many.
+KEY_HASHES = 1 << 16
+
+
+def dealt(df: DataFrame, key: str) -> list[DataFrame]:
+    """The rows in parts; all rows of one key are in the same part, and in the first part in the same task.
+
+    A shuffle of Spark's own is made up of tasks by its compressed bytes and the number of cores, so the rows of
+    one task grow with the table. Here their number decides over how many tasks they are dealt. Rows of keys that are
+    too frequent for one task come apart and as they are, so group limits and partial aggregates still reduce them
+    before they are shuffled. A table that one task can hold stays as it is.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(KEY_HASHES))
+    many = F.col("n") > ROWS_A_TASK
+    seen = (
+        df.groupBy(place.alias("place"))
+        .agg(F.count("*").alias("n"))
+        .agg(F.sum("n").alias("n"), F.sum(F.when(many, F.col("n"))).alias("apart"), F.collect_list(F.when(many, F.col("place"))).alias("places"))
+        .first()
+    )
+    if (seen.n or 0) <= ROWS_A_TASK:
+        return [df]
+    # Of fewer tasks than a shuffle of Spark's own has, a join would deal the rows anew.
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(least, -(-(seen.n - (seen.apart or 0)) // ROWS_A_TASK))
+    if not seen.places:
+        return [df.repartition(tasks, key)]
+    frequent = place.isin(seen.places)
+    return [df.where(~frequent).repartition(tasks, key), df.where(frequent)]
+
 
 def first_per_group(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], repeat_flag: str | None = None

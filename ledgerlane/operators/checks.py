@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlane.functions.groups import dealt
+
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNull())
@@ -73,7 +75,8 @@ def run_checks(checks: Sequence[Check]) -> DataFrame:
 
 @dataclass(frozen=True)
 class ModelTests:
-    """Column tests of one model: names to test, allowed values, and inclusive ranges."""
+    """Column tests of one model: names to test, allowed values, and inclusive ranges. A ``large`` model is dealt out
+    by its first unique column."""
 
     model: str
     not_null: Sequence[str] = ()
@@ -81,6 +84,7 @@ class ModelTests:
     accepted_values: dict[str, Sequence[str]] | None = None
     accepted_range: dict[str, tuple[float, float]] | None = None
     severity: str = "error"
+    large: bool = False
 
     def row_conditions(self) -> dict[str, Column]:
         """Test name to the condition a violating row meets."""
@@ -108,7 +112,11 @@ def run_model_tests(df: DataFrame, tests: ModelTests) -> DataFrame:
     passes = []
     if tests.unique:
         first, *others = tests.unique
-        per_key = df.groupBy(first).agg(F.count("*").alias("_n"), *[c.alias(k) for k, c in counts.items()])
+        parts = dealt(df, first) if tests.large else [df]
+        per_key = reduce(
+            DataFrame.unionByName,
+            [part.groupBy(first).agg(F.count("*").alias("_n"), *[c.alias(k) for k, c in counts.items()]) for part in parts],
+        )
         repeated = F.count_if(F.col(first).isNotNull() & (F.col("_n") > 1))
         totals = per_key.agg(
             repeated.alias("_unique"), *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in counts]

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerlane.functions.durable import durable
+from ledgerlane.functions.groups import dealt
 from ledgerlane.functions.ranges import in_one_only, islands
 from ledgerlane.operators.people_attrition import last_month, month_number, month_start
 
@@ -32,14 +35,21 @@ def paid_months(payroll: DataFrame, records: DataFrame) -> DataFrame:
     """Deduplicated payroll per record that counts and month, with both departments.
 
     Pay of a dropped duplicate belongs to the kept record; a record that nobody knows keeps its own id and
-    has no department. Pay without a period has a null month.
+    has no department. Pay without a period has a null month. The runs are written with their records, because
+    dealing them by record counts them first.
     """
-    return (
+    runs = (
         payroll.select("employee_id", F.expr(f"{month_number('pay_period')} as month_no"), "gross_pay_usd")
         .join(records, "employee_id", "left")
-        .groupBy(F.coalesce("record_id", "employee_id").alias("record_id"), "department_id", "own_department_id", "month_no")
-        .agg(F.count("*").alias("pay_runs"), F.sum("gross_pay_usd").alias("usd"))
+        .select(F.coalesce("record_id", "employee_id").alias("record_id"), "department_id", "own_department_id", "month_no", "gross_pay_usd")
     )
+    months = [
+        part.groupBy("record_id", "department_id", "own_department_id", "month_no").agg(
+            F.count("*").alias("pay_runs"), F.sum("gross_pay_usd").alias("usd")
+        )
+        for part in dealt(durable(runs, "paid-runs"), "record_id")
+    ]
+    return reduce(DataFrame.unionByName, months)
 
 
 def employed_months(employees: DataFrame, as_of: date) -> DataFrame:
@@ -60,7 +70,8 @@ def pay_employment_gaps(paid: DataFrame, employees: DataFrame, as_of: date) -> D
     a handful of ranges per record, whatever they span.
     """
     key = ["record_id"]
-    runs = islands(paid.where("month_no is not null"), key, "month_no")
+    months = dealt(paid.where("month_no is not null"), "record_id")
+    runs = reduce(DataFrame.unionByName, [islands(part, key, "month_no") for part in months])
     homes = employees.select(F.col("employee_id").alias("record_id"), "person_id", "department_id")
     return (
         in_one_only(runs, employed_months(employees, as_of), key)

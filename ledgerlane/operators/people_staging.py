@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlane.functions.columns import payroll_usd_rate
-from ledgerlane.functions.groups import first_per_group, losers
+from ledgerlane.functions.groups import dealt, first_per_group, losers
 
 # Columns that make two employment records the same event.
 SAME_RECORD = ["person_id", "department_id", "hire_date", "employment_status"]
@@ -54,11 +56,15 @@ def _paid(runs: DataFrame, *extra: str) -> DataFrame:
     )
 
 
-def payroll(raw: DataFrame) -> DataFrame:
-    """The last run of each employee and period; a reissue with the same time wins by id."""
+def payroll(raw: DataFrame, bucketed: bool = False) -> DataFrame:
+    """The last run of each employee and period; a reissue with the same time wins by id.
+
+    Runs are dealt by employee, so joins on the employee need no other shuffle of payroll; ``bucketed`` says that
+    they are stored so."""
     order = [F.col("paid_at").desc_nulls_last(), F.col("payroll_id").desc()]
-    kept = first_per_group(raw, SAME_RUN, order, repeat_flag="has_reissued_payroll")
-    return _paid(kept, "has_reissued_payroll").withColumn("is_cancelled_run", F.lit(False))
+    parts = [raw] if bucketed else dealt(raw, "employee_id")
+    kept = [first_per_group(part, SAME_RUN, order, repeat_flag="has_reissued_payroll") for part in parts]
+    return _paid(reduce(DataFrame.unionByName, kept), "has_reissued_payroll").withColumn("is_cancelled_run", F.lit(False))
 
 
 def cancelled_payroll(raw: DataFrame) -> DataFrame:

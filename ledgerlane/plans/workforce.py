@@ -27,7 +27,8 @@ class WorkforceModels:
 
     Tables that one model reads several times are written once per object: staged employees,
     because following transfers reads them repeatedly, and stint records and spans where needed.
-    ``share`` makes every model use those copies, for building several from one object.
+    ``share`` makes every model use those copies, for building several from one object. ``bucketed`` raw tables
+    are stored by their keys already (``save_bucketed_tables``), so none is dealt out.
     """
 
     def __init__(
@@ -37,12 +38,14 @@ class WorkforceModels:
         infer_terminations: bool = False,
         share: bool = False,
         infer_transfers: bool = False,
+        bucketed: bool = False,
     ):
         self.raw = raw
         self.as_of = as_of
         self.infer_terminations = infer_terminations
         self.share = share
         self.infer_transfers = infer_transfers
+        self.bucketed = bucketed
 
     @cached_property
     def stg_departments(self) -> DataFrame:
@@ -54,7 +57,7 @@ class WorkforceModels:
 
     @cached_property
     def stg_payroll(self) -> DataFrame:
-        return people_staging.payroll(self.raw.payroll).drop("has_reissued_payroll")
+        return people_staging.payroll(self.raw.payroll, self.bucketed).drop("has_reissued_payroll")
 
     @cached_property
     def stg_performance_reviews(self) -> DataFrame:

@@ -31,7 +31,7 @@ MODEL_TESTS = [
     ),
     ModelTests("raw_departments", ["department_id"], ["department_id"]),
     ModelTests("raw_performance_reviews", ["review_id"], ["review_id"]),
-    ModelTests("raw_payroll", ["payroll_id"], ["payroll_id"]),
+    ModelTests("raw_payroll", ["payroll_id"], ["payroll_id"], large=True),
     ModelTests("dim_department", ["department_id"], ["department_id"]),
     ModelTests("fct_workforce", ["person_id", "is_currently_active"], ["person_id"]),
     ModelTests("fct_attrition_monthly", ["month_start"], ["month_start"]),

@@ -5,8 +5,10 @@ from datetime import date
 from fixtures import employees, workforce
 from pyspark.sql import functions as F
 
+from ledgerlane.functions import groups
 from ledgerlane.operators import people_bridge, people_staging
-from ledgerlane.plans.registry import _tieout
+from ledgerlane.operators.checks import ModelTests, run_model_tests
+from ledgerlane.plans.registry import QUERIES, _tieout
 from ledgerlane.sources import workforce_projection
 from ledgerlane.sources.tables import WORKFORCE_SCHEMAS, conform
 from ledgerlane.sources.workforce_projection import ProjectedWorkforceTables
@@ -131,3 +133,44 @@ def test_customers_are_dealt_over_tasks_before_they_become_payroll(spark, tmp_pa
 def test_no_customers(spark, tmp_path):
     spark.createDataFrame([], "c_custkey long, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
     assert ProjectedWorkforceTables(spark, str(tmp_path)).payroll.isEmpty()
+
+
+def test_payroll_is_dealt_by_its_rows_and_frequent_employees_come_apart(spark, data, monkeypatch):
+    paid = "timestamp_ntz'2024-01-15 00:00:00' as paid_at"
+    month = "cast(add_months(date'2020-01-01', cast(id % 4 as int)) as timestamp_ntz) as pay_period"
+    columns = ["id as payroll_id", "{} as employee_id", "7L as person_id", month, "cast(10 as decimal(12,2)) as gross_pay"]
+    columns += ["'USD' as currency", "false as is_partial_period", paid]
+    few = spark.range(90).selectExpr(*[c.format("cast(id / 6 as bigint)") for c in columns])
+    many = spark.range(100, 160).selectExpr(*[c.format("cast(null as bigint)") for c in columns])
+    raw = few.union(many)
+    whole = people_staging.payroll(raw)
+    monkeypatch.setattr(groups, "ROWS_A_TASK", 20)
+    parts = groups.dealt(raw, "employee_id")
+    assert [part.count() for part in parts] == [90, 60]
+    assert parts[0].rdd.getNumPartitions() == 5
+    dealt = people_staging.payroll(raw)
+    assert dealt.count() == whole.count() == 90 - 15 * 2 + 4
+    assert whole.exceptAll(dealt).isEmpty() and dealt.exceptAll(whole).isEmpty()
+    plan = people_staging.payroll(few)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in plan
+
+
+def test_pay_gaps_and_tie_out_of_dealt_payroll(spark, data, monkeypatch):
+    def results():
+        return [QUERIES[name](spark, data) for name in ("hr_pay_gaps_as_paid", "hr_payroll_cost_tieout")]
+
+    whole = [frame.collect() for frame in results()]
+    monkeypatch.setattr(groups, "ROWS_A_TASK", 100)
+    for rows, dealt in zip(whole, results()):
+        assert sorted(map(str, rows)) == sorted(map(str, dealt.collect()))
+
+
+def test_column_tests_of_dealt_payroll(spark, monkeypatch):
+    raw = spark.sql("select if(id < 30, null, id div 2) as payroll_id from range(130)")
+    tests = ModelTests("raw_payroll", ["payroll_id"], ["payroll_id"], large=True)
+    whole = run_model_tests(raw, tests)
+    monkeypatch.setattr(groups, "ROWS_A_TASK", 20)
+    dealt = run_model_tests(raw, tests)
+    assert {r.test.split(":")[0]: r.failures for r in dealt.collect()} == {"unique": 50, "not_null": 30}
+    assert sorted(map(str, whole.collect())) == sorted(map(str, dealt.collect()))
+    assert "REPARTITION_BY_NUM" in dealt._jdf.queryExecution().executedPlan().toString()
