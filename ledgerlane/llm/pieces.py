@@ -19,8 +19,9 @@ from __future__ import annotations
 import functools
 import heapq
 import re
+from collections import defaultdict
 from collections.abc import Iterable, Iterator, Sequence
-from itertools import chain
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +56,9 @@ _MASK = (1 << 64) - 1
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 #: No piece of the vocabulary has a letter followed by one of these marks, so a chunk can end there.
 _LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", r".,!?;:|*$%&#"
-_CHUNK = re.compile(rf" *[^ \n{_MARKS}]*[{_LETTERS}](?=[{_MARKS}])| +[^ \n]*|\n|[^ \n]+")
+# Nothing is read twice: after the longest run without a mark, either the chunk ends or the rest up to a space belongs to it.
+_REST = rf"(?:(?<=[{_LETTERS}])(?=[{_MARKS}])|[^ \n]*+)"
+_CHUNK = re.compile(rf" ++[^ \n{_MARKS}]*+{_REST}|[^ \n{_MARKS}]++{_REST}|\n|[^ \n]++")
 _OVER_AN_END = re.compile(rf"[^ ] |\n|[{_LETTERS}][{_MARKS}]")
 
 
@@ -207,7 +210,7 @@ def _merge_side_by_side(
     rows, width = codes.shape
     symbols = pieces.char_ids[codes]
     symbols = np.where(symbols < 0, codes - (1 << 31), symbols).astype(np.int32)
-    starts = np.broadcast_to(np.arange(width + 1, dtype=np.int32), (rows, width + 1)).copy()
+    starts = np.broadcast_to(np.arange(width + 1, dtype=np.int16), (rows, width + 1)).copy()
     places = np.arange(rows)
     ranks, results = _candidates(
         symbols[:, :-1].ravel(), symbols[:, 1:].ravel(), starts[:, :-2].ravel(), starts[:, 1:-1].ravel(),
@@ -317,7 +320,8 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        #: Number of each chunk, given when it is first asked for.
+        self.known: defaultdict[str, int] = defaultdict(count().__next__)
         #: The path of each known chunk that skips nothing; -1 where it is not worked out.
         self.roots = np.zeros(0, dtype=np.int64)
         # By path: pieces, candidates skipped, other candidates that come up, and the path that skips one of these as well.
@@ -390,9 +394,6 @@ class Encoder:
             self._forget()
         cuts = [_split(text) for text in texts]
         before = len(self.known)
-        for cut in cuts:
-            fresh = set(cut).difference(self.known)
-            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
         flat = list(chain.from_iterable(cuts))
         numbers = np.fromiter(map(self.known.__getitem__, flat), dtype=np.int64, count=len(flat))
         self.roots = np.append(self.roots, np.full(len(self.known) - before, -1, dtype=np.int64))

@@ -1,12 +1,16 @@
 """Pieces against the library, against the heap, and back to the text."""
 
 import random
+import re
 
 import numpy as np
 import pytest
 import sentencepiece
 
 from ledgerlane.llm.pieces import (
+    _CHUNK,
+    _LETTERS,
+    _MARKS,
     MODEL_PATH,
     Encoder,
     _split,
@@ -90,3 +94,15 @@ def test_every_occurrence_draws_its_own_merges():
             for cut, ids in zip(cuts, got):
                 alone = [_with_bytes(encode_chunk(chunk, next(drawn), dropout, load()), load()) for chunk in cut]
                 assert sum(alone, []) == ids.tolist()
+
+
+def test_chunks_end_where_no_piece_reaches_over():
+    plain = re.compile(rf" *[^ \n{_MARKS}]*[{_LETTERS}](?=[{_MARKS}])| +[^ \n]*|\n|[^ \n]+")
+    rng = random.Random(5)
+    for _ in range(20_000):
+        text = "".join(rng.choices("ab ,.\n 1é*$-;?|▁一\t×", k=rng.randrange(12)))
+        assert plain.findall(" " + text) == _CHUNK.findall(" " + text)
+    assert _split("Yes, two  words.\n\n…and, 3, ") == [" Yes", ",", " two", "  words", ".", "\n", "\n", "…and", ",", " 3,", " "]
+    encoder = Encoder(load())
+    encoder.encode(["a b a", "c a"], [1, 2])
+    assert encoder.known == {" a": 0, " b": 1, " c": 2} and len(encoder.roots) == 3
