@@ -20,7 +20,10 @@ EMPLOYED = "employed_not_paid"
 
 def record_map(raw_employees: DataFrame, dropped: DataFrame | None, employees: DataFrame) -> DataFrame:
     """Every record id as it may stand in payroll: its own department, the record that counts, and that one's
-    department. Without ``dropped`` every record counts for itself, and a dropped one has no department."""
+    department. Without ``dropped`` every record counts for itself, and a dropped one has no department.
+
+    The records are merged: Spark would broadcast written ones by their compressed bytes, a small part of what every
+    task then holds."""
     own = raw_employees.select("employee_id", F.col("department_id").alias("own_department_id"))
     kept = employees.select(F.col("employee_id").alias("record_id"), "department_id")
     if dropped is None:
@@ -28,7 +31,7 @@ def record_map(raw_employees: DataFrame, dropped: DataFrame | None, employees: D
     else:
         replaced = dropped.select("employee_id", "kept_employee_id")
         own = own.join(replaced, "employee_id", "left").withColumn("record_id", F.coalesce("kept_employee_id", "employee_id"))
-    return own.select("employee_id", "own_department_id", "record_id").join(kept, "record_id", "left")
+    return own.select("employee_id", "own_department_id", "record_id").join(kept.hint("merge"), "record_id", "left")
 
 
 def paid_months(payroll: DataFrame, records: DataFrame) -> DataFrame:
@@ -67,7 +70,7 @@ def pay_employment_gaps(paid: DataFrame, employees: DataFrame, as_of: date) -> D
     """Every range of months in which a record is paid but not employed, or employed but not paid.
 
     The paid months of a record become islands and are set against its months of employment; both sides are
-    a handful of ranges per record, whatever they span.
+    a handful of ranges per record, whatever they span. The records are merged, as in ``record_map``.
     """
     key = ["record_id"]
     months = dealt(paid.where("month_no is not null"), "record_id")
@@ -75,7 +78,7 @@ def pay_employment_gaps(paid: DataFrame, employees: DataFrame, as_of: date) -> D
     homes = employees.select(F.col("employee_id").alias("record_id"), "person_id", "department_id")
     return (
         in_one_only(runs, employed_months(employees, as_of), key)
-        .join(homes, "record_id", "left")
+        .join(homes.hint("merge"), "record_id", "left")
         .select(
             F.col("record_id").alias("employee_id"),
             "person_id",

@@ -6,9 +6,10 @@ from fixtures import employees, workforce
 from pyspark.sql import functions as F
 
 from ledgerlane.functions import groups
-from ledgerlane.operators import people_bridge, people_staging
+from ledgerlane.operators import people_bridge, people_gaps, people_staging
 from ledgerlane.operators.checks import ModelTests, run_model_tests
-from ledgerlane.plans.registry import QUERIES, _tieout
+from ledgerlane.plans.registry import QUERIES, _pay_gaps, _tieout
+from ledgerlane.plans.workforce import WorkforceModels
 from ledgerlane.sources import workforce_projection
 from ledgerlane.sources.tables import WORKFORCE_SCHEMAS, conform
 from ledgerlane.sources.workforce_projection import ProjectedWorkforceTables
@@ -165,6 +166,15 @@ def test_pay_gaps_and_tie_out_of_dealt_payroll(spark, data, monkeypatch):
         assert sorted(map(str, rows)) == sorted(map(str, dealt.collect()))
 
 
+def test_records_are_merged_however_small_their_files(spark, data):
+    models = WorkforceModels(ProjectedWorkforceTables(spark, data))
+    gaps = _pay_gaps(models, reassign=False)[1]
+    records = people_gaps.record_map(models.raw.employees, None, models.stg_employees)
+    for frame in (gaps, records):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_column_tests_of_dealt_payroll(spark, monkeypatch):
     raw = spark.sql("select if(id < 30, null, id div 2) as payroll_id from range(130)")
     tests = ModelTests("raw_payroll", ["payroll_id"], ["payroll_id"], large=True)
